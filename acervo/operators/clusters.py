@@ -23,8 +23,10 @@ from acervo.operators.ordered import first_k, with_position
 from acervo.session import cut_lineage
 
 SLICE_ROWS = 4_000
-HEADS_PER_DAY = 500
+HEADS_PER_DAY = 250
+DAYS_PER_BLOCK = 14
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
+JUDGED = "id string, day int, ord long, held boolean, status string, moved boolean"
 COLUMNS = ["id", "day", "ord", "embedding"]
 
 
@@ -34,6 +36,11 @@ def _sliced(df: DataFrame, day: str, rows: int, name: str) -> DataFrame:
     return df.join(sizes, day).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
 
 
+def _own(df: DataFrame) -> DataFrame:
+    """Columns of its own: the two sides of a cogroup may come from one table."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, schema: str,
           slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Every slice of `left` against every slice of `right` of its day and the days before it.
@@ -43,15 +50,21 @@ def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable,
     """
     reach = right.withColumn("on_day", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)))
-    left_s = _sliced(left, "day", slice_rows, "ls")
-    right_s = _sliced(reach, "on_day", slice_rows, "rs")
-    right_counts = right_s.select(F.col("on_day").alias("day"), F.col("rss").alias("n")).distinct()
-    left_counts = left_s.select(F.col("day").alias("on_day"), F.col("lss").alias("n")).distinct()
-    left_g = left_s.join(right_counts, "day").withColumn("rs", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    right_g = right_s.join(left_counts, "on_day").withColumn("ls", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    keep = [c for c in left.columns]
-    left_g = left_g.select(*keep, F.col("day").alias("_d"), "ls", "rs")
-    right_g = right_g.select(*right.columns, F.col("on_day").alias("_d"), "ls", "rs")
+    # slices per day of both sides: one row per calendar day, so small by nature
+    left_days = left.groupBy("day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("l_n"))
+    right_days = reach.groupBy("on_day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("r_n"))
+    grid = F.broadcast(left_days.join(right_days, F.col("day") == F.col("on_day")).select(F.col("day").alias("_d"), "l_n", "r_n"))
+
+    def slice_of(n: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left_g = left.join(grid, F.col("day") == F.col("_d")).withColumn("ls", slice_of("l_n")).withColumn("rs", every("r_n"))
+    right_g = reach.join(grid, F.col("on_day") == F.col("_d")).withColumn("rs", slice_of("r_n")).withColumn("ls", every("l_n"))
+    left_g = _own(left_g.select(*left.columns, "_d", "ls", "rs"))
+    right_g = _own(right_g.select(*right.columns, "_d", "ls", "rs"))
     return left_g.groupBy("_d", "ls", "rs").cogroup(right_g.groupBy("_d", "ls", "rs")).applyInPandas(score, schema)
 
 
@@ -124,7 +137,7 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     one vector on one day are represented by the first of them, because a later
     copy always has that one, or its leader, to join.
     """
-    rows = cut_lineage(_prepared(docs, key, day, order, vector))
+    rows = _prepared(docs, key, day, order, vector)
     zero = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0
     distinct = rows.filter(~zero).groupBy("day", "embedding").agg(
         F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "embedding")
@@ -137,7 +150,6 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
         undecided = cut_lineage(
             undecided.join(near.distinct(), "id", "left_anti").join(fresh.select("id"), "id", "left_anti").select(*COLUMNS))
         leaders = leaders.unionByName(fresh)
-    leaders = cut_lineage(leaders)
     others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
     best = _meet(others, leaders, window_days, _best(threshold), PAIR, slice_rows).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
@@ -147,35 +159,54 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
 
 def _elect(undecided: DataFrame, threshold: float, window_days: int, heads_per_day: int,
            slice_rows: int) -> DataFrame:
-    """Documents that are certain to lead, given that no earlier leader is near any undecided one."""
+    """Documents that are certain to lead, given that no earlier leader is near any undecided one.
+
+    Heads are judged by blocks of days, in scan order inside a block, so one pass
+    settles every chain that stays in a block; chains that cross blocks take
+    further passes. Heads and edges of a block are bounded by `heads_per_day`.
+    """
     heads = first_k(undecided, ["day"], [F.col("ord")], heads_per_day)
     sizes = undecided.groupBy("day").agg(F.count("*").alias("n"))
-    # days with undecided documents beyond the heads hold back the days after them
+    # a day with undecided documents beyond its heads holds back the days after it
     hidden = sizes.filter(F.col("n") > heads_per_day).select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.lit(window_days)), lambda d: F.col("day") + d)).alias("day")).distinct() if window_days else None
-    state = heads.select("id", "day", F.lit("undecided").alias("status"))
-    if hidden is not None:
-        state = state.join(hidden.withColumn("held", F.lit(True)), "day", "left")
-    else:
-        state = state.withColumn("held", F.lit(None).cast("boolean"))
-    state = cut_lineage(state.select("id", F.coalesce("held", F.lit(False)).alias("held"), "status"))
-    heads = cut_lineage(heads)
+        F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)).alias("day"), F.col("day").alias("of")
+    ).filter("day > of").select("day").distinct().withColumn("held", F.lit(True))
+    state = heads.select("id", "day", "ord", F.lit("undecided").alias("status")).join(F.broadcast(hidden), "day", "left").select(
+        "id", "day", "ord", F.coalesce("held", F.lit(False)).alias("held"), "status")
     edges = cut_lineage(_meet(heads, heads, window_days, _pairs(threshold), PAIR, slice_rows).select("hi", "lo"))
     while True:
-        below = edges.join(state.select(F.col("id").alias("lo"), "status"), "lo").groupBy(F.col("hi").alias("id")).agg(
-            F.bool_or(F.col("status") == "leader").alias("near_leader"),
-            F.bool_or(F.col("status") == "undecided").alias("waits"))
-        judged = state.join(below, "id", "left").select("id", "held", F.when(
-            F.col("status") != "undecided", F.col("status"))
-            .when(F.coalesce("near_leader", F.lit(False)), "member")
-            .when(~F.col("held") & ~F.coalesce("waits", F.lit(False)), "leader")
-            .otherwise("undecided").alias("status"), (F.col("status") == "undecided").alias("was"))
-        judged = cut_lineage(judged)
-        moved = judged.filter(F.col("was") & (F.col("status") != "undecided")).limit(1).count()
-        state = judged.drop("was")
-        if not moved:
+        below = edges.join(state.select(F.col("id").alias("lo"), F.col("status").alias("lo_status")), "lo")
+        block = F.floor(F.col("day") / DAYS_PER_BLOCK).alias("block")
+        placed = below.join(state.select(F.col("id").alias("hi"), block), "hi")
+        state = cut_lineage(_own(state.withColumn("block", block)).groupBy("block").cogroup(
+            _own(placed).groupBy("block")).applyInPandas(_judge, JUDGED))
+        progress = state.agg(
+            F.bool_or("moved").alias("moved"), F.bool_or(F.expr("status = 'undecided' and not held")).alias("open")).first()
+        if not (progress["moved"] and progress["open"]):
             break
-    return heads.join(state.filter(F.col("status") == "leader").select("id"), "id", "left_semi").select(*COLUMNS)
+    return heads.join(state.filter("status = 'leader'").select("id"), "id", "left_semi").select(*COLUMNS)
+
+
+def _judge(heads: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Member next to a leader, waiting next to an undecided head, else leader; in scan order."""
+    below: dict[str, list[tuple[str, str]]] = {}
+    for hi, lo, status in zip(edges["hi"], edges["lo"], edges["lo_status"]) if len(edges) else ():
+        below.setdefault(hi, []).append((lo, status))
+    heads = heads.sort_values(["day", "ord"], ignore_index=True)
+    now: dict[str, str] = {}
+    for row in heads.itertuples():
+        status = row.status
+        if status == "undecided":
+            near = [now.get(lo, known) for lo, known in below.get(row.id, ())]
+            if "leader" in near:
+                status = "member"
+            elif "undecided" not in near and not row.held:
+                status = "leader"
+        now[row.id] = status
+    judged = heads[["id", "day", "ord", "held"]].copy()
+    judged["status"] = [now[i] for i in heads["id"]]
+    judged["moved"] = judged["status"].to_numpy() != heads["status"].to_numpy()
+    return judged
 
 
 def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
@@ -220,7 +251,7 @@ def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
         rest = _sliced(undecided.join(scanned.select("id"), "id", "left_anti"), "day", slice_rows, "ls")
         targets = fresh.join(rest.select("day", "lss").distinct(), "day").withColumn(
             "ls", F.explode(F.sequence(F.lit(0), F.col("lss") - 1)))
-        matched = cut_lineage(rest.groupBy("day", "ls").cogroup(targets.groupBy("day", "ls")).applyInPandas(match, schema))
+        matched = cut_lineage(_own(rest).groupBy("day", "ls").cogroup(_own(targets).groupBy("day", "ls")).applyInPandas(match, schema))
         now = scanned.unionByName(matched).select("id", "leader_id", "day")
         decided = now if decided is None else decided.unionByName(now)
         undecided = cut_lineage(undecided.join(now.select("id"), "id", "left_anti").select("id", "day", "ord", "title"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo import params as P
+from acervo.session import cut_lineage
 
 MAX_FINE_CLUSTERS = 100
 
@@ -63,7 +64,8 @@ def macro_themes(df: DataFrame, key: str, vector: str, components: int = 16, fin
     """(key, theme)."""
     fine = min(fine, MAX_FINE_CLUSTERS)
     unit = unit_vectors(df.select(key, vector), vector)
-    reduced = PCA(k=components, inputCol="unit", outputCol="reduced").fit(unit).transform(unit).select(key, "reduced")
+    # the clustering passes over the reduced vectors many times
+    reduced = cut_lineage(PCA(k=components, inputCol="unit", outputCol="reduced").fit(unit).transform(unit).select(key, "reduced"))
     model = BisectingKMeans(k=fine, seed=seed, featuresCol="reduced", predictionCol="fine").fit(reduced)
     labelled = model.transform(reduced)
     # at most MAX_FINE_CLUSTERS rows reach the driver
