@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from acervo import params as P
+from acervo.functions.text import let
 
 
 def _month(name: Column, table: dict[str, int]) -> Column:
@@ -13,51 +14,52 @@ def _month(name: Column, table: dict[str, int]) -> Column:
     return F.try_element_at(lookup, F.lower(name))
 
 
-def _iso(year: Column, month: Column, day: Column) -> Column:
+def _real_date(year: Column, month: Column, day: Column) -> Column:
     """ISO text of a real calendar date, else null."""
     text = F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    valid = (year != "") & month.isNotNull() & (day != "")
-    return F.when(valid & F.try_to_date(text, "yyyy-MM-dd").isNotNull(), text)
+    return F.when((year != "") & month.isNotNull(), let(
+        text, lambda t: F.when(t.try_cast("date").isNotNull(), t)))
 
 
-def _groups(text: Column, pattern: str, n: int) -> list[Column]:
-    return [F.regexp_extract(text, pattern, i) for i in range(1, n + 1)]
+def _read(text: Column, pattern: str, build) -> Column:
+    """`build(g1, g2, g3)` over the groups of the first match; the text is scanned once."""
+    def groups(found: Column) -> Column:
+        parts = F.array(*[F.regexp_extract(found, pattern, i) for i in (1, 2, 3)])
+        return F.when(found != "", let(parts, lambda g: build(F.get(g, F.lit(0)), F.get(g, F.lit(1)), F.get(g, F.lit(2)))))
+
+    return let(F.regexp_extract(text, pattern, 0), groups)
 
 
 def br_date(text: Column, label: str | None = None) -> Column:
     """First `DD/MM/YYYY`, after a label if one is given."""
     prefix = f"{label}\\s*:?\\s*" if label else ""
-    day, month, year = _groups(text, prefix + r"(\d{2})/(\d{2})/(\d{4})", 3)
-    return _iso(year, month, day)
+    return _read(text, prefix + r"(\d{2})/(\d{2})/(\d{4})", lambda d, m, y: _real_date(y, m, d))
 
 
 def loose_br_date(text: Column) -> Column:
     """One- or two-digit day, two- or four-digit year (20YY)."""
-    day, month, year = _groups(text, r"(\d{1,2})/(\d{2})/(\d{4}|\d{2})(?!\d)", 3)
-    return _iso(F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year), month, day)
+    return _read(text, r"(\d{1,2})/(\d{2})/(\d{4}|\d{2})(?!\d)", lambda d, m, y: _real_date(
+        F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y), m, d))
 
 
 def br_datetime(text: Column) -> Column:
     """`DD/MM/YY, HH:MM`."""
-    day, month, year = _groups(text, r"(\d{2})/(\d{2})/(\d{2}),\s*\d{2}:\d{2}", 3)
-    return _iso(F.when(year != "", F.concat(F.lit("20"), year)).otherwise(year), month, day)
+    return _read(text, r"(\d{2})/(\d{2})/(\d{2}),\s*\d{2}:\d{2}",
+                 lambda d, m, y: _real_date(F.concat(F.lit("20"), y), m, d))
 
 
 def us_date(text: Column) -> Column:
-    month, day, year = _groups(text, r"(\d{2})/(\d{2})/(\d{4})", 3)
-    return _iso(year, month, day)
+    return _read(text, r"(\d{2})/(\d{2})/(\d{4})", lambda m, d, y: _real_date(y, m, d))
 
 
 def long_pt_date(text: Column) -> Column:
     """`D de MÊS de YYYY`."""
-    day, month, year = _groups(text, r"(?U)(\d{1,2}) de (\w+) de (\d{4})", 3)
-    return _iso(year, _month(month, P.MONTHS_PT), day)
+    return _read(text, r"(?U)(\d{1,2}) de (\w+) de (\d{4})", lambda d, m, y: _real_date(y, _month(m, P.MONTHS_PT), d))
 
 
 def month_first_pt_date(text: Column) -> Column:
     """`MÊS D, YYYY`."""
-    month, day, year = _groups(text, r"(?U)(\w+) (\d{1,2}), (\d{4})", 3)
-    return _iso(year, _month(month, P.MONTHS_PT), day)
+    return _read(text, r"(?U)(\w+) (\d{1,2}), (\d{4})", lambda m, d, y: _real_date(y, _month(m, P.MONTHS_PT), d))
 
 
 def short_month_date(text: Column) -> Column:
@@ -66,19 +68,17 @@ def short_month_date(text: Column) -> Column:
     The second form is tried only where the first one does not occur.
     """
     first, second = r"(?U)(\w{3,})\s+(\d{1,2}),\s*(\d{4})", r"(?U)(\d{1,2})\s+(\w{3,})\s+(\d{4})"
-    m1, d1, y1 = _groups(text, first, 3)
-    d2, m2, y2 = _groups(text, second, 3)
 
     def short(name: Column) -> Column:
         return _month(F.substring(F.lower(name), 1, 3), P.MONTHS_SHORT)
 
-    return F.when(y1 != "", _iso(y1, short(m1), d1)).otherwise(_iso(y2, short(m2), d2))
+    return F.when(text.rlike(first), _read(text, first, lambda m, d, y: _real_date(y, short(m), d))).otherwise(
+        _read(text, second, lambda d, m, y: _real_date(y, short(m), d)))
 
 
 def day_month_comma_date(text: Column) -> Column:
     """`DD Mon, YYYY`, English."""
-    day, month, year = _groups(text, r"(?U)(\d{1,2}) (\w{3}), (\d{4})", 3)
-    return _iso(year, _month(month, P.MONTHS_SHORT), day)
+    return _read(text, r"(?U)(\d{1,2}) (\w{3}), (\d{4})", lambda d, m, y: _real_date(y, _month(m, P.MONTHS_SHORT), d))
 
 
 def iso_slice(text: Column) -> Column:
@@ -87,15 +87,14 @@ def iso_slice(text: Column) -> Column:
 
 def rfc2822_date(text: Column, fallback: Column) -> Column:
     """ISO date of an RFC 2822 stamp in its own zone; `fallback` where it cannot be read."""
-    day, month, year = _groups(
-        text, r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+\d{2}:\d{2}(?::\d{2})?\s+(?:[+-]\d{4}|[A-Z]{1,5})\s*$", 3)
-    return F.coalesce(_iso(year, _month(month, P.MONTHS_SHORT), day), fallback)
+    pattern = (r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+\d{2}:\d{2}(?::\d{2})?"
+               r"\s+(?:[+-]\d{4}|[A-Z]{1,5})\s*$")
+    return F.coalesce(_read(text, pattern, lambda d, m, y: _real_date(y, _month(m, P.MONTHS_SHORT), d)), fallback)
 
 
 def underscore_file_date(name: Column) -> Column:
     """`…DD_MM_YYYY.pdf`."""
-    day, month, year = _groups(name, r"(\d{2})_(\d{2})_(\d{4})\.pdf$", 3)
-    return _iso(year, month, day)
+    return _read(name, r"(\d{2})_(\d{2})_(\d{4})\.pdf$", lambda d, m, y: _real_date(y, m, d))
 
 
 def dotted_edition_dates(text: Column) -> Column:
@@ -104,8 +103,7 @@ def dotted_edition_dates(text: Column) -> Column:
 
 
 def dotted_file_date(name: Column) -> Column:
-    year, month, day = _groups(name, r"(\d{4})\.(\d{2})\.(\d{2})\.DOE_0\.pdf$", 3)
-    return _iso(year, month, day)
+    return _read(name, r"(\d{4})\.(\d{2})\.(\d{2})\.DOE_0\.pdf$", lambda y, m, d: _real_date(y, m, d))
 
 
 def reference_date(published: Column, date: Column, captured: Column) -> Column:

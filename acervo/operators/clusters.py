@@ -20,7 +20,7 @@ from acervo import params as P
 from acervo.functions import similarity as M
 from acervo.functions.text import slugify, title_key
 from acervo.operators.ordered import first_k, with_position
-from acervo.session import cut_lineage
+from acervo.session import cut_lineage, spread
 
 SLICE_ROWS = 4_000
 HEADS_PER_DAY = 250
@@ -65,7 +65,8 @@ def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable,
     right_g = reach.join(grid, F.col("on_day") == F.col("_d")).withColumn("rs", slice_of("r_n")).withColumn("ls", every("l_n"))
     left_g = _own(left_g.select(*left.columns, "_d", "ls", "rs"))
     right_g = _own(right_g.select(*right.columns, "_d", "ls", "rs"))
-    return left_g.groupBy("_d", "ls", "rs").cogroup(right_g.groupBy("_d", "ls", "rs")).applyInPandas(score, schema)
+    keys = ["_d", "ls", "rs"]
+    return spread(left_g, *keys).groupBy(*keys).cogroup(spread(right_g, *keys).groupBy(*keys)).applyInPandas(score, schema)
 
 
 def _similarities(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -145,21 +146,25 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     leaders = rows.filter(zero).select(*COLUMNS) if threshold > 0 else rows.limit(0)
     undecided = cut_lineage(distinct)
     while not undecided.isEmpty():
-        fresh = cut_lineage(_elect(undecided, threshold, window_days, heads_per_day, slice_rows))
-        near = _meet(undecided, fresh, window_days, _best(threshold), PAIR, slice_rows).select(F.col("hi").alias("id"))
-        undecided = cut_lineage(
-            undecided.join(near.distinct(), "id", "left_anti").join(fresh.select("id"), "id", "left_anti").select(*COLUMNS))
+        judged = _elect(undecided, threshold, window_days, heads_per_day, slice_rows)
+        fresh = undecided.join(judged.filter("status = 'leader'").select("id"), "id", "left_semi").select(*COLUMNS)
         leaders = leaders.unionByName(fresh)
+        rest = cut_lineage(undecided.join(judged.filter("status <> 'undecided'").select("id"), "id", "left_anti").select(*COLUMNS))
+        if rest.isEmpty():
+            break
+        near = _meet(rest, fresh, window_days, _best(threshold), PAIR, slice_rows).select(F.col("hi").alias("id"))
+        undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*COLUMNS))
     others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
     best = _meet(others, leaders, window_days, _best(threshold), PAIR, slice_rows).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
-    return best.select(F.col("hi").alias("id"), "leader_id").unionByName(
-        leaders.select("id", F.col("id").alias("leader_id")))
+    # callers join the assignment several times (names, sizes, members)
+    return cut_lineage(best.select(F.col("hi").alias("id"), "leader_id").unionByName(
+        leaders.select("id", F.col("id").alias("leader_id"))))
 
 
 def _elect(undecided: DataFrame, threshold: float, window_days: int, heads_per_day: int,
            slice_rows: int) -> DataFrame:
-    """Documents that are certain to lead, given that no earlier leader is near any undecided one.
+    """Heads with their status (leader, member, undecided); no earlier leader is near any of them.
 
     Heads are judged by blocks of days, in scan order inside a block, so one pass
     settles every chain that stays in a block; chains that cross blocks take
@@ -184,7 +189,7 @@ def _elect(undecided: DataFrame, threshold: float, window_days: int, heads_per_d
             F.bool_or("moved").alias("moved"), F.bool_or(F.expr("status = 'undecided' and not held")).alias("open")).first()
         if not (progress["moved"] and progress["open"]):
             break
-    return heads.join(state.filter("status = 'leader'").select("id"), "id", "left_semi").select(*COLUMNS)
+    return state
 
 
 def _judge(heads: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from acervo import params as P
 from acervo.functions import similarity as M
 from acervo.functions.text import fold_upper
+from acervo.session import spread
 
 # Most aliases that travel inside a plan or a task. A larger dictionary takes the
 # partitioned path of each operator, with the same result.
@@ -82,7 +83,7 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
                 rows = [(n, *best_alias(n, aliases), 0) for n in part["alias_norm"]]
                 yield pd.DataFrame(rows, columns=["alias_norm", "canonical_id", "score", "place"])
 
-        scored = distinct.repartition(F.col("alias_norm")).mapInPandas(nearest, schema)
+        scored = spread(distinct, "alias_norm").mapInPandas(nearest, schema)
     else:
         scored = _match_in_slices(distinct, usable, schema, limit or MAX_INLINE_ALIASES)
     return scored.filter(F.col("score") >= threshold * 100).drop("place")
@@ -118,7 +119,7 @@ def _match_in_slices(distinct: DataFrame, index: DataFrame, schema: str, limit:
                 rows.append((name, best[1], at, *map(int, places[best[0]])))
         return pd.DataFrame(rows, columns=["alias_norm", "canonical_id", "score", "e", "a"])
 
-    pieces = left.groupBy("ns", "s").cogroup(right.groupBy("ns", "s")).applyInPandas(
+    pieces = spread(left, "ns", "s").groupBy("ns", "s").cogroup(spread(right, "ns", "s").groupBy("ns", "s")).applyInPandas(
         score, "alias_norm string, canonical_id string, score double, e long, a long")
     best = F.struct("score", -F.col("e"), -F.col("a"))
     return pieces.groupBy("alias_norm").agg(
@@ -181,7 +182,8 @@ def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy
     hits = F.filter(aliases, lambda a: F.when(
         F.contains(F.col("_text"), a["alias_norm"]), F.regexp_like(F.col("_text"), a["pattern"])
     ).otherwise(F.lit(False)))
-    found = folded.select(key, F.explode(hits).alias("h"))
+    # the outer form keeps the optimizer from evaluating the list a second time in an inferred filter
+    found = folded.select(key, F.explode_outer(hits).alias("h")).filter("h is not null")
     return found.select(key, "h.alias_norm", "h.canonical_id", "h.main_name",
                         (F.length("h.alias_norm") <= P.SHORT_ALIAS_CHARS).alias("suspect"))
 
@@ -248,4 +250,5 @@ def naive_mentions(docs: DataFrame, index: DataFrame, key: str, text: str) -> Da
         F.struct(F.lit(a.lower()).alias("alias"), F.lit(c).alias("canonical_id")) for a, c, _ in rows
     ])
     hits = F.filter(aliases, lambda a: F.contains(F.col("_text"), a["alias"]))
-    return folded.select(key, F.explode(hits).alias("h")).select(key, "h.alias", "h.canonical_id")
+    found = folded.select(key, F.explode_outer(hits).alias("h")).filter("h is not null")
+    return found.select(key, "h.alias", "h.canonical_id")

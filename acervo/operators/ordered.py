@@ -29,25 +29,21 @@ def _split_points(df: DataFrame, order: str, max_blocks: int, rows_per_block: in
 
 def with_position(
     df: DataFrame, partition: list[str], order: str, name: str = "position",
-    rows_per_block: int = BLOCK, max_blocks: int = 10_000, total: str | None = None,
+    rows_per_block: int = BLOCK, max_blocks: int = 10_000,
 ) -> DataFrame:
     """0-based row position inside `partition`, ordered by a unique numeric column."""
     points = _split_points(df, order, max_blocks, rows_per_block)
-    if points:
-        ranged = Bucketizer(splits=[float("-inf"), *points, float("inf")], inputCol="_order", outputCol="_block",
-                            ).transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
-    else:
-        ranged = df.withColumn("_block", F.lit(0.0))
+    whole = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
+    if not points:
+        # the whole table fits one block, so a plain window is bounded
+        return df.withColumn(name, (F.row_number().over(whole.orderBy(order)) - 1).cast("long"))
+    ranged = Bucketizer(
+        splits=[float("-inf"), *points, float("inf")], inputCol="_order", outputCol="_block",
+    ).transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
     keys = [*partition, "_block"]
     counts = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
-    across = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    before = counts.select(
-        *keys,
-        F.coalesce(
-            F.sum("_n").over(across.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        *([F.sum("_n").over(across).alias(total)] if total else []),
-    )
+    before = counts.select(*keys, F.coalesce(
+        F.sum("_n").over(whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
     return (
         ranged.withColumn("_rn", inside)

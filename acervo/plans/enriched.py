@@ -10,6 +10,7 @@ from acervo.operators import enrich as N
 from acervo.operators import entities as E
 from acervo.plans.clusters import LEADERS, THRESHOLD
 from acervo.plans.registry import query, sql_slug, table
+from acervo.session import cut_lineage
 
 DOCS_SQL = LEADERS.replace(
     "d AS (SELECT vec_id, vec_id % 30 AS day, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
@@ -90,8 +91,8 @@ def q51(spark, sf):
     # clusters over all documents with a vector; replies only decide which records are written
     assigned = G.leader_clusters(docs, "doc_id", "day", "doc_id", "embedding", THRESHOLD)
     ordered = docs.select("doc_id", "title", "day", (F.unix_date("day").cast("long") * 1_000_000_000_000 + F.col("doc_id")).alias("scan_order"))
-    named = G.name_clusters(assigned, ordered, "doc_id", "title", "day", "scan_order").select(
-        F.col("id").cast("long").alias("doc_id"), "cluster_id")
+    named = cut_lineage(G.name_clusters(assigned, ordered, "doc_id", "title", "day", "scan_order").select(
+        F.col("id").cast("long").alias("doc_id"), "cluster_id"))
     clustered = docs.drop("embedding").join(named, "doc_id")
     stats = G.cluster_stats(clustered.select("cluster_id", "source_id"), "cluster_id", "source_id")
     looked = K.lookup_source(G.with_cluster_stats(clustered, stats, "cluster_id", "source_id"),

@@ -45,6 +45,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition for CPU-bound Python work.
+
+    A fixed number of partitions: coalescing by size would put rows that are few
+    but expensive into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def ship_package() -> None:
     """Send this package's functions to executors by value, so workers need no install."""
     import acervo
