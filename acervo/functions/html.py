@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from acervo import params as P
+from acervo.session import widen
 
 LINK = T.StructType([
     T.StructField("pos", T.IntegerType()),
@@ -286,4 +287,4 @@ def read_pages(
                 result[output] = pd.Series([r[output] for r in rows], dtype="object")
             yield result
 
-    return pages.select(*needed).mapInPandas(batches, schema)
+    return widen(pages.select(*needed)).mapInPandas(batches, schema)

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from acervo import params as P
+from acervo.functions.text import let
 
 MONEY_PATTERN = (
     r"(?iuU)R\$\s*([\d.,]+)\s*"
@@ -14,12 +15,24 @@ MONEY_PATTERN = (
 
 
 def round_exact(value: Column, digits: int) -> Column:
-    """Half-even on the exact binary value, as the number formatter does.
+    """Half-even on the exact binary value.
 
     `bround` works on the shortest decimal text, where 0.4425 is a tie; the
-    double itself is not.
+    double itself lies off it. The distance to the tie is computed without
+    rounding error by splitting the value into two short halves.
     """
-    return F.replace(F.format_number(value, digits), F.lit(","), F.lit("")).cast("double")
+    scale = float(10 ** digits)
+
+    def rounded(x: Column) -> Column:
+        a = F.abs(x)
+        high = a * 134217729.0 - (a * 134217729.0 - a)
+        k = F.floor(a * scale).cast("double")
+        off = (high * (2 * scale) - (2 * k + 1)) + (a - high) * (2 * scale)
+        up = (off > 0) | ((off == 0) & (k % 2 == 1))
+        size = (k + F.when(up, 1.0).otherwise(0.0)) / scale
+        return F.when(x < 0, -size).otherwise(size)
+
+    return let(value.cast("double"), rounded)
 
 
 def _literal_map(table: dict) -> Column:

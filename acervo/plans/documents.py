@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from acervo.functions import text as X
 from acervo.operators import dedup, filters, ordered, reports
 from acervo.plans.registry import query, table
+from acervo.session import widen
 from acervo.sources.documents import last_days
 
 AS_OF_DAY = "2024-01-15"
@@ -111,7 +112,7 @@ SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, array_to_string(terms, ', ')
        '--- Página ' || page_no || ' (termos: ' || array_to_string(terms, ', ') || ') ---' || chr(10) || trim(line) AS block
 FROM m WHERE len(terms) > 0""")
 def q34(spark, sf):
-    pages = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).select(
+    pages = widen(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).select(
         "doc_id", (F.col("p") + 1).cast("long").alias("page_no"), "line")
     kept = filters.keyword_pages(pages, "line", GAZETTE)
     blocks = reports.page_blocks(kept, "doc_id", "page_no", "terms", "line")

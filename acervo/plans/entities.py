@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from acervo.operators import entities as E
 from acervo.plans.registry import query, table
+from acervo.session import widen
 
 # A small alias dictionary of words that occur in the test documents.
 ENTITIES = [
@@ -65,7 +66,7 @@ def q27(spark, sf):
 @query("q28_alias_scan", f"""
 WITH {_sql_index()}, {_sql_mentions('m', 'text')} SELECT doc_id, alias_norm, canonical_id, main_name, suspect FROM m""")
 def q28(spark, sf):
-    return E.scan_mentions(table(spark, sf, "documents"), E.alias_index(dictionary(spark)), "doc_id", "text")
+    return E.scan_mentions(widen(table(spark, sf, "documents").select("doc_id", "text")), E.alias_index(dictionary(spark)), "doc_id", "text")
 
 
 @query("q28_match_counts", f"""

@@ -8,6 +8,7 @@ from acervo import params as P
 from acervo.functions import dates as D
 from acervo.functions import score as S
 from acervo.plans.registry import query, sql_list, table
+from acervo.session import widen
 
 MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro"]
 
@@ -26,7 +27,7 @@ def q16(spark, sf):
     def text(fmt):
         return F.date_format(d, fmt)
 
-    rendered = table(spark, sf, "orders").select(
+    rendered = widen(table(spark, sf, "orders").select("o_orderkey", "o_orderdate")).select(
         "o_orderkey",
         F.concat(F.lit("x Publicado em: "), text("dd/MM/yyyy"), F.lit(" por y")).alias("br"),
         F.concat(day, F.lit("/"), text("MM/"), F.when(F.year(d) >= 2000, text("yy")).otherwise(text("yyyy"))).alias("loose"),

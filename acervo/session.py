@@ -54,6 +54,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Use every core for CPU-bound work on an input that scans as fewer partitions than cores.
+
+    A large input already has more, and then nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship_package() -> None:
     """Send this package's functions to executors by value, so workers need no install."""
     import acervo
