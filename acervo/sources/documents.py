@@ -16,10 +16,7 @@ _DAY = r"/(\d{4}-\d{2}-\d{2})/"
 def _whole_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """(stem, content) of every file with the suffix at any depth; no folder, no rows."""
     try:
-        files = (
-            spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", f"*{suffix}").text(folder)
-        )
+        files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
         files = files.select(
             F.regexp_replace(F.col("_metadata.file_path"), f"\\{suffix}$", "").alias("stem"), F.col("value"))
         files.schema  # resolves the path now
