@@ -21,7 +21,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """
     source, target, expanding = [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF:
+        if not unicodedata.decomposition(chr(code)):
             continue
         plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
         if len(plain) == 1:
@@ -128,7 +128,7 @@ def escape_html(value: Column, multiline: bool = False, quotes: bool = False) ->
 
 def cut_before(text: Column, title: Column) -> Column:
     """Text from the first occurrence of the title; the whole text if it is absent."""
-    at = F.locate_expr(title, text) if hasattr(F, "locate_expr") else F.instr(text, title)
+    at = F.instr(text, title)
     return F.trim(F.when(at > 0, F.substring(text, at, F.length(text))).otherwise(text))
 
 

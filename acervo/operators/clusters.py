@@ -23,6 +23,7 @@ from acervo.operators.ordered import first_k, with_position
 from acervo.session import cut_lineage, spread
 
 SLICE_ROWS = 4_000
+MAX_PIVOTS = 64
 HEADS_PER_DAY = 250
 DAYS_PER_BLOCK = 14
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
@@ -41,19 +42,61 @@ def _own(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, schema: str,
+def _pivots(df: DataFrame, threshold: float, slice_rows: int) -> np.ndarray | None:
+    """A few unit vectors to sort a crowded day by direction; none where days are small.
+
+    They only decide which slices can hold a pair, never the result.
+    """
+    busiest = df.groupBy("day").count().agg(F.max("count")).first()[0] or 0
+    n = min(MAX_PIVOTS, busiest // slice_rows)
+    if n < 2 or threshold <= 0:
+        return None
+    rows = df.select("embedding").orderBy(F.xxhash64("id")).limit(int(n)).collect()
+    return M.unit_rows([r["embedding"] for r in rows])
+
+
+def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
+    """Nearest pivot of each row and the angle to it."""
+    if pivots is None:
+        return df.withColumns({"cell": F.lit(0), "angle": F.lit(0.0)})
+
+    def nearest(parts):
+        for part in parts:
+            sims = M.unit_rows(part["embedding"]) @ pivots.T if len(part) else np.zeros((0, len(pivots)))
+            cell = sims.argmax(axis=1)
+            part["cell"] = cell.astype("int32")
+            part["angle"] = np.arccos(np.clip(sims[np.arange(len(part)), cell], -1.0, 1.0))
+            yield part
+
+    return df.mapInPandas(nearest, f"id string, day int, ord long, embedding {df.schema['embedding'].dataType.simpleString()}, cell int, angle double")
+
+
+def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, threshold: float,
           slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Every slice of `left` against every slice of `right` of its day and the days before it.
+    """Slices of `left` against the slices of `right` of the same day and the days before it.
 
-    Right rows must come earlier in (day, ord); `score(left_pdf, right_pdf)`
-    returns the rows of one block.
+    Crowded days are sliced by direction as well: two cells whose pivots lie
+    further apart than their radii and the threshold's angle allow never meet
+    (triangle inequality on angles, so no pair is lost).
     """
+    pivots = _pivots(left, threshold, slice_rows)
+    left, right = _with_cell(left, pivots), _with_cell(right, pivots)
     reach = right.withColumn("on_day", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)))
-    # slices per day of both sides: one row per calendar day, so small by nature
-    left_days = left.groupBy("day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("l_n"))
-    right_days = reach.groupBy("on_day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("r_n"))
-    grid = F.broadcast(left_days.join(right_days, F.col("day") == F.col("on_day")).select(F.col("day").alias("_d"), "l_n", "r_n"))
+
+    def sizes(df: DataFrame, day: str, side: str) -> DataFrame:
+        return df.groupBy(F.col(day).alias(f"{side}_d"), F.col("cell").alias(f"{side}_c")).agg(
+            F.ceil(F.count("*") / slice_rows).cast("int").alias(f"{side}_n"), F.max("angle").alias(f"{side}_a"))
+
+    grid = sizes(left, "day", "l").join(sizes(reach, "on_day", "r"), F.col("l_d") == F.col("r_d"))
+    if pivots is None:
+        # one row per calendar day, so small by nature
+        grid = F.broadcast(grid)
+    else:
+        apart = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0)).ravel()
+        table = F.array(*[F.lit(float(x)) for x in apart])
+        gap = F.get(table, F.col("l_c") * len(pivots) + F.col("r_c")) - F.col("l_a") - F.col("r_a")
+        grid = grid.filter(gap <= float(np.arccos(threshold)) + 1e-6)
 
     def slice_of(n: str) -> Column:
         return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
@@ -61,12 +104,14 @@ def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable,
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left_g = left.join(grid, F.col("day") == F.col("_d")).withColumn("ls", slice_of("l_n")).withColumn("rs", every("r_n"))
-    right_g = reach.join(grid, F.col("on_day") == F.col("_d")).withColumn("rs", slice_of("r_n")).withColumn("ls", every("l_n"))
-    left_g = _own(left_g.select(*left.columns, "_d", "ls", "rs"))
-    right_g = _own(right_g.select(*right.columns, "_d", "ls", "rs"))
-    keys = ["_d", "ls", "rs"]
-    return spread(left_g, *keys).groupBy(*keys).cogroup(spread(right_g, *keys).groupBy(*keys)).applyInPandas(score, schema)
+    left_g = left.join(grid, (F.col("day") == F.col("l_d")) & (F.col("cell") == F.col("l_c"))).withColumn(
+        "ls", slice_of("l_n")).withColumn("rs", every("r_n"))
+    right_g = reach.join(grid, (F.col("on_day") == F.col("r_d")) & (F.col("cell") == F.col("r_c"))).withColumn(
+        "rs", slice_of("r_n")).withColumn("ls", every("l_n"))
+    keys = ["l_d", "l_c", "r_c", "ls", "rs"]
+    left_g = spread(_own(left_g.select(*COLUMNS, *keys)), *keys)
+    right_g = spread(_own(right_g.select(*COLUMNS, *keys)), *keys)
+    return left_g.groupBy(*keys).cogroup(right_g.groupBy(*keys)).applyInPandas(score, PAIR)
 
 
 def _similarities(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +166,7 @@ def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
                   slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(hi, lo, sim): pairs at most `window_days` apart with cosine at or above the threshold."""
     rows = _prepared(docs, key, day, order, vector)
-    return _meet(rows, rows, window_days, _pairs(threshold), PAIR, slice_rows).select("hi", "lo", "sim")
+    return _meet(rows, rows, window_days, _pairs(threshold), threshold, slice_rows).select("hi", "lo", "sim")
 
 
 def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str,
@@ -152,10 +197,10 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
         rest = cut_lineage(undecided.join(judged.filter("status <> 'undecided'").select("id"), "id", "left_anti").select(*COLUMNS))
         if rest.isEmpty():
             break
-        near = _meet(rest, fresh, window_days, _best(threshold), PAIR, slice_rows).select(F.col("hi").alias("id"))
+        near = _meet(rest, fresh, window_days, _best(threshold), threshold, slice_rows).select(F.col("hi").alias("id"))
         undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*COLUMNS))
     others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
-    best = _meet(others, leaders, window_days, _best(threshold), PAIR, slice_rows).groupBy("hi").agg(
+    best = _meet(others, leaders, window_days, _best(threshold), threshold, slice_rows).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
     # callers join the assignment several times (names, sizes, members)
     return cut_lineage(best.select(F.col("hi").alias("id"), "leader_id").unionByName(
@@ -178,7 +223,7 @@ def _elect(undecided: DataFrame, threshold: float, window_days: int, heads_per_d
     ).filter("day > of").select("day").distinct().withColumn("held", F.lit(True))
     state = heads.select("id", "day", "ord", F.lit("undecided").alias("status")).join(F.broadcast(hidden), "day", "left").select(
         "id", "day", "ord", F.coalesce("held", F.lit(False)).alias("held"), "status")
-    edges = cut_lineage(_meet(heads, heads, window_days, _pairs(threshold), PAIR, slice_rows).select("hi", "lo"))
+    edges = cut_lineage(_meet(heads, heads, window_days, _pairs(threshold), threshold, slice_rows).select("hi", "lo"))
     while True:
         below = edges.join(state.select(F.col("id").alias("lo"), F.col("status").alias("lo_status")), "lo")
         block = F.floor(F.col("day") / DAYS_PER_BLOCK).alias("block")

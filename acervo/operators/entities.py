@@ -17,6 +17,8 @@ from acervo.session import spread
 # Most aliases that travel inside a plan or a task. A larger dictionary takes the
 # partitioned path of each operator, with the same result.
 MAX_INLINE_ALIASES = 5_000
+# Up to this many aliases each is searched in the text; beyond it only those whose first word occurs.
+DIRECT_ALIASES = 64
 
 
 def alias_index(entities: DataFrame) -> DataFrame:
@@ -163,7 +165,7 @@ def word_pattern(alias: str, legacy: bool = False) -> str:
 
 
 def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy: bool = False,
-                  limit: int | None = None) -> DataFrame:
+                  limit: int | None = None, direct: int = DIRECT_ALIASES) -> DataFrame:
     """(key, alias_norm, canonical_id, main_name, suspect) of every whole-word mention.
 
     Aliases of at most five characters count as suspect. The text stays in its
@@ -174,12 +176,16 @@ def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy
     inline = inline_aliases(index, limit)
     if inline is None:
         return _scan_by_token(folded, index, key, legacy)
+    if not inline:
+        return folded.limit(0).select(key, *[F.lit("").alias(c) for c in ("alias_norm", "canonical_id", "main_name")],
+                                      F.lit(False).alias("suspect"))
     aliases = F.array(*[
         F.struct(F.lit(a).alias("alias_norm"), F.lit(c).alias("canonical_id"), F.lit(m).alias("main_name"),
                  F.lit(word_pattern(a, legacy)).alias("pattern"))
         for a, c, m in inline
     ])
-    hits = F.filter(aliases, lambda a: F.when(
+    candidates = aliases if len(inline) <= direct else _by_first_word(aliases, [a for a, _, _ in inline])
+    hits = F.filter(candidates, lambda a: F.when(
         F.contains(F.col("_text"), a["alias_norm"]), F.regexp_like(F.col("_text"), a["pattern"])
     ).otherwise(F.lit(False)))
     # the outer form keeps the optimizer from evaluating the list a second time in an inferred filter
@@ -188,13 +194,28 @@ def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy
                         (F.length("h.alias_norm") <= P.SHORT_ALIAS_CHARS).alias("suspect"))
 
 
+def _by_first_word(aliases: Column, names: list[str]) -> Column:
+    """The aliases whose first word is a word of the text, and those without any word."""
+    places: dict[str, list[int]] = {}
+    for place, name in enumerate(names):
+        found = re.search(r"\w+", name)
+        places.setdefault(found.group() if found else "", []).append(place)
+    always = F.array(*[F.lit(i) for i in places.pop("", [])]).cast("array<int>")
+    by_word = F.create_map(*[x for w, at in places.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
+    present = F.array_intersect(F.split("_text", r"\W+"), F.array(*[F.lit(w) for w in places]))
+    chosen = F.concat(F.flatten(F.transform(present, lambda w: F.try_element_at(by_word, w))), always)
+    return F.transform(chosen, lambda i: F.get(aliases, i))
+
+
 def _scan_by_token(folded: DataFrame, index: DataFrame, key: str, legacy: bool) -> DataFrame:
     """Large dictionary: equi join on the first word of an alias, then the pattern on the text.
 
     Only words travel through the first join, distinct per document; the text is
     read again for the candidates alone.
     """
-    words = folded.select(key, F.explode(F.array_distinct(F.split("_text", r"\W+"))).alias("_word"))
+    # the empty word stands for aliases without any word; every document has it
+    spoken = F.array_distinct(F.concat(F.split("_text", r"\W+"), F.array(F.lit(""))))
+    words = folded.select(key, F.explode(spoken).alias("_word"))
     keyed = index.select(
         "alias_norm", "canonical_id", "main_name",
         F.regexp_extract("alias_norm", r"(\w+)", 1).alias("_word"),

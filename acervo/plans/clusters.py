@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from acervo.functions.html import read_pages
 from acervo.operators import clusters as G
-from acervo.operators.themes import macro_themes
+from acervo.operators.themes import MAX_FINE_CLUSTERS, centroids, macro_themes, nearest_centroid, unit_vectors
 from acervo.plans.registry import query, sql_slug, table
 
 # The test vectors hold no pair at 0.85, so the queries pass a lower threshold.
@@ -97,6 +98,31 @@ def q32(spark, sf):
     return G.title_clusters(read, "page_id", "day", "page_id", "title")
 
 
+UNIT_SQL = """
+u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS v
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+x AS (SELECT vec_id, label, unnest(v) AS val, generate_subscripts(v, 1) AS dim FROM u),
+c AS (SELECT label, dim, avg(val) AS mean, count(*) AS size FROM x GROUP BY 1, 2)"""
+
+
+@query("q33_centroids", f"WITH {UNIT_SQL} SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim, round(mean, 6) AS mean, size FROM c")
+def q33_centroids(spark, sf):
+    unit = unit_vectors(table(spark, sf, "embeddings"), "embedding")
+    means = centroids(unit, "label", "unit").select("label", "size", F.posexplode(vector_to_array("centroid")).alias("pos", "mean"))
+    return means.select(F.col("label").cast("long").alias("label"), (F.col("pos") + 1).cast("long").alias("dim"),
+                        F.round("mean", 6).alias("mean"), "size")
+
+
+@query("q33_nearest_centroid", f"""
+WITH {UNIT_SQL}, d AS (SELECT x.vec_id, c.label AS near, sum((x.val - c.mean) * (x.val - c.mean)) AS dist FROM x JOIN c USING (dim) GROUP BY 1, 2)
+SELECT vec_id, CAST(arg_min(near, dist) AS BIGINT) AS near FROM d GROUP BY 1""")
+def q33_nearest(spark, sf):
+    unit = unit_vectors(table(spark, sf, "embeddings"), "embedding")
+    # the labels of the table are few; their centroids travel as literals
+    centers = [(r["label"], list(r["centroid"].toArray())) for r in centroids(unit, "label", "unit").orderBy("label").limit(MAX_FINE_CLUSTERS).collect()]
+    return nearest_centroid(unit, "unit", centers, "near").select("vec_id", F.col("near").cast("long").alias("near"))
+
+
 @query("q33_macro_themes")
 def q33(spark, sf):
     return macro_themes(table(spark, sf, "embeddings"), "vec_id", "embedding")

@@ -237,8 +237,9 @@ def test_mentions_both_paths_equal_brute_force(spark, index):
     docs = spark.createDataFrame(texts, "id int, text string")
     for legacy in (False, True):
         want = brute_mentions(texts, index.collect(), legacy)
-        for limit in (100, 2):
-            got = entities.scan_mentions(docs, index, "id", "text", legacy, limit)
+        # literal list, literal list by first word, dictionary joined by first word
+        for limit, direct in ((100, 64), (100, 0), (2, 64)):
+            got = entities.scan_mentions(docs, index, "id", "text", legacy, limit, direct)
             assert rows(got, "id", "alias_norm", "suspect") == want
 
 
@@ -287,7 +288,7 @@ def sequential_leaders(docs, threshold, window):
     return out
 
 
-@pytest.mark.parametrize("seed,heads,slices", [(0, 250, 4000), (1, 3, 5), (2, 2, 4)])
+@pytest.mark.parametrize("seed,heads,slices", [(0, 250, 4000), (1, 3, 3), (2, 2, 2), (3, 250, 2)])
 def test_leaders_equal_sequential_scan(spark, seed, heads, slices):
     rng = np.random.default_rng(seed)
     centers = rng.normal(size=(4, 6))
@@ -316,6 +317,19 @@ def test_similarity_window_edges(spark):
     assert rows(got, "hi", "lo") == [("2", "1"), ("2", "5"), ("3", "2"), ("5", "1")]
 
 
+def test_directional_slices_lose_no_pair(spark):
+    rng = np.random.default_rng(11)
+    centers = np.eye(5)
+    vectors = [centers[i % 5] + rng.normal(scale=0.25, size=5) for i in range(120)]
+    df = spark.createDataFrame([(i, dt.date(2026, 1, 1) + dt.timedelta(days=i % 2), [float(x) for x in v]) for i, v in enumerate(vectors)],
+                               "id int, day date, v array<double>")
+    unit = [v / np.linalg.norm(v) for v in vectors]
+    want = sorted(tuple(sorted((i, j))) for i in range(120) for j in range(i) if unit[i] @ unit[j] >= 0.85)
+    for slices in (4000, 6):
+        got = G.similar_pairs(df, "id", "day", "id", "v", 0.85, 1, slices)
+        assert sorted(tuple(sorted((int(r["hi"]), int(r["lo"])))) for r in got.collect()) == want
+
+
 def sequential_titles(docs, threshold):
     from difflib import SequenceMatcher
     leaders, out = {}, {}
