@@ -56,15 +56,25 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - bin(row).count("1")
 
 
-def token_set_ratio(a: str, b: str) -> float:
+def name_tokens(name: str) -> tuple[frozenset[str], int]:
+    """Distinct tokens and the length of the distinct tokens joined by blanks."""
+    tokens = frozenset(name.split())
+    return tokens, sum(map(len, tokens)) + max(0, len(tokens) - 1)
+
+
+def tokens_ratio(a: tuple[frozenset[str], int], b: tuple[frozenset[str], int], at_least: float = 0.0) -> float:
     """0..100: shared tokens against shared plus remaining tokens, best of three.
 
-    Two names where one holds all tokens of the other score 100.
+    Two names where one holds all tokens of the other score 100. A pair that
+    cannot reach `at_least` may get 0 without being compared.
     """
-    left, right = set(a.split()), set(b.split())
+    (left, len_left), (right, len_right) = a, b
     if not left or not right:
         return 0.0
-    shared = " ".join(sorted(left & right))
+    common = left & right
+    if not common and 200.0 * min(len_left, len_right) < at_least * (len_left + len_right):
+        return 0.0
+    shared = " ".join(sorted(common))
     rest_a, rest_b = " ".join(sorted(left - right)), " ".join(sorted(right - left))
     if shared and (not rest_a or not rest_b):
         return 100.0
@@ -79,3 +89,7 @@ def token_set_ratio(a: str, b: str) -> float:
     if shared:
         best = max(best, score(gap + len(rest_a), len(shared) + len_a), score(gap + len(rest_b), len(shared) + len_b))
     return best
+
+
+def token_set_ratio(a: str, b: str) -> float:
+    return tokens_ratio(name_tokens(a), name_tokens(b))

@@ -72,14 +72,13 @@ def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
 
 
 def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, threshold: float,
-          slice_rows: int = SLICE_ROWS) -> DataFrame:
+          slice_rows: int = SLICE_ROWS, pivots: np.ndarray | None = None) -> DataFrame:
     """Slices of `left` against the slices of `right` of the same day and the days before it.
 
     Crowded days are sliced by direction as well: two cells whose pivots lie
     further apart than their radii and the threshold's angle allow never meet
     (triangle inequality on angles, so no pair is lost).
     """
-    pivots = _pivots(left, threshold, slice_rows)
     left, right = _with_cell(left, pivots), _with_cell(right, pivots)
     reach = right.withColumn("on_day", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)))
@@ -166,7 +165,8 @@ def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
                   slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(hi, lo, sim): pairs at most `window_days` apart with cosine at or above the threshold."""
     rows = _prepared(docs, key, day, order, vector)
-    return _meet(rows, rows, window_days, _pairs(threshold), threshold, slice_rows).select("hi", "lo", "sim")
+    pivots = _pivots(rows, threshold, slice_rows)
+    return _meet(rows, rows, window_days, _pairs(threshold), threshold, slice_rows, pivots).select("hi", "lo", "sim")
 
 
 def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str,
@@ -190,6 +190,7 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     # a zero vector is similar to nothing, so each such document leads itself
     leaders = rows.filter(zero).select(*COLUMNS) if threshold > 0 else rows.limit(0)
     undecided = cut_lineage(distinct)
+    pivots = _pivots(undecided, threshold, slice_rows)
     while not undecided.isEmpty():
         judged = _elect(undecided, threshold, window_days, heads_per_day, slice_rows)
         fresh = undecided.join(judged.filter("status = 'leader'").select("id"), "id", "left_semi").select(*COLUMNS)
@@ -197,10 +198,10 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
         rest = cut_lineage(undecided.join(judged.filter("status <> 'undecided'").select("id"), "id", "left_anti").select(*COLUMNS))
         if rest.isEmpty():
             break
-        near = _meet(rest, fresh, window_days, _best(threshold), threshold, slice_rows).select(F.col("hi").alias("id"))
+        near = _meet(rest, fresh, window_days, _best(threshold), threshold, slice_rows, pivots).select(F.col("hi").alias("id"))
         undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*COLUMNS))
     others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
-    best = _meet(others, leaders, window_days, _best(threshold), threshold, slice_rows).groupBy("hi").agg(
+    best = _meet(others, leaders, window_days, _best(threshold), threshold, slice_rows, pivots).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
     # callers join the assignment several times (names, sizes, members)
     return cut_lineage(best.select(F.col("hi").alias("id"), "leader_id").unionByName(

@@ -17,6 +17,7 @@ from acervo.session import spread
 # Most aliases that travel inside a plan or a task. A larger dictionary takes the
 # partitioned path of each operator, with the same result.
 MAX_INLINE_ALIASES = 5_000
+MATCH = "alias_norm string, canonical_id string, score double"
 # Up to this many aliases each is searched in the text; beyond it only those whose first word occurs.
 DIRECT_ALIASES = 64
 
@@ -56,15 +57,19 @@ def inline_aliases(index: DataFrame, limit: int | None = None) -> list[tuple] |
     return [tuple(r)[:3] for r in sorted(rows, key=lambda r: tuple(r["pos"]))]
 
 
-def best_alias(name: str, aliases: list[tuple[str, str]]) -> tuple[str | None, float]:
-    best, best_score = None, -1.0
-    for alias, canonical in aliases:
-        score = M.token_set_ratio(name, alias)
+def best_alias(name: str, aliases: list[tuple], at_least: float) -> tuple | None:
+    """(score, alias row) of the nearest alias, the first among equals; None below `at_least`.
+
+    An alias row starts with its tokens.
+    """
+    tokens, best, best_score = M.name_tokens(name), None, -1.0
+    for row in aliases:
+        score = M.tokens_ratio(tokens, row[0], at_least)
         if score > best_score:
-            best, best_score = canonical, score
+            best, best_score = row, score
             if score >= 100.0:
                 break
-    return best, best_score
+    return None if best is None or best_score < at_least else (best_score, best)
 
 
 def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_RATIO,
@@ -76,22 +81,20 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
     distinct = names.select("alias_norm").distinct()
     usable = index.filter(F.size(F.split("alias_norm", r"\s+")) >= min_alias_tokens)
     inline = inline_aliases(usable, limit)
-    schema = "alias_norm string, canonical_id string, score double, place int"
-    if inline is not None:
-        aliases = [(a, c) for a, c, _ in inline]
+    floor = threshold * 100
+    if inline is None:
+        return _match_in_slices(distinct, usable, floor, limit or MAX_INLINE_ALIASES)
+    aliases = [(M.name_tokens(a), c) for a, c, _ in inline]
 
-        def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                rows = [(n, *best_alias(n, aliases), 0) for n in part["alias_norm"]]
-                yield pd.DataFrame(rows, columns=["alias_norm", "canonical_id", "score", "place"])
+    def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [(n, best_alias(n, aliases, floor)) for n in part["alias_norm"]]
+            yield pd.DataFrame([(n, b[1][1], b[0]) for n, b in found if b], columns=["alias_norm", "canonical_id", "score"])
 
-        scored = spread(distinct, "alias_norm").mapInPandas(nearest, schema)
-    else:
-        scored = _match_in_slices(distinct, usable, schema, limit or MAX_INLINE_ALIASES)
-    return scored.filter(F.col("score") >= threshold * 100).drop("place")
+    return spread(distinct, "alias_norm").mapInPandas(nearest, MATCH)
 
 
-def _match_in_slices(distinct: DataFrame, index: DataFrame, schema: str, limit: int) -> DataFrame:
+def _match_in_slices(distinct: DataFrame, index: DataFrame, floor: float, limit: int) -> DataFrame:
     """The same argmax with the dictionary cut into slices that fit a task.
 
     Each (slice of names, slice of aliases) is scored by itself and hands on one
@@ -108,26 +111,15 @@ def _match_in_slices(distinct: DataFrame, index: DataFrame, schema: str, limit:
 
     def score(names: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["e", "a"])
-        aliases = list(zip(part["alias_norm"], part["canonical_id"]))
-        places = {alias: (e, a) for alias, e, a in zip(part["alias_norm"], part["e"], part["a"])}
-        rows = []
-        for name in names["alias_norm"]:
-            best, at = None, -1.0
-            for alias, canonical in aliases:
-                ratio = M.token_set_ratio(name, alias)
-                if ratio > at:
-                    best, at = (alias, canonical), ratio
-            if best:
-                rows.append((name, best[1], at, *map(int, places[best[0]])))
-        return pd.DataFrame(rows, columns=["alias_norm", "canonical_id", "score", "e", "a"])
+        aliases = [(M.name_tokens(r.alias_norm), r.canonical_id, r.e, r.a) for r in part.itertuples()]
+        found = [(n, best_alias(n, aliases, floor)) for n in names["alias_norm"]]
+        return pd.DataFrame([(n, b[1][1], b[0], b[1][2], b[1][3]) for n, b in found if b],
+                            columns=["alias_norm", "canonical_id", "score", "e", "a"])
 
     pieces = spread(left, "ns", "s").groupBy("ns", "s").cogroup(spread(right, "ns", "s").groupBy("ns", "s")).applyInPandas(
-        score, "alias_norm string, canonical_id string, score double, e long, a long")
-    best = F.struct("score", -F.col("e"), -F.col("a"))
+        score, MATCH + ", e long, a long")
     return pieces.groupBy("alias_norm").agg(
-        F.max_by("canonical_id", best).alias("canonical_id"), F.max("score").alias("score"),
-        F.lit(0).alias("place"),
-    ).select("alias_norm", "canonical_id", "score", "place")
+        F.max_by("canonical_id", F.struct("score", -F.col("e"), -F.col("a"))).alias("canonical_id"), F.max("score").alias("score"))
 
 
 def resolve(names: DataFrame, index: DataFrame, name: str = "name", threshold: float = P.FUZZY_RATIO,
