@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acervo import params as P
 from acervo.functions import replies as R
 from acervo.operators.ordered import with_position
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo import params as P
 from acervo.functions import score as S
 from acervo.functions import text as X
 from acervo.operators import catalogue as K
@@ -17,8 +16,8 @@ STATUS_SQL = """CASE WHEN contains(lower(coalesce({0}, '')), 'validada em produ
 
 @query("q06_status_merge", rf"""
 WITH s AS (SELECT DISTINCT source AS source_id, lang AS name, 'Não iniciada' AS status FROM documents),
-r AS (SELECT 'src' || (user_id % 40) AS source_id, event_type <> 'error' AS ok, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS docs,
-  CASE WHEN event_type = 'error' THEN 'it''s ' || event_id END AS error, ts, event_id, row_number() OVER (PARTITION BY user_id % 40 ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE user_id % 40 <> 3),
+r AS (SELECT 'src' || (user_id % 40 + 1) AS source_id, event_type <> 'error' AS ok, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS docs,
+  CASE WHEN event_type = 'error' THEN 'it''s ' || event_id END AS error, ts, event_id, row_number() OVER (PARTITION BY user_id % 40 ORDER BY ts DESC, event_id DESC) AS rn FROM events),
 m AS (SELECT s.source_id, s.name, CASE WHEN r.ok IS NULL THEN s.status WHEN r.ok THEN 'Coberta e validada em produção' ELSE 'Erro' END AS status,
   strftime(r.ts, '%Y-%m-%d %H:%M:%S') AS last_run, r.docs AS docs_captured, CASE WHEN NOT r.ok THEN r.error END AS last_error FROM s LEFT JOIN r ON r.source_id = s.source_id AND rn = 1)
 SELECT *, {STATUS_SQL.format('status')} AS badge FROM m""")
@@ -26,8 +25,8 @@ def q06(spark, sf):
     sources = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.col("lang").alias("name")).distinct().select(
         "source_id", "name", F.lit("Não iniciada").alias("status"), F.lit(None).cast("timestamp_ntz").alias("last_run"),
         F.lit(None).cast("long").alias("docs_captured"), F.lit(None).cast("string").alias("last_error"))
-    runs = table(spark, sf, "events").filter("user_id % 40 <> 3").select(
-        F.concat(F.lit("src"), (F.col("user_id") % 40).cast("string")).alias("source_id"),
+    runs = table(spark, sf, "events").select(
+        F.concat(F.lit("src"), (F.col("user_id") % 40 + 1).cast("string")).alias("source_id"),
         (F.col("event_type") != "error").alias("ok"), F.get_json_object("props", "$.k").cast("long").alias("docs"),
         F.when(F.col("event_type") == "error", F.concat(F.lit("it's "), F.col("event_id").cast("string"))).alias("error"),
         F.col("ts").alias("run_at"), "event_id")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo import params as P
 from acervo.functions import replies as R
 from acervo.operators import capture as C
 from acervo.operators import feeds, filters, ordered

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from acervo import params as P
-from acervo.functions import score as S
 from acervo.operators import filters, reports
 from acervo.plans.catalogue import IMPORTANCE_SQL, STATUS_SQL, _importance
 from acervo.plans.registry import query, table

@@ -46,8 +46,8 @@ def q50_fresh(spark, sf):
 
 @query("q50_stream_status", r"""
 WITH s AS (SELECT DISTINCT source AS source_id FROM documents),
-r AS (SELECT 'src' || user_id % 40 AS source_id, event_type <> 'error' AS ok, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS docs,
-  row_number() OVER (PARTITION BY user_id % 40 ORDER BY ts DESC) AS rn FROM events WHERE user_id % 40 <> 3)
+r AS (SELECT 'src' || (user_id % 40 + 1) AS source_id, event_type <> 'error' AS ok, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS docs,
+  row_number() OVER (PARTITION BY user_id % 40 ORDER BY ts DESC) AS rn FROM events)
 SELECT s.source_id, CASE WHEN ok IS NULL THEN 'Não iniciada' WHEN ok THEN 'Coberta e validada em produção' ELSE 'Erro' END AS status, docs AS docs_captured
 FROM s LEFT JOIN r ON r.source_id = s.source_id AND rn = 1""")
 def q50_status(spark, sf):
@@ -56,8 +56,8 @@ def q50_status(spark, sf):
         "source_id", F.lit("Não iniciada").alias("status"), F.lit(None).cast("timestamp_ntz").alias("last_run"),
         F.lit(None).cast("long").alias("docs_captured"), F.lit(None).cast("string").alias("last_error"))
     ST.replace_table(sources, f"{out}/catalogue")
-    runs = _stream(spark, sf).filter("user_id % 40 <> 3").select(
-        F.concat(F.lit("src"), (F.col("user_id") % 40).cast("string")).alias("source_id"), (F.col("event_type") != "error").alias("ok"),
+    runs = _stream(spark, sf).select(
+        F.concat(F.lit("src"), (F.col("user_id") % 40 + 1).cast("string")).alias("source_id"), (F.col("event_type") != "error").alias("ok"),
         F.get_json_object("props", "$.k").cast("long").alias("docs"), F.lit(None).cast("string").alias("error"), F.col("ts").alias("run_at"))
     I.each_batch(runs, I.status_sink(f"{out}/catalogue"), f"{out}/checkpoint")
     return ST.read_table(spark, f"{out}/catalogue").select("source_id", "status", "docs_captured")
