@@ -12,7 +12,7 @@ from acervo.functions import text as X
 from acervo.functions import urls as U
 from acervo.functions.html import read_pages
 from acervo.operators import filters
-from acervo.operators.dedup import extend_manifest, first_wins, new_items
+from acervo.operators.dedup import extend_manifest, first_wins, new_wide_items
 from acervo.operators.ordered import carry_backward, carry_forward
 
 # One row per source. Null or empty means the rule does not apply.
@@ -54,12 +54,23 @@ def parse_by_format(text: Column, fmt: Column) -> Column:
 
 
 def page_links(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per navigable link of a page, first occurrence per URL, in document order."""
-    read = read_pages(pages, keys, ["links"])
-    rows = read.select(*keys, F.explode("links").alias("l")).select(
+    """One row per navigable link of a page, first occurrence per URL, in document order.
+
+    A page is one row, so its links are made distinct inside the row, without a shuffle.
+    """
+    usable = X.let(
+        F.filter("links", lambda x: U.is_navigable(x["href"])),
+        lambda found: X.let(F.transform(found, lambda x: x["url"]), lambda seen: F.filter(
+            found, lambda x, i: F.array_position(seen, x["url"]) == i + 1)))
+    read = read_pages(pages, keys, ["links"]).select(*keys, F.explode_outer(usable).alias("l")).filter("l is not null")
+    return read.select(
         *keys, F.col("l.pos").alias("pos"), F.col("l.text").alias("anchor_text"),
         F.col("l.href").alias("href"), F.col("l.url").alias("link_url"), F.col("l.heading").alias("heading"))
-    return first_wins(rows.filter(U.is_navigable(F.col("href"))), [*keys, "link_url"], [F.col("pos")])
+
+
+def fragment_text(df: DataFrame, keys: list[str], html: str, drop: list[str] | None = None) -> DataFrame:
+    """Text of an HTML fragment, whole; `drop` names elements to leave out."""
+    return read_pages(df, keys, ["text"], html_col=html, base_col=None, article_mode="never", selectors=[], junk=drop or [])
 
 
 def links_by_rule(links: DataFrame, rules: DataFrame) -> DataFrame:
@@ -114,12 +125,9 @@ def following_date(nodes: DataFrame, partition: list[str], position: str, text:
 
 def resolve_files(items: DataFrame, item_url: str, detail_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Second hop: item -> its detail page -> first PDF link. Also the items without a file."""
-    files = first_wins(
-        read_pages(detail_pages, ["url"], ["links"])
-        .select("url", F.explode("links").alias("l"))
-        .filter(U.is_pdf(F.col("l.href")))
-        .select(F.col("url").alias(item_url), F.col("l.pos").alias("_pos"), F.col("l.url").alias("file_url")),
-        [item_url], [F.col("_pos")]).drop("_pos")
+    first_file = F.get(F.filter("links", lambda x: U.is_pdf(x["href"])), F.lit(0))["url"]
+    read = read_pages(detail_pages, ["url"], ["links"]).select(F.col("url").alias(item_url), first_file.alias("file_url"))
+    files = first_wins(read.filter("file_url is not null"), [item_url], [F.col("file_url")])
     return items.join(files, item_url), items.join(files, item_url, "left_anti")
 
 
@@ -144,7 +152,7 @@ def capture_documents(pages: DataFrame, manifest: DataFrame, rules: DataFrame, a
     for name in ("listing_title", "listing_date"):
         if name not in pages.columns:
             pages = pages.withColumn(name, F.lit(None).cast("string"))
-    fresh = new_items(pages.withColumn("key", F.col("url")), manifest, ["source_id", "key"])
+    fresh = new_wide_items(pages.withColumn("key", F.col("url")), manifest, ["source_id", "key"])
     keys = ["source_id", "url", "key", "listing_title", "listing_date"]
     read = read_pages(fresh, keys, ["text", "h1s", "page_title"])
     ruled = read.join(rules.select(

@@ -29,9 +29,12 @@ def last_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def first_wins_keep_null(df: DataFrame, key: str, partition: list[str], order: list[Column]) -> DataFrame:
-    """First-wins on `key`, rows without a key all kept."""
-    keyed = first_wins(df.filter(F.col(key).isNotNull()), [*partition, key], order)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    """First-wins on `key`, rows without a key all kept; one pass over the input.
+
+    A row without a key is its own group, told apart by its order.
+    """
+    slotted = df.withColumn("_slot", F.when(F.col(key).isNull(), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])))
+    return first_wins(slotted, [*partition, key, "_slot"], order).drop("_slot")
 
 
 def new_items(items: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,6 +42,15 @@ def new_items(items: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFra
     return items.join(manifest.select(*keys).distinct(), keys, "left_anti")
 
 
+def new_wide_items(items: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for rows with a large payload.
+
+    The manifest, which only grows, meets the keys alone; the payload is then
+    filtered by the new keys, few enough in a daily run to be broadcast.
+    """
+    return items.join(new_items(items.select(*keys).distinct(), manifest, keys), keys, "left_semi")
+
+
 def extend_manifest(manifest: DataFrame, accepted: DataFrame, keys: list[str]) -> DataFrame:
     """Seen keys after a run, each once."""
     return manifest.select(*keys).unionByName(accepted.select(*keys)).distinct()

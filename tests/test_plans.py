@@ -30,6 +30,11 @@ def test_first_wins_combines_before_the_shuffle(spark):
     assert "Window" not in text and text.count("partial_min") >= 1
 
 
+def test_links_of_a_page_are_distinct_without_a_shuffle(spark):
+    text = plan(entry.queries()["q09_links"](spark, SF_DIR))
+    assert text.count("Exchange (") <= text.count("RoundRobinPartitioning") + 1 and "hashpartitioning" not in text
+
+
 def test_top_k_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(entry.queries()["q40_newest_per_source"](spark, SF_DIR))
 
