@@ -57,7 +57,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 _RAW = {"script", "style"}
-_STEP = re.compile(r"([#.]?)([\w-]+)|\[([\w-]+)\]")
+_STEP = re.compile(r"""([#.]?)([\w-]+)|\[([\w-]+)(?:(\^?=)["']?([^"'\]]*)["']?)?\]""")
 
 
 class Page:
@@ -119,26 +119,32 @@ class Page:
         return element["attrs"]
 
     def find(self, selector: str, inside: dict | None = None, with_junk: bool = True) -> list[dict]:
-        """Elements matching a selector of tags, ids, classes, attributes and descent."""
-        steps = [_STEP.findall(s) for s in selector.split()]
+        """Elements matching a selector of tags, ids, classes, attributes, descent and `>`."""
+        words = selector.split()
+        # (step, must be the direct parent of the step after it)
+        steps = [(_STEP.findall(w), words[i + 1:i + 2] == [">"]) for i, w in enumerate(words) if w != ">"]
         found = []
         for element in self.elements:
-            if (with_junk or not element["junk"]) and self._matches(element, steps[-1]):
+            if (with_junk or not element["junk"]) and self._matches(element, steps[-1][0]):
                 above, left = element["parent"], steps[:-1]
                 reached = inside is None
                 while above is not None and (left or not reached):
                     reached = reached or above is inside
-                    if left and self._matches(above, left[-1]):
+                    if left and self._matches(above, left[-1][0]):
                         left = left[:-1]
+                    elif left and left[-1][1]:
+                        break
                     above = above["parent"]
                 if reached and not left:
                     found.append(element)
         return found
 
-    def _matches(self, element: dict, step: list[tuple[str, str, str]]) -> bool:
-        for kind, name, attribute in step:
+    def _matches(self, element: dict, step: list[tuple[str, str, str, str, str]]) -> bool:
+        for kind, name, attribute, test, wanted in step:
             if attribute:
-                ok = attribute in self.attrs(element)
+                value = self.attrs(element).get(attribute)
+                ok = value is not None and (
+                    not test or value == wanted or (test == "^=" and value.startswith(wanted)))
             elif kind == "#":
                 ok = self.attrs(element).get("id") == name
             elif kind == ".":

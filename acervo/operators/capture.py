@@ -34,6 +34,7 @@ RULE = T.StructType([
     T.StructField("date_format", T.StringType()),
     T.StructField("title_mode", T.StringType()),
     T.StructField("page_date_label", T.StringType()),
+    T.StructField("page_date_format", T.StringType()),
     T.StructField("requires_date", T.BooleanType()),
 ])
 
@@ -108,7 +109,9 @@ def card_items(pages: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame
         F.col("c.url").alias("item_url"), F.col("c.summary").alias("summary"),
         F.coalesce(D.iso_slice(F.col("c.date_attr")), parse_by_format(F.col("c.date_text"), F.col("date_format"))
                    ).alias("published_at"))
-    return first_wins(rows, ["source_id", "item_url"], [F.col(k) for k in keys] + [F.col("pos")])
+    kept = rows.join(rules.select("source_id", "exclude"), "source_id").filter(
+        F.col("exclude").isNull() | ~F.exists("exclude", lambda e: F.col("item_url").contains(e))).drop("exclude")
+    return first_wins(kept, ["source_id", "item_url"], [F.col(k) for k in keys] + [F.col("pos")])
 
 
 def dated_stream(nodes: DataFrame, partition: list[str], position: str, heading: Column,
@@ -156,9 +159,9 @@ def capture_documents(pages: DataFrame, manifest: DataFrame, rules: DataFrame, a
     keys = ["source_id", "url", "key", "listing_title", "listing_date"]
     read = read_pages(fresh, keys, ["text", "h1s", "page_title"])
     ruled = read.join(rules.select(
-        "source_id", "sector", "title_mode", "page_date_label", "date_format", "requires_date"), "source_id", "left")
+        "source_id", "sector", "title_mode", "page_date_label", "page_date_format", "date_format", "requires_date"), "source_id", "left")
     labelled = F.expr("regexp_extract(text, concat(page_date_label, '\\\\s*:?\\\\s*([^\\\\n]{1,40})'), 1)")
-    page_date = F.when(F.col("page_date_label") != "", parse_by_format(labelled, F.col("date_format")))
+    page_date = F.when(F.col("page_date_label") != "", parse_by_format(labelled, F.coalesce("page_date_format", "date_format")))
     dated = ruled.withColumns({
         "title": pick_title(F.col("h1s"), F.col("page_title"), F.col("listing_title"), U.domain_or_unknown(F.col("url")),
                             F.coalesce("title_mode", F.lit("h1"))),
