@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9(spark, sf_dir):
     from acervo.llm.bpe import encoded, vocabulary_path
     return encoded(table(spark, sf_dir, "documents"), vocabulary_path(spark))
+
+
+@query("op8_decontamination")
+def op8(spark, sf_dir):
+    from acervo.llm.decontamination import benchmark_spans, span_length
+    found = benchmark_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", span_length().alias("n_hit"),
+                        F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"))
