@@ -174,7 +174,7 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
     def run(batches) -> Iterator[dict[str, list]]:
         codec = None
         for batch in batches:
-            codec = codec or worker_store(("bpe", vocabulary), lambda: Codec(vocabulary))
+            codec = codec or worker_store("bpe", vocabulary, lambda: Codec(vocabulary))
             out: dict[str, list] = {f"_k{i}": batch.column(i).to_pylist() for i in range(len(keep))}
             rows = []
             for text in batch.column(len(keep)).to_pylist():

@@ -45,8 +45,8 @@ def utf8(column: str = "text") -> Column:
 def arrow_pass(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]], schema: str,
                rows: int = 256) -> DataFrame:
     """Run fn over column lists of a few hundred rows at a time; fn sees one partition's iterator."""
-    names = [part.strip().split()[0] for part in schema.split(",")]
     types = arrow_schema(df.sparkSession, schema)
+    names = types.names
 
     def run(batches):
         def chunks():
@@ -59,12 +59,15 @@ def arrow_pass(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator
     return df.mapInArrow(run, schema)
 
 
-def worker_store(key, make: Callable):
-    """One object per Python worker, kept for its later tasks; it must only hold what any task could make again."""
+def worker_store(kind: str, version: str, make: Callable):
+    """One object of a kind per Python worker, kept for its later tasks and replaced when the version changes.
+
+    It must only hold what any task could make again.
+    """
     store = sys.modules.setdefault("acervo_worker_store", types.ModuleType("acervo_worker_store")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    if kind not in store or store[kind][0] != version:
+        store[kind] = (version, make())
+    return store[kind][1]
 
 
 def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:

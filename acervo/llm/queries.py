@@ -38,3 +38,40 @@ def op8(spark, sf_dir):
                         F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op1_sharding")
+def op1(spark, sf_dir):
+    from acervo.llm.sharding import interleaved
+    dealt = interleaved(table(spark, sf_dir, "documents"))
+    return dealt.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op4_nearest", OP4_SQL)
+def op4(spark, sf_dir):
+    from acervo.llm.neighbours import nearest
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op5_language")
+def op5(spark, sf_dir):
+    from acervo.llm.language import fit, identified, remainder, vocabulary_path
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(remainder() != 1), vocabulary_path(spark))
+    found = identified(docs, model)
+    return found.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
