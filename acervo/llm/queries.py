@@ -75,3 +75,10 @@ def op5(spark, sf_dir):
     model = fit(docs.where(remainder() != 1), vocabulary_path(spark))
     found = identified(docs, model)
     return found.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_warc")
+def op6(spark, sf_dir):
+    from acervo.llm.archives import converted
+    return converted(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
