@@ -82,3 +82,15 @@ def op6(spark, sf_dir):
     from acervo.llm.archives import converted
     return converted(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_secrets")
+def op3(spark, sf_dir):
+    from acervo.llm.bpe import vocabulary_path
+    from acervo.llm.secrets import scanned, trained
+    docs = table(spark, sf_dir, "documents")
+    forest, dictionary = trained(spark, docs, vocabulary_path(spark))
+    found = scanned(docs, forest, dictionary)
+    return found.select("doc_id", F.size("findings").cast("bigint").alias("n_candidates"),
+                        F.filter("findings", lambda f: f["secret"]).alias("secrets"),
+                        F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256).alias("redacted_sha256"))
