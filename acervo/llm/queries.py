@@ -94,3 +94,9 @@ def op3(spark, sf_dir):
     return found.select("doc_id", F.size("findings").cast("bigint").alias("n_candidates"),
                         F.filter("findings", lambda f: f["secret"]).alias("secrets"),
                         F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256).alias("redacted_sha256"))
+
+
+@query("op2_neardup")
+def op2(spark, sf_dir):
+    from acervo.llm.neardup import classes
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
