@@ -100,3 +100,9 @@ def op3(spark, sf_dir):
 def op2(spark, sf_dir):
     from acervo.llm.neardup import classes
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query("op7_substrings")
+def op7(spark, sf_dir):
+    from acervo.llm.substrings import deduplicated
+    return deduplicated(table(spark, sf_dir, "documents"))
