@@ -160,7 +160,8 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
             ids: bool = False) -> DataFrame:
     """Encode every whole text and decode it again.
 
-    Columns: those of `keep`, n_tokens, ids_sha256, decoded_sha256, and with `ids` also token_ids and decoded.
+    Columns: those of `keep`, n_tokens, ids_sha256, decoded_sha256, and with `ids` also token_ids (the ids as
+    little-endian unsigned 32-bit integers).
     A null text is encoded as the empty text. Rows that repeat give rows that repeat; a table without rows gives none.
     Columns of the input that are not in `keep` play no part, whatever their names. A very long run without a split
     costs n log n. `vocabulary` is the path of the file on every executor.
@@ -169,7 +170,7 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
     types = dict(docs.dtypes)
     schema = ", ".join([f"_k{i} {types[c]}" for i, c in enumerate(keep)]
                        + ["n_tokens bigint, ids_sha256 string, decoded_sha256 string"]
-                       + (["token_ids binary, decoded string"] if ids else []))
+                       + (["token_ids binary"] if ids else []))
 
     def run(batches) -> Iterator[dict[str, list]]:
         codec = None
@@ -181,8 +182,8 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
                 raw = codec.encode(text or "")
                 back = codec.decode(np.frombuffer(raw, "<u4").tolist())
                 row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
-                rows.append((*row, raw, back) if ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids", "decoded"] if ids else [])]
+                rows.append((*row, raw) if ids else row)
+            names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if ids else [])]
             out |= {n: [r[i] for r in rows] for i, n in enumerate(names)}
             yield out
 
@@ -191,6 +192,24 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
                         *[c for c in found.columns if not c.startswith("_k")])
 
 
+def decoded(tokens: DataFrame, vocabulary: str, column: str = "token_ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Texts of packed token ids: the columns of `keep` and text. Null ids give a null text; an id beyond the vocabulary
+    is an error."""
+    types = dict(tokens.dtypes)
+    schema = ", ".join([f"_k{i} {types[c]}" for i, c in enumerate(keep)] + ["text string"])
+
+    def run(batches) -> Iterator[dict[str, list]]:
+        codec = None
+        for batch in batches:
+            codec = codec or worker_store("bpe", vocabulary, lambda: Codec(vocabulary))
+            yield {f"_k{i}": batch.column(i).to_pylist() for i in range(len(keep))} | {"text": [
+                None if raw is None else codec.decode(np.frombuffer(raw, "<u4").tolist())
+                for raw in batch.column(len(keep)).to_pylist()]}
+
+    found = arrow_pass(tokens.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], column), run, schema)
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "text")
+
+
 def vocabulary_path(spark: SparkSession) -> str:
     """The published vocabulary file: the session's setting, else the installed package's."""
     chosen = spark.conf.get("spark.acervo.vocabulary", None)

@@ -106,3 +106,15 @@ def op2(spark, sf_dir):
 def op7(spark, sf_dir):
     from acervo.llm.substrings import deduplicated
     return deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffixes")
+def op10(spark, sf_dir):
+    from acervo.llm.suffixes import deduplicated
+    return deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

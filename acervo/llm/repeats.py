@@ -39,6 +39,9 @@ class Units:
     def seeds(self, seed: int) -> np.ndarray:
         return _UNITS.grams(self.sums, seed)
 
+    def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return _UNITS.ranges(self.sums, starts, ends)
+
     def kept(self, spans: list[tuple[int, int]]) -> bytes:
         """What is left without the spans: words joined by one blank, or bytes."""
         if self.unit == "byte":
