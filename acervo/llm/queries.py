@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acervo.llm import oracles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,7 +32,7 @@ def op9(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), vocabulary_path(spark))
 
 
-@query("op8_decontamination")
+@query("op8_decontamination", oracles.OP8)
 def op8(spark, sf_dir):
     from acervo.llm.decontamination import benchmark_spans, span_length
     found = benchmark_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -47,21 +49,7 @@ def op1(spark, sf_dir):
     return dealt.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-OP4_SQL = """
-WITH v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
-p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM p)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
-"""
-
-
-@query("op4_nearest", OP4_SQL)
+@query("op4_nearest", oracles.OP4)
 def op4(spark, sf_dir):
     from acervo.llm.neighbours import nearest
     vectors = table(spark, sf_dir, "embeddings")
@@ -77,7 +65,7 @@ def op5(spark, sf_dir):
     return found.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@query("op6_warc")
+@query("op6_warc", oracles.OP6)
 def op6(spark, sf_dir):
     from acervo.llm.archives import converted
     return converted(table(spark, sf_dir, "pages")).select(
@@ -96,19 +84,19 @@ def op3(spark, sf_dir):
                         F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256).alias("redacted_sha256"))
 
 
-@query("op2_neardup")
+@query("op2_neardup", oracles.OP2)
 def op2(spark, sf_dir):
     from acervo.llm.neardup import classes
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
-@query("op7_substrings")
+@query("op7_substrings", oracles.OP7)
 def op7(spark, sf_dir):
     from acervo.llm.substrings import deduplicated
     return deduplicated(table(spark, sf_dir, "documents"))
 
 
-@query("op10_suffixes")
+@query("op10_suffixes", oracles.OP10)
 def op10(spark, sf_dir):
     from acervo.llm.suffixes import deduplicated
     return deduplicated(table(spark, sf_dir, "documents"))
