@@ -1,0 +1,374 @@
+"""Operators on documents: hard cases against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from acervo.llm import bpe, decontamination, language, neardup, secrets, sharding, substrings, suffixes
+from acervo.llm.common import winnow
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+def texts_of(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+# --- sharding
+
+def test_sharding_edges(edge_docs, no_docs):
+    rows = sharding.interleaved(edge_docs, 8).collect()
+    assert len(rows) == edge_docs.count()
+    counts = Counter(r.shard for r in rows)
+    assert max(counts.values()) - min(counts[s] for s in range(8)) <= 1
+    for shard in counts:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(counts[shard]))
+    want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in texts_of(edge_docs))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    assert sharding.interleaved(no_docs).count() == 0
+
+
+def test_sharding_mixture(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"),
+                                    F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 10)).alias("source"))
+    rows = sharding.interleaved(docs, 7).groupBy("source", "shard").count().collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r["count"])
+    # each source's rows are spread evenly: two apart at most
+    assert all(max(v) - min(v) <= 2 and len(v) == 7 for v in by.values())
+
+
+def test_sharding_plan_has_no_python(edge_docs):
+    plan = sharding.interleaved(edge_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- near duplicates
+
+def bag(text):
+    words = text.encode().lower().split()
+    return Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+
+
+def brute_classes(rows):
+    bags = [bag(t or "") for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            union = sum((bags[i] | bags[j]).values())
+            if bags[i] and bags[j] and sum((bags[i] & bags[j]).values()) >= 0.8 * union:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    heads = {}
+    for i, (d, _) in enumerate(rows):
+        ids = heads.setdefault(find(i), [])
+        if d is not None:
+            ids.append(d)
+    return [min(heads[find(i)], default=None) for i in range(len(rows))]
+
+
+def test_near_copies_edges(edge_docs, no_docs):
+    got = Counter((r.doc_id, r.class_id) for r in neardup.classes(edge_docs).collect())
+    rows = texts_of(edge_docs)
+    assert got == Counter(zip([d for d, _ in rows], brute_classes(rows)))
+    kept = neardup.deduplicated(edge_docs)
+    assert kept.columns == edge_docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids[6] == 1 and ids[7] == 1 and ids[13] == 1 and ids[14] == 0 and ids[None] == 2
+    assert neardup.classes(no_docs).count() == 0 and neardup.deduplicated(no_docs).count() == 0
+
+
+def test_near_copies_in_crowded_bands(spark):
+    random.seed(3)
+    base = [f"w{random.randrange(10 ** 6)}" for _ in range(220)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(random.choice([1, 2, 3, 5, 8, 12])):
+            words[random.randrange(len(words))] = f"z{random.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert [got[d] for d, _ in rows] == brute_classes(rows)
+
+
+def test_blocks_of_a_large_band_lose_no_pair(spark):
+    rng = np.random.default_rng(1)
+    sketches = [rng.integers(0, 4, neardup.SLOTS).astype(np.uint8) for _ in range(40)]
+    sketches += [s.copy() for s in sketches]
+    rows = [(7, bytes([i]), bytes([i]), bytearray(s.tobytes())) for i, s in enumerate(sketches)]
+    members = spark.createDataFrame(rows, "band bigint, t binary, root binary, sketch binary")
+    for block in (4, 1000):
+        got = {(bytes(r.a)[0], bytes(r.b)[0]) for r in neardup.likely_pairs(members, 0.9, block).collect()}
+        assert got == {(i, i + 40) for i in range(40)}
+
+
+def test_signatures_are_unbiased():
+    rng = np.random.default_rng(2)
+    agree, want = [], []
+    for _ in range(40):
+        hashes = np.sort(rng.integers(0, 2 ** 63, 60, dtype=np.uint64))
+        a, b = rng.integers(0, 9, 60), rng.integers(0, 9, 60)
+        x, y = (hashes[a > 0], a[a > 0]), (hashes[b > 0], b[b > 0])
+        drawn = neardup.signatures([x, y])
+        agree.append((drawn[0] == drawn[1]).mean())
+        want.append(np.minimum(a, b).sum() / np.maximum(a, b).sum())
+        assert neardup.similarity(x, y) == pytest.approx(want[-1])
+    assert abs(np.mean(agree) - np.mean(want)) < 0.02
+
+
+# --- secrets
+
+def test_secrets_edges(spark, edge_docs, no_docs):
+    dictionary = secrets.dictionary_of(bpe.vocabulary_path(spark))
+    forest = secrets.fit(secrets.published_findings(), dictionary)
+    rows = secrets.scanned(edge_docs, forest, dictionary).collect()
+    assert len(rows) == edge_docs.count()
+    assert Counter((r.doc_id, r.redacted) for r in rows) == Counter(texts_of(edge_docs))
+    assert secrets.scanned(no_docs, forest, dictionary).count() == 0
+    key = "9f14a7029c8514dfe98aba92898d323168e199da"
+    docs = spark.createDataFrame([
+        (1, f'é token = "{key}" and token = "{key}"', "s"), (2, f"commit {key} merged", None),
+        (3, 'password = "your_password_goes_here"', "s"), (4, "write to a.34@mail7-office-number.example.com now", "s"),
+        (5, "=" * 80 + "\n" + "x" * 5000, "s"), (6, "api_key: Zk3vQ9pLw8TzR2mN5xYb7cHd", "s")], "doc_id int, text string, source string")
+    got = {r.doc_id: r.redacted for r in secrets.scanned(docs, forest, dictionary).collect()}
+    want = {r.doc_id: r.text for r in docs.collect()}
+    assert got[1] == 'é token = "[secret]" and token = "[secret]"' and got[6] == "api_key: [secret]"
+    assert all(got[i] == want[i] for i in (2, 3, 4, 5))
+
+
+def test_forest_tells_held_out_findings_apart(spark):
+    dictionary = secrets.dictionary_of(bpe.vocabulary_path(spark))
+    forest = secrets.fit(secrets.published_findings(800, 1), dictionary)
+    held = secrets.published_findings(300, 2)
+    x = np.array([secrets.features(*secrets.marked(line), path, dictionary) for line, path, _ in held])
+    assert ((forest.score(x) >= 0.5) == np.array([y == 1 for *_, y in held])).mean() > 0.97
+    assert (secrets.fit([], dictionary).score(x) == 0).all()
+
+
+# --- language
+
+def test_language_edges(spark, edge_docs, no_docs):
+    path = language.vocabulary_path(spark)
+    learned = spark.createDataFrame(
+        [(i, t, l) for i, (t, l) in enumerate([("the house and the garden of the king", "en"), ("la maison et le jardin du roi", "fr"),
+                                               (None, "fr"), ("no language", None)] * 5)], "doc_id bigint, text string, lang string")
+    model = language.fit(learned, path)
+    assert model.languages == ["en", "fr"]
+    np.testing.assert_allclose(model.table.sum(axis=0), 1)
+    rows = language.identified(edge_docs, model).collect()
+    assert len(rows) == edge_docs.count()
+    for r, (_, text) in zip(sorted(rows, key=str), sorted(zip([x.doc_id for x in rows], rows), key=str)):
+        assert 0 <= r.score <= 1
+    letters = {d: bool(re.search(r"[^\W\d_]", t or "")) for d, t in texts_of(edge_docs) if d not in (None, 7)}
+    assert all((r.lang_pred != "und") == letters[r.doc_id] for r in rows if r.doc_id in letters)
+    said = spark.createDataFrame([(1, "the garden and the house"), (2, "LE JARDIN et la maison"), (3, "x" * 100_000)], "doc_id int, text string")
+    got = {r.doc_id: r.lang_pred for r in language.identified(said, model).collect()}
+    assert got[1] == "en" and got[2] == "fr" and got[3] in ("en", "fr")
+    assert language.identified(no_docs, model).count() == 0
+    empty = language.fit(no_docs, path)
+    assert {r.lang_pred for r in language.identified(edge_docs, empty).collect()} == {"und"}
+
+
+def test_forward_sums_all_segmentations():
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "aba"]
+    table = np.random.default_rng(0).random((len(pieces) + 1, 2))
+    table[-1] = 0
+    model = language.Model(pieces, ["x", "y"], table)
+    find = language.Pieces(pieces)
+    words, starts, lengths, found = find.lattice(["ab", "aba", "c", "abab"])
+    alpha = language.forward(starts, lengths, found, table, model.single())
+
+    def total(text, k):
+        if not text:
+            return 1.0
+        one = table[pieces.index(text[0]), k] if text[0] in pieces else language.FLOOR
+        out = one * total(text[1:], k)
+        return out + sum(table[i, k] * total(text[len(p):], k) for i, p in enumerate(pieces) if len(p) > 1 and text.startswith(p))
+    for i, w in enumerate(words):
+        for k in (0, 1):
+            assert alpha[i, lengths[i], k] == pytest.approx(total("▁" + w, k))
+    uses = language.expected(starts, lengths, found, np.ones(4), table[:, [0]], model.single()[:, [0]])
+    # every letter and word mark is used exactly once, whatever the segmentation
+    sizes = np.array([len(p) for p in pieces] + [1])
+    assert (uses * sizes).sum() == pytest.approx(sum(len(w) + 1 for w in words))
+
+
+# --- substrings of words and of bytes
+
+def brute_words(rows, window=20):
+    seen, out = set(), []
+    for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        gone = set()
+        for i in range(len(words) - window + 1):
+            run = tuple(words[i:i + window])
+            if run in seen:
+                gone.update(range(i, i + window))
+            seen.add(run)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((d, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return Counter(out)
+
+
+def brute_bytes(rows, window=100):
+    seen, out = set(), []
+    for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        raw, gone = (text or "").encode(), set()
+        for i in range(len(raw) - window + 1):
+            if raw[i:i + window] in seen:
+                gone.update(range(i, i + window))
+            seen.add(raw[i:i + window])
+        spans = sum(i - 1 not in gone for i in gone)
+        kept = bytes(b for i, b in enumerate(raw) if i not in gone)
+        out.append((d, len(raw), len(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+def one_per_id(docs):
+    """Ties on doc_id with different texts have a defined order of their own; brute force leaves them out."""
+    return docs.where("text is distinct from 'same id, other text' and not (doc_id is null and text is null)").dropDuplicates(["doc_id", "text"])
+
+
+def test_word_repeats_edges(edge_docs, no_docs):
+    docs = one_per_id(edge_docs)
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs).collect())
+    assert got == brute_words(texts_of(docs))
+    assert substrings.deduplicated(edge_docs).count() == edge_docs.count()
+    assert substrings.deduplicated(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("most", [1000, 1])
+def test_byte_repeats_edges(edge_docs, no_docs, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "MOST_CONTEXTS", most)
+    docs = one_per_id(edge_docs).where("doc_id is distinct from 8")
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicated(docs).collect())
+    assert got == brute_bytes(texts_of(docs))
+    if most > 1:
+        assert suffixes.deduplicated(edge_docs).count() == edge_docs.count()
+        assert suffixes.deduplicated(no_docs).count() == 0
+
+
+def test_repeats_in_random_texts(spark):
+    random.seed(5)
+    pool = ["".join(random.choice("abcd ") for _ in range(400)) for _ in range(6)]
+    rows = []
+    for i in range(40):
+        text = ""
+        for _ in range(random.randint(1, 4)):
+            p = random.choice(pool)
+            a = random.randrange(300)
+            text += p[a:a + random.randint(20, 400)] + random.choice(["", "x", " yy "])
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicated(docs).collect())
+    assert got == brute_bytes(rows)
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs).collect())
+    assert got == brute_words(rows)
+
+
+def test_merged_transforms_find_repeated_intervals():
+    random.seed(4)
+    for _ in range(40):
+        base = bytes(random.choice(b"ab") for _ in range(60))
+        parts = []
+        for _ in range(random.randint(1, 9)):
+            a = random.randint(0, 40)
+            part = bytearray(base[a:a + random.randint(0, 60)])
+            if part and random.random() < .5:
+                part[random.randrange(len(part))] = random.choice(b"abc\x00\xff")
+            parts.append(bytes(part))
+        window = random.choice([3, 8, 15])
+        at, places = 0, {}
+        for part in parts:
+            for i in range(len(part) - window + 1):
+                places.setdefault(part[i:i + window], set()).add(at + i)
+            at += len(part) + 1
+        want = {frozenset(v) for v in places.values() if len(v) > 1}
+        for shards in (1, 2, 3, 5):
+            assert {frozenset(p.tolist()) for p in suffixes.repeated_intervals(parts, window, shards)} == want
+
+
+def test_winnow_is_leftmost_minimum():
+    rng = np.random.default_rng(0)
+    for n, w in ((1, 1), (5, 5), (50, 7), (64, 8), (7, 9)):
+        values = rng.integers(0, 2 ** 63, n, dtype=np.uint64) * np.uint64(2)
+        got = winnow(values, w)
+        assert got.tolist() == [i + int(np.argmin(values[i:i + w])) for i in range(n - w + 1)]
+
+
+# --- decontamination
+
+def brute_hits(text, items, window=10):
+    words = decontamination.fold_words((text or "").encode())
+    hit, owners = set(), set()
+    for name, raw in items:
+        coded = decontamination.fold_words((raw or "").encode())
+        for at in range(max(1, len(coded) - window + 1)) if coded else ():
+            part = coded[at:at + window]
+            for i in range(len(words) - len(part) + 1):
+                if words[i:i + len(part)] == part:
+                    hit.update(range(i, i + len(part)))
+                    owners.add(name)
+    return len(words), len(hit), sorted(owners)
+
+
+@pytest.mark.parametrize("block", [8_000_000, 40])
+def test_decontamination_edges(spark, edge_docs, no_docs, block):
+    from tests.llm.conftest import passage
+    items = [("10", passage(3, 60)[40:300]), ("2", "Word"), ("3", None), ("4", " ,, "), ("5", "eat REP eat"), (None, passage(9, 14)),
+             ("10", passage(3, 60)[40:300])]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    rows = decontamination.benchmark_spans(edge_docs, table, clean=True, block_bytes=block, shard_bytes=3000).collect()
+    named = [("null" if n is None else n, t) for n, t in items]
+    want = Counter((d, *map(str, brute_hits(t, named))) for d, t in texts_of(edge_docs))
+    assert Counter((r.doc_id, str(r.n_words), str(sum(s.e - s.s for s in r.spans)), str(r["items"])) for r in rows) == want
+    for r in rows:
+        if r.doc_id == 1:
+            assert "tail one" in r.text and brute_hits(r.text, named)[1] == 0
+        if r.doc_id == 3:
+            assert r.text is None
+    assert decontamination.benchmark_spans(no_docs, table).count() == 0
+    none = decontamination.benchmark_spans(edge_docs, table.limit(0))
+    assert none.where("size(spans) > 0").count() == 0 and none.count() == edge_docs.count()
+
+
+# --- BPE
+
+HARD = ["", "<|endoftext|>a<|endoftext|>", "  \n\t x  y　z", "a" * 500 + " " * 300, "日本語 emoji 😀👍🏽 ́x", " lead", "trail ",
+        "I'll we've 123abc 'S \r\n\r\n", "<|endoftext|", " <|endoftext|> x", "\x00\x01�", "<|end<|endoftext|>", "a  b", "a\n b",
+        "a \nb", "x" * 20_000, "²³ Ⅷ \x1c\x1f"]
+
+
+def test_bpe_equals_the_library(spark, edge_docs, no_docs):
+    path = bpe.vocabulary_path(spark)
+    library = tokenizers.Tokenizer.from_file(path)
+    rows = [(i, t) for i, t in enumerate(HARD)] + texts_of(edge_docs)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = bpe.encoded(docs, path, ids=True)
+    want = Counter()
+    for d, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        want[d, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == want
+    assert Counter((r.doc_id, r.text) for r in bpe.decoded(got, path).collect()) == Counter((d, t or "") for d, t in rows)
+    assert bpe.encoded(no_docs, path).count() == 0
+
+
+def test_bpe_cache_generations(spark):
+    codec = bpe.Codec(bpe.vocabulary_path(spark), words=3)
+    free = bpe.Codec(bpe.vocabulary_path(spark))
+    text = " ".join(f"piece{i % 7}, other{i % 3}" for i in range(5000))
+    assert codec.encode(text) == free.encode(text)
