@@ -26,6 +26,7 @@ LINK = T.StructType([
     T.StructField("href", T.StringType()),
     T.StructField("url", T.StringType()),
     T.StructField("heading", T.StringType()),
+    T.StructField("dated", T.StringType()),
 ])
 NODE = T.StructType([
     T.StructField("pos", T.IntegerType()),
@@ -49,14 +50,25 @@ OUTPUTS = {
     "links": T.ArrayType(LINK),
     "nodes": T.ArrayType(NODE),
     "cards": T.ArrayType(CARD),
+    "date_text": T.StringType(),
 }
 CARD_RULE = ["card_css", "title_css", "link_css", "date_css", "summary_css"]
+PAGE_RULE = ["page_date_css"]
 
 _TOKEN = re.compile(
     r"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 _RAW = {"script", "style"}
+# elements that an opening tag ends, and those that shut them off from it
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
+         "option": ("option",)}
+_WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "thead", "tbody", "tfoot"}, "td": {"tr", "table"},
+          "th": {"tr", "table"}, "option": {"select"}}
+_BLOCKS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+           "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul", "li", "dt", "dd"}
+_P_WALLS = {"table", "td", "th", "caption", "button", "body", "html"}
+_DATED = re.compile(r"\d{1,2}/\d{1,2}/\d{2,4}")
 _STEP = re.compile(r"""([#.]?)([\w-]+)|\[([\w-]+)(?:(\^?=)["']?([^"'\]]*)["']?)?\]""")
 
 
@@ -83,6 +95,7 @@ class Page:
                         del stack[depth:]
                         break
                 continue
+            self._imply(name, stack)
             element = {
                 "tag": name, "raw": token.group(3), "attrs": None, "parent": stack[-1] if stack else None,
                 "start": len(self.texts), "junk": name in junk or bool(stack and stack[-1]["junk"]),
@@ -96,6 +109,19 @@ class Page:
                 element["open"] = True
         self._close()
 
+    @staticmethod
+    def _imply(name: str, stack: list[dict]) -> None:
+        """Close what the opening tag ends: a paragraph before a block, and an item before the next of its list or row."""
+        rules = [(("p",), _P_WALLS)] if name in _BLOCKS else []
+        rules += [(_ENDS[name], _WALLS[name])] if name in _ENDS else []
+        for ended, walls in rules:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth]["tag"] in walls:
+                    break
+                if stack[depth]["tag"] in ended and (name != "tr" or stack[depth]["tag"] == "tr"):
+                    del stack[depth:]
+                    break
+
     def _text(self, raw: str, stack: list[dict]) -> None:
         stripped = htmllib.unescape(raw).strip() if raw else ""
         if stripped:
@@ -123,21 +149,29 @@ class Page:
         words = selector.split()
         # (step, must be the direct parent of the step after it)
         steps = [(_STEP.findall(w), words[i + 1:i + 2] == [">"]) for i, w in enumerate(words) if w != ">"]
-        found = []
-        for element in self.elements:
-            if (with_junk or not element["junk"]) and self._matches(element, steps[-1][0]):
-                above, left = element["parent"], steps[:-1]
-                reached = inside is None
-                while above is not None and (left or not reached):
-                    reached = reached or above is inside
-                    if left and self._matches(above, left[-1][0]):
-                        left = left[:-1]
-                    elif left and left[-1][1]:
-                        break
-                    above = above["parent"]
-                if reached and not left:
-                    found.append(element)
-        return found
+        return [e for e in self.elements if (with_junk or not e["junk"]) and self._matches(e, steps[-1][0])
+                and self._within(e, inside) and self._below(e, steps[:-1])]
+
+    @staticmethod
+    def _within(element: dict, inside: dict | None) -> bool:
+        above = element["parent"]
+        while inside is not None and above is not None and above is not inside:
+            above = above["parent"]
+        return inside is None or above is inside
+
+    def _below(self, element: dict, steps: list[tuple[list, bool]]) -> bool:
+        """Whether the steps match above the element; a step that fails higher up is tried at the next ancestor."""
+        if not steps:
+            return True
+        step, direct = steps[-1]
+        above = element["parent"]
+        while above is not None:
+            if self._matches(above, step) and self._below(above, steps[:-1]):
+                return True
+            if direct:
+                return False
+            above = above["parent"]
+        return False
 
     def _matches(self, element: dict, step: list[tuple[str, str, str, str, str]]) -> bool:
         for kind, name, attribute, test, wanted in step:
@@ -185,7 +219,12 @@ def _phrase(page: Page, element: dict | None) -> str | None:
 
 
 def page_links(page: Page, base: str | None) -> list[dict]:
+    """Links in document order; `dated` is the first text at or after a link that holds a date like 3/2/2026."""
     out = []
+    dated: list[str | None] = [None]
+    for text, _ in reversed(page.texts):
+        dated.append(text if _DATED.search(text) else dated[-1])
+    dated.reverse()
     for element in page.elements:
         if element["tag"] == "a" and "href" in page.attrs(element):
             href = page.attrs(element)["href"].strip()
@@ -194,7 +233,7 @@ def page_links(page: Page, base: str | None) -> list[dict]:
                 heading = above["tag"] if re.fullmatch(r"h[1-6]|li", above["tag"]) else None
                 above = above["parent"]
             out.append({"pos": len(out), "text": _phrase(page, element), "href": href,
-                        "url": _join(base, href), "heading": heading})
+                        "url": _join(base, href), "heading": heading, "dated": dated[element["start"]]})
     return out
 
 
@@ -255,13 +294,13 @@ def read_pages(
 
     `article_mode`: `min` first article above `min_article`, `always` first
     article, `single` only a lone article above the minimum, `never`.
-    `cards` needs the rule columns (`card_css`, …) on the input.
+    `cards` and `date_text` need their rule columns (`card_css`, …, `page_date_css`) on the input.
     """
     fields = [pages.schema[k] for k in keys]
     schema = T.StructType(fields + [T.StructField(o, OUTPUTS[o]) for o in outputs])
     chosen = P.CONTENT_SELECTORS if selectors is None else selectors
     junk_set = frozenset(P.JUNK_TAGS if junk is None else junk)
-    rules = CARD_RULE if "cards" in outputs else []
+    rules = (CARD_RULE if "cards" in outputs else []) + (PAGE_RULE if "date_text" in outputs else [])
     needed = list(dict.fromkeys([*keys, html_col, *([base_col] if base_col else []), *rules]))
 
     def one(source: str | None, base: str | None, rule: dict) -> dict:
@@ -277,6 +316,10 @@ def read_pages(
                 row[output] = [_phrase(page, e) for e in page.elements if e["tag"] == "h1"]
             elif output == "links":
                 row[output] = page_links(page, base)
+            elif output == "date_text":
+                css = rule["page_date_css"]
+                hit = next(iter(page.find(css)), None) if css else None
+                row[output] = None if hit is None else page.attrs(hit).get("datetime") or _phrase(page, hit)
             elif output == "nodes":
                 row[output] = page_nodes(page, base)
             else:

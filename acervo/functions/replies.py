@@ -73,8 +73,37 @@ def topic_summary(block: Column) -> Column:
     return _or_null(F.trim(F.regexp_extract(block, r"(?m)^\*\*Resumo Executivo\*\* - (.+)$", 1)))
 
 
+def topic_section(block: Column, heading: str) -> Column:
+    """Text below a `### ` heading, up to the next heading or the sources; null without the heading."""
+    found = F.regexp_extract(block, rf"(?ms)^### {heading}[^\n]*\n(.*?)(?=^### |^\*\*Fontes|\z)", 1)
+    return F.when(F.regexp_like(block, F.lit(rf"(?m)^### {heading}")), _strip(found))
+
+
+def dashes(text: Column) -> Column:
+    """Its `- ` lines."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^- (.+)$"), F.lit(1)), lambda b: F.trim(b))
+
+
 def topic_bullets(block: Column) -> Column:
-    return F.transform(F.regexp_extract_all(block, F.lit(r"(?m)^- (.+)$"), F.lit(1)), lambda b: F.trim(b))
+    """Fact bullets: of their section in the daily form, before the sources in the weekly one."""
+    weekly = F.regexp_extract(block, r"(?ms)\A(.*?)(?=^### |^\*\*Fontes|\z)", 1)
+    return dashes(F.coalesce(topic_section(block, "O que mudou"), weekly))
+
+
+def topic_why(block: Column) -> Column:
+    return _or_null(topic_section(block, "Por que importa"))
+
+
+def topic_triggers(block: Column) -> Column:
+    return dashes(F.coalesce(topic_section(block, "Próximos Gatilhos"), F.lit("")))
+
+
+def topic_portfolio(block: Column) -> Column:
+    """Positions named in the portfolio section: (position, text) of its `- **name** - text` lines."""
+    lines = dashes(F.coalesce(topic_section(block, "Potencial Impacto na Carteira"), F.lit("")))
+    read = F.transform(lines, lambda b: F.struct(F.regexp_extract(b, r"^\*\*(.+?)\*\*", 1).alias("position"),
+                                                 F.trim(F.regexp_extract(b, r"^\*\*.+?\*\*\s*-\s*(.*)$", 1)).alias("text")))
+    return F.filter(read, lambda r: r["position"] != "")
 
 
 def topic_source_marks(block: Column) -> Column:
@@ -136,9 +165,10 @@ def section_key(heading: Column) -> Column:
 
 
 def sections(text: Column) -> Column:
-    """Map of `## ` sections to their text; `# ` lines dropped, bracketed placeholders empty."""
+    """`## ` sections and their text, of a repeated heading the last; `# ` lines dropped, bracketed placeholders empty."""
     clean = F.regexp_replace(F.concat(F.lit("\n"), text), r"(?m)^# .*\n?", "")
-    parts = F.slice(F.split(clean, r"\n## "), 2, 1_000_000)
+    pieces = F.split(clean, r"\n## ")
+    parts = F.slice(pieces, F.lit(2), F.size(pieces) - 1)
     entries = F.transform(
         parts,
         lambda p: F.struct(
@@ -146,8 +176,10 @@ def sections(text: Column) -> Column:
             _strip(F.when(p.contains("\n"), F.regexp_replace(p, r"^[^\n]*\n", "")).otherwise("")).alias("body"),
         ),
     )
+    keys = F.transform(entries, lambda e: e["key"])
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
     return F.transform(
-        entries,
+        last,
         lambda e: F.struct(
             e["key"].alias("key"),
             F.when(e["body"].startswith("(") & e["body"].endswith(")"), "").otherwise(e["body"]).alias("body"),

@@ -36,6 +36,9 @@ RULE = T.StructType([
     T.StructField("page_date_label", T.StringType()),
     T.StructField("page_date_format", T.StringType()),
     T.StructField("requires_date", T.BooleanType()),
+    T.StructField("title_required", T.BooleanType()),
+    T.StructField("following_date", T.BooleanType()),
+    T.StructField("page_date_css", T.StringType()),
 ])
 
 DATE_FORMATS = {
@@ -54,48 +57,68 @@ def parse_by_format(text: Column, fmt: Column) -> Column:
     return out
 
 
-def page_links(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per navigable link of a page, first occurrence per URL, in document order.
+def first_per_url(links: Column) -> Column:
+    """Of an array of links the first of each URL. A page is one row, so no shuffle is needed."""
+    return X.let(links, lambda found: X.let(F.transform(found, lambda x: x["url"]), lambda seen: F.filter(
+        found, lambda x, i: F.array_position(seen, x["url"]) == i + 1)))
 
-    A page is one row, so its links are made distinct inside the row, without a shuffle.
-    """
-    usable = X.let(
-        F.filter("links", lambda x: U.is_navigable(x["href"])),
-        lambda found: X.let(F.transform(found, lambda x: x["url"]), lambda seen: F.filter(
-            found, lambda x, i: F.array_position(seen, x["url"]) == i + 1)))
-    read = read_pages(pages, keys, ["links"]).select(*keys, F.explode_outer(usable).alias("l")).filter("l is not null")
-    return read.select(
-        *keys, F.col("l.pos").alias("pos"), F.col("l.text").alias("anchor_text"),
-        F.col("l.href").alias("href"), F.col("l.url").alias("link_url"), F.col("l.heading").alias("heading"))
 
+def _link_rows(read: DataFrame, keys: list[str], usable: Column, **more: Column) -> DataFrame:
+    exploded = read.withColumn("l", F.explode_outer(usable)).filter("l is not null")
+    return exploded.select(
+        *keys, F.col("l.pos").alias("pos"), F.col("l.text").alias("anchor_text"), F.col("l.href").alias("href"),
+        F.col("l.url").alias("link_url"), F.col("l.heading").alias("heading"), *[c.alias(n) for n, c in more.items()])
 
-def fragment_text(df: DataFrame, keys: list[str], html: str, drop: list[str] | None = None) -> DataFrame:
-    """Text of an HTML fragment, whole; `drop` names elements to leave out."""
-    return read_pages(df, keys, ["text"], html_col=html, base_col=None, article_mode="never", selectors=[], junk=drop or [])
 
+def page_links(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per navigable link of a page, first occurrence per URL, in document order."""
+    read = read_pages(pages, keys, ["links"])
+    return _link_rows(read, keys, first_per_url(F.filter("links", lambda x: U.is_navigable(x["href"]))))
 
-def links_by_rule(links: DataFrame, rules: DataFrame) -> DataFrame:
-    """Links that pass the URL and title predicates of their source's rule row."""
-    joined = links.join(rules, "source_id")
-    url, title = F.col("link_url"), F.col("anchor_text")
 
+def rule_test(url: Column, title: Column, heading: Column) -> Column:
+    """URL and title predicates of the row's rule."""
     def unless_set(name: str, test: Column) -> Column:
         return F.col(name).isNull() | test
 
-    return joined.filter(
+    return (
         unless_set("url_regex", F.regexp_like(url, F.col("url_regex")))
         & unless_set("url_prefix", F.startswith(url, F.col("url_prefix")) & (F.rtrim(url, F.lit("/")) != F.rtrim(F.col("url_prefix"), F.lit("/"))))
         & unless_set("forbid_query", ~F.col("forbid_query") | ~url.contains("?"))
         & unless_set("exclude", ~F.exists("exclude", lambda e: url.contains(e)))
         & unless_set("min_anchor", F.length(title) >= F.col("min_anchor"))
         & unless_set("title_stop", ~F.exists("title_stop", lambda t: F.lower(title).contains(F.lower(t))))
-        & unless_set("heading", F.coalesce(F.col("heading") == F.col("link_heading"), F.lit(False)))
-    )
+        & unless_set("heading", F.coalesce(F.col("heading") == heading, F.lit(False))))
+
+
+def rule_links(pages: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+    """Listing items of every source in one job: links that pass their source's rule, then the first of each URL.
+
+    The rule comes before the first-wins, so a link turned down (an image without text) does not hide a later one of the
+    same URL. `title_required` drops an item whose first link has no title, after it has taken its URL.
+    `following_date` gives the first date at or after the link.
+    """
+    read = read_pages(pages, [*keys, "source_id"], ["links"]).join(rules, "source_id")
+    passed = first_per_url(F.filter("links", lambda x: U.is_navigable(x["href"]) & rule_test(x["url"], x["text"], x["heading"])))
+    titled = F.filter(passed, lambda x: ~F.coalesce("title_required", F.lit(False)) | (F.trim(x["text"]) != ""))
+    dated = F.when(F.col("following_date"), D.loose_br_date(F.col("l.dated")))
+    return _link_rows(read, [*keys, "source_id"], titled, published_at=dated)
+
+
+def fragment_text(df: DataFrame, keys: list[str], html: str, drop: list[str] | None = None) -> DataFrame:
+    """Text of an HTML fragment, whole; `drop` names elements to leave out."""
+    return read_pages(df, keys, ["text"], html_col=html, base_col=None, article_mode="never", selectors=[], junk=drop or [])
+
+
+def links_by_rule(links: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same predicates on a table of links (source_id, link_url, anchor_text, heading)."""
+    packed = links.select(F.struct("*").alias("_l"), "source_id").join(rules, "source_id")
+    return packed.filter(rule_test(F.col("_l.link_url"), F.col("_l.anchor_text"), F.col("_l.heading"))).select("_l.*")
 
 
-def pdf_links(links: DataFrame) -> DataFrame:
-    """PDF links; a blank anchor gets its title from the file name."""
-    title = F.when(F.coalesce(F.col("anchor_text"), F.lit("")) == "", U.file_title(F.col("link_url"))).otherwise(
+def pdf_links(links: DataFrame, from_file: bool = False) -> DataFrame:
+    """PDF links; a blank anchor gets its title from the file name, with `from_file` every one does."""
+    title = U.file_title(F.col("link_url")) if from_file else F.when(F.coalesce(F.col("anchor_text"), F.lit("")) == "", U.file_title(F.col("link_url"))).otherwise(
         F.col("anchor_text"))
     return links.filter(U.is_pdf(F.col("href"))).withColumn("title", title)
 
@@ -155,18 +178,23 @@ def capture_documents(pages: DataFrame, manifest: DataFrame, rules: DataFrame, a
     for name in ("listing_title", "listing_date"):
         if name not in pages.columns:
             pages = pages.withColumn(name, F.lit(None).cast("string"))
-    fresh = new_wide_items(pages.withColumn("key", F.col("url")), manifest, ["source_id", "key"])
+    # a URL met twice in one run is one document
+    once = first_wins(pages.select("source_id", F.col("url").alias("key"), "url", "html", "listing_title", "listing_date"), ["source_id", "key"],
+                      [F.col("listing_date").isNull(), F.col("listing_date"), F.col("listing_title").isNull(), F.col("listing_title"), F.xxhash64("html")])
+    fresh = new_wide_items(once, manifest, ["source_id", "key"])
     keys = ["source_id", "url", "key", "listing_title", "listing_date"]
-    read = read_pages(fresh, keys, ["text", "h1s", "page_title"])
+    chosen = rules.select("source_id", "page_date_css")
+    read = read_pages(fresh.join(chosen, "source_id", "left"), keys, ["text", "h1s", "page_title", "date_text"])
     ruled = read.join(rules.select(
-        "source_id", "sector", "title_mode", "page_date_label", "page_date_format", "date_format", "requires_date"), "source_id", "left")
+        "source_id", "sector", "title_mode", "page_date_label", "page_date_css", "page_date_format", "date_format", "requires_date"), "source_id", "left")
     labelled = F.expr("regexp_extract(text, concat(page_date_label, '\\\\s*:?\\\\s*([^\\\\n]{1,40})'), 1)")
-    page_date = F.when(F.col("page_date_label") != "", parse_by_format(labelled, F.coalesce("page_date_format", "date_format")))
+    by_label = F.when(F.col("page_date_label") != "", labelled)
+    page_date = parse_by_format(F.coalesce("date_text", by_label), F.coalesce("page_date_format", "date_format"))
     dated = ruled.withColumns({
         "title": pick_title(F.col("h1s"), F.col("page_title"), F.col("listing_title"), U.domain_or_unknown(F.col("url")),
                             F.coalesce("title_mode", F.lit("h1"))),
         "_page_date": page_date,
-        "_has_rule": F.coalesce(F.col("page_date_label") != "", F.lit(False)),
+        "_has_rule": F.coalesce(F.col("page_date_label") != "", F.lit(False)) | F.col("page_date_css").isNotNull(),
     })
     known = F.coalesce("_page_date", "listing_date").isNotNull()
     accepted = filters.long_enough(dated.filter(~F.coalesce("requires_date", F.lit(False)) | known))

@@ -17,13 +17,13 @@ from acervo.operators.ordered import with_position
 
 
 def upsert_run_status(sources: DataFrame, runs: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Latest run per source into every row of that source; unknown sources change nothing.
+    """Latest run per source into every row of that source; unknown sources and runs older than the row's change nothing.
 
     `runs` has key, ok, docs, error, run_at. `sources` has status, last_run,
     docs_captured, last_error.
     """
     latest = last_wins(runs.select(key, "ok", "docs", "error", "run_at"), [key], order)
-    matched = F.col("_r.ok").isNotNull()
+    matched = F.col("_r.ok").isNotNull() & F.coalesce(F.col("_r.run_at") >= F.col("s.last_run"), F.lit(True))
     changed = {
         "status": F.when(F.col("_r.ok"), P.STATUS_OK).otherwise(P.STATUS_ERROR),
         "last_run": F.col("_r.run_at"),

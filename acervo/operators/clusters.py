@@ -24,10 +24,8 @@ from acervo.session import cut_lineage, spread
 
 SLICE_ROWS = 4_000
 MAX_PIVOTS = 64
-HEADS_PER_DAY = 250
-DAYS_PER_BLOCK = 14
+TITLE_HEADS = 250
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
-JUDGED = "id string, day int, ord long, held boolean, status string, moved boolean"
 COLUMNS = ["id", "day", "ord", "embedding"]
 
 
@@ -152,6 +150,18 @@ def _best(threshold: float) -> Callable:
     return score
 
 
+def _waits(threshold: float) -> Callable:
+    """Left rows with any earlier right row at the threshold or above."""
+    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame(columns=["hi", "lo", "sim", "lo_day", "lo_ord"])
+        sims, earlier = _similarities(a, b)
+        near = earlier & (sims >= threshold)
+        i = np.nonzero(near.any(axis=1))[0]
+        return _rows(a, b, i, near[i].argmax(axis=1), sims)
+    return score
+
+
 def _prepared(docs: DataFrame, key: str, day: str, order: str, vector: str) -> DataFrame:
     return docs.select(
         F.col(key).cast("string").alias("id"),
@@ -171,17 +181,18 @@ def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
 
 def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str,
                     threshold: float = P.CLUSTER_COSINE, window_days: int = P.CLUSTER_WINDOW_DAYS,
-                    heads_per_day: int = HEADS_PER_DAY, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                    slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(id, leader_id): the sequential leader scan, computed in parallel, same result.
 
     Scan order is (day, order). A document joins the most similar earlier leader
     within the window, the earliest among equals, else it becomes a leader.
 
-    Rounds: the first undecided documents of each day ("heads") are compared
-    among themselves. A head without an undecided or leading earlier neighbour
-    leads; then every undecided document near a new leader is decided. Copies of
-    one vector on one day are represented by the first of them, because a later
-    copy always has that one, or its leader, to join.
+    Rounds: an undecided document waits while any earlier neighbour of it is
+    undecided; one without such a neighbour leads, and every document near a new
+    earlier leader is decided. So rounds follow the longest chain of documents
+    that wait for each other, not their number, and of a document's neighbours
+    one row leaves a task. Copies of one vector on one day are represented by the
+    first of them, because a later copy always has that one, or its leader, to join.
     """
     rows = _prepared(docs, key, day, order, vector)
     zero = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0
@@ -192,13 +203,12 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     undecided = cut_lineage(distinct)
     pivots = _pivots(undecided, threshold, slice_rows)
     while not undecided.isEmpty():
-        judged = _elect(undecided, threshold, window_days, heads_per_day, slice_rows)
-        fresh = undecided.join(judged.filter("status = 'leader'").select("id"), "id", "left_semi").select(*COLUMNS)
-        leaders = leaders.unionByName(fresh)
-        rest = cut_lineage(undecided.join(judged.filter("status <> 'undecided'").select("id"), "id", "left_anti").select(*COLUMNS))
-        if rest.isEmpty():
-            break
-        near = _meet(rest, fresh, window_days, _best(threshold), threshold, slice_rows, pivots).select(F.col("hi").alias("id"))
+        waiting = cut_lineage(_meet(undecided, undecided, window_days, _waits(threshold), threshold, slice_rows, pivots)
+                              .select(F.col("hi").alias("id")).distinct())
+        fresh = cut_lineage(undecided.join(waiting, "id", "left_anti").select(*COLUMNS))
+        leaders = cut_lineage(leaders.unionByName(fresh))
+        rest = undecided.join(waiting, "id", "left_semi").select(*COLUMNS)
+        near = _meet(rest, fresh, window_days, _waits(threshold), threshold, slice_rows, pivots).select(F.col("hi").alias("id"))
         undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*COLUMNS))
     others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
     best = _meet(others, leaders, window_days, _best(threshold), threshold, slice_rows, pivots).groupBy("hi").agg(
@@ -208,60 +218,8 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
         leaders.select("id", F.col("id").alias("leader_id"))))
 
 
-def _elect(undecided: DataFrame, threshold: float, window_days: int, heads_per_day: int,
-           slice_rows: int) -> DataFrame:
-    """Heads with their status (leader, member, undecided); no earlier leader is near any of them.
-
-    Heads are judged by blocks of days, in scan order inside a block, so one pass
-    settles every chain that stays in a block; chains that cross blocks take
-    further passes. Heads and edges of a block are bounded by `heads_per_day`.
-    """
-    heads = first_k(undecided, ["day"], [F.col("ord")], heads_per_day)
-    sizes = undecided.groupBy("day").agg(F.count("*").alias("n"))
-    # a day with undecided documents beyond its heads holds back the days after it
-    hidden = sizes.filter(F.col("n") > heads_per_day).select(F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)).alias("day"), F.col("day").alias("of")
-    ).filter("day > of").select("day").distinct().withColumn("held", F.lit(True))
-    state = heads.select("id", "day", "ord", F.lit("undecided").alias("status")).join(F.broadcast(hidden), "day", "left").select(
-        "id", "day", "ord", F.coalesce("held", F.lit(False)).alias("held"), "status")
-    edges = cut_lineage(_meet(heads, heads, window_days, _pairs(threshold), threshold, slice_rows).select("hi", "lo"))
-    while True:
-        below = edges.join(state.select(F.col("id").alias("lo"), F.col("status").alias("lo_status")), "lo")
-        block = F.floor(F.col("day") / DAYS_PER_BLOCK).alias("block")
-        placed = below.join(state.select(F.col("id").alias("hi"), block), "hi")
-        state = cut_lineage(_own(state.withColumn("block", block)).groupBy("block").cogroup(
-            _own(placed).groupBy("block")).applyInPandas(_judge, JUDGED))
-        progress = state.agg(
-            F.bool_or("moved").alias("moved"), F.bool_or(F.expr("status = 'undecided' and not held")).alias("open")).first()
-        if not (progress["moved"] and progress["open"]):
-            break
-    return state
-
-
-def _judge(heads: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-    """Member next to a leader, waiting next to an undecided head, else leader; in scan order."""
-    below: dict[str, list[tuple[str, str]]] = {}
-    for hi, lo, status in zip(edges["hi"], edges["lo"], edges["lo_status"]) if len(edges) else ():
-        below.setdefault(hi, []).append((lo, status))
-    heads = heads.sort_values(["day", "ord"], ignore_index=True)
-    now: dict[str, str] = {}
-    for row in heads.itertuples():
-        status = row.status
-        if status == "undecided":
-            near = [now.get(lo, known) for lo, known in below.get(row.id, ())]
-            if "leader" in near:
-                status = "member"
-            elif "undecided" not in near and not row.held:
-                status = "leader"
-        now[row.id] = status
-    judged = heads[["id", "day", "ord", "held"]].copy()
-    judged["status"] = [now[i] for i in heads["id"]]
-    judged["moved"] = judged["status"].to_numpy() != heads["status"].to_numpy()
-    return judged
-
-
 def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
-                   threshold: float = P.TITLE_RATIO, heads_per_day: int = HEADS_PER_DAY,
+                   threshold: float = P.TITLE_RATIO, heads_per_day: int = TITLE_HEADS,
                    slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(id, leader_id): per day, each document joins the first leader whose title is close enough.
 

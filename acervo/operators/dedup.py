@@ -12,20 +12,23 @@ from pyspark.sql import functions as F
 
 
 def _winner(df: DataFrame, keys: list[str], order: list[Column], pick) -> DataFrame:
+    """The payload goes along with the winner and is not compared, so it may hold maps."""
     payload = [c for c in df.columns if c not in keys]
-    ranks = [o.alias(f"_o{i}") for i, o in enumerate(order)]
-    row = F.struct(*ranks, *[F.col(f"`{c}`") for c in payload])
-    best = df.groupBy(*keys).agg(pick(row).alias("_w"))
+    if not payload:
+        return df.dropDuplicates(keys)
+    row = F.struct(*[F.col(f"`{c}`") for c in payload])
+    ranks = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    best = df.groupBy(*keys).agg(pick(row, ranks).alias("_w"))
     return best.select(*keys, *[F.col(f"_w.`{c}`").alias(c) for c in payload]).select(*df.columns)
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first in `order` (which must be unique within a key)."""
-    return _winner(df, keys, order, F.min)
+    return _winner(df, keys, order, F.min_by)
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return _winner(df, keys, order, F.max)
+    return _winner(df, keys, order, F.max_by)
 
 
 def first_wins_keep_null(df: DataFrame, key: str, partition: list[str], order: list[Column]) -> DataFrame:
@@ -48,12 +51,16 @@ def new_wide_items(items: DataFrame, manifest: DataFrame, keys: list[str]) -> Da
     The manifest, which only grows, meets the keys alone; the payload is then
     filtered by the new keys, few enough in a daily run to be broadcast.
     """
+    if manifest.isEmpty():  # a first run: everything is new
+        return items
     return items.join(new_items(items.select(*keys).distinct(), manifest, keys), keys, "left_semi")
 
 
-def extend_manifest(manifest: DataFrame, accepted: DataFrame, keys: list[str]) -> DataFrame:
-    """Seen keys after a run, each once."""
-    return manifest.select(*keys).unionByName(accepted.select(*keys)).distinct()
+def extend_manifest(manifest: DataFrame, accepted: DataFrame, keys: list[str], dismissed: DataFrame | None = None) -> DataFrame:
+    """Seen keys after a run, each once. `dismissed` are items turned down for good (the portfolio gate, an empty
+    edition): they count as seen, so later runs do not read them again."""
+    seen = manifest.select(*keys).unionByName(accepted.select(*keys))
+    return (seen if dismissed is None else seen.unionByName(dismissed.select(*keys))).distinct()
 
 
 def duplicate_keys(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -71,10 +78,6 @@ def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
 
 
-def latest_per_entity(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return last_wins(df, keys, order)
-
-
 def only_in_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.select(*keys).subtract(right.select(*keys))
 

@@ -55,6 +55,7 @@ def topics(digests: DataFrame, key: str, markdown: str, structured_only: bool =
     read = rows.withColumns({
         "title": R.topic_title(block), "sector": R.topic_sector(block), "impact": R.topic_impact(block),
         "summary": R.topic_summary(block), "bullets": R.topic_bullets(block),
+        "why": R.topic_why(block), "triggers": R.topic_triggers(block), "portfolio": R.topic_portfolio(block),
         "source_urls": R.topic_source_urls(block), "citations_ok": R.citations_consistent(block),
     })
     complete = (F.col("title").isNotNull() & F.col("sector").isNotNull() & F.col("impact").isNotNull()

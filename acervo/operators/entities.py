@@ -253,14 +253,27 @@ def portfolio_gate(items: DataFrame, index: DataFrame, key: str, listing_text: s
     }).drop("_c2", "_s2")
 
 
-def naive_mentions(docs: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
-    """Substring baseline: lower-case aliases of four or more characters inside the text."""
-    rows = inline_aliases(index.filter(F.length("alias_norm") >= P.NAIVE_ALIAS_MIN_CHARS))
-    if rows is None:
-        raise ValueError("the substring baseline is for dictionaries that fit a plan")
+def naive_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, limit: int = MAX_INLINE_ALIASES) -> DataFrame:
+    """Substring baseline: lower-case aliases of four or more characters inside the text.
+
+    A dictionary beyond `limit` aliases is searched block by block, each block one pass over the texts.
+    """
+    usable = index.filter(F.length("alias_norm") >= P.NAIVE_ALIAS_MIN_CHARS)
     folded = docs.select(key, F.lower(fold_upper(F.col(text))).alias("_text"))
+    blocks = max(1, -(-usable.count() // (limit // 2 or 1))) if inline_aliases(usable, limit) is None else 1
+    found = None
+    for block in range(blocks):
+        part = usable if blocks == 1 else usable.filter(F.pmod(F.xxhash64("alias_norm"), F.lit(blocks)) == block)
+        hits = _naive_block(folded, key, [(r.alias_norm, r.canonical_id) for r in part.select("alias_norm", "canonical_id").collect()])
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def _naive_block(folded: DataFrame, key: str, rows: list[tuple[str, str]]) -> DataFrame:
+    if not rows:
+        return folded.limit(0).select(key, F.lit("").alias("alias"), F.lit("").alias("canonical_id"))
     aliases = F.array(*[
-        F.struct(F.lit(a.lower()).alias("alias"), F.lit(c).alias("canonical_id")) for a, c, _ in rows
+        F.struct(F.lit(a.lower()).alias("alias"), F.lit(c).alias("canonical_id")) for a, c in rows
     ])
     hits = F.filter(aliases, lambda a: F.contains(F.col("_text"), a["alias"]))
     found = folded.select(key, F.explode_outer(hits).alias("h")).filter("h is not null")

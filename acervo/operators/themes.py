@@ -7,6 +7,7 @@ equal those of a density clustering.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,7 +18,10 @@ from pyspark.sql import functions as F
 from acervo import params as P
 from acervo.session import cut_lineage
 
-MAX_FINE_CLUSTERS = 100
+# merge_labels compares all pairs of groups on the driver
+MAX_FINE_CLUSTERS = 500
+# centroids that travel to the tasks as one matrix
+MAX_CENTERS = 100_000
 
 
 def unit_vectors(df: DataFrame, vector: str, out: str = "unit") -> DataFrame:
@@ -32,7 +36,7 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def merge_labels(points: np.ndarray, keep: int) -> list[int]:
-    """Average linkage on cosine distance over at most a hundred centroids."""
+    """Average linkage on cosine distance over a bounded number of centroids."""
     unit = points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
     distance = 1.0 - unit @ unit.T
     groups = [[i] for i in range(len(points))]
@@ -49,21 +53,36 @@ def merge_labels(points: np.ndarray, keep: int) -> list[int]:
 
 
 def nearest_centroid(df: DataFrame, vector: str, centers: list[tuple[int, list[float]]], out: str) -> DataFrame:
-    """Label of the nearest of a bounded list of centroids."""
-    def distance(center: list[float]):
-        return F.aggregate(
-            F.zip_with(vector_to_array(F.col(vector)), F.array(*[F.lit(float(x)) for x in center]),
-                       lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-
-    options = F.array(*[F.struct(distance(c).alias("d"), F.lit(label).alias("l")) for label, c in centers])
-    return df.withColumn(out, F.array_min(options)["l"])
-
-
-def macro_themes(df: DataFrame, key: str, vector: str, components: int = 16, fine: int = 20,
+    """Label of the nearest centroid, the smallest of equally near ones; the centroids are one matrix in each task."""
+    if len(centers) > MAX_CENTERS:
+        raise ValueError(f"{len(centers)} centroids; at most {MAX_CENTERS} travel to a task")
+    ordered = sorted(centers, key=lambda c: c[0])
+    labels = np.array([label for label, _ in ordered], dtype="int64")
+    matrix = np.array([c for _, c in ordered], dtype="float64").reshape(len(ordered), -1)
+    sent = df.sparkSession.sparkContext.broadcast((labels, matrix))
+
+    @F.pandas_udf("bigint")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        labels, matrix = sent.value
+        if not len(vectors) or not len(labels):
+            return pd.Series([None] * len(vectors), dtype="Int64")
+        rows = np.stack(vectors.to_numpy())
+        step = max(1, 4_000_000 // max(1, matrix.size))
+        near = [((rows[i:i + step, None, :] - matrix[None]) ** 2).sum(axis=2).argmin(axis=1) for i in range(0, len(rows), step)]
+        return pd.Series(labels[np.concatenate(near)])
+
+    return df.withColumn(out, nearest(vector_to_array(F.col(vector))))
+
+
+def macro_themes(df: DataFrame, key: str, vector: str, components: int | None = None, fine: int = 20,
                  min_size: int = 5, max_themes: int = P.MACRO_THEMES, seed: int = P.MACRO_SEED) -> DataFrame:
-    """(key, theme)."""
-    fine = min(fine, MAX_FINE_CLUSTERS)
+    """(key, theme). `components` defaults to the smallest of 256, the rows and the features."""
+    if fine > MAX_FINE_CLUSTERS:
+        raise ValueError(f"fine is {fine}; at most {MAX_FINE_CLUSTERS} groups are merged on the driver")
     unit = unit_vectors(df.select(key, vector), vector)
+    if components is None:
+        shape = unit.agg(F.count("*").alias("rows"), F.max(F.size(vector)).alias("features")).first()
+        components = max(1, min(256, shape["rows"], shape["features"] or 1))
     # the clustering passes over the reduced vectors many times
     reduced = cut_lineage(PCA(k=components, inputCol="unit", outputCol="reduced").fit(unit).transform(unit).select(key, "reduced"))
     model = BisectingKMeans(k=fine, seed=seed, featuresCol="reduced", predictionCol="fine").fit(reduced)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from acervo.functions.html import read_pages
 from acervo.operators import clusters as G
-from acervo.operators.themes import MAX_FINE_CLUSTERS, centroids, macro_themes, nearest_centroid, unit_vectors
+from acervo.operators.themes import centroids, macro_themes, nearest_centroid, unit_vectors
 from acervo.plans.registry import query, sql_slug, table
+from acervo.session import cut_lineage
 
 # The test vectors hold no pair at 0.85, so the queries pass a lower threshold.
 THRESHOLD = 0.30
@@ -118,11 +119,34 @@ WITH {UNIT_SQL}, d AS (SELECT x.vec_id, c.label AS near, sum((x.val - c.mean) *
 SELECT vec_id, CAST(arg_min(near, dist) AS BIGINT) AS near FROM d GROUP BY 1""")
 def q33_nearest(spark, sf):
     unit = unit_vectors(table(spark, sf, "embeddings"), "embedding")
-    # the labels of the table are few; their centroids travel as literals
-    centers = [(r["label"], list(r["centroid"].toArray())) for r in centroids(unit, "label", "unit").orderBy("label").limit(MAX_FINE_CLUSTERS).collect()]
+    centers = [(r["label"], list(r["centroid"].toArray())) for r in centroids(unit, "label", "unit").collect()]
     return nearest_centroid(unit, "unit", centers, "near").select("vec_id", F.col("near").cast("long").alias("near"))
 
 
+MANY_SQL = UNIT_SQL.replace("SELECT vec_id, label,", "SELECT vec_id, vec_id % 300 AS label,", 1).replace(
+    "(SELECT vec_id, label, CAST", "(SELECT vec_id, CAST")
+
+
+@query("q33_nearest_of_many", f"""
+WITH {MANY_SQL}, d AS (SELECT x.vec_id, c.label AS near, sum((x.val - c.mean) * (x.val - c.mean)) AS dist FROM x JOIN c USING (dim) GROUP BY 1, 2)
+SELECT vec_id, CAST(arg_min(near, dist) AS BIGINT) AS near FROM d GROUP BY 1""")
+def q33_nearest_many(spark, sf):
+    """Labels that grow with the table: up to 300 centroids."""
+    unit = unit_vectors(table(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 300).alias("label"), "embedding"), "embedding")
+    centers = [(r["label"], list(r["centroid"].toArray())) for r in centroids(unit, "label", "unit").collect()]
+    return nearest_centroid(unit, "unit", centers, "near").select("vec_id", "near")
+
+
+@query("q33_theme_invariants", """
+SELECT count(*) AS n_vectors, count(DISTINCT vec_id) AS n_distinct, CAST(count(*) AS BIGINT) AS total_of_sizes, true AS at_most_five FROM embeddings""")
+def q33_invariants(spark, sf):
+    """What holds of any themes: each vector once, sizes adding up to the table, at most five labels."""
+    placed = cut_lineage(macro_themes(table(spark, sf, "embeddings"), "vec_id", "embedding"))
+    sizes = placed.groupBy("theme").agg(F.count("*").alias("n"), F.countDistinct("vec_id").alias("d"))
+    return sizes.agg(F.sum("n").alias("n_vectors"), F.sum("d").alias("n_distinct"), F.sum("n").alias("total_of_sizes"),
+                     (F.count("*") <= 5).alias("at_most_five"))
+
+
 @query("q33_macro_themes")
 def q33(spark, sf):
     return macro_themes(table(spark, sf, "embeddings"), "vec_id", "embedding")

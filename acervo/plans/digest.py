@@ -24,25 +24,28 @@ def _digests(spark, sf):
     first = F.concat(
         F.lit("## Tema "), key, F.lit("\n\n**Setor:** "), sector, F.lit("\n\n**Resumo Executivo** - Resumo de "), key,
         F.lit(".\n\n### O que mudou\n- [Regulatório] Fato da {portfolio:Empresa Um (EMP11)} [1].\n- [Leilão] Outro fato [2].\n- [Clima] Terceiro.\n\n"
-              "### Impacto Esperado: "), impact, F.lit("\n🔴 Porque sim.\n\n**Fontes:**\n[1] https://www.a.example.com/"), key,
+              "### Por que importa\nMuda o fluxo de "), key, F.lit(".\n\n### Impacto Esperado: "), impact, F.lit("\n🔴 Porque sim.\n\n"
+              "### Próximos Gatilhos\n- Leilão em 08/07\n- Balanço\n\n### Potencial Impacto na Carteira\n- **EMP11** - Exposição direta.\n\n**Fontes:**\n[1] https://www.a.example.com/"), key,
         F.lit("\n[2] https://b.example.com/x"))
     second = F.concat(
         F.lit("## Outro "), key, F.lit("\n**Setor:** Transporte\n**Impacto:** "), impact,
-        F.lit(" 🟠\n\n- Único fato [1] e [3].\n\n**Fontes:**\n[1] https://c.example.com/"), key)
+        F.lit(" 🟠\n\n- Único fato [1] e [3].\n- Segundo fato.\n- Terceiro fato.\n\n**Fontes:**\n[1] https://c.example.com/"), key)
     return table(spark, sf, "customer").select("c_custkey", F.concat(first, F.lit("\n---\n"), second, F.lit("\n\n---\nsolto\n")).alias("markdown"))
 
 
 @query("q48_topic_parse", f"""
 WITH c AS (SELECT c_custkey, {SECTOR_SQL} AS sector, {IMPACT_SQL} AS impact FROM customer)
 SELECT c_custkey, CAST(0 AS BIGINT) AS topic_pos, 'Tema ' || c_custkey AS title, CASE WHEN sector <> 'Geral' THEN sector END AS sector, impact,
-  'Resumo de ' || c_custkey || '.' AS summary, CAST(3 AS BIGINT) AS n_bullets, CAST(2 AS BIGINT) AS n_sources, true AS citations_ok, sector <> 'Geral' AS structured FROM c
-UNION ALL SELECT c_custkey, 1, 'Outro ' || c_custkey, 'Transporte', impact, NULL, 1, 1, false, true FROM c
-UNION ALL SELECT c_custkey, 2, NULL, NULL, NULL, NULL, 0, 0, true, false FROM c""")
+  'Resumo de ' || c_custkey || '.' AS summary, CAST(3 AS BIGINT) AS n_bullets, CAST(2 AS BIGINT) AS n_sources, true AS citations_ok, sector <> 'Geral' AS structured,
+  'Muda o fluxo de ' || c_custkey || '.' AS why, 'Leilão em 08/07|Balanço' AS triggers, 'EMP11: Exposição direta.' AS portfolio FROM c
+UNION ALL SELECT c_custkey, 1, 'Outro ' || c_custkey, 'Transporte', impact, NULL, 3, 1, false, true, NULL, '', '' FROM c
+UNION ALL SELECT c_custkey, 2, NULL, NULL, NULL, NULL, 0, 0, true, false, NULL, '', '' FROM c""")
 def q48(spark, sf):
     read = G.topics(_digests(spark, sf), "c_custkey", "markdown")
     return read.select("c_custkey", F.col("topic_pos").cast("long").alias("topic_pos"), "title", "sector", "impact", "summary",
                        F.size("bullets").cast("long").alias("n_bullets"), F.size("source_urls").cast("long").alias("n_sources"),
-                       "citations_ok", "structured")
+                       "citations_ok", "structured", "why", F.array_join("triggers", "|").alias("triggers"),
+                       F.array_join(F.transform("portfolio", lambda p: F.concat(p["position"], F.lit(": "), p["text"])), "|").alias("portfolio"))
 
 
 @query("q48_bullets", f"""
@@ -50,7 +53,8 @@ WITH c AS (SELECT c_custkey, {SECTOR_SQL} AS sector, {IMPACT_SQL} AS impact FROM
 b AS (SELECT c_custkey, 'lead' AS role, impact, 'reg' AS dim, 'Fato da {{portfolio:Empresa Um (EMP11)}} [1].' AS bullet, 'Empresa Um' AS company, 'EMP11' AS ticker FROM c WHERE sector <> 'Geral'
   UNION ALL SELECT c_custkey, 'lead', impact, 'lei', 'Outro fato [2].', NULL, NULL FROM c WHERE sector <> 'Geral'
   UNION ALL SELECT c_custkey, 'lead', impact, NULL, '[Clima] Terceiro.', NULL, NULL FROM c WHERE sector <> 'Geral'
-  UNION ALL SELECT c_custkey, 'secondary', impact, NULL, 'Único fato [1] e [3].', NULL, NULL FROM c)
+  UNION ALL SELECT c_custkey, 'secondary', impact, NULL, 'Único fato [1] e [3].', NULL, NULL FROM c
+  UNION ALL SELECT c_custkey, 'secondary', impact, NULL, 'Segundo fato.', NULL, NULL FROM c)
 SELECT c_custkey, role, dim, bullet, company, ticker, CASE impact WHEN 'Alto' THEN '🔴' WHEN 'Médio' THEN '🟠' ELSE '🟢' END AS mark FROM b""")
 def q48_bullets(spark, sf):
     full = G.with_roles(G.topics(_digests(spark, sf), "c_custkey", "markdown", structured_only=True))
@@ -71,7 +75,7 @@ def q48_roles(spark, sf):
 SELECT c_custkey, 'visao geral' AS key, 'linha ' || c_custkey || chr(10) || 'fim' AS body FROM customer UNION ALL SELECT c_custkey, 'fontes', '' FROM customer""")
 def q48_sections(spark, sf):
     notes = table(spark, sf, "customer").select("c_custkey", F.concat(
-        F.lit("antes\n# Notas\n## Visão Geral \nlinha "), F.col("c_custkey").cast("string"),
+        F.lit("antes\n# Notas\n## Visao geral\nvelha\n## Visão Geral \nlinha "), F.col("c_custkey").cast("string"),
         F.lit("\n# comentário\nfim\n\n## Fontes\n(recado geral)\n")).alias("text"))
     return notes.select("c_custkey", F.explode(R.sections(F.col("text"))).alias("s")).select("c_custkey", "s.key", "s.body")
 

@@ -56,12 +56,12 @@ def q23(spark, sf):
 
 @query("q24_carry_forward", """
 SELECT conv_id, turn, role,
-  last_value(CASE WHEN role = 'user' THEN left(text, 40) END IGNORE NULLS) OVER w AS heading,
+  last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER w AS heading,
   last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER w AS heading_turn,
   first_value(CASE WHEN role = 'assistant' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_reply
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q24(spark, sf):
-    nodes = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 40).alias("head"))
+    nodes = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.col("text").alias("head"))
     carried = C.dated_stream(nodes, ["conv_id"], "turn", F.col("role") == "user",
                              {"heading": F.col("head"), "heading_turn": F.col("turn")}).drop("head")
     replies = carried.withColumn("next_reply", F.when(F.col("role") == "assistant", F.col("turn")))
@@ -142,8 +142,11 @@ def q36_category(spark, sf):
 RATING = ["l_orderkey", "l_linenumber"]
 
 
-def _ratings(spark, sf):
+def _ratings(spark, sf, since: str | None = None, until: str | None = None):
+    """Rating actions of the days from `since` up to, not with, `until`; the range is on the stored column, so it is pushed."""
     line = table(spark, sf, "lineitem")
+    if since:
+        line = line.filter((F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz")) & (F.col("l_shipdate") < F.lit(until).cast("timestamp_ntz")))
     return line.select(
         *RATING, F.date_format("l_shipdate", "yyyy-MM-dd").alias("ratingActionDate"), F.lit("AFF").alias("actionTypeCode"),
         F.col("l_suppkey").cast("string").alias("entityId"), F.concat(F.lit("Emissor "), F.col("l_suppkey").cast("string")).alias("sourceProvidedName"),
@@ -155,7 +158,7 @@ def _ratings(spark, sf):
 SELECT md5(l_suppkey || '|' || strftime(l_shipdate, '%Y-%m-%d') || '|LT|' || l_returnflag || '|' || CASE WHEN l_linestatus = 'O' THEN 'brAA' ELSE '' END || '|A' || l_partkey % 5) AS synthetic_id,
   count(*) AS n, max('') AS rating_from FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-01-08' GROUP BY 1""")
 def q56(spark, sf):
-    line = _ratings(spark, sf).filter("ratingActionDate between '1998-01-01' and '1998-01-07'")
+    line = _ratings(spark, sf, "1998-01-01", "1998-01-08")
     return feeds.rating_actions(line).groupBy("synthetic_id").agg(F.count("*").alias("n"), F.max("ratingFrom").alias("rating_from"))
 
 
@@ -184,7 +187,7 @@ def q40_newest(spark, sf):
 @query("q60_query_expansion", r"""
 WITH q AS (SELECT DISTINCT upper(p_name) AS query FROM part WHERE p_size > 10),
 h AS (SELECT upper(p_name) AS query, p_partkey, regexp_replace(regexp_extract(url, '^https?://([^/]+)', 1), '^www\.', '') AS domain, p_type AS title
-  FROM part JOIN pages ON page_id = p_partkey % 50),
+  FROM part JOIN pages ON page_id = p_partkey % (SELECT count(*) FROM pages)),
 j AS (SELECT h.* FROM h JOIN q USING (query))
 SELECT domain, title, max(p_partkey) AS p_partkey, arg_max(query, p_partkey) AS query FROM j GROUP BY 1, 2""")
 def q60(spark, sf):
@@ -192,7 +195,7 @@ def q60(spark, sf):
 
     part, pages = table(spark, sf, "part"), table(spark, sf, "pages").select("page_id", "url")
     queries = part.filter("p_size > 10").select(F.upper("p_name").alias("query"))
-    hits = part.join(pages, F.col("page_id") == F.col("p_partkey") % 50).select(
+    hits = part.join(pages, F.col("page_id") == F.col("p_partkey") % pages.count()).select(
         F.upper("p_name").alias("query"), "p_partkey", U.domain_or_unknown(F.col("url")).alias("domain"), F.col("p_type").alias("title"))
     return feeds.last_hit_wins(feeds.expand_queries(queries, hits, "query"), "domain", "title", [F.col("p_partkey")]).select(
         "domain", "title", "p_partkey", "query")

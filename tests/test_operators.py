@@ -288,8 +288,8 @@ def sequential_leaders(docs, threshold, window):
     return out
 
 
-@pytest.mark.parametrize("seed,heads,slices", [(0, 250, 4000), (1, 3, 3), (2, 2, 2), (3, 250, 2)])
-def test_leaders_equal_sequential_scan(spark, seed, heads, slices):
+@pytest.mark.parametrize("seed,slices", [(0, 4000), (1, 3), (2, 2), (3, 2)])
+def test_leaders_equal_sequential_scan(spark, seed, slices):
     rng = np.random.default_rng(seed)
     centers = rng.normal(size=(4, 6))
     docs = []
@@ -304,10 +304,40 @@ def test_leaders_equal_sequential_scan(spark, seed, heads, slices):
         docs.append((i, int(rng.integers(0, 9)), v))
     df = spark.createDataFrame([(i, dt.date(2026, 1, 1) + dt.timedelta(days=d), [float(x) for x in v]) for i, d, v in docs],
                                "id int, day date, v array<double>")
-    got = G.leader_clusters(df, "id", "day", "id", "v", 0.85, 3, heads, slices)
+    got = G.leader_clusters(df, "id", "day", "id", "v", 0.85, 3, slices)
     assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_leaders(docs, 0.85, 3)
 
 
+def test_unlike_documents_take_one_round(spark, monkeypatch):
+    rounds = []
+    waits = G._waits
+    monkeypatch.setattr(G, "_waits", lambda t: rounds.append(t) or waits(t))
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, dt.date(2026, 1, 1 + i % 4), [float(x) for x in rng.normal(size=64)]) for i in range(1600)],
+                               "id int, day date, v array<double>")
+    assert G.leader_clusters(df, "id", "day", "id", "v", 0.85).filter("id <> leader_id").count() == 0
+    assert len(rounds) <= 4  # two comparisons a round
+
+
+def test_first_wins_carries_maps(spark):
+    df = spark.sql("select * from values (1, 2, map('a', 1)), (1, 1, map('b', 2)) t(k, o, m)")
+    assert [(r["k"], r["m"]) for r in dedup.first_wins(df, ["k"], [F.col("o")]).collect()] == [(1, {"b": 2})]
+
+
+def test_status_only_moves_forward(spark):
+    src = spark.sql("select 'a' source_id, 'x' status, timestamp_ntz'2026-01-05' last_run, 1L docs_captured, null last_error")
+    runs = spark.sql("select 'a' source_id, true ok, 9L docs, null error, timestamp_ntz'2026-01-04' run_at")
+    assert K.upsert_run_status(src, runs, "source_id", [F.col("run_at")]).first()["docs_captured"] == 1
+
+
+def test_naive_scan_in_blocks(spark):
+    docs = spark.sql("select 1 k, 'alfa beta gama delta' t")
+    index = spark.createDataFrame([(a.upper(), a, a, (i, 0)) for i, a in enumerate(["alfa", "beta", "zeta", "gama", "ab"])],
+                                  "alias_norm string, canonical_id string, main_name string, pos struct<a:int,b:int>")
+    got = {limit: sorted(r["canonical_id"] for r in entities.naive_mentions(docs, index, "k", "t", limit).collect()) for limit in (5000, 2)}
+    assert got[2] == got[5000] == ["alfa", "beta", "gama"]
+
+
 def test_similarity_window_edges(spark):
     day = dt.date(2026, 1, 1)
     data = [(1, day, [1.0, 0.0]), (2, day + dt.timedelta(days=3), [1.0, 0.0]), (3, day + dt.timedelta(days=4), [1.0, 0.0]),
