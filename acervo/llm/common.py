@@ -76,6 +76,17 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Texts that are shuffled several times travel compressed."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(n, base, np.uint64)

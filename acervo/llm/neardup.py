@@ -101,6 +101,13 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64)
 
 
+def elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Each occurrence of a shingle as 32 bits, sorted: sets that meet nearly as the bags do, in a third of the room."""
+    hashes, counts = bag
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort((mix(np.repeat(hashes, counts) + turn.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32))
+
+
 def text_key(raw: bytes) -> bytes | None:
     """128-bit hash of the folded words; null where there is none."""
     import xxhash
@@ -129,18 +136,19 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def bags_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle counts (t, bag) of the texts in `wanted` (d: their first doc_id, t)."""
+    """Shingle counts (t, bag, elements) of the texts in `wanted` (d: their first doc_id, t)."""
     def run(batches) -> Iterator[dict[str, list]]:
         for batch in batches:
-            rows = [(k, pack(shingles(r))) for r in batch.column(0).to_pylist() if (k := text_key(r)) is not None]
+            rows = [(k, shingles(r)) for r in batch.column(0).to_pylist() if (k := text_key(r)) is not None]
             if rows:
-                yield {"t": [k for k, _ in rows], "bag": [b for _, b in rows]}
+                yield {"t": [k for k, _ in rows], "bag": [pack(b) for _, b in rows],
+                       "elements": [elements(b).tobytes() for _, b in rows]}
 
     ids = wanted.select(F.col("d").alias("_d")).distinct()
     some = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("d"), utf8().alias("raw")).join(
         ids, F.col("d").eqNullSafe(F.col("_d")), "left_semi")
-    found = arrow_pass(some.select("raw"), run, "t binary, bag binary", rows=64)
-    return found.groupBy("t").agg(F.first("bag").alias("bag"))
+    found = arrow_pass(some.select("raw"), run, "t binary, bag binary, elements binary", rows=64)
+    return found.groupBy("t").agg(F.first("bag").alias("bag"), F.first("elements").alias("elements"))
 
 
 def verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -158,54 +166,66 @@ def verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
                       "a binary, b binary, similarity double", rows=64)
 
 
-def likely_pairs(members: DataFrame, estimate: float, block: int = 2048) -> DataFrame:
-    """Pairs of one band's members from different components whose sketches agree in a share of `estimate` slots or more.
+def likely_pairs(members: DataFrame, least: float, estimate: float, block: int = 512) -> DataFrame:
+    """Pairs of one band's members from different components that may be `least` similar: sketches agree in a share of
+    `estimate` slots, and then the sets of elements nearly reach `least`.
 
-    A band of many members is cut into blocks of about `block` by a hash; blocks meet pairwise, each meeting in one task.
+    members: band, t, root, sketch, bands, elements. A pair is taken in the first band it shares, so it leaves once. A
+    band of many members is cut into blocks of about `block` by a hash; blocks meet pairwise, each meeting in one task.
     """
     counts = members.groupBy(F.col("band").alias("_band")).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     cut = members.join(counts, F.col("band") == F.col("_band")).withColumn("mine", F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = cut.withColumn("other", other).select(
-        F.struct("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).alias("meeting"),
-        (F.col("mine") <= F.col("other")).alias("first"), "t", "root", "sketch")
-    dealt = met.repartition("meeting").sortWithinPartitions("meeting").select(
-        F.xxhash64("meeting").alias("m"), F.col("meeting.i").alias("i"), F.col("meeting.j").alias("j"), "first", "t", "root", "sketch")
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        (F.col("mine") <= F.col("other")).alias("first"), "t", "root", "sketch", "bands", "elements")
+    dealt = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def pairs_of(rows):
-        same = rows[0][1] == rows[0][2]
+        band, same = rows[0][0], rows[0][1] == rows[0][2]
+        names = {r: k for k, r in enumerate({r[5] for r in rows})}
+        if len(names) < 2:
+            return
         left = rows if same else [r for r in rows if r[3]]
         right = rows if same else [r for r in rows if not r[3]]
-        if len({r[5] for r in rows}) < 2:
+        if not left or not right:
             return
-        names = {r: k for k, r in enumerate({r[5] for r in rows})}
         roots = np.array([names[r[5]] for r in right])
         sketches = np.frombuffer(b"".join(r[6] for r in right), np.uint8).reshape(len(right), SLOTS)
+        bands = np.array([r[7] for r in right], np.int64)
+        held = [np.frombuffer(r[8], np.uint32) for r in right]
         for k, row in enumerate(left):
             start = k + 1 if same else 0
             other = start + np.flatnonzero(roots[start:] != names[row[5]])
-            agree = (sketches[other] == np.frombuffer(row[6], np.uint8)).mean(axis=1)
-            for n in other[agree >= estimate].tolist():
+            other = other[(sketches[other] == np.frombuffer(row[6], np.uint8)).mean(axis=1) >= estimate]
+            own = np.array(row[7], np.int64)
+            shared = bands[other] == own
+            other = other[own[shared.argmax(axis=1)] == band] if len(other) else other
+            if not len(other):
+                continue
+            mine = np.frombuffer(row[8], np.uint32)
+            sizes = np.array([len(held[n]) for n in other])
+            flat = np.concatenate([held[n] for n in other])
+            at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+            common = np.add.reduceat((mine[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            for n in other[common >= (least - 0.01) * (sizes + len(mine) - common)].tolist():
                 yield (row[4], right[n][4]) if row[4] < right[n][4] else (right[n][4], row[4])
 
     def run(batches) -> Iterator[dict[str, list]]:
-        held, sent = [], set()
+        held = []
 
         def flush():
-            new = set(pairs_of(held)) - sent if held else set()
-            if len(sent) < 200_000:
-                sent.update(new)
-            return {"a": [p[0] for p in new], "b": [p[1] for p in new]}
+            pairs = list(pairs_of(held)) if held else []
+            return {"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and row[0] != held[0][0]:
+                if held and row[:3] != held[0][:3]:
                     yield flush()
                     held = []
                 held.append(row)
         yield flush()
 
-    return arrow_pass(dealt, run, "a binary, b binary", rows=1024).distinct()
+    return arrow_pass(dealt, run, "a binary, b binary", rows=256).distinct()
 
 
 def classes(docs: DataFrame, least: float = 0.8, estimate: float = 0.65) -> DataFrame:
@@ -218,9 +238,9 @@ def classes(docs: DataFrame, least: float = 0.8, estimate: float = 0.65) -> Data
     other columns play no part.
 
     Equal word sequences are one text throughout. Bands meet by an aggregate; each text is checked exactly against its
-    band's first text; after the components of these, members of one band that are still apart are compared by sketch
-    in blocks and, where the sketch allows `least`, checked exactly. A pair at 0.8 shares no band of 30 with a chance of
-    seven in a million, and is missed by the sketch with one of two in a million.
+    band's first text; after the components of these, members of one band that are still apart are compared in blocks, by
+    sketch and then by 32-bit elements, and those that may reach `least` are checked exactly. A pair at 0.8 shares no
+    band of 30 with a chance of seven in a million, and is missed by the sketch with one of two in a million.
     """
     rows = staged(signed(docs), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("d"), F.col("x").alias("x"))
@@ -237,8 +257,9 @@ def classes(docs: DataFrame, least: float = 0.8, estimate: float = 0.65) -> Data
     placed = members.join(first.withColumnRenamed("node", "t"), "t", "left").select(
         "band", "t", F.coalesce("root", "t").alias("root"))
     apart = placed.groupBy("band").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("band")
-    open_members = staged(placed.join(apart, "band", "left_semi").join(texts.select("t", "sketch"), "t"), "open")
-    more = verified(likely_pairs(open_members, estimate), bags, least)
+    open_members = placed.join(apart, "band", "left_semi").join(
+        texts.select("t", "sketch", "bands"), "t").join(bags.select("t", "elements"), "t")
+    more = verified(likely_pairs(open_members, least, estimate), bags, least)
     links = sure.select("a", "b").union(more.select("a", "b"))
     roots = components(links).withColumnRenamed("node", "t")
     rooted = texts.join(roots, "t", "left").select("t", "first", F.coalesce("root", "t").alias("root"))

@@ -1,42 +1,19 @@
-"""Substring dedup by seed and extend: documents meet on winnowed anchors, matches grow both ways to maximal repeats."""
+"""Substring dedup by seed and extend: documents meet on winnowed anchors, matches grow both ways to maximal repeats.
 
-from __future__ import annotations
+A seed that occurs again is grown to the left and right into a segment; segments alike throughout are matched at once,
+those that differ alignment by alignment, so a match ends where the texts part; touching matches are joined to maximal spans.
+"""
 
-import hashlib
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from acervo.llm.common import GRAM_P, arrow_pass, mix, staged
-from acervo.llm.repeats import Units, anchored, assembled, candidates, firsts, run_spans, seeded
+from acervo.llm.common import staged
+from acervo.llm.repeats import aligned, anchored, assembled, candidates, contexts, cut, firsts, seeded, settled, with_texts
 
 SEED_WORDS = 8
 
 
-def extensions(texts: DataFrame, window: int, seed: int) -> DataFrame:
-    """Every alignment of `window` words around a repeated seed: d, x, raw, w and v (96 bits of the words' hash), s (start).
-
-    An alignment belongs to the seed that is its own smallest, so each is taken once.
-    """
-    def run(batches) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            d, x, raws, seeds = (c.to_pylist() for c in batch.columns)
-            out: dict[str, list] = {"d": d, "x": x, "raw": raws, "w": [], "v": [], "s": []}
-            for raw, places in zip(raws, seeds):
-                text = Units(raw, "word")
-                owner = text.anchors(seed, window)
-                starts = np.flatnonzero(np.isin(owner, np.array(places)))
-                grams = text.seeds(window)[starts]
-                out["w"].append(grams.view(np.int64))
-                out["v"].append((mix(text.seeds(seed)[owner[starts]] ^ GRAM_P) >> np.uint64(33)).astype(np.int32))
-                out["s"].append(starts.astype(np.int32))
-            yield out
-
-    return arrow_pass(texts, run, "d bigint, x bigint, raw binary, w array<bigint>, v array<int>, s array<int>", rows=64)
-
-
 def deduplicated(docs: DataFrame, window: int = 20, seed: int = SEED_WORDS) -> DataFrame:
     """Words covered by a run of `window` words that also starts earlier are removed: doc_id, n_words, n_removed, n_spans,
     kept_sha256 (of the kept words joined by one blank).
@@ -49,24 +26,8 @@ def deduplicated(docs: DataFrame, window: int = 20, seed: int = SEED_WORDS) -> D
     """
     found = anchored(docs, "word", seed, window)
     first = staged(firsts(found, window), "firsts")
-    texts = staged(extensions(candidates(docs, seeded(found, first)), window, seed), "extensions")
-    runs = texts.select("d", "x", F.explode(F.arrays_zip("w", "v", "s")).alias("r")).select(
-        "d", "x", F.col("r.w").alias("w"), F.col("r.v").alias("v"), F.col("r.s").alias("s"))
-    earliest = runs.groupBy("w", "v").agg(F.min(F.struct("d", "x", "s")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    again = runs.join(earliest.select("w", "v", "f"), ["w", "v"]).where(F.struct("d", "x", "s") > F.col("f"))
-    starts = again.groupBy("d", "x").agg(F.array_sort(F.collect_set("s")).alias("starts"))
-
-    def run(batches) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            d, x, raws, starts = (c.to_pylist() for c in batch.columns)
-            out: dict[str, list] = {"d": d, "x": x, "n_removed": [], "n_spans": [], "kept": []}
-            for raw, at in zip(raws, starts):
-                spans = run_spans(np.array(at, np.int64), window)
-                out["n_removed"].append(sum(b - a for a, b in spans))
-                out["n_spans"].append(len(spans))
-                out["kept"].append(hashlib.sha256(Units(raw, "word").kept(spans)).hexdigest())
-            yield out
-
-    removed = arrow_pass(texts.select("d", "x", "raw").join(starts, ["d", "x"]).select("d", "x", "raw", "starts"), run,
-                         "d bigint, x bigint, n_removed bigint, n_spans bigint, kept string", rows=64)
+    texts = contexts(candidates(docs, seeded(found, first)), "word", window, seed)
+    copies, different = settled(texts)
+    ranges = copies.union(aligned(with_texts(texts, different), "word", window))
+    removed = cut(texts, ranges, "word", window)
     return assembled(found, first, removed, window).withColumnRenamed("n", "n_words").withColumnRenamed("sha", "kept_sha256")

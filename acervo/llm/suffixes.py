@@ -8,16 +8,15 @@ common prefix, so intervals of suffixes alike in `window` bytes fall out without
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acervo.llm.common import arrow_pass, mix, staged
+from acervo.llm.common import arrow_pass, staged, unsqueezed
 from acervo.llm.decontamination import suffix_order
-from acervo.llm.repeats import Units, anchored, assembled, candidates, firsts, seeded
+from acervo.llm.repeats import aligned, anchored, assembled, candidates, contexts, cut, firsts, seeded, settled, with_texts
 
 SEED_BYTES = 24
 BATCH_BYTES = 1 << 20
@@ -97,51 +96,19 @@ def repeated_intervals(parts: list[bytes], window: int, shards: int = 2) -> Iter
             yield whole.places[a:b]
 
 
-def contexts(texts: DataFrame, window: int, seed: int) -> DataFrame:
-    """Per document its repeated anchors' segments: h (anchor), k1 and k2 (128 bits of the segment), a (start), m (windows).
-
-    A segment holds the windows whose own smallest anchor this is, so each window lies in one segment, and equal windows lie in
-    segments of equal anchors.
-    """
-    def run(batches) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            d, x, raws, seeds = (c.to_pylist() for c in batch.columns)
-            out: dict[str, list] = {"d": d, "x": x, "raw": raws, "h": [], "k1": [], "k2": [], "a": [], "m": []}
-            for raw, places in zip(raws, seeds):
-                text = Units(raw, "byte")
-                owner = text.anchors(seed, window)
-                firsts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-                counts = np.diff(np.append(firsts, len(owner)))
-                mine = np.isin(owner[firsts], np.array(places))
-                firsts, counts = firsts[mine], counts[mine]
-                spot = owner[firsts]
-                segment = text.ranges(firsts, firsts + counts + window - 1)
-                shape = ((spot - firsts).astype(np.uint64) << np.uint64(32)) | counts.astype(np.uint64)
-                out["h"].append(text.seeds(seed)[spot].view(np.int64))
-                out["k1"].append(mix(segment ^ mix(shape)).view(np.int64))
-                out["k2"].append(np.array([int.from_bytes(hashlib.blake2b(raw[a:a + m + window - 1], digest_size=8).digest(),
-                                                          "little", signed=True) for a, m in zip(firsts.tolist(), counts.tolist())],
-                                          np.int64))
-                out["a"].append(firsts.astype(np.int32))
-                out["m"].append(counts.astype(np.int32))
-            yield out
-
-    return arrow_pass(texts, run, "d bigint, x bigint, raw binary, h array<bigint>, k1 array<bigint>, k2 array<bigint>, "
-                      "a array<int>, m array<int>", rows=64)
-
-
-def segments(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The bytes of wanted segments (d, x, and an array of h, a, m): h, d, x, a, m, seg."""
+def segments(held: DataFrame, window: int) -> DataFrame:
+    """The bytes of segments by document (d, x, raw, got): h, d, x, a, m, seg."""
     def run(batches) -> Iterator[dict[str, list]]:
         names = ["h", "d", "x", "a", "m", "seg"]
         for batch in batches:
-            rows = [(g["h"], d, x, g["a"], g["m"], raw[g["a"]:g["a"] + g["m"] + window - 1])
-                    for d, x, raw, got in zip(*[c.to_pylist() for c in batch.columns]) for g in got]
+            rows = []
+            for d, x, raw, got in zip(*[c.to_pylist() for c in batch.columns]):
+                raw = unsqueezed(raw)
+                rows += [(g["h"], d, x, g["a"], g["m"], raw[g["a"]:g["a"] + g["m"] + window - 1]) for g in got]
             if rows:
                 yield dict(zip(names, map(list, zip(*rows))))
 
-    return arrow_pass(texts.select("d", "x", "raw").join(wanted, ["d", "x"]).select("d", "x", "raw", "got"), run,
-                      "h bigint, d bigint, x bigint, a int, m int, seg binary", rows=32)
+    return arrow_pass(held, run, "h bigint, d bigint, x bigint, a int, m int, seg binary", rows=32)
 
 
 def merged_repeats(dealt: DataFrame, window: int) -> DataFrame:
@@ -186,38 +153,6 @@ def merged_repeats(dealt: DataFrame, window: int) -> DataFrame:
     return arrow_pass(dealt, run, "d bigint, x bigint, s int, e int", rows=2048)
 
 
-def hot_repeats(dealt: DataFrame, window: int) -> DataFrame:
-    """The same for anchors with very many segments, window by window: the earliest of equal windows by one aggregate."""
-    def run(batches) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("w", "v", "d", "x", "s")}
-            for _, d, x, a, m, seg in zip(*[c.to_pylist() for c in batch.columns]):
-                for i in range(m):
-                    key = hashlib.blake2b(seg[i:i + window], digest_size=16).digest()
-                    out["w"].append(int.from_bytes(key[:8], "little", signed=True))
-                    out["v"].append(int.from_bytes(key[8:], "little", signed=True))
-                    out["d"].append(d)
-                    out["x"].append(x)
-                    out["s"].append(a + i)
-            yield out
-
-    each = arrow_pass(dealt, run, "w bigint, v bigint, d bigint, x bigint, s int", rows=256)
-    first = each.groupBy("w", "v").agg(F.min(F.struct("d", "x", "s")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    return each.join(first, ["w", "v"]).where(F.struct("d", "x", "s") > F.col("f")).select(
-        "d", "x", "s", (F.col("s") + 1).alias("e"))
-
-
-def covered(ranges: list[tuple[int, int]], window: int) -> list[tuple[int, int]]:
-    """Bytes covered by windows whose starts lie in the ranges, as maximal runs."""
-    out: list[list[int]] = []
-    for s, e in sorted(ranges):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e - 1 + window)
-        else:
-            out.append([s, e - 1 + window])
-    return [(a, b) for a, b in out]
-
-
 def deduplicated(docs: DataFrame, window: int = 100, seed: int = SEED_BYTES) -> DataFrame:
     """Bytes covered by a string of `window` bytes that also starts earlier are removed: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), kept_sha256.
@@ -233,34 +168,11 @@ def deduplicated(docs: DataFrame, window: int = 100, seed: int = SEED_BYTES) ->
     """
     found = anchored(docs, "byte", seed, window)
     first = staged(firsts(found, window), "firsts")
-    texts = staged(contexts(candidates(docs, seeded(found, first)), window, seed), "contexts")
-    each = texts.select("d", "x", F.explode(F.arrays_zip("h", "k1", "k2", "a", "m")).alias("c")).select(
-        "d", "x", "c.h", "c.k1", "c.k2", "c.a", "c.m")
-    alike = staged(each.groupBy("h", "k1", "k2").agg(F.min(F.struct("d", "x", "a", "m")).alias("f"),
-                                                     F.count("*").alias("n")), "alike")
-    again = each.join(alike.where("n > 1").select("h", "k1", "k2", F.struct("f.d", "f.x", "f.a").alias("g")), ["h", "k1", "k2"])
-    whole = again.where(F.struct("d", "x", "a") > F.col("g")).select(
-        "d", "x", F.col("a").alias("s"), (F.col("a") + F.col("m")).alias("e"))
-    many = alike.groupBy("h").agg(F.count("*").alias("of")).where("of > 1")
-    wanted = alike.join(many, "h").select("h", "of", "f.d", "f.x", "f.a", "f.m")
+    texts = contexts(candidates(docs, seeded(found, first)), "byte", window, seed)
+    copies, different = settled(texts)
     bound = F.lit(MOST_CONTEXTS)
-    pick = lambda some: some.groupBy("d", "x").agg(F.collect_list(F.struct("h", "a", "m")).alias("got"))
-    few = segments(texts, pick(wanted.where(F.col("of") <= bound)), window)
-    hot = segments(texts, pick(wanted.where(F.col("of") > bound)), window)
-    ranges = whole.union(merged_repeats(few.repartition("h").sortWithinPartitions("h"), window)).union(hot_repeats(hot, window))
-    removed = ranges.groupBy("d", "x").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-
-    def run(batches) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            d, x, raws, got = (c.to_pylist() for c in batch.columns)
-            out: dict[str, list] = {"d": d, "x": x, "n_removed": [], "n_spans": [], "kept": []}
-            for raw, ranges in zip(raws, got):
-                spans = covered([(r["s"], r["e"]) for r in ranges], window)
-                out["n_removed"].append(sum(b - a for a, b in spans))
-                out["n_spans"].append(len(spans))
-                out["kept"].append(hashlib.sha256(Units(raw, "byte").kept(spans)).hexdigest())
-            yield out
-
-    cut = arrow_pass(texts.select("d", "x", "raw").join(removed, ["d", "x"]).select("d", "x", "raw", "ranges"), run,
-                     "d bigint, x bigint, n_removed bigint, n_spans bigint, kept string", rows=64)
-    return assembled(found, first, cut, window).withColumnRenamed("n", "n_bytes").withColumnRenamed("sha", "kept_sha256")
+    few = segments(with_texts(texts, different.where(F.col("of") <= bound)), window)
+    merged = merged_repeats(few.repartition("h").sortWithinPartitions("h"), window)
+    hot = aligned(with_texts(texts, different.where(F.col("of") > bound)), "byte", window)
+    removed = cut(texts, copies.union(merged).union(hot), "byte", window)
+    return assembled(found, first, removed, window).withColumnRenamed("n", "n_bytes").withColumnRenamed("sha", "kept_sha256")

@@ -105,13 +105,18 @@ def test_near_copies_in_crowded_bands(spark):
 
 def test_blocks_of_a_large_band_lose_no_pair(spark):
     rng = np.random.default_rng(1)
-    sketches = [rng.integers(0, 4, neardup.SLOTS).astype(np.uint8) for _ in range(40)]
-    sketches += [s.copy() for s in sketches]
-    rows = [(7, bytes([i]), bytes([i]), bytearray(s.tobytes())) for i, s in enumerate(sketches)]
-    members = spark.createDataFrame(rows, "band bigint, t binary, root binary, sketch binary")
+    rows = []
+    for i in range(40):
+        sketch, items = rng.integers(0, 4, neardup.SLOTS).astype(np.uint8), np.sort(rng.integers(0, 2 ** 32, 50, dtype=np.uint32))
+        other = items.copy()
+        other[:2] += 1
+        for key, part, bands in ((i, items, [7, i + 100]), (i + 40, other, [7, i + 100]), (i + 80, items, [i + 1000, i + 100])):
+            key = bytes([key])
+            rows.append((bands[0] if bands[0] == 7 else bands[1], key, key, bytearray(sketch.tobytes()), bands + [key[0] + 5000] * 28, bytearray(part.tobytes())))
+    members = spark.createDataFrame(rows, "band bigint, t binary, root binary, sketch binary, bands array<bigint>, elements binary")
     for block in (4, 1000):
-        got = {(bytes(r.a)[0], bytes(r.b)[0]) for r in neardup.likely_pairs(members, 0.9, block).collect()}
-        assert got == {(i, i + 40) for i in range(40)}
+        got = neardup.likely_pairs(members.where("band = 7"), 0.8, 0.9, block).collect()
+        assert {(bytes(r.a)[0], bytes(r.b)[0]) for r in got} == {(i, i + 40) for i in range(40)}
 
 
 def test_signatures_are_unbiased():
