@@ -45,6 +45,17 @@ def q30(spark, sf):
     return G.similar_pairs(_vectors(spark, sf), "vec_id", "day", "vec_id", "embedding", THRESHOLD).select("hi", "lo")
 
 
+@query("q30_crowded_days", f"WITH {EDGES} SELECT CAST(hi AS VARCHAR) AS hi, CAST(lo AS VARCHAR) AS lo FROM edges")
+def q30_crowded(spark, sf):
+    """The path of crowded days: small slices, so days are cut by direction."""
+    return G.similar_pairs(_vectors(spark, sf), "vec_id", "day", "vec_id", "embedding", THRESHOLD, slice_rows=8).select("hi", "lo")
+
+
+@query("q31_crowded_days", f"""{LEADERS} SELECT CAST(id AS VARCHAR) AS id, CAST(leader_id AS VARCHAR) AS leader_id FROM assigned""")
+def q31_crowded(spark, sf):
+    return G.leader_clusters(_vectors(spark, sf), "vec_id", "day", "vec_id", "embedding", THRESHOLD, slice_rows=8)
+
+
 @query("q31_leader_clusters", f"""{LEADERS} SELECT CAST(id AS VARCHAR) AS id, CAST(leader_id AS VARCHAR) AS leader_id FROM assigned""")
 def q31(spark, sf):
     return _assigned(spark, sf)

@@ -142,3 +142,46 @@ def q58_prompts(spark, sf):
         "doc_id", F.length(prompt_text(text)).cast("long").alias("n_prompt"),
         F.length(prompt_text(text, P.EMBEDDING_CHARS)).cast("long").alias("n_embedding"),
         X.synthetic_key(F.col("doc_id")).alias("record_id"))
+
+
+@query("q58_pages_with_links", r"""
+WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages),
+n AS (SELECT page_id, count(*) AS n_links FROM l GROUP BY 1)
+SELECT p.page_id, coalesce(n_links, 0) AS n_links, length(html) AS n_text_chars, coalesce(n_links, 0) AS n_child_rows
+FROM pages p LEFT JOIN n ON n.page_id = p.page_id""")
+def q58_pages(spark, sf):
+    out = scratch(spark, "pages")
+    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("text"))
+    links = pages.select("page_id", F.explode(F.regexp_extract_all("text", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
+    SD.write_pages_with_links(pages, links, out)
+    child = spark.read.parquet(f"{out}/links").groupBy("page_id").agg(F.count("*").alias("n_child_rows"))
+    return spark.read.parquet(f"{out}/pages").join(child, "page_id", "left").select(
+        "page_id", "n_links", F.col("n_text_chars").cast("long").alias("n_text_chars"), F.coalesce("n_child_rows", F.lit(0)).alias("n_child_rows"))
+
+
+@query("q58_current_and_history", """
+SELECT 'current' AS kind, source, count(*) AS n FROM documents WHERE doc_id % 2 = 1 GROUP BY ALL
+UNION ALL SELECT 'history 2024-01-30', source, count(*) FROM documents WHERE doc_id % 2 = 0 GROUP BY ALL
+UNION ALL SELECT 'history 2024-01-31', source, count(*) FROM documents WHERE doc_id % 2 = 1 GROUP BY ALL""")
+def q58_history(spark, sf):
+    """Two runs: the current report is the last one, the history holds both."""
+    out = scratch(spark, "report")
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    for day, odd in (("2024-01-30", 0), ("2024-01-31", 1)):
+        ST.write_current_and_history(docs.filter(F.col("doc_id") % 2 == odd), out, day)
+    past = spark.read.option("basePath", f"{out}/history").parquet(f"{out}/history").withColumn(
+        "kind", F.concat(F.lit("history "), F.col("date").cast("string")))
+    both = past.select("kind", "source").unionByName(spark.read.parquet(f"{out}/current").select(F.lit("current").alias("kind"), "source"))
+    return both.groupBy("kind", "source").agg(F.count("*").alias("n"))
+
+
+@query("q58_manifest_runs", """
+SELECT event_type AS source_id, CAST(user_id AS VARCHAR) AS key FROM events GROUP BY ALL""")
+def q58_manifest(spark, sf):
+    """Two runs over a manifest that is absent at first; the second adds what the first has not seen."""
+    out = scratch(spark, "manifest")
+    items = table(spark, sf, "events").select("event_id", F.col("event_type").alias("source_id"), F.col("user_id").cast("string").alias("key"))
+    from acervo.operators.dedup import new_items
+    for part in (items.filter("event_id % 3 = 0"), items):
+        SD.append_manifest(new_items(part, SD.read_manifest(spark, out), ["source_id", "key"]), out, F.lit("2024-01-31").cast("timestamp"))
+    return SD.read_manifest(spark, out).select("source_id", "key")
