@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from acervo import params as P
 from acervo.functions.text import let
 
-MONEY_PATTERN = (
-    r"(?iuU)R\$\s*([\d.,]+)\s*"
-    r"(milh[ãa]o|milh[õo]es|bilh[ãa]o|bilh[õo]es|\bmi\b|\bbi\b|\bmil\b)?"
-)
-
 
 def round_exact(value: Column, digits: int) -> Column:
     """Half-even on the exact binary value.
@@ -42,8 +37,8 @@ def _literal_map(table: dict) -> Column:
 def has_relevant_amount(text: Column, threshold: float = P.MONEY_THRESHOLD) -> Column:
     """Any amount in reais, times its unit, at or above the threshold."""
     units = _literal_map(P.MONEY_UNITS)
-    numbers = F.regexp_extract_all(text, F.lit(MONEY_PATTERN), F.lit(1))
-    names = F.regexp_extract_all(text, F.lit(MONEY_PATTERN), F.lit(2))
+    numbers = F.regexp_extract_all(text, F.lit(P.MONEY_PATTERN), F.lit(1))
+    names = F.regexp_extract_all(text, F.lit(P.MONEY_PATTERN), F.lit(2))
     values = F.zip_with(
         numbers, names,
         lambda n, u: F.replace(F.replace(n, F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double")

@@ -75,7 +75,10 @@ TAG_VOCABULARY = [
     "guidance", "projeto_novo", "expansao", "desinvestimento",
     "esg", "safra", "lancamento",
 ]
-CRITICAL_TAGS = ["default", "fato_relevante", "litigation", "m_a", "rating_change"]
+CRITICAL_TAGS = ["fato_relevante", "rating_change", "m_a", "default", "litigation"]
+
+# An amount in reais and its unit.
+MONEY_PATTERN = r"(?iuU)R\$\s*([\d.,]+)\s*(milh[ãa]o|milh[õo]es|bilh[ãa]o|bilh[õo]es|\bmi\b|\bbi\b|\bmil\b)?"
 
 # Money units after an amount in reais.
 MONEY_UNITS = {

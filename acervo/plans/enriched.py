@@ -19,10 +19,10 @@ TITLE_SQL = "'Notícia ' || {0} || ' de ' || {1}"
 
 
 def documents(spark, sf):
-    """Documents that have a vector, with their metadata."""
+    """Documents with their metadata and, where there is one, their vector."""
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     key = F.col("doc_id").cast("string")
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text").join(vectors, "doc_id")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text").join(vectors, "doc_id", "left")
     return docs.select(
         "doc_id", F.col("source").alias("source_id"), F.concat(F.lit("Notícia "), key, F.lit(" de "), "source").alias("title"),
         F.concat(F.lit("https://www."), "source", F.lit(".example.com/n/"), key).alias("url"),
@@ -63,10 +63,12 @@ def sources(spark, sf):
 
 
 @query("q51_enriched", f"""{DOCS_SQL},
-named AS (SELECT vec_id AS leader_id, 'cl_' || strftime(DATE '2024-01-01' + CAST(day AS INTEGER), '%Y-%m-%d') || '_' ||
-  {sql_slug(TITLE_SQL.format('vec_id', 'source'), 40)} || '_' || printf('%02d', CAST(row_number() OVER (ORDER BY day, vec_id) AS INTEGER)) AS cluster_id
-  FROM led JOIN d ON vec_id = leader JOIN documents ON doc_id = vec_id),
-m AS (SELECT a.id AS doc_id, cluster_id, source FROM assigned a JOIN named USING (leader_id) JOIN documents ON documents.doc_id = a.id),
+alone AS (SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)),
+heads AS (SELECT vec_id AS leader_id, day FROM led JOIN d ON vec_id = leader UNION ALL SELECT doc_id, doc_id % 30 FROM alone),
+named AS (SELECT leader_id, 'cl_' || strftime(DATE '2024-01-01' + CAST(day AS INTEGER), '%Y-%m-%d') || '_' ||
+  {sql_slug(TITLE_SQL.format('leader_id', 'source'), 40)} || '_' || printf('%02d', CAST(row_number() OVER (ORDER BY day, leader_id) AS INTEGER)) AS cluster_id
+  FROM heads JOIN documents ON doc_id = leader_id),
+m AS (SELECT a.id AS doc_id, cluster_id, source FROM (SELECT * FROM assigned UNION ALL SELECT doc_id, doc_id FROM alone) a JOIN named USING (leader_id) JOIN documents ON documents.doc_id = a.id),
 st AS (SELECT cluster_id, count(*) AS cluster_size, array_to_string(list_sort(list_distinct(list(source))), ',') AS cluster_sources FROM m GROUP BY 1),
 s AS (SELECT 'src' || s_suppkey AS source_id, s_name, CASE WHEN s_suppkey % 3 <> 0 THEN 'Setor ' || s_suppkey % 4 END AS sector, CASE s_suppkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS pr,
   CASE WHEN s_suppkey % 5 = 0 THEN 'blog' ELSE 'noticia' END AS kind FROM supplier WHERE s_suppkey <> 7),
@@ -79,7 +81,7 @@ y AS (SELECT *, format('{{:.3f}}', 0.30::DOUBLE * CASE pr WHEN 1 THEN 1.0 WHEN 2
 names AS (SELECT *, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS p FROM y)
 SELECT md5(CAST(doc_id AS VARCHAR)) AS id, cluster_id, source_id, source_name, 'https://www.' || source_id || '.example.com' AS source_url, source_type,
   {TITLE_SQL.format('doc_id', 'source_id')} AS title, 'https://www.' || source_id || '.example.com/n/' || doc_id AS url,
-  strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y-%m-%d') AS published_at, 'pt' AS language, 'Infra' AS area, subarea, CAST(pr AS BIGINT) AS priority,
+  strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y-%m-%d') AS published_at, 'pt' AS language, '2024-01-31 12:00:00' AS captured_at, 'Infra' AS area, subarea, CAST(pr AS BIGINT) AS priority,
   CASE doc_id % 3 WHEN 0 THEN p || '=' || p_name WHEN 1 THEN 'Cia ' || p || '=' || p_name ELSE 'Zzyzx=-' END || '; Qqq=-' AS risks,
   'Resumo ' || doc_id AS summary, CASE WHEN quality = 1 THEN 'positivo' ELSE 'neutro' END AS sentiment, least(1.0::DOUBLE, (doc_id % 300)::DOUBLE / 100) AS sentiment_score,
   score AS relevance_score, 'prioridade_fonte=' || pr || '(peso ' || CASE pr WHEN 1 THEN '1.0' WHEN 2 THEN '0.6' ELSE '0.3' END || ') x0.30 + portfolio=' || n_in || ' empresa(s)(peso ' ||
@@ -88,8 +90,9 @@ SELECT md5(CAST(doc_id AS VARCHAR)) AS id, cluster_id, source_id, source_name, '
   tags, CASE WHEN doc_id % 5 = 0 THEN 'nova' END AS suggested_tag, cluster_size, cluster_sources FROM names""")
 def q51(spark, sf):
     docs = documents(spark, sf)
-    # clusters over all documents with a vector; replies only decide which records are written
-    assigned = G.leader_clusters(docs, "doc_id", "day", "doc_id", "embedding", THRESHOLD)
+    # clusters over all documents, one without a vector being its own; replies only decide which records are written
+    alone = docs.filter("embedding is null").select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").cast("string").alias("leader_id"))
+    assigned = G.leader_clusters(docs.filter("embedding is not null"), "doc_id", "day", "doc_id", "embedding", THRESHOLD).unionByName(alone)
     ordered = docs.select("doc_id", "title", "day", (F.unix_date("day").cast("long") * 1_000_000_000_000 + F.col("doc_id")).alias("scan_order"))
     named = cut_lineage(G.name_clusters(assigned, ordered, "doc_id", "title", "day", "scan_order").select(
         F.col("id").cast("long").alias("doc_id"), "cluster_id"))
@@ -104,8 +107,8 @@ def q51(spark, sf):
     records = N.enriched_records(looked, parsed, risks, F.lit("2024-01-31 12:00:00").cast("timestamp"))
     shown = F.array_join(F.transform("credit_risks", lambda r: F.concat(r["name"], F.lit("="), F.coalesce(r["canonical_id"], F.lit("-")))), "; ")
     return records.select(
-        "id", "cluster_id", "source_id", "source_name", "source_url", "source_type", "title", "url", "published_at", "language", "area",
-        "subarea", F.col("priority").cast("long").alias("priority"), shown.alias("risks"), "summary", "sentiment", "sentiment_score",
+        "id", "cluster_id", "source_id", "source_name", "source_url", "source_type", "title", "url", "published_at", "language",
+        F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss").alias("captured_at"), "area", "subarea", F.col("priority").cast("long").alias("priority"), shown.alias("risks"), "summary", "sentiment", "sentiment_score",
         "relevance_score", "relevance_rationale", F.array_join("tags", ",").alias("tags"), "suggested_tag", "cluster_size",
         F.array_join("cluster_sources", ",").alias("cluster_sources"))
 

@@ -46,3 +46,11 @@ def test_mention_scan_has_no_shuffle_of_text(spark):
 
     docs = table(spark, SF_DIR, "documents")
     assert "Exchange" not in plan(scan_mentions(docs, alias_index(dictionary(spark)), "doc_id", "text"))
+
+
+def test_rating_range_is_pushed(spark):
+    from acervo.plans.feeds import _ratings
+
+    scan = plan(_ratings(spark, SF_DIR, "1998-01-01", "1998-01-08"))
+    pushed = scan[scan.index("PushedFilters"):].splitlines()[0]
+    assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
