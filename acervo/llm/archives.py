@@ -12,10 +12,10 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.llm.common import arrow_pass, shared_folder
+from acervo.llm.common import arrow_pass, shared_folder, staged
 
 # The field lists of the two published versions of the header line.
 ARC_FIELDS = {
@@ -23,7 +23,7 @@ ARC_FIELDS = {
     2: ["url", "ip", "date", "type", "code", "checksum", "location", "offset", "file", "length"],
 }
 CRLF = b"\r\n"
-FILE_BYTES = 24_000_000
+FILE_RECORDS = 4_000
 CLUE = "X-Archive-Page"
 
 
@@ -31,14 +31,9 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def records_frame(payload_records: DataFrame, folder: str, end: str, files: int) -> None:
-    """Write one column of records as files of about equal row counts, each record ended by `end`."""
-    payload_records.repartition(files).write.option("lineSep", end).option("compression", "gzip").text(folder)
-
-
-def packed_files(rows: DataFrame, size: Column) -> int:
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    return max(1, -(-total // FILE_BYTES))
+def write_records(records: DataFrame, folder: str, end: str) -> None:
+    """Write one column of records where they lie, each ended by `end`, in files of a bounded number of records."""
+    records.write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(folder)
 
 
 def write_arc(pages: DataFrame, folder: str, version: int = 1, day: str = "20200101000000") -> None:
@@ -60,11 +55,11 @@ def write_arc(pages: DataFrame, folder: str, version: int = 1, day: str = "20200
               "offset": F.lit("0"), "file": F.lit("pages.arc"), "length": F.octet_length(content).cast("string")}
     line = F.concat_ws(" ", *[fields[f] for f in ARC_FIELDS[version]])
     records = pages.select(F.concat(line, F.lit("\n"), content).alias("value"))
-    records_frame(records, folder, "\n", packed_files(pages, F.coalesce(F.octet_length("html"), F.lit(0)) + 600))
+    write_records(records, folder, "\n")
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole files of bounded size, one row each."""
+    """Whole files, each of a bounded number of records, one row each."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select(
         F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content"))
 
@@ -116,34 +111,34 @@ def http_field(head: bytes, name: str) -> str | None:
     return found.group(1).decode("utf-8", "replace") if found else None
 
 
-def read_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of ARC files: file, at, page_id, url, warc_date, media, http, payload, payload_bytes, payload_digest, record_id.
+def record_id(file: str, at: int) -> str:
+    """Name-based, so a repeated read of the same archives gives the same identifiers."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{at}')}>"
 
-    Identifiers are name-based on file and offset, so a repeated read gives the same ones. A 14-digit date becomes
-    ISO 8601; a shorter one is filled up with the first month, day or hour.
-    """
+
+def iso_date(date: str) -> str:
+    """A 14-digit date as ISO 8601; a shorter one is filled up with the first month, day or hour."""
+    day = (date + "00000101000000"[len(date):])[:14]
+    return f"{day[:4]}-{day[4:6]}-{day[6:8]}T{day[8:10]}:{day[10:12]}:{day[12:14]}Z"
+
+
+def read_arc(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of ARC files without their contents: file, at, page_id, url, payload_bytes, payload_digest, record_id."""
     def run(batches) -> Iterator[dict[str, list]]:
-        names = ("file at page_id url warc_date media http payload payload_bytes payload_digest record_id").split()
+        names = "file at page_id url payload_bytes payload_digest record_id".split()
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows: list[tuple] = []
+                rows = []
                 for at, header, body in arc_records(opened(content.as_buffer().to_pybytes())):
                     http, payload = split_http(body)
                     page = http_field(http, CLUE)
-                    day = (header["date"] + "00000101000000"[len(header["date"]):])[:14]
-                    stamp = f"{day[:4]}-{day[4:6]}-{day[6:8]}T{day[8:10]}:{day[10:12]}:{day[12:14]}Z"
-                    rows.append((file, at, None if page is None else int(page), header["url"], stamp, header["type"],
-                                 http.decode("utf-8", "replace"), payload.decode("utf-8", "replace"), len(payload),
-                                 digest32(payload), f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{at}')}>"))
-                    if len(rows) == 512:
-                        yield dict(zip(names, map(list, zip(*rows))))
-                        rows = []
+                    rows.append((file, at, None if page is None else int(page), header["url"], len(payload), digest32(payload),
+                                 record_id(file, at)))
                 if rows:
                     yield dict(zip(names, map(list, zip(*rows))))
 
-    return arrow_pass(_files(spark, folder), run, "file string, at bigint, page_id bigint, url string, warc_date string, "
-                      "media string, http string, payload string, payload_bytes bigint, payload_digest string, "
-                      "record_id string", rows=1)
+    return arrow_pass(_files(spark, folder), run, "file string, at bigint, page_id bigint, url string, payload_bytes bigint, "
+                      "payload_digest string, record_id string", rows=1)
 
 
 def with_types(records: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -162,23 +157,41 @@ def with_types(records: DataFrame, least_bytes: int = 0) -> DataFrame:
         "refers_id", F.when(again, F.col("_first.id"))).drop("_d", "_b", "_first")
 
 
-def write_warc(records: DataFrame, folder: str) -> None:
-    """WARC 1.1 files: a response carries HTTP header and payload, a revisit the HTTP header alone."""
-    revisit = F.col("record_type") == "revisit"
-    block = F.when(revisit, F.col("http")).otherwise(F.concat("http", "payload"))
-    line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", F.col("record_id")),
-        line("WARC-Date", F.col("warc_date")), line("WARC-Target-URI", F.col("url")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        line("WARC-Identified-Payload-Type", F.col("media")),
-        F.when(revisit, F.concat(
-            F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"),
-            line("WARC-Refers-To", F.col("refers_id")), line("WARC-Refers-To-Page", F.col("refers_to")))).otherwise(""),
-        F.lit("Content-Type: application/http; msgtype=response\r\n"), line("Content-Length", F.octet_length(block)),
-        F.lit("\r\n"))
-    records_frame(records.select(F.concat(head, block).alias("value")), folder, "\r\n\r\n",
-                  packed_files(records, F.col("payload_bytes") + 900))
+def warc_record(header: dict[str, str], body: bytes, name: str, kind: str, to_id: str | None, to_page: int | None) -> bytes:
+    """An ARC record's equivalent: a response carries HTTP header and payload, a revisit the HTTP header alone."""
+    http, payload = split_http(body)
+    block = http if kind == "revisit" else body
+    lines = [b"WARC/1.1", f"WARC-Type: {kind}".encode(), f"WARC-Record-ID: {name}".encode(),
+             f"WARC-Date: {iso_date(header['date'])}".encode(), f"WARC-Target-URI: {header['url']}".encode(),
+             f"WARC-Payload-Digest: sha1:{digest32(payload)}".encode(), f"WARC-Identified-Payload-Type: {header['type']}".encode()]
+    if header["ip"] != "0.0.0.0":
+        lines.append(f"WARC-IP-Address: {header['ip']}".encode())
+    if kind == "revisit":
+        lines += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {to_id}".encode()]
+        lines += [] if to_page is None else [f"WARC-Refers-To-Page: {to_page}".encode()]
+    lines += [b"Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}".encode(), b"", b""]
+    return CRLF.join(lines) + block
+
+
+def write_warc(arc_folder: str, types: DataFrame, folder: str) -> None:
+    """WARC 1.1 files of ARC files; `types` says for each record (file, at) its record_type, refers_id and refers_to.
+
+    The types of a file's records meet the file as it is, compressed; contents are never shuffled record by record.
+    Spark's text writer takes UTF-8 only, so a record that is not is an error.
+    """
+    spark = types.sparkSession
+    by_file = types.groupBy(F.col("file").alias("_file")).agg(F.collect_list(F.struct("at", "record_type", "refers_id", "refers_to")).alias("said"))
+    held = _files(spark, arc_folder).join(by_file, F.col("file") == F.col("_file")).select("file", "content", "said")
+
+    def run(batches) -> Iterator[dict[str, list]]:
+        for batch in batches:
+            said = {s["at"]: s for s in batch.column(2).to_pylist()[0]}
+            file, content = batch.column(0)[0].as_py(), batch.column(1)[0].as_buffer().to_pybytes()
+            yield {"value": [
+                warc_record(header, body, record_id(file, at), said[at]["record_type"], said[at]["refers_id"], said[at]["refers_to"]).decode()
+                for at, header, body in arc_records(opened(content))]}
+
+    write_records(arrow_pass(held, run, "value string", rows=1), folder, "\r\n\r\n")
 
 
 def warc_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -227,11 +240,12 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 def converted(pages: DataFrame, version: int = 1, least_bytes: int = 0) -> DataFrame:
     """Pages to ARC files, those to WARC files, and the WARC files read back.
 
-    Files of about 24 MB of records lie in the shared folder. An empty table gives no record. Further columns of `pages`
+    Files of at most 4000 records each lie in the shared folder. An empty table gives no record. Further columns of `pages`
     play no part.
     """
     spark = pages.sparkSession
     arc, warc = shared_folder(spark, "arc"), shared_folder(spark, "warc")
     write_arc(pages.select("page_id", "url", "html"), arc, version)
-    write_warc(with_types(read_arc(spark, arc), least_bytes), warc)
+    types = with_types(staged(read_arc(spark, arc), "arc-records"), least_bytes)
+    write_warc(arc, types.select("file", "at", "record_type", "refers_id", "refers_to"), warc)
     return read_warc(spark, warc)

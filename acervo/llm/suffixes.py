@@ -18,7 +18,7 @@ from acervo.llm.common import arrow_pass, staged, unsqueezed
 from acervo.llm.decontamination import suffix_order
 from acervo.llm.repeats import aligned, anchored, assembled, candidates, contexts, cut, firsts, seeded, settled, with_texts
 
-SEED_BYTES = 24
+SEED_BYTES = 32
 BATCH_BYTES = 1 << 20
 MOST_CONTEXTS = 1000
 
