@@ -96,15 +96,16 @@ def firsts(found: DataFrame, window: int) -> DataFrame:
 
 
 def seeded(found: DataFrame, first: DataFrame) -> DataFrame:
-    """Documents with anchors that occur again, copies of whole documents left out: d, x, seeds (places).
+    """Documents with anchors that occur again, copies of whole documents left out: k (hash of d and x), seeds (places).
 
-    Counts are summed before they are shuffled; only the repeated anchors' documents go on.
+    Counts are summed before they are shuffled; only the repeated anchors' documents go on. Should two documents share k,
+    each gets the other's places as well, where it has no anchor or one more to look into.
     """
     own = found.join(first, "whole").where("d = fd and x = fx").select(
-        "d", "x", F.explode(F.arrays_zip("h", "p")).alias("s")).select("d", "x", F.col("s.h").alias("h"), F.col("s.p").alias("p"))
+        F.xxhash64("d", "x").alias("k"), F.explode(F.arrays_zip("h", "p")).alias("s")).select("k", F.col("s.h").alias("h"), F.col("s.p").alias("p"))
     # a table of its own, so that the join can split an anchor with very many rows
     again = staged(own.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
-    return own.join(again, "h", "left_semi").groupBy("d", "x").agg(F.collect_set("p").alias("seeds"))
+    return own.join(again, "h", "left_semi").groupBy("k").agg(F.collect_set("p").alias("seeds"))
 
 
 def candidates(docs: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -114,8 +115,8 @@ def candidates(docs: DataFrame, seeds: DataFrame) -> DataFrame:
             d, x, raws = (c.to_pylist() for c in batch.columns)
             yield {"d": d, "x": x, "raw": [squeezed(r) for r in raws]}
 
-    mine = seeds.select(F.col("d").alias("_d"), F.col("x").alias("_x"), "seeds")
-    found = arrow_pass(keyed(docs), run, "d bigint, x bigint, raw binary").join(mine, (F.col("d") == F.col("_d")) & (F.col("x") == F.col("_x")))
+    found = arrow_pass(keyed(docs), run, "d bigint, x bigint, raw binary").join(
+        seeds, F.xxhash64("d", "x") == F.col("k"))
     return found.select("d", "x", "raw", "seeds")
 
 
