@@ -110,12 +110,6 @@ def title_key(title: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(fold(F.coalesce(title, F.lit(""))), "[^a-zA-Z0-9 ]", "")))
 
 
-def null_if_sentinel(value: Column) -> Column:
-    """Null for the texts that stand for a missing value."""
-    blank = F.lower(F.trim(value)).isin("", "none", "nan", "nat", "—", "n/d")
-    return F.when(blank, F.lit(None)).otherwise(value)
-
-
 def escape_html(value: Column, multiline: bool = False, quotes: bool = False) -> Column:
     text = F.when(F.lower(F.trim(value)).isin("none", "nan", "nat", ""), F.lit("")).otherwise(value)
     text = F.coalesce(text, F.lit(""))

@@ -199,3 +199,22 @@ def q60(spark, sf):
         F.upper("p_name").alias("query"), "p_partkey", U.domain_or_unknown(F.col("url")).alias("domain"), F.col("p_type").alias("title"))
     return feeds.last_hit_wins(feeds.expand_queries(queries, hits, "query"), "domain", "title", [F.col("p_partkey")]).select(
         "domain", "title", "p_partkey", "query")
+
+
+@query("q36_sources_without_feed", """
+SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE lang = 'es' AND doc_id % 7 = 0)""")
+def q36_without(spark, sf):
+    docs = table(spark, sf, "documents")
+    items = docs.filter("lang = 'es' and doc_id % 7 = 0")
+    return feeds.sources_without_feed(docs.select("source").distinct(), items, "source")
+
+
+@query("q47_with_required", """
+SELECT doc_id FROM documents WHERE doc_id % 5 <> 0 AND lang <> 'fr'""")
+def q47_required(spark, sf):
+    """Rows in which every required field holds something; null and empty are both missing."""
+    from acervo.operators.filters import with_required
+
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("origin"), F.when(F.col("lang") == "fr", "").otherwise(F.col("lang")).alias("tongue"))
+    return with_required(docs, ["origin", "tongue"]).select("doc_id")

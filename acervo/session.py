@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 
@@ -65,7 +64,3 @@ def write_current_and_history(report: DataFrame, path: str, day: str) -> None:
     """The same content under a fixed name and under its date."""
     report.write.mode("overwrite").parquet(f"{path}/history/date={day}")
     report.write.mode("overwrite").parquet(f"{path}/current")
-
-
-def rating_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
