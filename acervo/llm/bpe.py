@@ -37,7 +37,7 @@ def packed(ids: list[int]) -> bytes:
 class Codec:
     """One vocabulary file, loaded where it is used."""
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = 200_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = byte_letters()

@@ -60,14 +60,16 @@ def arrow_pass(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator
 
 
 def worker_store(kind: str, version: str, make: Callable):
-    """One object of a kind per Python worker, kept for its later tasks and replaced when the version changes.
+    """One object per Python worker, kept for its later tasks until another kind or version is asked for.
 
     It must only hold what any task could make again.
     """
     store = sys.modules.setdefault("acervo_worker_store", types.ModuleType("acervo_worker_store")).__dict__
-    if kind not in store or store[kind][0] != version:
-        store[kind] = (version, make())
-    return store[kind][1]
+    if store.get("key") != (kind, version):
+        store["key"] = store["held"] = None
+        store["held"] = make()
+        store["key"] = (kind, version)
+    return store["held"]
 
 
 def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -10,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.llm.common import arrow_pass, utf8
+from acervo.llm.common import arrow_pass, utf8, worker_store
 
 # lower-cases A-Z; every ASCII byte that is no letter or digit becomes a blank
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -204,7 +205,7 @@ def without_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def benchmark_spans(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), window: int = 10,
-                    clean: bool = False, block_bytes: int = 8_000_000, shard_bytes: int = 24_000_000) -> DataFrame:
+                    clean: bool = False, block_bytes: int = 8_000_000, shard_bytes: int = 6_000_000) -> DataFrame:
     """Spans of document words that lie in a benchmark window.
 
     Words are runs of ASCII letters, digits and all characters beyond ASCII, with A-Z lower-cased. A window is `window`
@@ -222,12 +223,12 @@ def benchmark_spans(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = (
     for block in range(blocks):
         rows = texts.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).where("raw is not null").collect()
         sent.append(spark.sparkContext.broadcast([(r.item, bytes(r.raw)) for r in sorted(rows)]))
-    types = dict(docs.dtypes)
+    types, version = dict(docs.dtypes), uuid.uuid4().hex
     schema = ", ".join([f"_k{i} {types[c]}" for i, c in enumerate(keep)] + [
         "n_words bigint, spans array<struct<s:bigint,e:bigint>>, items array<string>"] + (["text string"] if clean else []))
 
     def run(batches) -> Iterator[dict[str, list]]:
-        phrases = [Phrases(block.value, window) for block in sent] if len(sent) == 1 else None
+        phrases = worker_store("phrases", version, lambda: [Phrases(sent[0].value, window)]) if len(sent) == 1 else None
 
         def finish(kept, raws):
             words = [fold_words(raw or b"") for raw in raws]

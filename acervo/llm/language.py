@@ -138,7 +138,7 @@ class Model:
 class Scorer:
     """Word scores of one model, kept for the words met lately."""
 
-    def __init__(self, model: Model, words: int = 300_000):
+    def __init__(self, model: Model, words: int = 200_000):
         self.model, self.bound = model, words
         self.find = Pieces(model.pieces)
         self.single = model.single()
