@@ -97,12 +97,16 @@ def repeated_intervals(parts: list[bytes], window: int, shards: int = 2) -> Iter
 
 
 def segments(held: DataFrame, window: int) -> DataFrame:
-    """The bytes of segments by document (d, x, raw, got): h, d, x, a, m, seg."""
+    """The bytes of segments by document (d, x, raw, got): h, d, x, a, m, seg. Of repeated rows that meet, one goes on."""
     def run(batches) -> Iterator[dict[str, list]]:
         names = ["h", "d", "x", "a", "m", "seg"]
+        last = None
         for batch in batches:
             rows = []
             for d, x, raw, got in zip(*[c.to_pylist() for c in batch.columns]):
+                if (d, x) == last:
+                    continue
+                last = d, x
                 raw = unsqueezed(raw)
                 rows += [(g["h"], d, x, g["a"], g["m"], raw[g["a"]:g["a"] + g["m"] + window - 1]) for g in got]
             if rows:
@@ -112,7 +116,10 @@ def segments(held: DataFrame, window: int) -> DataFrame:
 
 
 def merged_repeats(dealt: DataFrame, window: int) -> DataFrame:
-    """Windows that start earlier in another segment of their anchor, as ranges of starts: d, x, s, e."""
+    """Windows that start earlier in another segment of their anchor, as ranges of starts: d, x, s, e.
+
+    `dealt` is sorted by h, d, x and a; a segment that repeated rows bring several times is taken once.
+    """
     def solve(rows):
         parts = [r[5] for r in rows]
         begins = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
@@ -142,6 +149,8 @@ def merged_repeats(dealt: DataFrame, window: int) -> DataFrame:
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if held and row[:4] == held[-1][:4]:
+                    continue
                 if size >= BATCH_BYTES and row[0] != held[-1][0]:
                     yield flush()
                     held, size = [], 0
@@ -172,7 +181,7 @@ def deduplicated(docs: DataFrame, window: int = 100, seed: int = SEED_BYTES) ->
     copies, different = settled(texts)
     bound = F.lit(MOST_CONTEXTS)
     few = segments(with_texts(texts, different.where(F.col("of") <= bound)), window)
-    merged = merged_repeats(few.repartition("h").sortWithinPartitions("h"), window)
+    merged = merged_repeats(few.repartition("h").sortWithinPartitions("h", "d", "x", "a"), window)
     hot = aligned(with_texts(texts, different.where(F.col("of") > bound)), "byte", window)
     removed = cut(texts, copies.union(merged).union(hot), "byte", window)
     return assembled(found, first, removed, window).withColumnRenamed("n", "n_bytes").withColumnRenamed("sha", "kept_sha256")

@@ -265,6 +265,19 @@ def test_byte_repeats_edges(edge_docs, no_docs, monkeypatch, most):
         assert suffixes.deduplicated(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("most", [1000, 1])
+def test_byte_repeats_of_repeated_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "MOST_CONTEXTS", most)
+    random.seed(8)
+    base, other, third = ("".join(random.choice("abcdefgh ") for _ in range(500)) for _ in range(3))
+    once = [(1, base), (2, other[:90] + base[150:400] + other[90:]), (3, third), (4, None), (None, other[200:380] + third[:200])]
+    rows = once + [once[0], once[1], once[1], once[2], once[4]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicated(docs).collect())
+    times = Counter(d for d, _ in rows)
+    assert got == Counter({row: times[row[0]] for row in brute_bytes(once)})
+
+
 def test_repeats_in_random_texts(spark):
     random.seed(5)
     pool = ["".join(random.choice("abcd ") for _ in range(400)) for _ in range(6)]
