@@ -19,8 +19,8 @@ CHECKSUMS = ["commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "r
 SHAPE = set((string.ascii_letters + string.digits + "+/=_-").encode())
 BLANKED = bytes(b if b in SHAPE else 32 for b in range(256))
 LONG = re.compile(rb"[A-Za-z0-9+/=_\-]{16,}")
-ASSIGNED = re.compile(rb"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access_key|auth|credential|private)[\w-]{0,16}"
-                      rb"[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}([\"'`]?)([^\s\"'`]{8,200})")
+ASSIGNED = re.compile(rb"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access_key|auth|credential|private)[\w-]{0,16}[\"'`]?"
+                      rb"[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}(?:\"([^\s\"]{8,})|'([^\s']{8,})|`([^\s`]{8,})|([^\s\"'`]{8,}))")
 SPELT = [k.encode() for k in KEYWORDS]
 FEATURES = ["length", "entropy", "letter_digit", "case_change", "coverage", "digits", "hex", "symbols", "keyword_before",
             "assigned", "quoted", "decoy_value", "decoy_near", "checksum_near", "address_near", "path_test", "path_code"]
@@ -32,7 +32,10 @@ def ordinary(token: bytes) -> bool:
 
 
 def spans(raw: bytes) -> list[tuple[int, int]]:
-    """Candidate byte ranges in order, not overlapping: long runs that are no plain word, and values given to a credential."""
+    """Candidate byte ranges in order, not overlapping: long runs that are no plain word, and values given to a credential.
+
+    A value runs to its closing quote or to a blank, however long it is; its name may be quoted.
+    """
     found = []
     if any(len(t) >= 16 and not ordinary(t) for t in raw.translate(BLANKED).split()):
         for m in LONG.finditer(raw):
@@ -44,7 +47,7 @@ def spans(raw: bytes) -> list[tuple[int, int]]:
     low = raw.lower()
     if any(k in low for k in SPELT):
         for m in ASSIGNED.finditer(raw):
-            found.append(m.span(2))
+            found.append(m.span(m.lastindex))
     out: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if out and a < out[-1][1]:

@@ -153,6 +153,30 @@ def test_secrets_edges(spark, edge_docs, no_docs):
     assert all(got[i] == want[i] for i in (2, 3, 4, 5))
 
 
+def held_values(raw):
+    return [raw[a:b] for a, b in secrets.spans(raw)]
+
+
+def test_assigned_values_are_whole():
+    odd = b"".join(b"Zk3.vQ9!" + str(i).encode() for i in range(60))
+    jwt = b".".join(bytes(random.Random(n).choice(b"abcdefXYZ0123456789_-") for _ in range(n)) for n in (120, 400, 86))
+    for value in (odd, jwt, b"x.7%" * 25_000):
+        for line in (b'password = "%s" end', b"token: %s end", b"{'secret': '%s'}", b'{"api_key":"%s","b":1}', b"`auth` => `%s`"):
+            assert held_values(line % value) == [value], line
+    assert held_values(b'{"password": "P@ss.w0rd!x", "n": 1}') == [b"P@ss.w0rd!x"]
+    assert held_values(b'{"password": "P@ss\'w0rd`x!", "n": 1}') == [b"P@ss'w0rd`x!"]
+
+
+def test_long_values_and_quoted_keys_are_masked(spark):
+    dictionary = secrets.dictionary_of(bpe.vocabulary_path(spark))
+    forest = secrets.fit(secrets.published_findings(), dictionary)
+    rng = random.Random(6)
+    value = "".join(rng.choice("abcdefghXYZ0123456789") for _ in range(90)) + "".join("." + "".join(rng.choice("abcXYZ0123456789_-") for _ in range(n)) for n in (260, 43))
+    docs = spark.createDataFrame([(1, f'{{"token": "{value}", "b": 1}}', "s"), (2, f'token = "{value}"', "s")], "doc_id int, text string, source string")
+    got = {r.doc_id: r.redacted for r in secrets.scanned(docs, forest, dictionary).collect()}
+    assert got == {1: '{"token": "[secret]", "b": 1}', 2: 'token = "[secret]"'}
+
+
 def test_forest_tells_held_out_findings_apart(spark):
     dictionary = secrets.dictionary_of(bpe.vocabulary_path(spark))
     forest = secrets.fit(secrets.published_findings(800, 1), dictionary)
