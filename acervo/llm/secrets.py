@@ -34,27 +34,31 @@ def ordinary(token: bytes) -> bool:
 def spans(raw: bytes) -> list[tuple[int, int]]:
     """Candidate byte ranges in order, not overlapping: long runs that are no plain word, and values given to a credential.
 
-    A value runs to its closing quote or to a blank, however long it is; its name may be quoted.
+    A value runs to its closing quote or to a blank, however long it is; its name may be quoted. A run that holds such a
+    value ends at the value's name and goes on after the value, so that a candidate starts where the value does.
     """
-    found = []
+    low = raw.lower()
+    given = [(m.start(), *m.span(m.lastindex)) for m in ASSIGNED.finditer(raw)] if any(k in low for k in SPELT) else []
+    out = [(a, b) for _, a, b in given]
     if any(len(t) >= 16 and not ordinary(t) for t in raw.translate(BLANKED).split()):
+        i = 0
         for m in LONG.finditer(raw):
-            a, b = m.span()
-            while a < b and raw[a] in b"=-_/+":
-                a += 1
-            if b - a >= 16 and not ordinary(raw[a:b]):
-                found.append((a, b))
-    low = raw.lower()
-    if any(k in low for k in SPELT):
-        for m in ASSIGNED.finditer(raw):
-            found.append(m.span(m.lastindex))
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if out and a < out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+            start, end = m.span()
+            parts = []
+            while i < len(given) and given[i][1] < end:
+                name, a, b = given[i]
+                if b > start:
+                    parts.append((start, name))
+                    start = b
+                if b > end:
+                    break
+                i += 1
+            for a, b in [*parts, (start, end)]:
+                while a < b and raw[a] in b"=-_/+":
+                    a += 1
+                if b - a >= 16 and not ordinary(raw[a:b]):
+                    out.append((a, b))
+    return sorted(out)
 
 
 def entropy(value: str) -> float:
@@ -190,6 +194,15 @@ def marked(line: bytes) -> tuple[bytes, int, int]:
     return line.replace(b"\x01", b""), a, b
 
 
+def found_lines(findings: list[tuple[bytes, str, int]]) -> list[tuple[bytes, str, int]]:
+    """Labelled lines with the marks around what the scan finds of the value; lines where it finds nothing are left out."""
+    out = []
+    for line, path, label in findings:
+        raw, start, end = marked(line)
+        out += [(raw[:a] + b"\x01" + raw[a:b] + b"\x01" + raw[b:], path, label) for a, b in spans(raw) if a < end and b > start]
+    return out
+
+
 def context(docs: DataFrame, share: float, seed: int = 29) -> DataFrame:
     """Candidates of a hashed share of the documents, each as a labelled line would be: line, path."""
     def run(batches) -> Iterator[dict[str, list]]:
@@ -284,4 +297,4 @@ def scanned(docs: DataFrame, forest: Forest, dictionary: frozenset[str], keep: t
 
 def trained(spark: SparkSession, docs: DataFrame, vocabulary: str) -> tuple[Forest, frozenset[str]]:
     dictionary = dictionary_of(vocabulary)
-    return fit(published_findings() + corpus_findings(docs, dictionary), dictionary), dictionary
+    return fit(found_lines(published_findings()) + corpus_findings(docs, dictionary), dictionary), dictionary
