@@ -39,7 +39,8 @@ def write_records(records: DataFrame, folder: str, end: str) -> None:
 def write_arc(pages: DataFrame, folder: str, version: int = 1, day: str = "20200101000000") -> None:
     """Pages (page_id, url, html) as ARC files of the given version.
 
-    A URL's blanks and line ends are percent-encoded, a null or empty one is "-"; the content is an HTTP response whose
+    A URL's blanks and line ends are percent-encoded, and the colon after a leading "filedesc", which would make the record
+    a file description; a null or empty one is "-"; the content is an HTTP response whose
     body is the html in UTF-8 (null: empty) and whose header carries the page id (null: no such header).
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
@@ -50,6 +51,7 @@ def write_arc(pages: DataFrame, folder: str, version: int = 1, day: str = "20200
     content = F.concat(head, body)
     url = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), " ", "%20"),
                                             "[\\r\\n]+", "%0A"), "\\t", "%09")
+    url = F.regexp_replace(url, "^filedesc:", "filedesc%3A")
     fields = {"url": F.when(url == "", "-").otherwise(url), "ip": F.lit("0.0.0.0"), "date": F.lit(day),
               "type": F.lit("text/html"), "code": F.lit("200"), "checksum": F.lit("-"), "location": F.lit("-"),
               "offset": F.lit("0"), "file": F.lit("pages.arc"), "length": F.octet_length(content).cast("string")}

@@ -88,6 +88,13 @@ def test_archives_small_payloads_stay_responses(spark):
     assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_pages_named_like_file_descriptions_stay(spark, version):
+    pages = spark.createDataFrame([(1, "filedesc://a.arc", "abc"), (2, "filedesc:", "de"), (3, "http://filedesc:8/", "f")], "page_id bigint, url string, html string")
+    got = {r.page_id: r.payload_bytes for r in archives.converted(pages, version).collect()}
+    assert got == {1: 3, 2: 2, 3: 1}
+
+
 def test_archive_headers():
     raw = b"filedesc://x 0.0.0.0 2001 text/plain 3\nabc\nhttp://a 1.2.3.4 20010203 image/png 4\nGIF8\n"
     (at, header, body), = archives.arc_records(raw)
