@@ -49,11 +49,15 @@ def new_wide_items(items: DataFrame, manifest: DataFrame, keys: list[str]) -> Da
     """The same for rows with a large payload.
 
     The manifest, which only grows, meets the keys alone; the payload is then
-    filtered by the new keys, few enough in a daily run to be broadcast.
+    filtered by the new keys, few enough in a daily run to be broadcast. Items
+    with a null in their key are never in the manifest and stay, as in new_items().
     """
     if manifest.isEmpty():  # a first run: everything is new
         return items
-    return items.join(new_items(items.select(*keys).distinct(), manifest, keys), keys, "left_semi")
+    fresh = new_items(items.select(*keys).distinct(), manifest, keys)
+    fresh = fresh.select(*[F.col(k).alias(f"_new{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_new{i}")) for i, k in enumerate(keys)]
+    return items.join(fresh, same, "left_semi")
 
 
 def extend_manifest(manifest: DataFrame, accepted: DataFrame, keys: list[str], dismissed: DataFrame | None = None) -> DataFrame:

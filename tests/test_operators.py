@@ -151,6 +151,15 @@ def test_first_wins_and_null_keys(spark):
 
 # --- catalogue ------------------------------------------------------------------
 
+def test_items_without_a_key_are_new_on_every_run(spark):
+    items = spark.createDataFrame([("a", "k1", 1), ("a", "k2", 2), (None, "k1", 3), ("a", None, 4), (None, None, 5)], "s string, key string, o int")
+    for seen, want in (([], [1, 2, 3, 4, 5]), ([("a", "k1"), ("a", None), (None, None)], [2, 3, 4, 5])):
+        manifest = spark.createDataFrame(seen, "s string, key string")
+        for new in (dedup.new_items, dedup.new_wide_items):
+            found = new(items, manifest, ["s", "key"])
+            assert sorted(r.o for r in found.collect()) == want and sorted(found.columns) == ["key", "o", "s"]
+
+
 def test_status_upsert(spark):
     schema = "source_id string, status string, last_run timestamp, docs_captured long, last_error string"
     old = dt.datetime(2020, 1, 1)
