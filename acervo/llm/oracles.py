@@ -121,3 +121,52 @@ SELECT doc_id, CAST(length(x) / 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGIN
        CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
 FROM k
 """
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII or UTF-8 text; reads the text's bytes from its hexadecimal form."""
+    byte = "CAST('0x' || substr(hex(encode({t})), 2 * i + 1, 2) AS BIGINT)".format(t=text)
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), "
+            f"[{byte} FOR i IN range(0, CAST(length(hex(encode({text}))) / 2 AS BIGINT))]), "
+            "lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))")
+
+
+OP13 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {crc32("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents),
+e AS (
+  SELECT doc_id, len(ws) AS n, ws, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a,
+         1 + (len(ws) - (h // 10) % greatest(len(ws), 1)) // (3 + (h // 10) % 8) AS p FROM d),
+w AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN ws ELSE [ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] FOR i IN range(0, n)] END AS ws
+  FROM e),
+g AS (
+  SELECT doc_id, unnest(range(0, n - 5)) AS i, unnest([md5(array_to_string(ws[j + 1:j + 6], ' ')) FOR j IN range(0, n - 5)]) AS gram
+  FROM w WHERE n >= 12),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+o AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+c AS (SELECT doc_id, q, min(i) AS s, count(*) + 5 + q AS l FROM o GROUP BY doc_id, q, island HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+r AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c b WHERE b.doc_id = c.doc_id AND b.q < c.q AND b.s <= c.s AND b.s + b.l >= c.s + c.l)),
+t AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+         min([-l, s, q]) AS best FROM r GROUP BY doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(s + q, s + l)))) AS gone FROM r GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best[2] AS BIGINT) AS start, CAST(-best[1] AS BIGINT) AS length,
+       CAST(best[3] AS BIGINT) AS period, CAST(-1000 * best[1] // best[3] AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(array_to_string([ws[i + 1] FOR i IN range(0, n) IF gone IS NULL OR NOT list_contains(gone, i)], ' ')) AS collapsed_sha256
+FROM w LEFT JOIN t USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+OP11 = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -102,6 +102,39 @@ def op10(spark, sf_dir):
     return deduplicated(table(spark, sf_dir, "documents"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text of all documents; where crc32(doc_id) says so, a tail of the words repeats with a period.
+
+    Other texts stay as they are; a null doc_id plants nothing.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        return F.when(n == 0, "").otherwise(F.array_join(F.transform(
+            F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.transform(F.array(words), planted)[0]).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_runs", oracles.OP13)
+def op13(spark, sf_dir):
+    from acervo.llm.runs import periodic_runs
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.aggregate("runs", F.expr("struct(0L AS start, 0L AS length, 0L AS period)"), lambda best, r: F.when(r.length > best.length, r).otherwise(best))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")))
+    some = found.withColumn("best", F.when(F.size("runs") > 0, longest))
+    return some.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
