@@ -102,6 +102,13 @@ def op10(spark, sf_dir):
     return deduplicated(table(spark, sf_dir, "documents"))
 
 
+@query("op11_topk", oracles.OP11)
+def op11(spark, sf_dir):
+    from acervo.llm.topk import highest
+    vectors = table(spark, sf_dir, "embeddings")
+    return highest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text of all documents; where crc32(doc_id) says so, a tail of the words repeats with a period.
 
