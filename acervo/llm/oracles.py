@@ -159,6 +159,76 @@ SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best[2] AS
 FROM w LEFT JOIN t USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
 
+def _state(of: list[str]) -> str:
+    return f"list_min(list_filter([{', '.join(of)}], lambda z: z IS NOT NULL))"
+
+
+def _edit(state: str, letter: str, cost: str, line: str | None = None, when: str = "true") -> str:
+    """A state after an edit, null if the edit is not allowed or the state was not reached."""
+    lines = f"{state}.o" if line is None else f"list_append({state}.o, {line})"
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {lines}}} END"
+
+
+def _step() -> str:
+    """The four states after a row, before insertions."""
+    cut = "CASE WHEN cut THEN 3 ELSE 0 END"
+    stay = "NOT blank AND NOT dup"
+
+    def turn(state: str, initial: str) -> list[str]:
+        role = {"u": "user", "a": "assistant"}.get(initial)
+        kept = _edit(state, "K", cut, "role || ':' || text", f"{stay} AND ini = '{initial}'")
+        return [kept] + ([_edit(state, "R", f"3 + {cut}", f"'{role}:' || text", stay)] if role else [])
+
+    asked = [e for s in ("s0", "s1", "s3") for e in turn(s, "u")]
+    return (f"{_state([_edit('s0', 'D', '4')])} AS t0, {_state([_edit('s1', 'D', '4'), *turn('s0', 's')])} AS t1, "
+            f"{_state([_edit('s2', 'D', '4'), *asked])} AS t2, {_state([_edit('s3', 'D', '4'), *turn('s2', 'a')])} AS t3")
+
+
+def _closed() -> str:
+    """The four states with the insertions that may follow; user before assistant."""
+    asked = _state(["t2", *[_edit(f"t{i}", "I", "3", "'user:'") for i in (0, 1, 3)]])
+    return f"t0 AS s0, t1 AS s1, {asked} AS s2, t3"
+
+
+ANSWERED = _state(["t3", _edit("s2", "I", "3", "'assistant:'")])
+
+
+OP12 = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+r AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM r),
+f AS (
+  SELECT *, left(role, 1) AS ini, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS solid,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev FROM o),
+g AS MATERIALIZED (
+  SELECT *, solid = '' AS blank, solid <> '' AND seen > 1 AS dup,
+         solid <> '' AND seen = 1 AND right(solid, 1) NOT IN ('.', '!', '?') AS cut FROM f),
+q AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+z AS (SELECT conv_id, {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS t0 FROM q),
+a0 AS (SELECT conv_id, t0, CASE WHEN t0.c > 0 THEN t0 END AS t1, CASE WHEN t0.c > 0 THEN t0 END AS t2, CASE WHEN t0.c > 0 THEN t0 END AS t3 FROM z),
+d AS (
+  SELECT conv_id, i, s0, s1, s2, {ANSWERED} AS s3 FROM (SELECT conv_id, CAST(0 AS BIGINT) AS i, {_closed()} FROM a0)
+  UNION ALL
+  SELECT conv_id, i, s0, s1, s2, {ANSWERED} AS s3 FROM (SELECT conv_id, i, {_closed()} FROM (
+    SELECT g.conv_id, g.i, {_step()} FROM d JOIN g ON g.conv_id IS NOT DISTINCT FROM d.conv_id AND g.i = d.i + 1))),
+e AS (SELECT d.conv_id, {_state(["s0", "s3"])} AS best FROM d JOIN q ON d.conv_id IS NOT DISTINCT FROM q.conv_id AND d.i = q.n),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(array_to_string(best.o, chr(10)), '')) AS repaired_sha256
+FROM c LEFT JOIN q ON c.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 OP11 = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings

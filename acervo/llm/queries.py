@@ -109,6 +109,31 @@ def op11(spark, sf_dir):
     return highest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows of conversations with faults planted by crc32 of `conv_id:turn`; a null is one blank."""
+    def plain(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    rows = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(plain("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(plain("text"), ".!?", "")).otherwise(plain("text")).alias("text"),
+        kind.alias("kind")).where("kind <> 0")
+    return rows.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+
+
+@query("op12_repair", oracles.OP12)
+def op12(spark, sf_dir):
+    from acervo.llm.repair import digests, repaired
+    conversations = table(spark, sf_dir, "conversations")
+    report, turns = repaired(damaged(conversations))
+    found = report.join(digests(turns).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).withColumnRenamed("conv_id", "r")
+    every = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("r")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text of all documents; where crc32(doc_id) says so, a tail of the words repeats with a period.
 
