@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from acervo.llm.common import arrow_schema
 
-PAGE = 96
+PAGE = 512
 FANOUT = 16
 QUERY_BLOCK = 16
 FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -38,14 +38,14 @@ class MetricTree:
     def __init__(self, ids: np.ndarray, points: np.ndarray, seed: int = 11):
         wide = points.astype(np.float64)
         self.width = points.shape[1]
-        # while every partial sum is below 2**53 doubles are exact; beyond that Python's integers score
-        self.exact = self.width * float(np.abs(wide).max(initial=0)) ** 2 < 2.0 ** 52
+        self.most = float(np.abs(wide).max(initial=0))
         order = np.lexsort((ids, *points.T)) if self.width else np.argsort(ids, kind="stable")
         points, ids = points[order], ids[order]
         new = np.ones(len(ids), bool)
         new[1:] = (points[1:] != points[:-1]).any(axis=1)
         self.first = np.append(np.flatnonzero(new), len(ids))
         self.ids = ids
+        self.low, self.high = ids[self.first[:-1]], ids[self.first[1:] - 1]
         self.whole = points[new]
         self.points = wide[order][new]
         self.squares = np.einsum("ij,ij->i", self.points, self.points)
@@ -96,7 +96,8 @@ class MetricTree:
         if self.root is None:
             return []
         wide = query.astype(np.float64)
-        exact = self.exact and self.width * max(float(np.abs(wide).max(initial=0)), float(np.abs(self.points).max(initial=0))) ** 2 < 2.0 ** 52
+        # while every partial sum is below 2**52 doubles are exact; beyond that Python's integers score
+        exact = self.width * max(float(np.abs(wide).max(initial=0)), self.most) ** 2 < 2.0 ** 52
         whole = None if exact else [int(x) for x in query]
         square = float(wide @ wide)
         length = square ** 0.5
@@ -114,19 +115,28 @@ class MetricTree:
                 ceiling = (square + page.norms - reach * reach) / 2 + SLACK * (square + page.norms)
                 live = np.flatnonzero(np.maximum(ceiling, LEAST) >= worst)
                 self.computed += len(live)
+                rows = page.rows[live]
                 if exact:
-                    scores = (page.centres[live] @ wide).astype(np.int64).tolist()
+                    most = 2 * len(live) > len(page.rows)
+                    scores = (page.centres @ wide)[live] if most else page.centres[live] @ wide
                 else:
-                    sums = (sum(a * int(b) for a, b in zip(whole, self.whole[page.rows[i]])) for i in live)
-                    scores = [min(max(s, LEAST), MOST) for s in sums]
-                for at, score in zip(live.tolist(), scores):
+                    sums = (sum(a * int(b) for a, b in zip(whole, self.whole[row])) for row in rows)
+                    scores = np.array([min(max(s, LEAST), MOST) for s in sums], object)
+                # an entry of the query's own id alone offers nothing
+                others = ~((self.low[rows] == own) & (self.high[rows] == own))
+                rows, scores = rows[others], scores[others]
+                if len(scores) > k:
+                    # each entry offers an id, so what k entries of the page exceed is not among the k best
+                    chosen = scores >= max(worst, np.sort(scores)[-k])
+                    rows, scores = rows[chosen], scores[chosen]
+                for row, score in zip(rows.tolist(), scores.tolist()):
                     if score < worst:
                         continue
-                    for name in self._members(int(page.rows[at]), own, k):
+                    for name in self._members(row, own, k):
                         if len(best) < k:
-                            heapq.heappush(best, (score, -name))
+                            heapq.heappush(best, (int(score), -name))
                         elif (score, -name) > best[0]:
-                            heapq.heapreplace(best, (score, -name))
+                            heapq.heapreplace(best, (int(score), -name))
                         else:
                             break
                     if len(best) == k:
