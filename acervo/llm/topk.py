@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from acervo.llm.common import arrow_schema
 
-PAGE = 512
+PAGE = 1024
 FANOUT = 16
 QUERY_BLOCK = 16
 FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -45,6 +45,7 @@ class MetricTree:
         new[1:] = (points[1:] != points[:-1]).any(axis=1)
         self.first = np.append(np.flatnonzero(new), len(ids))
         self.ids = ids
+        self.names = np.unique(ids)
         self.low, self.high = ids[self.first[:-1]], ids[self.first[1:] - 1]
         self.whole = points[new]
         self.points = wide[order][new]
@@ -99,6 +100,8 @@ class MetricTree:
         # while every partial sum is below 2**52 doubles are exact; beyond that Python's integers score
         exact = self.width * max(float(np.abs(wide).max(initial=0)), self.most) ** 2 < 2.0 ** 52
         whole = None if exact else [int(x) for x in query]
+        at = np.searchsorted(self.names, own)
+        held = at < len(self.names) and self.names[at] == own
         square = float(wide @ wide)
         length = square ** 0.5
         best: list[tuple[int, int]] = []  # (score, -id), the worst first
@@ -112,8 +115,8 @@ class MetricTree:
                 break
             reach = np.abs(far - page.parent)
             if page.pages is None:
-                ceiling = (square + page.norms - reach * reach) / 2 + SLACK * (square + page.norms)
-                live = np.flatnonzero(np.maximum(ceiling, LEAST) >= worst)
+                ceiling = page.norms * (0.5 + SLACK) - reach * reach / 2
+                live = np.flatnonzero(ceiling >= worst - square * (0.5 + SLACK)) if worst > LEAST else np.arange(len(page.rows))
                 self.computed += len(live)
                 rows = page.rows[live]
                 if exact:
@@ -122,9 +125,10 @@ class MetricTree:
                 else:
                     sums = (sum(a * int(b) for a, b in zip(whole, self.whole[row])) for row in rows)
                     scores = np.array([min(max(s, LEAST), MOST) for s in sums], object)
-                # an entry of the query's own id alone offers nothing
-                others = ~((self.low[rows] == own) & (self.high[rows] == own))
-                rows, scores = rows[others], scores[others]
+                if held:
+                    # an entry of the query's own id alone offers nothing
+                    others = ~((self.low[rows] == own) & (self.high[rows] == own))
+                    rows, scores = rows[others], scores[others]
                 if len(scores) > k:
                     # each entry offers an id, so what k entries of the page exceed is not among the k best
                     chosen = scores >= max(worst, np.sort(scores)[-k])
