@@ -1,10 +1,11 @@
 """Time-window similarity and greedy leader clustering.
 
-The measure runs inside tasks on bounded blocks: rows of a day are cut into
-slices, a slice meets a slice of the days it may be compared with, numpy
-multiplies the two, and only qualifying pairs (or each row's best) leave the
-task. A day that owns a third of the rows is just more slices. No pair that
-fails the threshold is ever a row.
+The measure runs inside tasks on bounded blocks: quiet days that follow each
+other share a slice, a crowded day is cut into slices by direction and order. A
+slice meets the slices of the days it may be compared with, numpy multiplies the
+two, and only qualifying pairs (or each row's best) leave the task. A day that
+owns a third of the rows is just more slices. No pair that fails the threshold
+is ever a row.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo import params as P
@@ -27,12 +28,8 @@ MAX_PIVOTS = 64
 TITLE_HEADS = 250
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
 COLUMNS = ["id", "day", "ord", "embedding"]
-
-
-def _sliced(df: DataFrame, day: str, rows: int, name: str) -> DataFrame:
-    """Slice number inside each day; about `rows` rows per slice."""
-    sizes = df.groupBy(day).agg(F.ceil(F.count("*") / rows).cast("int").alias(f"{name}s"))
-    return df.join(sizes, day).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
+SCAN_ROWS = 512
+LEADS, OPEN = 1, 0
 
 
 def _own(df: DataFrame) -> DataFrame:
@@ -69,96 +66,114 @@ def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
     return df.mapInPandas(nearest, f"id string, day int, ord long, embedding {df.schema['embedding'].dataType.simpleString()}, cell int, angle double")
 
 
-def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, threshold: float,
-          slice_rows: int = SLICE_ROWS, pivots: np.ndarray | None = None) -> DataFrame:
-    """Slices of `left` against the slices of `right` of the same day and the days before it.
+def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None) -> DataFrame:
+    """Slice name and, in crowded days, cell and angle of each row (else null).
 
-    Crowded days are sliced by direction as well: two cells whose pivots lie
-    further apart than their radii and the threshold's angle allow never meet
-    (triangle inequality on angles, so no pair is lost).
+    Days of at most `slice_rows` rows are joined in date order until a slice is
+    full. A larger day is cut by cell, and a larger cell along the scan order, so
+    that a chain of documents that follow each other stays in few slices.
     """
-    left, right = _with_cell(left, pivots), _with_cell(right, pivots)
-    reach = right.withColumn("on_day", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(window_days)), lambda d: F.col("day") + d)))
-
-    def sizes(df: DataFrame, day: str, side: str) -> DataFrame:
-        return df.groupBy(F.col(day).alias(f"{side}_d"), F.col("cell").alias(f"{side}_c")).agg(
-            F.ceil(F.count("*") / slice_rows).cast("int").alias(f"{side}_n"), F.max("angle").alias(f"{side}_a"))
-
-    grid = sizes(left, "day", "l").join(sizes(reach, "on_day", "r"), F.col("l_d") == F.col("r_d"))
-    if pivots is None:
-        # one row per calendar day, so small by nature
-        grid = F.broadcast(grid)
-    else:
+    busy = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar day
+    days = df.groupBy("day").agg(F.count("*").alias("_n")).withColumn("_crowded", F.col("_n") > slice_rows).withColumn(
+        "_before", F.coalesce(F.sum(F.when(~F.col("_crowded"), F.col("_n"))).over(busy), F.lit(0)))
+    quiet = F.concat(F.lit("q"), F.floor(F.col("_before") / slice_rows).cast("string"))
+    placed = _with_cell(df, pivots).join(days, "day")
+    cuts = placed.filter("_crowded").groupBy("day", "cell").agg(
+        F.ceil(F.count("*") / slice_rows).cast("int").alias("_parts"),
+        F.percentile_approx("ord", [i / 64 for i in range(1, 64)], 1000).alias("_points"))
+    found = placed.join(cuts, ["day", "cell"], "left")
+    # every k-th of the 64 quantiles; with more than 64 parts a hash cuts on
+    rank = F.size(F.filter("_points", lambda x: x <= F.col("ord")))
+    part = F.floor(rank * F.least("_parts", F.lit(64)) / 64)
+    more = F.when(F.col("_parts") > 64, F.pmod(F.xxhash64("id"), F.ceil(F.col("_parts") / 64))).otherwise(0)
+    name = F.concat_ws(":", F.lit("d"), "day", "cell", part, more)
+    return found.select(*COLUMNS, F.when(F.col("_crowded"), name).otherwise(quiet).alias("slice"),
+                        F.when(F.col("_crowded"), F.col("cell")).alias("cell"), F.when(F.col("_crowded"), F.col("angle")).alias("angle"))
+
+
+def _grid(left: DataFrame, right: DataFrame, window_days: int, threshold: float, pivots: np.ndarray | None,
+          other: bool) -> DataFrame:
+    """(l, r): slices that may hold a qualifying pair, one row each. `other` leaves a slice and itself out."""
+    def spans(df: DataFrame, side: str, reach: int) -> DataFrame:
+        found = df.groupBy(F.col("slice").alias(side)).agg(
+            F.min("day").alias("a"), F.max("day").alias("b"), F.first("cell").alias(f"{side}_c"), F.max("angle").alias(f"{side}_a"))
+        return found.select(side, f"{side}_c", f"{side}_a", F.explode(F.sequence(F.col("a") - reach, "b")).alias("d"))
+
+    met = spans(left, "l", window_days).join(spans(right, "r", 0), "d").drop("d").distinct()
+    if other:
+        met = met.filter("l <> r")
+    if pivots is not None:
+        # triangle inequality on angles: cells too far apart hold no pair
         apart = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0)).ravel()
         table = F.array(*[F.lit(float(x)) for x in apart])
         gap = F.get(table, F.col("l_c") * len(pivots) + F.col("r_c")) - F.col("l_a") - F.col("r_a")
-        grid = grid.filter(gap <= float(np.arccos(threshold)) + 1e-6)
-
-    def slice_of(n: str) -> Column:
-        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        met = met.filter(F.coalesce(gap <= float(np.arccos(threshold)) + 1e-6, F.lit(True)))
+    return met.select("l", "r")
 
-    left_g = left.join(grid, (F.col("day") == F.col("l_d")) & (F.col("cell") == F.col("l_c"))).withColumn(
-        "ls", slice_of("l_n")).withColumn("rs", every("r_n"))
-    right_g = reach.join(grid, (F.col("on_day") == F.col("r_d")) & (F.col("cell") == F.col("r_c"))).withColumn(
-        "rs", slice_of("r_n")).withColumn("ls", every("l_n"))
-    keys = ["l_d", "l_c", "r_c", "ls", "rs"]
-    left_g = spread(_own(left_g.select(*COLUMNS, *keys)), *keys)
-    right_g = spread(_own(right_g.select(*COLUMNS, *keys)), *keys)
-    return left_g.groupBy(*keys).cogroup(right_g.groupBy(*keys)).applyInPandas(score, PAIR)
 
-
-def _similarities(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Cosines and the mask of right rows that come earlier."""
-    sims = M.unit_rows(a["embedding"]) @ M.unit_rows(b["embedding"]).T
+def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, threshold: float,
+          pivots: np.ndarray | None = None, other: bool = False) -> DataFrame:
+    """Slices of `left` against the slices of `right` of the same days and the days before them."""
+    grid = _grid(left, right, window_days, threshold, pivots, other)
+    left_g = spread(_own(left.select(*COLUMNS, F.col("slice").alias("l")).join(grid, "l")), "l", "r")
+    right_g = spread(_own(right.select(*COLUMNS, F.col("slice").alias("r")).join(grid, "r")), "l", "r")
+    return left_g.groupBy("l", "r").cogroup(right_g.groupBy("l", "r")).applyInPandas(
+        lambda a, b: score(a, b) if len(a) and len(b) else pd.DataFrame(columns=["hi", "lo", "sim", "lo_day", "lo_ord"]), PAIR)
+
+
+def _in_parts(a: pd.DataFrame, b: pd.DataFrame, window_days: int):
+    """Cosines of a few hundred left rows at a time, the mask of earlier right rows in the window, and the first row's place."""
+    unit_a, unit_b = M.unit_rows(a["embedding"]), M.unit_rows(b["embedding"])
     day_a, day_b = a["day"].to_numpy()[:, None], b["day"].to_numpy()[None, :]
-    earlier = (day_b < day_a) | ((day_b == day_a) & (b["ord"].to_numpy()[None, :] < a["ord"].to_numpy()[:, None]))
-    return sims, earlier
+    ord_a, ord_b = a["ord"].to_numpy()[:, None], b["ord"].to_numpy()[None, :]
+    for at in range(0, len(a), SCAN_ROWS):
+        rows = slice(at, at + SCAN_ROWS)
+        gap = day_a[rows] - day_b
+        yield at, unit_a[rows] @ unit_b.T, ((gap > 0) | ((gap == 0) & (ord_b < ord_a[rows]))) & (gap <= window_days)
 
 
-def _rows(a: pd.DataFrame, b: pd.DataFrame, i: np.ndarray, j: np.ndarray, sims: np.ndarray) -> pd.DataFrame:
+def _rows(a: pd.DataFrame, b: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    i, j, sims = (np.concatenate(x) for x in zip(*found))
     return pd.DataFrame({
-        "hi": a["id"].to_numpy()[i], "lo": b["id"].to_numpy()[j], "sim": sims[i, j],
+        "hi": a["id"].to_numpy()[i], "lo": b["id"].to_numpy()[j], "sim": sims,
         "lo_day": b["day"].to_numpy()[j].astype("int32"), "lo_ord": b["ord"].to_numpy()[j],
     })
 
 
-def _pairs(threshold: float) -> Callable:
+def _pairs(threshold: float, window_days: int) -> Callable:
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=["hi", "lo", "sim", "lo_day", "lo_ord"])
-        sims, earlier = _similarities(a, b)
-        i, j = np.nonzero(earlier & (sims >= threshold))
-        return _rows(a, b, i, j, sims)
+        found = []
+        for at, sims, earlier in _in_parts(a, b, window_days):
+            i, j = np.nonzero(earlier & (sims >= threshold))
+            found.append((i + at, j, sims[i, j]))
+        return _rows(a, b, found)
     return score
 
 
-def _best(threshold: float) -> Callable:
+def _best(threshold: float, window_days: int) -> Callable:
     """Best earlier right row per left row, the earliest among equals."""
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=["hi", "lo", "sim", "lo_day", "lo_ord"])
         b = b.sort_values(["day", "ord"], ignore_index=True)
-        sims, earlier = _similarities(a, b)
-        sims = np.where(earlier, sims, -2.0)
-        j = sims.argmax(axis=1)
-        i = np.nonzero(sims[np.arange(len(a)), j] >= threshold)[0]
-        return _rows(a, b, i, j[i], sims)
+        found = []
+        for at, sims, earlier in _in_parts(a, b, window_days):
+            sims = np.where(earlier, sims, -2.0)
+            j = sims.argmax(axis=1)
+            i = np.nonzero(sims[np.arange(len(j)), j] >= threshold)[0]
+            found.append((i + at, j[i], sims[i, j[i]]))
+        return _rows(a, b, found)
     return score
 
 
-def _waits(threshold: float) -> Callable:
+def _waits(threshold: float, window_days: int) -> Callable:
     """Left rows with any earlier right row at the threshold or above."""
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=["hi", "lo", "sim", "lo_day", "lo_ord"])
-        sims, earlier = _similarities(a, b)
-        near = earlier & (sims >= threshold)
-        i = np.nonzero(near.any(axis=1))[0]
-        return _rows(a, b, i, near[i].argmax(axis=1), sims)
+        found = []
+        for at, sims, earlier in _in_parts(a, b, window_days):
+            near = earlier & (sims >= threshold)
+            i = np.nonzero(near.any(axis=1))[0]
+            j = near[i].argmax(axis=1)
+            found.append((i + at, j, sims[i, j]))
+        return _rows(a, b, found)
     return score
 
 
@@ -173,10 +188,38 @@ def _prepared(docs: DataFrame, key: str, day: str, order: str, vector: str) -> D
 def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
                   threshold: float = P.CLUSTER_COSINE, window_days: int = P.CLUSTER_WINDOW_DAYS,
                   slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """(hi, lo, sim): pairs at most `window_days` apart with cosine at or above the threshold."""
-    rows = _prepared(docs, key, day, order, vector)
+    """(hi, lo, sim): pairs at most `window_days` apart with cosine at or above the threshold.
+
+    Documents without a day or a vector are in no pair.
+    """
+    rows = _prepared(docs, key, day, order, vector).filter("day is not null and embedding is not null")
     pivots = _pivots(rows, threshold, slice_rows)
-    return _meet(rows, rows, window_days, _pairs(threshold), threshold, slice_rows, pivots).select("hi", "lo", "sim")
+    sliced = _sliced(rows, slice_rows, pivots)
+    return _meet(sliced, sliced, window_days, _pairs(threshold, window_days), threshold, pivots).select("hi", "lo", "sim")
+
+
+def _scan(threshold: float, window_days: int) -> Callable:
+    """Scan of one slice in order: which rows lead, and which stay open; rows that follow a leader are left out.
+
+    A row near an earlier leader follows. One near an earlier open row, or that
+    waits for an open row of another slice, stays open. Any other row leads, at
+    once for the rows after it: a chain inside the slice is settled in this pass.
+    """
+    def scan(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["day", "ord"], ignore_index=True)
+        outside = part["outside"].to_numpy()
+        leads, opened = np.zeros(len(part), bool), np.zeros(len(part), bool)
+        for at, sims, earlier in _in_parts(part, part, window_days):
+            near = earlier & (sims >= threshold)
+            some = near.any(axis=1)
+            for i in range(len(near)):
+                if some[i] and (near[i] & leads).any():
+                    continue
+                stays = outside[at + i] or (some[i] and (near[i] & opened).any())
+                (opened if stays else leads)[at + i] = True
+        part["state"] = np.where(leads, LEADS, OPEN).astype("int32")
+        return part[leads | opened].drop(columns="outside")
+    return scan
 
 
 def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str,
@@ -186,38 +229,60 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
 
     Scan order is (day, order). A document joins the most similar earlier leader
     within the window, the earliest among equals, else it becomes a leader.
-
-    Rounds: an undecided document waits while any earlier neighbour of it is
-    undecided; one without such a neighbour leads, and every document near a new
-    earlier leader is decided. So rounds follow the longest chain of documents
-    that wait for each other, not their number, and of a document's neighbours
-    one row leaves a task. Copies of one vector on one day are represented by the
-    first of them, because a later copy always has that one, or its leader, to join.
+    Documents without a day, without a vector or with a zero vector lead themselves.
+
+    Rounds: each slice is scanned in order by one task, which settles every
+    document that does not depend on an open one of another slice; documents near
+    a new leader of another slice are then decided. The first open slice is
+    settled whole, so rounds follow the slices that a chain of documents crosses,
+    not its length, and few documents take one round. Copies of one vector on one
+    day are represented by the first of them, because a later copy always has that
+    one, or its leader, to join.
     """
     rows = _prepared(docs, key, day, order, vector)
-    zero = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0
-    distinct = rows.filter(~zero).groupBy("day", "embedding").agg(
-        F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "embedding")
-    # a zero vector is similar to nothing, so each such document leads itself
-    leaders = rows.filter(zero).select(*COLUMNS) if threshold > 0 else rows.limit(0)
-    undecided = cut_lineage(distinct)
-    pivots = _pivots(undecided, threshold, slice_rows)
-    while not undecided.isEmpty():
-        waiting = cut_lineage(_meet(undecided, undecided, window_days, _waits(threshold), threshold, slice_rows, pivots)
-                              .select(F.col("hi").alias("id")).distinct())
-        fresh = cut_lineage(undecided.join(waiting, "id", "left_anti").select(*COLUMNS))
-        leaders = cut_lineage(leaders.unionByName(fresh))
-        rest = undecided.join(waiting, "id", "left_semi").select(*COLUMNS)
-        near = _meet(rest, fresh, window_days, _waits(threshold), threshold, slice_rows, pivots).select(F.col("hi").alias("id"))
-        undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*COLUMNS))
-    others = rows.join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
-    best = _meet(others, leaders, window_days, _best(threshold), threshold, slice_rows, pivots).groupBy("hi").agg(
+    alone = F.coalesce(F.col("day").isNull() | F.col("embedding").isNull() | (F.aggregate(
+        "embedding", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0) & F.lit(threshold > 0), F.lit(True))
+    distinct = cut_lineage(rows.filter(~alone).groupBy("day", "embedding").agg(
+        F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "embedding"))
+    pivots = _pivots(distinct, threshold, slice_rows)
+    undecided = cut_lineage(_sliced(distinct, slice_rows, pivots))
+    waits = _waits(threshold, window_days)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in undecided.schema.fields) + ", state int"
+    leaders = rows.filter(alone).select(*COLUMNS)
+    while True:
+        slices = undecided.select("slice").distinct().limit(2).count()
+        if not slices:
+            break
+        opened = undecided.withColumn("outside", F.lit(False))
+        if slices > 1:
+            outside = _meet(undecided, undecided, window_days, waits, threshold, pivots, other=True)
+            opened = undecided.join(outside.select(F.col("hi").alias("id"), F.lit(True).alias("outside")).distinct(), "id", "left").withColumn(
+                "outside", F.coalesce("outside", F.lit(False)))
+        scanned = cut_lineage(spread(opened.select(*undecided.columns, "outside"), "slice").groupBy("slice").applyInPandas(
+            _scan(threshold, window_days), schema))
+        fresh, rest = (scanned.filter(F.col("state") == state).drop("state") for state in (LEADS, OPEN))
+        leaders = leaders.unionByName(fresh.select(*COLUMNS))
+        if slices == 1:
+            break
+        near = _meet(rest, fresh, window_days, waits, threshold, pivots, other=True).select(F.col("hi").alias("id"))
+        undecided = cut_lineage(rest.join(near.distinct(), "id", "left_anti").select(*undecided.columns))
+    leaders = cut_lineage(leaders)
+    others = rows.filter(~alone).join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
+    targets = leaders.filter("day is not null and embedding is not null")
+    best = _meet(_sliced(others, slice_rows, pivots), _sliced(targets, slice_rows, pivots), window_days,
+                 _best(threshold, window_days), threshold, pivots).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
     # callers join the assignment several times (names, sizes, members)
     return cut_lineage(best.select(F.col("hi").alias("id"), "leader_id").unionByName(
         leaders.select("id", F.col("id").alias("leader_id"))))
 
 
+def _dealt(df: DataFrame, day: str, rows: int, name: str) -> DataFrame:
+    """Slice number inside each day; about `rows` rows per slice."""
+    sizes = df.groupBy(day).agg(F.ceil(F.count("*") / rows).cast("int").alias(f"{name}s"))
+    return df.join(sizes, day).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
+
+
 def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
                    threshold: float = P.TITLE_RATIO, heads_per_day: int = TITLE_HEADS,
                    slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -257,7 +322,7 @@ def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
         heads = first_k(undecided, ["day"], [F.col("ord")], heads_per_day)
         scanned = cut_lineage(heads.groupBy("day").applyInPandas(scan, schema))
         fresh = scanned.filter("id = leader_id").select("id", "title", "ord", "day")
-        rest = _sliced(undecided.join(scanned.select("id"), "id", "left_anti"), "day", slice_rows, "ls")
+        rest = _dealt(undecided.join(scanned.select("id"), "id", "left_anti"), "day", slice_rows, "ls")
         targets = fresh.join(rest.select("day", "lss").distinct(), "day").withColumn(
             "ls", F.explode(F.sequence(F.lit(0), F.col("lss") - 1)))
         matched = cut_lineage(_own(rest).groupBy("day", "ls").cogroup(_own(targets).groupBy("day", "ls")).applyInPandas(match, schema))

@@ -317,15 +317,44 @@ def test_leaders_equal_sequential_scan(spark, seed, slices):
     assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_leaders(docs, 0.85, 3)
 
 
-def test_unlike_documents_take_one_round(spark, monkeypatch):
+def rounds_of(monkeypatch):
+    """A list that grows by one with each round of scans."""
     rounds = []
-    waits = G._waits
-    monkeypatch.setattr(G, "_waits", lambda t: rounds.append(t) or waits(t))
+    scan = G._scan
+    monkeypatch.setattr(G, "_scan", lambda *a: rounds.append(a) or scan(*a))
+    return rounds
+
+
+def test_unlike_documents_take_one_round(spark, monkeypatch):
+    rounds = rounds_of(monkeypatch)
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, dt.date(2026, 1, 1 + i % 4), [float(x) for x in rng.normal(size=64)]) for i in range(1600)],
                                "id int, day date, v array<double>")
-    assert G.leader_clusters(df, "id", "day", "id", "v", 0.85).filter("id <> leader_id").count() == 0
-    assert len(rounds) <= 4  # two comparisons a round
+    assert G.leader_clusters(df, "id", "day", "id", "v", 0.85, slice_rows=300).filter("id <> leader_id").count() == 0
+    assert len(rounds) == 1
+
+
+@pytest.mark.parametrize("slice_rows", [4000, 80])
+def test_a_chain_takes_as_many_rounds_as_it_crosses_slices(spark, monkeypatch, slice_rows):
+    """Each document is near the one before and the one after it only."""
+    rounds = rounds_of(monkeypatch)
+    near_next = [[0.0] * i + [1.0, 1.0] + [0.0] * (200 - i) for i in range(200)]
+    df = spark.createDataFrame([(i, dt.date(2026, 1, 1), [float(x) for x in v]) for i, v in enumerate(near_next)],
+                               "id int, day date, v array<double>")
+    got = {int(r["id"]): int(r["leader_id"]) for r in G.leader_clusters(df, "id", "day", "id", "v", 0.45, 3, slice_rows).collect()}
+    # every second document leads; one between two leaders joins the earlier
+    assert got == {i: i - i % 2 for i in range(200)}
+    # a day of 200 in slices of 80: two cells, the larger in three parts, entered and left twice at most
+    assert len(rounds) <= (1 if slice_rows == 4000 else 6)
+
+
+def test_documents_without_day_or_vector_lead(spark):
+    df = spark.sql("select * from values (1, date'2026-01-01', array(1D, 0D)), (2, null, array(1D, 0D)), (3, date'2026-01-01', null), "
+                   "(4, date'2026-01-01', array(0D, 0D)), (5, date'2026-01-02', array(2D, 0D)) t(id, day, v)")
+    got = {r["id"]: r["leader_id"] for r in G.leader_clusters(df, "id", "day", "id", "v", 0.85).collect()}
+    assert got == {"1": "1", "2": "2", "3": "3", "4": "4", "5": "1"}
+    assert G.leader_clusters(df.limit(0), "id", "day", "id", "v", 0.85).count() == 0
+    assert rows(G.similar_pairs(df, "id", "day", "id", "v", 0.85), "hi", "lo") == [("5", "1")]
 
 
 def test_first_wins_carries_maps(spark):
