@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from acervo import params as P
 from acervo.functions import similarity as M
 from acervo.functions.text import fold_upper
-from acervo.session import spread
+from acervo.session import cut_lineage, spread
 
 # Most aliases that travel inside a plan or a task. A larger dictionary takes the
 # partitioned path of each operator, with the same result.
 MAX_INLINE_ALIASES = 5_000
 MATCH = "alias_norm string, canonical_id string, score double"
-# Up to this many aliases each is searched in the text; beyond it only those whose first word occurs.
-DIRECT_ALIASES = 64
+# Aliases that one pass over the texts carries: an automaton of some tens of MB in a task.
+CARRIED_ALIASES = 100_000
 
 
 def alias_index(entities: DataFrame) -> DataFrame:
@@ -150,79 +151,90 @@ def collect_risks(resolved: DataFrame, key: str, position: str, name: str = "nam
     ).alias("credit_risks"))
 
 
-def word_pattern(alias: str, legacy: bool = False) -> str:
-    """Whole-word pattern. `legacy` keeps the boundary that fails after punctuation."""
-    quoted = re.sub(r"([^\w\s])", r"\\\1", alias)
-    return rf"\b{quoted}\b" if legacy else rf"(?<!\w){quoted}(?!\w)"
+def _wordlike(text: str, at: int) -> bool:
+    """Whether a letter, digit or underscore stands there; folded texts are ASCII."""
+    return 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+
+
+def _whole_word(text: str, start: int, end: int) -> bool:
+    return not _wordlike(text, start - 1) and not _wordlike(text, end)
+
+
+def _word_edges(text: str, start: int, end: int) -> bool:
+    """The plain boundary, which fails beside punctuation at the alias's own edge."""
+    return _wordlike(text, start - 1) != _wordlike(text, start) and _wordlike(text, end - 1) != _wordlike(text, end)
+
+
+def _anywhere(text: str, start: int, end: int) -> bool:
+    return True
+
+
+def _found_in_texts(texts: DataFrame, key: str, aliases: list[tuple], fields: list[StructField],
+                    accepted: Callable[[str, int, int], bool]) -> DataFrame:
+    """key and the values of every alias that has an accepted occurrence in `_text`, once; an alias's values begin with its name.
+
+    One pass of an automaton with failure links over all aliases finds their occurrences, nested and overlapping ones too.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(aliases)
+    schema = StructType([texts.schema[key], *fields])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for place, values in enumerate(sent.value):
+            automaton.add_word(values[0], (place, len(values[0])))
+        automaton.make_automaton()
+        columns = [pa.array(column, pa.string()) for column in zip(*sent.value)]
+        for batch in batches:
+            rows, places = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                if not text:
+                    continue
+                seen = set()
+                for last, (place, length) in automaton.iter(text):
+                    if place not in seen and accepted(text, last + 1 - length, last + 1):
+                        seen.add(place)
+                rows += [row] * len(seen)
+                places += sorted(seen)
+            at = pa.array(places, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(c.take(at) for c in columns)], names=schema.names)
+
+    return texts.select(key, "_text").mapInArrow(scan, schema)
+
+
+def _occurrences(texts: DataFrame, index: DataFrame, key: str, columns: list[str], accepted: Callable[[str, int, int], bool],
+                 carried: int) -> DataFrame:
+    """key and the text columns of each alias found, the first of them its name; `carried` aliases travel with one pass over the texts.
+
+    A larger dictionary is cut by a hash into parts of about that size, and each part, a list of bounded length, is a pass.
+    """
+    index = index.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    rows = index.limit(carried + 1).collect()
+    blocks = [rows]
+    if len(rows) > carried:
+        index = cut_lineage(index)
+        parts = -(-index.count() // carried)
+        blocks = (index.filter(F.pmod(F.xxhash64(columns[0]), F.lit(parts)) == part).collect() for part in range(parts))
+    found = None
+    for rows in blocks:
+        if rows:
+            hits = _found_in_texts(texts, key, [tuple(r) for r in rows], index.schema.fields, accepted)
+            found = hits if found is None else found.unionByName(hits)
+    return texts.limit(0).select(key, *[F.lit("").alias(c) for c in columns]) if found is None else found
 
 
 def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy: bool = False,
-                  limit: int | None = None, direct: int = DIRECT_ALIASES) -> DataFrame:
-    """(key, alias_norm, canonical_id, main_name, suspect) of every whole-word mention.
+                  carried: int = CARRIED_ALIASES) -> DataFrame:
+    """(key, alias_norm, canonical_id, main_name, suspect) of every whole-word mention, one row per document and alias.
 
-    Aliases of at most five characters count as suspect. The text stays in its
-    row: the aliases come to it as a literal list, a substring test first and the
-    pattern only where it passes. No shuffle.
+    Aliases of at most five characters count as suspect. Texts are not shuffled: each is folded, read once by an
+    automaton over the dictionary, and only places of aliases leave the task. A dictionary of more than `carried`
+    aliases takes one pass for each part of that size.
     """
     folded = docs.select(key, fold_upper(F.col(text)).alias("_text"))
-    inline = inline_aliases(index, limit)
-    if inline is None:
-        return _scan_by_token(folded, index, key, legacy)
-    if not inline:
-        return folded.limit(0).select(key, *[F.lit("").alias(c) for c in ("alias_norm", "canonical_id", "main_name")],
-                                      F.lit(False).alias("suspect"))
-    aliases = F.array(*[
-        F.struct(F.lit(a).alias("alias_norm"), F.lit(c).alias("canonical_id"), F.lit(m).alias("main_name"),
-                 F.lit(word_pattern(a, legacy)).alias("pattern"))
-        for a, c, m in inline
-    ])
-    candidates = aliases if len(inline) <= direct else _by_first_word(aliases, [a for a, _, _ in inline])
-    hits = F.filter(candidates, lambda a: F.when(
-        F.contains(F.col("_text"), a["alias_norm"]), F.regexp_like(F.col("_text"), a["pattern"])
-    ).otherwise(F.lit(False)))
-    # the outer form keeps the optimizer from evaluating the list a second time in an inferred filter
-    found = folded.select(key, F.explode_outer(hits).alias("h")).filter("h is not null")
-    return found.select(key, "h.alias_norm", "h.canonical_id", "h.main_name",
-                        (F.length("h.alias_norm") <= P.SHORT_ALIAS_CHARS).alias("suspect"))
-
-
-def _by_first_word(aliases: Column, names: list[str]) -> Column:
-    """The aliases whose first word is a word of the text, and those without any word."""
-    places: dict[str, list[int]] = {}
-    for place, name in enumerate(names):
-        found = re.search(r"\w+", name)
-        places.setdefault(found.group() if found else "", []).append(place)
-    always = F.array(*[F.lit(i) for i in places.pop("", [])]).cast("array<int>")
-    by_word = F.create_map(*[x for w, at in places.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
-    present = F.array_intersect(F.split("_text", r"\W+"), F.array(*[F.lit(w) for w in places]))
-    chosen = F.concat(F.flatten(F.transform(present, lambda w: F.try_element_at(by_word, w))), always)
-    return F.transform(chosen, lambda i: F.get(aliases, i))
-
-
-def _scan_by_token(folded: DataFrame, index: DataFrame, key: str, legacy: bool) -> DataFrame:
-    """Large dictionary: equi join on the first word of an alias, then the pattern on the text.
-
-    Only words travel through the first join, distinct per document; the text is
-    read again for the candidates alone.
-    """
-    # the empty word stands for aliases without any word; every document has it
-    spoken = F.array_distinct(F.concat(F.split("_text", r"\W+"), F.array(F.lit(""))))
-    words = folded.select(key, F.explode(spoken).alias("_word"))
-    keyed = index.select(
-        "alias_norm", "canonical_id", "main_name",
-        F.regexp_extract("alias_norm", r"(\w+)", 1).alias("_word"),
-        F.concat(
-            F.lit(r"\b" if legacy else r"(?<!\w)"),
-            F.regexp_replace("alias_norm", r"([^\w\s])", r"\\$1"),
-            F.lit(r"\b" if legacy else r"(?!\w)"),
-        ).alias("_pattern"),
-    )
-    candidates = words.join(keyed, "_word").drop("_word")
-    return (
-        candidates.join(folded, key).filter(F.regexp_like("_text", F.col("_pattern")))
-        .select(key, "alias_norm", "canonical_id", "main_name",
-                (F.length("alias_norm") <= P.SHORT_ALIAS_CHARS).alias("suspect"))
-    )
+    found = _occurrences(folded, index, key, ["alias_norm", "canonical_id", "main_name"], _word_edges if legacy else _whole_word, carried)
+    return found.withColumn("suspect", F.length("alias_norm") <= P.SHORT_ALIAS_CHARS)
 
 
 def mention_sets(mentions: DataFrame, key: str) -> DataFrame:
@@ -253,28 +265,8 @@ def portfolio_gate(items: DataFrame, index: DataFrame, key: str, listing_text: s
     }).drop("_c2", "_s2")
 
 
-def naive_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, limit: int = MAX_INLINE_ALIASES) -> DataFrame:
-    """Substring baseline: lower-case aliases of four or more characters inside the text.
-
-    A dictionary beyond `limit` aliases is searched block by block, each block one pass over the texts.
-    """
-    usable = index.filter(F.length("alias_norm") >= P.NAIVE_ALIAS_MIN_CHARS)
+def naive_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, carried: int = CARRIED_ALIASES) -> DataFrame:
+    """Substring baseline: lower-case aliases of four or more characters inside the text, found as whole-word mentions are."""
+    usable = index.filter(F.length("alias_norm") >= P.NAIVE_ALIAS_MIN_CHARS).select(F.lower("alias_norm").alias("alias_norm"), "canonical_id")
     folded = docs.select(key, F.lower(fold_upper(F.col(text))).alias("_text"))
-    blocks = max(1, -(-usable.count() // (limit // 2 or 1))) if inline_aliases(usable, limit) is None else 1
-    found = None
-    for block in range(blocks):
-        part = usable if blocks == 1 else usable.filter(F.pmod(F.xxhash64("alias_norm"), F.lit(blocks)) == block)
-        hits = _naive_block(folded, key, [(r.alias_norm, r.canonical_id) for r in part.select("alias_norm", "canonical_id").collect()])
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def _naive_block(folded: DataFrame, key: str, rows: list[tuple[str, str]]) -> DataFrame:
-    if not rows:
-        return folded.limit(0).select(key, F.lit("").alias("alias"), F.lit("").alias("canonical_id"))
-    aliases = F.array(*[
-        F.struct(F.lit(a.lower()).alias("alias"), F.lit(c).alias("canonical_id")) for a, c in rows
-    ])
-    hits = F.filter(aliases, lambda a: F.contains(F.col("_text"), a["alias"]))
-    found = folded.select(key, F.explode_outer(hits).alias("h")).filter("h is not null")
-    return found.select(key, "h.alias", "h.canonical_id")
+    return _occurrences(folded, usable, key, ["alias_norm", "canonical_id"], _anywhere, carried).withColumnRenamed("alias_norm", "alias")

@@ -69,6 +69,27 @@ def q28(spark, sf):
     return E.scan_mentions(widen(table(spark, sf, "documents").select("doc_id", "text")), E.alias_index(dictionary(spark)), "doc_id", "text")
 
 
+@query("q28_growing_dictionary", """
+WITH n AS (SELECT p_partkey, upper(p_name || ' ' || p_partkey) AS whole, upper(string_split(p_name, ' ')[2] || ' ' || p_partkey) AS short, upper(p_brand) AS brand FROM part),
+a AS (SELECT whole AS alias_norm, 'p' || p_partkey AS canonical_id FROM n UNION ALL SELECT short, 'p' || p_partkey FROM n
+  UNION ALL SELECT brand, 'p' || max(p_partkey) FROM n GROUP BY 1),
+t AS (SELECT o_orderkey, string_agg(p_brand || ' ' || p_name || ' ' || p_partkey, ', ') AS t FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1),
+w AS (SELECT DISTINCT o_orderkey, alias_norm FROM (SELECT o_orderkey, upper(unnest(string_split(t, ', '))) AS i FROM t),
+  LATERAL (SELECT unnest([string_split(i, ' ')[1], array_to_string(string_split(i, ' ')[2:4], ' '), array_to_string(string_split(i, ' ')[3:4], ' ')]) AS alias_norm))
+SELECT o_orderkey, alias_norm, canonical_id FROM w JOIN a USING (alias_norm)""")
+def q28_growing(spark, sf):
+    """Three aliases a part, one shared by the parts of a brand and one inside another, in the item lists of orders."""
+    part = table(spark, sf, "part")
+    numbered = F.concat_ws(" ", "p_name", "p_partkey")
+    entities = part.select(
+        F.col("p_partkey").alias("entity_pos"), F.concat(F.lit("p"), "p_partkey").alias("canonical_id"), F.initcap("p_name").alias("main_name"),
+        F.array(numbered, F.concat_ws(" ", F.split("p_name", " ")[1], "p_partkey"), F.col("p_brand")).alias("aliases"))
+    items = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    texts = items.groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat_ws(" ", "p_brand", "p_name", "p_partkey")), ", ").alias("text"))
+    orders = table(spark, sf, "orders").join(texts, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "text")
+    return E.scan_mentions(orders, E.alias_index(entities), "o_orderkey", "text").select("o_orderkey", "alias_norm", "canonical_id")
+
+
 @query("q28_match_counts", f"""
 WITH {_sql_index()}, {_sql_mentions('m', 'text')}
 SELECT count(*) AS n_matches, count(*) FILTER (WHERE NOT suspect) AS n_confirmed, count(*) FILTER (WHERE suspect) AS n_suspect FROM m""")

@@ -241,15 +241,30 @@ def brute_mentions(texts, index_rows, legacy=False):
     return sorted(out)
 
 
-def test_mentions_both_paths_equal_brute_force(spark, index):
-    texts = [(1, "O radar da São Pedro S.A. hoje"), (2, "Radares e SPIV11x"), (3, "spiv11, ABCDEF."), (4, "nada"), (5, "energia solar norte")]
+def test_mentions_equal_brute_force(spark, index):
+    texts = [(1, "O radar da São Pedro S.A. hoje"), (2, "Radares e SPIV11x"), (3, "spiv11, ABCDEF."), (4, "nada"), (5, "energia solar norte"),
+             (6, None), (7, ""), (8, "s.a. S.A.x _radar radar_ radar"), (8, "radar")]
     docs = spark.createDataFrame(texts, "id int, text string")
     for legacy in (False, True):
-        want = brute_mentions(texts, index.collect(), legacy)
-        # literal list, literal list by first word, dictionary joined by first word
-        for limit, direct in ((100, 64), (100, 0), (2, 64)):
-            got = entities.scan_mentions(docs, index, "id", "text", legacy, limit, direct)
+        want = brute_mentions([(i, t or "") for i, t in texts], index.collect(), legacy)
+        # one pass with the whole dictionary, and passes with parts of it
+        for carried in (100, 2):
+            got = entities.scan_mentions(docs, index, "id", "text", legacy, carried)
             assert rows(got, "id", "alias_norm", "suspect") == want
+    assert entities.scan_mentions(docs, index.limit(0), "id", "text").count() == 0
+
+
+def test_mentions_of_a_large_dictionary(spark):
+    rnd = random.Random(9)
+    parts = ["ANA", "AN", "A", "NA-", "BANANA", "B.", "A A"]
+    names = sorted({"".join(rnd.choices(parts, k=rnd.randint(1, 4))).strip() for _ in range(400)})
+    texts = [(i, "".join(rnd.choices([*parts, " ", "x", "_"], k=rnd.randint(0, 30)))) for i in range(60)]
+    large = spark.createDataFrame([(a, f"c{i}", a.title(), (i, 0)) for i, a in enumerate(names)],
+                                  "alias_norm string, canonical_id string, main_name string, pos struct<a:int,b:int>")
+    docs = spark.createDataFrame(texts, "id int, text string")
+    want = sorted(brute_mentions(texts, large.collect()), key=str)
+    for carried in (1000, 50):
+        assert rows(entities.scan_mentions(docs, large, "id", "text", carried=carried), "id", "alias_norm", "suspect") == want
 
 
 def test_fuzzy_both_paths_equal_brute_force(spark, index):
