@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,14 +30,14 @@ def unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def title_ratio(a: str, b: str, at_least: float = 0.0) -> float:
-    """Sequence ratio; below `at_least` the cheap upper bounds may be returned instead."""
-    matcher = SequenceMatcher(None, a, b)
-    for bound in (matcher.real_quick_ratio, matcher.quick_ratio):
-        upper = bound()
-        if upper < at_least:
-            return upper
-    return matcher.ratio()
+LETTERS = 37
+_PLACES = np.full(128, LETTERS, np.int64)
+_PLACES[[ord(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789 "]] = np.arange(LETTERS)
+
+
+def letter_counts(title: str) -> np.ndarray:
+    """How often each letter, digit and the blank occur in a title key; twice the common counts bound the matched characters."""
+    return np.bincount(_PLACES[np.frombuffer(title.encode("ascii"), np.uint8)], minlength=LETTERS)[:LETTERS]
 
 
 def _common_subsequence(a: str, b: str) -> int:

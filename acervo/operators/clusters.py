@@ -11,6 +11,7 @@ is ever a row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,6 @@ from acervo.session import cut_lineage, spread
 
 SLICE_ROWS = 4_000
 MAX_PIVOTS = 64
-TITLE_HEADS = 250
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
 COLUMNS = ["id", "day", "ord", "embedding"]
 SCAN_ROWS = 512
@@ -66,18 +66,22 @@ def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
     return df.mapInPandas(nearest, f"id string, day int, ord long, embedding {df.schema['embedding'].dataType.simpleString()}, cell int, angle double")
 
 
+def _packed(df: DataFrame, slice_rows: int) -> DataFrame:
+    """`_crowded`: the day has more than `slice_rows` rows. `_pack`: quiet days that share a slice, joined in date order until it is full."""
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar day
+    days = df.groupBy("day").agg(F.count("*").alias("_n")).withColumn("_crowded", F.col("_n") > slice_rows)
+    quiet = F.coalesce(F.sum(F.when(~F.col("_crowded"), F.col("_n"))).over(before), F.lit(0))
+    packs = days.select("day", "_crowded", F.concat(F.lit("q"), F.floor(quiet / slice_rows).cast("string")).alias("_pack"))
+    return df.join(packs, "day")
+
+
 def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None) -> DataFrame:
     """Slice name and, in crowded days, cell and angle of each row (else null).
 
-    Days of at most `slice_rows` rows are joined in date order until a slice is
-    full. A larger day is cut by cell, and a larger cell along the scan order, so
-    that a chain of documents that follow each other stays in few slices.
+    A crowded day is cut by cell, and a larger cell along the scan order, so that
+    a chain of documents that follow each other stays in few slices.
     """
-    busy = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar day
-    days = df.groupBy("day").agg(F.count("*").alias("_n")).withColumn("_crowded", F.col("_n") > slice_rows).withColumn(
-        "_before", F.coalesce(F.sum(F.when(~F.col("_crowded"), F.col("_n"))).over(busy), F.lit(0)))
-    quiet = F.concat(F.lit("q"), F.floor(F.col("_before") / slice_rows).cast("string"))
-    placed = _with_cell(df, pivots).join(days, "day")
+    placed = _packed(_with_cell(df, pivots), slice_rows)
     cuts = placed.filter("_crowded").groupBy("day", "cell").agg(
         F.ceil(F.count("*") / slice_rows).cast("int").alias("_parts"),
         F.percentile_approx("ord", [i / 64 for i in range(1, 64)], 1000).alias("_points"))
@@ -87,7 +91,7 @@ def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None) -> DataFr
     part = F.floor(rank * F.least("_parts", F.lit(64)) / 64)
     more = F.when(F.col("_parts") > 64, F.pmod(F.xxhash64("id"), F.ceil(F.col("_parts") / 64))).otherwise(0)
     name = F.concat_ws(":", F.lit("d"), "day", "cell", part, more)
-    return found.select(*COLUMNS, F.when(F.col("_crowded"), name).otherwise(quiet).alias("slice"),
+    return found.select(*COLUMNS, F.when(F.col("_crowded"), name).otherwise(F.col("_pack")).alias("slice"),
                         F.when(F.col("_crowded"), F.col("cell")).alias("cell"), F.when(F.col("_crowded"), F.col("angle")).alias("angle"))
 
 
@@ -277,61 +281,97 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
         leaders.select("id", F.col("id").alias("leader_id"))))
 
 
-def _dealt(df: DataFrame, day: str, rows: int, name: str) -> DataFrame:
-    """Slice number inside each day; about `rows` rows per slice."""
-    sizes = df.groupBy(day).agg(F.ceil(F.count("*") / rows).cast("int").alias(f"{name}s"))
-    return df.join(sizes, day).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
+class TitleLeaders:
+    """Leaders of one day in scan order, and the first that a title is close to.
+
+    At ratios near one half two titles need not share any gram, so nothing short
+    of all leaders is sure to hold the first. Lengths and letter counts bound the
+    ratio from above; the bounds against all leaders are one array expression, and
+    only leaders that pass are compared, until the first fits.
+    """
+
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+        self.ids: list[str] = []
+        self.matchers: list[SequenceMatcher] = []
+        self.counts = np.zeros((64, M.LETTERS), np.int16)
+        self.lengths = np.zeros(64, np.int64)
+
+    def add(self, name: str, title: str) -> None:
+        n = len(self.ids)
+        if n == len(self.lengths):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        self.ids.append(name)
+        self.matchers.append(SequenceMatcher(None, "", title))
+        self.counts[n], self.lengths[n] = M.letter_counts(title), len(title)
+
+    def first(self, title: str) -> str | None:
+        n = len(self.ids)
+        common = np.minimum(self.counts[:n], M.letter_counts(title)).sum(axis=1, dtype=np.int64)
+        for i in np.flatnonzero(2 * common >= self.threshold * (self.lengths[:n] + len(title)) - 1e-9).tolist():
+            self.matchers[i].set_seq1(title)
+            if self.matchers[i].ratio() >= self.threshold:
+                return self.ids[i]
+        return None
 
 
 def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
-                   threshold: float = P.TITLE_RATIO, heads_per_day: int = TITLE_HEADS,
-                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+                   threshold: float = P.TITLE_RATIO, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(id, leader_id): per day, each document joins the first leader whose title is close enough.
 
-    Rounds: the first undecided documents of a day, a bounded number, are
-    scanned in order by one task; all others of the day, in slices, look for
-    their first match among the new leaders.
+    Equal titles of a day are one row, the first of them: its leader is theirs.
+    Quiet days share a slice, which one task scans in order. Of a crowded day each
+    round scans the first `slice_rows` open titles, and all others of the day, in
+    slices, look for their first match among the new leaders; so titles meet
+    leaders only. Documents without a day are a day of their own.
     """
     rows = cut_lineage(docs.select(
-        F.col(key).cast("string").alias("id"), F.col(day).cast("string").alias("day"),
+        F.col(key).cast("string").alias("id"), F.coalesce(F.col(day).cast("string"), F.lit("\0")).alias("day"),
         F.col(order).cast("long").alias("ord"), title_key(F.col(title)).alias("title")))
+    columns = ["id", "leader_id", "title", "ord", "day"]
     schema = "id string, leader_id string, title string, ord long, day string"
 
     def scan(part: pd.DataFrame) -> pd.DataFrame:
-        leaders: list[tuple[str, str]] = []
-        out = []
-        for row in part.sort_values("ord").itertuples():
-            leader = next((i for i, t in leaders if M.title_ratio(row.title, t, threshold) >= threshold), None)
+        out, today, leaders = [], None, TitleLeaders(threshold)
+        for row in part.sort_values(["day", "ord"]).itertuples():
+            if row.day != today:
+                today, leaders = row.day, TitleLeaders(threshold)
+            leader = leaders.first(row.title)
             if leader is None:
-                leaders.append((row.id, row.title))
+                leaders.add(row.id, row.title)
             out.append((row.id, leader or row.id, row.title, row.ord, row.day))
-        return pd.DataFrame(out, columns=["id", "leader_id", "title", "ord", "day"])
+        return pd.DataFrame(out, columns=columns)
 
     def match(part: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
-        ordered = list(fresh.sort_values("ord")[["id", "title"]].itertuples(index=False)) if len(fresh) else []
-        out = []
-        for row in part.itertuples():
-            leader = next((i for i, t in ordered if M.title_ratio(row.title, t, threshold) >= threshold), None)
-            if leader is not None:
-                out.append((row.id, leader, row.title, row.ord, row.day))
-        return pd.DataFrame(out, columns=["id", "leader_id", "title", "ord", "day"])
-
-    decided: DataFrame | None = None
-    undecided = rows
+        leaders = TitleLeaders(threshold)
+        for row in fresh.sort_values("ord").itertuples() if len(fresh) else ():
+            leaders.add(row.id, row.title)
+        found = [(row.id, leaders.first(row.title), row.title, row.ord, row.day) for row in part.itertuples()]
+        return pd.DataFrame([f for f in found if f[1] is not None], columns=columns)
+
+    undecided = cut_lineage(rows.groupBy("day", "title").agg(F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "title"))
+    decided = None
     while not undecided.isEmpty():
-        heads = first_k(undecided, ["day"], [F.col("ord")], heads_per_day)
-        scanned = cut_lineage(heads.groupBy("day").applyInPandas(scan, schema))
-        fresh = scanned.filter("id = leader_id").select("id", "title", "ord", "day")
-        rest = _dealt(undecided.join(scanned.select("id"), "id", "left_anti"), "day", slice_rows, "ls")
-        targets = fresh.join(rest.select("day", "lss").distinct(), "day").withColumn(
-            "ls", F.explode(F.sequence(F.lit(0), F.col("lss") - 1)))
-        matched = cut_lineage(_own(rest).groupBy("day", "ls").cogroup(_own(targets).groupBy("day", "ls")).applyInPandas(match, schema))
-        now = scanned.unionByName(matched).select("id", "leader_id", "day")
-        decided = now if decided is None else decided.unionByName(now)
-        undecided = cut_lineage(undecided.join(now.select("id"), "id", "left_anti").select("id", "day", "ord", "title"))
+        placed = _packed(undecided, slice_rows)
+        heads = placed.filter("not _crowded").select("id", "day", "ord", "title", F.col("_pack").alias("slice")).unionByName(
+            first_k(placed.filter("_crowded"), ["day"], [F.col("ord")], slice_rows).select(
+                "id", "day", "ord", "title", F.concat(F.lit("d"), "day").alias("slice")))
+        scanned = cut_lineage(spread(heads, "slice").groupBy("slice").applyInPandas(scan, schema))
+        decided = scanned if decided is None else decided.unionByName(scanned)
+        left = undecided.join(scanned.select("id"), "id", "left_anti")
+        if left.isEmpty():
+            break
+        sizes = left.groupBy("day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("slices"))
+        rest = left.join(sizes, "day").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+        targets = scanned.filter("id = leader_id").join(sizes, "day").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        matched = cut_lineage(spread(_own(rest), "day", "slice").groupBy("day", "slice").cogroup(
+            spread(_own(targets), "day", "slice").groupBy("day", "slice")).applyInPandas(match, schema))
+        decided = decided.unionByName(matched)
+        undecided = cut_lineage(left.join(matched.select("id"), "id", "left_anti").select("id", "day", "ord", "title"))
     if decided is None:
         return rows.select("id", F.col("id").alias("leader_id"))
-    return decided.select("id", "leader_id")
+    return rows.join(decided.select("day", "title", "leader_id"), ["day", "title"]).select("id", "leader_id")
 
 
 def name_clusters(assigned: DataFrame, docs: DataFrame, key: str, title: str, captured: str, order: str,

@@ -110,6 +110,27 @@ def q32(spark, sf):
     return G.title_clusters(read, "page_id", "day", "page_id", "title")
 
 
+@query("q32_known_titles", """
+WITH RECURSIVE p AS (SELECT p_partkey AS id, p_partkey % 25 AS day, p_partkey % 9 + 2 AS k, p_size % 4 AS d, p_partkey // 25 % 7 + 1 AS y,
+  row_number() OVER (PARTITION BY p_partkey % 25 ORDER BY p_partkey) AS i FROM part),
+near AS (SELECT a.day, a.i, a.id AS hi, b.id AS lo FROM p a JOIN p b ON a.day = b.day AND b.i < a.i
+  WHERE 2.0 * (least(a.k, b.k) + CASE WHEN a.d = b.d THEN least(a.y, b.y) ELSE 0 END) / (a.k + a.y + b.k + b.y) >= 0.55),
+o AS (SELECT p.day, p.i, p.id, coalesce(list(lo) FILTER (WHERE lo IS NOT NULL), []) AS los FROM p LEFT JOIN near ON p.id = hi GROUP BY ALL),
+scan AS (SELECT DISTINCT day, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS leaders FROM p
+  UNION ALL SELECT s.day, o.i, CASE WHEN list_has_any(s.leaders, o.los) THEN s.leaders ELSE list_append(s.leaders, o.id) END FROM scan s JOIN o ON o.day = s.day AND o.i = s.i + 1),
+led AS (SELECT day, unnest(leaders) AS leader FROM scan WHERE i = (SELECT max(s.i) FROM scan s WHERE s.day = scan.day)),
+f AS (SELECT hi AS id, min(lo) AS leader_id FROM near JOIN led ON led.leader = lo WHERE hi NOT IN (SELECT leader FROM led) GROUP BY 1)
+SELECT CAST(id AS VARCHAR) AS id, CAST(leader_id AS VARCHAR) AS leader_id FROM (SELECT * FROM f UNION ALL SELECT leader, leader FROM led)
+""")
+def q32_known(spark, sf):
+    """Titles whose ratio is known: the first k letters of the alphabet, then one letter y times; ratios on both sides of the threshold."""
+    part = table(spark, sf, "part").select(
+        "p_partkey", (F.col("p_partkey") % 25).alias("day"),
+        F.concat(F.expr("substring('abcdefghijkl', 1, cast(p_partkey % 9 + 2 as int))"),
+                 F.expr("repeat(substring('wxyz', cast(p_size % 4 + 1 as int), 1), cast(p_partkey div 25 % 7 + 1 as int))")).alias("title"))
+    return G.title_clusters(part, "p_partkey", "day", "p_partkey", "title")
+
+
 UNIT_SQL = """
 u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS v
   FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),

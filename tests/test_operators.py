@@ -425,16 +425,24 @@ def sequential_titles(docs, threshold):
     return out
 
 
-@pytest.mark.parametrize("heads,slices", [(250, 4000), (2, 3)])
-def test_title_clusters_equal_sequential_scan(spark, heads, slices):
+@pytest.mark.parametrize("slices", [4000, 25, 3])
+def test_title_clusters_equal_sequential_scan(spark, slices):
     rng = random.Random(5)
     words = ["anel", "leilao", "tarifa", "revisao", "energia", "agua", "norte"]
-    docs = [(i, rng.randint(0, 2), " ".join(rng.choices(words, k=4))) for i in range(60)]
+    docs = [(i, rng.randint(0, 2), " ".join(rng.choices(words, k=rng.choice([0, 1, 4, 4, 4])))) for i in range(60)]
+    docs += [(60 + i, 1, "Tarifa Não") for i in range(30)]  # a third of a day has one title
     df = spark.createDataFrame(docs, "id int, day int, title string")
-    got = G.title_clusters(df, "id", "day", "id", "title", heads_per_day=heads, slice_rows=slices)
+    got = G.title_clusters(df, "id", "day", "id", "title", slice_rows=slices)
     assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_titles(docs, 0.55)
 
 
+def test_title_clusters_without_day_or_title(spark):
+    df = spark.sql("select * from values (1, null, 'a b c'), (2, null, 'a b d'), (3, 1, null), (4, 1, '!!'), (5, 1, 'a b c') t(id, day, title)")
+    got = {r["id"]: r["leader_id"] for r in G.title_clusters(df, "id", "day", "id", "title").collect()}
+    assert got == {"1": "1", "2": "1", "3": "3", "4": "3", "5": "5"}
+    assert G.title_clusters(df.limit(0), "id", "day", "id", "title").count() == 0
+
+
 def test_macro_themes(spark):
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(8, 12)) * 5
