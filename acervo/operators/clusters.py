@@ -198,7 +198,8 @@ def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
     """
     rows = _prepared(docs, key, day, order, vector).filter("day is not null and embedding is not null")
     pivots = _pivots(rows, threshold, slice_rows)
-    sliced = _sliced(rows, slice_rows, pivots)
+    # read four times: both sides and their spans
+    sliced = cut_lineage(_sliced(rows, slice_rows, pivots))
     return _meet(sliced, sliced, window_days, _pairs(threshold, window_days), threshold, pivots).select("hi", "lo", "sim")
 
 
@@ -273,7 +274,7 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     leaders = cut_lineage(leaders)
     others = rows.filter(~alone).join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
     targets = leaders.filter("day is not null and embedding is not null")
-    best = _meet(_sliced(others, slice_rows, pivots), _sliced(targets, slice_rows, pivots), window_days,
+    best = _meet(cut_lineage(_sliced(others, slice_rows, pivots)), cut_lineage(_sliced(targets, slice_rows, pivots)), window_days,
                  _best(threshold, window_days), threshold, pivots).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
     # callers join the assignment several times (names, sizes, members)
