@@ -6,19 +6,15 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from acervo import params as P
 from acervo.functions import similarity as M
-from acervo.functions.text import fold_upper
-from acervo.session import cut_lineage, spread
+from acervo.functions.text import fold_upper, let
+from acervo.session import cut_lineage
 
-# Most aliases that travel inside a plan or a task. A larger dictionary takes the
-# partitioned path of each operator, with the same result.
-MAX_INLINE_ALIASES = 5_000
-MATCH = "alias_norm string, canonical_id string, score double"
 # Aliases that one pass over the texts carries: an automaton of some tens of MB in a task.
 CARRIED_ALIASES = 100_000
 
@@ -49,78 +45,112 @@ def match_exact(names: DataFrame, index: DataFrame, name: str = "name") -> DataF
     )
 
 
-def inline_aliases(index: DataFrame, limit: int | None = None) -> list[tuple] | None:
-    """The dictionary as a list if it is small enough, else None."""
-    limit = MAX_INLINE_ALIASES if limit is None else limit
-    rows = index.select("alias_norm", "canonical_id", "main_name", "pos").limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return [tuple(r)[:3] for r in sorted(rows, key=lambda r: tuple(r["pos"]))]
+def _tokens(text: str) -> Column:
+    """Distinct tokens of a name, parted as `str.split` parts ASCII."""
+    return F.array_distinct(F.filter(F.split(text, r"[\s\x1c-\x1f]+"), lambda t: t != ""))
 
 
-def best_alias(name: str, aliases: list[tuple], at_least: float) -> tuple | None:
-    """(score, alias row) of the nearest alias, the first among equals; None below `at_least`.
+def _with_length(df: DataFrame, text: str) -> DataFrame:
+    """tokens, and the length of the distinct tokens joined by blanks."""
+    joined = F.aggregate("tokens", F.lit(-1), lambda n, t: n + F.length(t) + 1)
+    return df.withColumn("tokens", _tokens(text)).filter(F.size("tokens") > 0).withColumn("length", joined)
 
-    An alias row starts with its tokens.
+
+def _rarest_tokens(own: DataFrame, other: DataFrame, name: str, share: float) -> DataFrame:
+    """(name, token): tokens of `own`, the rarest in `other` first, until the rest is shorter than `share` of the name.
+
+    Whatever shares tokens of that joined length with the name shares one of these.
     """
-    tokens, best, best_score = M.name_tokens(name), None, -1.0
-    for row in aliases:
-        score = M.tokens_ratio(tokens, row[0], at_least)
-        if score > best_score:
-            best, best_score = row, score
-            if score >= 100.0:
-                break
-    return None if best is None or best_score < at_least else (best_score, best)
+    counts = other.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    each = own.select(name, "length", F.explode("tokens").alias("token")).join(counts, "token", "left")
+    before = Window.partitionBy(name).orderBy(F.coalesce("n", F.lit(0)), "token").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("length") - F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0))
+    return each.withColumn("left", left).filter((F.col("left") >= F.col("length") * share - 1e-6) & F.col("n").isNotNull()).select(name, "token")
 
 
-def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_RATIO,
-                min_alias_tokens: int = 1, limit: int | None = None) -> DataFrame:
-    """Nearest alias of each distinct `alias_norm` in names; kept if the ratio reaches the threshold.
+def _grams(size: int) -> Column:
+    """All grams of `size` letters inside the tokens, each with its number among equal ones, so that sets hold multisets."""
+    grams = F.flatten(F.transform("tokens", lambda t: F.when(F.length(t) >= size, F.transform(
+        F.sequence(F.lit(1), F.length(t) - size + 1), lambda i: F.substr(t, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))))
+    return let(grams, lambda every: F.transform(every, lambda g, i: F.concat(
+        g, F.lit("#"), F.size(F.filter(F.slice(every, F.lit(1), i + 1), lambda other: other == g)).cast("string"))))
 
-    Ties go to the alias listed first. Result: alias_norm, canonical_id, score.
+
+def _rarest_grams(names: DataFrame, aliases: DataFrame, threshold: float) -> DataFrame:
+    """(name, alias): pairs that may reach the threshold by their letters, token by token or across tokens.
+
+    A pair at the threshold differs by at most (1 - threshold) of both lengths. What is left in common falls into at most
+    one piece more than there are differences, so a least number of the name's grams stays intact, but for those that a
+    blank may cut. Of the name's grams, the rarest first, as many as may be lost and one more hold one that the alias has
+    too. A name is sought by the longest grams of which one is sure to stay: three letters, two, or single ones.
+    Lengths are bounded by the threshold as well.
     """
-    distinct = names.select("alias_norm").distinct()
-    usable = index.filter(F.size(F.split("alias_norm", r"\s+")) >= min_alias_tokens)
-    inline = inline_aliases(usable, limit)
-    floor = threshold * 100
-    if inline is None:
-        return _match_in_slices(distinct, usable, floor, limit or MAX_INLINE_ALIASES)
-    aliases = [(M.name_tokens(a), c) for a, c, _ in inline]
+    nearest = threshold / (2 - threshold)
+    blanks = F.size("tokens") - 1
 
-    def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = [(n, best_alias(n, aliases, floor)) for n in part["alias_norm"]]
-            yield pd.DataFrame([(n, b[1][1], b[0]) for n, b in found if b], columns=["alias_norm", "canonical_id", "score"])
+    def kept(size: int) -> Column:
+        per_letter = max(0.0, 0.5 - (size - 0.5) * (1 - threshold)) * (1 + nearest)
+        return F.ceil(per_letter * F.col("length") - (size - 1) - size * blanks - 1e-6)
 
-    return spread(distinct, "alias_norm").mapInPandas(nearest, MATCH)
+    own = F.when(kept(3) > 0, F.struct(_grams(3).alias("grams"), kept(3).alias("kept"))).when(
+        kept(2) > 0, F.struct(_grams(2).alias("grams"), kept(2).alias("kept"))).otherwise(F.struct(_grams(1).alias("grams"), kept(1).alias("kept")))
+    sought = names.select("name", "length", own.alias("own")).select(
+        "name", "length", (F.size("own.grams") - F.col("own.kept") + 1).alias("least"), F.explode("own.grams").alias("gram"))
+    postings = aliases.select("alias", F.col("length").alias("other"), F.explode(F.concat(_grams(1), _grams(2), _grams(3))).alias("gram"))
+    counts = postings.groupBy("gram").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("name").orderBy(F.coalesce("n", F.lit(0)), "gram")
+    asked = sought.join(counts, "gram", "left").withColumn("at", F.row_number().over(order)).filter((F.col("at") <= F.col("least")) & F.col("n").isNotNull())
+    return asked.join(postings, "gram").filter(F.col("other").between(
+        F.col("length") * nearest - 1e-6, F.col("length") / nearest + 1e-6)).select("name", "alias")
 
 
-def _match_in_slices(distinct: DataFrame, index: DataFrame, floor: float, limit: int) -> DataFrame:
-    """The same argmax with the dictionary cut into slices that fit a task.
+def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_RATIO, min_alias_tokens: int = 1) -> DataFrame:
+    """Nearest alias of each distinct `alias_norm` in names; kept if the ratio reaches the threshold (two thirds or more).
 
-    Each (slice of names, slice of aliases) is scored by itself and hands on one
-    row per name; the best over slices is an aggregate.
+    Ties go to the alias listed first. Result: alias_norm, canonical_id, score.
+
+    No name meets the whole dictionary. Pairs that share enough whole tokens meet on the rarest tokens of either side;
+    where one name holds all tokens of the other the score is 100 and is settled by that join. The other names meet
+    aliases on their rarest grams of letters too, and only these pairs are scored, in an Arrow pass. Both searches are exact:
+    a pair at the threshold shares a key by the bounds given with each.
     """
-    n_aliases, n_names = index.count(), distinct.count()
-    alias_slices, name_slices = -(-n_aliases // limit), max(1, -(-n_names // (20 * limit)))
-    left = distinct.withColumn("ns", F.pmod(F.xxhash64("alias_norm"), F.lit(name_slices)).cast("int")).withColumn(
-        "s", F.explode(F.sequence(F.lit(0), F.lit(alias_slices - 1))))
-    right = index.select(
-        "alias_norm", "canonical_id", F.col("pos.entity_pos").alias("e"), F.col("pos.alias_pos").alias("a"),
-        F.pmod(F.xxhash64("alias_norm"), F.lit(alias_slices)).cast("int").alias("s"),
-    ).withColumn("ns", F.explode(F.sequence(F.lit(0), F.lit(name_slices - 1))))
-
-    def score(names: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["e", "a"])
-        aliases = [(M.name_tokens(r.alias_norm), r.canonical_id, r.e, r.a) for r in part.itertuples()]
-        found = [(n, best_alias(n, aliases, floor)) for n in names["alias_norm"]]
-        return pd.DataFrame([(n, b[1][1], b[0], b[1][2], b[1][3]) for n, b in found if b],
-                            columns=["alias_norm", "canonical_id", "score", "e", "a"])
-
-    pieces = spread(left, "ns", "s").groupBy("ns", "s").cogroup(spread(right, "ns", "s").groupBy("ns", "s")).applyInPandas(
-        score, MATCH + ", e long, a long")
-    return pieces.groupBy("alias_norm").agg(
+    if threshold * 3 < 2:
+        raise ValueError("below two thirds a pair need not share any letter")
+    left = cut_lineage(_with_length(names.select(F.col("alias_norm").alias("name")).distinct(), "name"))
+    right = cut_lineage(_with_length(index.select(
+        F.col("alias_norm").alias("alias"), "canonical_id", F.col("pos.entity_pos").alias("e"), F.col("pos.alias_pos").alias("a")), "alias").filter(
+        F.size(F.split("alias", r"\s+")) >= min_alias_tokens))
+    share = threshold / (2 - threshold)
+    on_left = _rarest_tokens(left, right, "name", share).join(right.select("alias", F.explode("tokens").alias("token")), "token")
+    on_right = _rarest_tokens(right, left, "alias", share).join(left.select("name", F.explode("tokens").alias("token")), "token")
+    inside = (F.size(F.array_except("tokens", "others")) == 0) | (F.size(F.array_except("others", "tokens")) == 0)
+    sharing = cut_lineage(on_left.select("name", "alias").unionByName(on_right.select("name", "alias")).distinct().join(
+        left.select("name", "tokens"), "name").join(right.select("alias", F.col("tokens").alias("others"), "canonical_id", "e", "a"), "alias").select(
+        "name", "alias", "canonical_id", "e", "a", inside.alias("inside")))
+    whole = cut_lineage(sharing.filter("inside").groupBy("name").agg(
+        F.min_by("canonical_id", F.struct("e", "a")).alias("canonical_id"), F.lit(100.0).alias("score")))
+    open_names = left.join(whole.select("name"), "name", "left_anti")
+    pairs = sharing.select("name", "alias").join(whole.select("name"), "name", "left_anti").unionByName(_rarest_grams(open_names, right, threshold)).distinct()
+    floor = threshold * 100
+
+    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, tuple] = {}
+
+        def tokens(text: str) -> tuple:
+            if text not in known:
+                if len(known) > 50_000:
+                    known.clear()
+                known[text] = M.name_tokens(text)
+            return known[text]
+
+        for part in parts:
+            part["score"] = [M.tokens_ratio(tokens(n), tokens(a), floor) for n, a in zip(part["name"], part["alias"])]
+            yield part[part["score"] >= floor]
+
+    near = pairs.mapInPandas(score, "name string, alias string, score double").join(right.select("alias", "canonical_id", "e", "a"), "alias")
+    best = near.groupBy("name").agg(
         F.max_by("canonical_id", F.struct("score", -F.col("e"), -F.col("a"))).alias("canonical_id"), F.max("score").alias("score"))
+    return whole.unionByName(best).select(F.col("name").alias("alias_norm"), "canonical_id", "score")
 
 
 def resolve(names: DataFrame, index: DataFrame, name: str = "name", threshold: float = P.FUZZY_RATIO,

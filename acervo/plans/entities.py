@@ -143,3 +143,23 @@ def q29(spark, sf):
         kind == 1, F.concat(F.lit("Cia "), F.initcap("p_name"), F.lit(" S.A."))).otherwise(F.concat(F.lit("zz"), F.col("p_partkey").cast("string")))
     names = part.select("p_partkey", name.alias("name"))
     return E.resolve(names, E.alias_index(entities))
+
+
+@query("q29_known_ratios", """
+WITH a AS (SELECT p_partkey, 'p' || p_partkey AS canonical_id, upper(left(md5(CAST(p_partkey AS VARCHAR)), 12)) AS x, upper(right(md5(CAST(p_partkey AS VARCHAR)), 20)) AS y FROM part)
+SELECT CASE p_partkey % 6 WHEN 0 THEN 'GRUPO ' || y || ' ' || x WHEN 1 THEN left(x, 5) || 'Q' || right(x, 6) || ' ' || y WHEN 2 THEN 'ZZ ' || y ELSE y END AS alias_norm,
+  canonical_id, round(CASE p_partkey % 6 WHEN 1 THEN 100 - 100.0 * 2 / (33 + 33) WHEN 2 THEN 100 - 100.0 * (1 + 2) / (20 + 23) ELSE 100.0 END, 6) AS score
+FROM a WHERE p_partkey % 6 <= 3""")
+def q29_known(spark, sf):
+    """Aliases of two random tokens x y, and names at a known ratio to them: all tokens and one more, one letter changed,
+    one token changed, one token left out, five letters changed (below the threshold), nothing in common."""
+    part = table(spark, sf, "part")
+    digest = F.upper(F.md5(F.col("p_partkey").cast("string").cast("binary")))
+    x, y = F.substring(digest, 1, 12), F.substring(digest, 13, 20)
+    entities = part.select(F.col("p_partkey").alias("entity_pos"), F.concat(F.lit("p"), "p_partkey").alias("canonical_id"),
+                           F.col("p_name").alias("main_name"), F.array(F.concat_ws(" ", x, y)).alias("aliases"))
+    kind = F.col("p_partkey") % 6
+    name = (F.when(kind == 0, F.concat_ws(" ", F.lit("GRUPO"), y, x)).when(kind == 1, F.concat(F.substring(x, 1, 5), F.lit("Q"), F.substring(x, 7, 6), F.lit(" "), y))
+            .when(kind == 2, F.concat_ws(" ", F.lit("ZZ"), y)).when(kind == 3, y)
+            .when(kind == 4, F.concat(F.lit("QQQQQ"), F.substring(x, 6, 7), F.lit("Q"), F.substring(y, 2, 19))).otherwise(F.reverse(F.md5(y.cast("binary")))))
+    return E.match_fuzzy(part.select(name.alias("alias_norm")), E.alias_index(entities)).select("alias_norm", "canonical_id", F.round("score", 6).alias("score"))

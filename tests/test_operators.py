@@ -267,17 +267,52 @@ def test_mentions_of_a_large_dictionary(spark):
         assert rows(entities.scan_mentions(docs, large, "id", "text", carried=carried), "id", "alias_norm", "suspect") == want
 
 
-def test_fuzzy_both_paths_equal_brute_force(spark, index):
-    names = ["SAO PEDRU", "CIA ENERGIA SOLAR NORTE SA", "XYZ", "ENERGIA SOLAR", "RADAR NOVO", "ABCDEG"]
+def nearest_aliases(names, aliases, threshold=85):
+    """Every name against every alias in list order; the first of the best."""
+    want = []
+    for n in sorted(set(names)):
+        score, _, canonical = max((M.token_set_ratio(n, a), -i, c) for i, (a, c) in enumerate(aliases))
+        if score >= threshold:
+            want.append((n, canonical, round(score, 6)))
+    return want
+
+
+def fuzzy(df, index, **more):
+    return sorted((r["alias_norm"], r["canonical_id"], round(r["score"], 6)) for r in entities.match_fuzzy(df, index, **more).collect())
+
+
+def test_fuzzy_equals_brute_force(spark, index):
+    names = ["SAO PEDRU", "CIA ENERGIA SOLAR NORTE SA", "XYZ", "ENERGIA SOLAR", "RADAR NOVO", "ABCDEG", "", "  "]
     df = spark.createDataFrame([(n,) for n in names], "alias_norm string")
     ordered_aliases = [(r["alias_norm"], r["canonical_id"]) for r in sorted(index.collect(), key=lambda r: tuple(r["pos"]))]
-    want = []
-    for n in names:
-        score, place, canonical = max((M.token_set_ratio(n, a), -i, c) for i, (a, c) in enumerate(ordered_aliases))
-        if score >= 85:
-            want.append((n, canonical))
-    for limit in (100, 2):
-        assert rows(entities.match_fuzzy(df, index, limit=limit), "alias_norm", "canonical_id") == sorted(want)
+    assert fuzzy(df, index) == nearest_aliases(names, ordered_aliases)
+    assert entities.match_fuzzy(df, index.limit(0)).count() == 0 and entities.match_fuzzy(df.limit(0), index).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.85, 0.7])
+def test_fuzzy_of_hard_names_equals_brute_force(spark, threshold):
+    """Short tokens, shared hot tokens, changed, dropped and swapped letters, joined and parted tokens."""
+    rnd = random.Random(3)
+    stems = ["SA", "CIA", "A", "B", "AB", "GRUPO", "ENERGIA", "MARIPOSA", "LITORAL", "SUL", "X1", "NORTE", "AGUAS"]
+
+    def made():
+        return [rnd.choice(stems) if rnd.random() < 0.7 else "".join(rnd.choices("ABEIO", k=rnd.randint(1, 9))) for _ in range(rnd.randint(1, 4))]
+
+    def changed(tokens):
+        text = list(" ".join(tokens))
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randrange(len(text)) if text else 0
+            kind = rnd.random()
+            text[at:at + 1] = [] if kind < 0.3 else [rnd.choice("ABEIOXZ ")] if kind < 0.7 else text[at:at + 1] + [rnd.choice("AEIO ")]
+        return "".join(text)
+
+    aliases = sorted({" ".join(made()) for _ in range(120)})
+    rnd.shuffle(aliases)
+    names = [changed(rnd.choice(aliases).split()) if rnd.random() < 0.8 else " ".join(made()) for _ in range(150)]
+    index = spark.createDataFrame([(a, f"c{i}", (i, 0)) for i, a in enumerate(aliases)],
+                                  "alias_norm string, canonical_id string, pos struct<entity_pos:int,alias_pos:int>")
+    df = spark.createDataFrame([(n,) for n in names], "alias_norm string")
+    assert fuzzy(df, index, threshold=threshold) == nearest_aliases(names, [(a, f"c{i}") for i, a in enumerate(aliases)], threshold * 100)
 
 
 def test_token_set_ratio():
