@@ -15,17 +15,27 @@ from acervo.llm.common import GRAM_P, Rolling, arrow_pass, mix, staged, worker_s
 
 WORDS = re.compile(r"[^\W\d_]+")
 START = "▁"
-LONGEST_WORD = 48
 FLOOR = 1e-9
+#: Sums below LOW are raised by LIFT, and the logarithm of the lift is kept beside them.
+LOW, LIFT = 1e-100, 1e100
+#: Letters times words of one array of sums.
+CELLS = 400_000
 MOST_LANGUAGES = 1000
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, folded to lower case; a run over 48 letters is read in parts of 48."""
-    found = WORDS.findall(text.lower()) if text else []
-    if any(len(w) > LONGEST_WORD for w in found):
-        found = [w[i:i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
-    return found
+    """Runs of letters, folded to lower case."""
+    return WORDS.findall(text.lower()) if text else []
+
+
+def portions(words: list[str]) -> Iterator[list[str]]:
+    """Words by falling length, in lists whose array of sums is bounded; a very long word is a list of its own."""
+    words = sorted(words, key=len, reverse=True)
+    at = 0
+    while at < len(words):
+        n = max(1, min(8192, CELLS // (len(words[at]) + 2)))
+        yield words[at:at + n]
+        at += n
 
 
 def pieces_of(path: str) -> list[str]:
@@ -87,46 +97,63 @@ class Pieces:
         return [w[1:] for w in marked], starts, lengths, found
 
 
-def forward(starts, lengths, found, table: np.ndarray, single: np.ndarray) -> np.ndarray:
-    """Sums over all segmentations of each prefix: (words, places, languages)."""
+def _lifted(sums: np.ndarray, logs: np.ndarray, lift: np.ndarray, live: int, at: int, window: slice) -> None:
+    """Raise the sums of the words and languages that run low at a place, with all places that are still added up from."""
+    low = sums[:live, at] < LOW
+    if low.any():
+        rows, langs = np.nonzero(low & (sums[:live, at] > 0))
+        sums[rows, window, langs] *= LIFT
+        logs[rows, window, langs] -= np.log(LIFT)
+        lift[rows, langs] -= np.log(LIFT)
+
+
+def forward(starts, lengths, found, table: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all segmentations of each prefix, (words, places, languages), and the logarithms they are to be raised by."""
     most = int(lengths.max(initial=0))
+    longest = max(found, default=1)
     alpha = np.zeros((len(starts), most + 1, table.shape[1]))
+    logs, lift = np.zeros_like(alpha), np.zeros((len(starts), table.shape[1]))
     alpha[:, 0] = 1
     for i in range(1, most + 1):
         live = int(np.searchsorted(-lengths, -i, side="right"))
-        for size in range(1, min(i, max(found)) + 1):
+        for size in range(1, min(i, longest) + 1):
             piece = found[size][starts[:live] + i - size]
             use = single if size == 1 else table
             hit = np.flatnonzero(piece < len(table) - 1) if size > 1 else slice(0, live)
             alpha[hit, i] += alpha[hit, i - size] * use[piece[hit]]
-    return alpha
+        logs[:live, i] = lift[:live]
+        _lifted(alpha, logs, lift, live, i, slice(max(0, i - longest + 1), i + 1))
+    return alpha, logs
 
 
 def expected(starts, lengths, found, counts: np.ndarray, table: np.ndarray, single: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words (one language)."""
-    alpha = forward(starts, lengths, found, table, single)[:, :, 0]
-    most = alpha.shape[1] - 1
-    beta = np.zeros_like(alpha)
+    alpha, up = forward(starts, lengths, found, table, single)
+    most, longest = alpha.shape[1] - 1, max(found, default=1)
+    beta, down, lift = np.zeros_like(alpha), np.zeros_like(alpha), np.zeros((len(starts), 1))
     rows = np.arange(len(starts))
     beta[rows, lengths] = 1
-    whole = alpha[rows, lengths]
+    whole, total = alpha[rows, lengths, 0], up[rows, lengths, 0]
     uses = np.zeros(len(table))
     for i in range(most, 0, -1):
         live = int(np.searchsorted(-lengths, -i, side="right"))
-        for size in range(1, min(i, max(found)) + 1):
+        down[:live, i] = lift[:live]
+        _lifted(beta, down, lift, live, i, slice(max(0, i - longest), i + 1))
+        for size in range(1, min(i, longest) + 1):
             piece = found[size][starts[:live] + i - size]
-            step = (single if size == 1 else table)[piece, 0] * beta[:live, i]
-            beta[:live, i - size] += step
-            uses += np.bincount(piece, alpha[:live, i - size] * step * counts[:live] / whole[:live], minlength=len(table))
+            step = (single if size == 1 else table)[piece, 0] * beta[:live, i, 0]
+            beta[:live, i - size, 0] += step
+            share = np.exp(up[:live, i - size, 0] + down[:live, i, 0] - total[:live])
+            uses += np.bincount(piece, alpha[:live, i - size, 0] * step * counts[:live] / whole[:live] * share, minlength=len(table))
     return uses
 
 
 class Model:
     """Languages and, for each piece (and none), its probability in each language."""
 
-    def __init__(self, pieces: list[str], languages: list[str], table: np.ndarray):
+    def __init__(self, pieces: list[str], languages: list[str], table: np.ndarray, name: str | None = None):
         self.pieces, self.languages, self.table = pieces, languages, table
-        self.name = uuid.uuid4().hex
+        self.name = name or uuid.uuid4().hex
 
     def single(self) -> np.ndarray:
         """Like the table; a letter without a piece counts alike in every language."""
@@ -138,8 +165,8 @@ class Model:
 class Scorer:
     """Word scores of one model, kept for the words met lately."""
 
-    def __init__(self, model: Model, words: int = 200_000):
-        self.model, self.bound = model, words
+    def __init__(self, model: Model, letters: int = 2_000_000):
+        self.model, self.bound, self.letters = model, letters, 0
         self.find = Pieces(model.pieces)
         self.single = model.single()
         self.rows: dict[str, int] = {}
@@ -147,15 +174,17 @@ class Scorer:
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > self.bound:
-            self.rows, self.scores, new = {}, self.scores[:0], list(words)
+        if self.letters + sum(map(len, new)) > self.bound:
+            self.rows, self.scores, self.letters, new = {}, self.scores[:0], 0, list(words)
+        self.letters += sum(map(len, new))
         tables = [self.scores]
-        for at in range(0, len(new), 8192):
-            part, starts, lengths, found = self.find.lattice(new[at:at + 8192])
-            alpha = forward(starts, lengths, found, self.model.table, self.single)
+        for portion in portions(new):
+            part, starts, lengths, found = self.find.lattice(portion)
+            alpha, logs = forward(starts, lengths, found, self.model.table, self.single)
             for w in part:
                 self.rows[w] = len(self.rows)
-            tables.append(np.log(np.maximum(alpha[np.arange(len(part)), lengths], 1e-300)))
+            rows = np.arange(len(part))
+            tables.append(np.log(alpha[rows, lengths]) + logs[rows, lengths])
         self.scores = np.concatenate(tables)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -221,9 +250,10 @@ def fit(docs: DataFrame, vocabulary: str, rows_per_language: int = 400, rounds:
                     by.setdefault(lang, {})[word] = n
                 for lang, seen in by.items():
                     k = model.languages.index(lang)
-                    marked, starts, lengths, found = find.lattice(list(seen))
-                    total[:, k] += expected(starts, lengths, found, np.array([seen[w] for w in marked], float),
-                                            model.table[:, [k]], single[:, [k]])
+                    for portion in portions(list(seen)):
+                        marked, starts, lengths, found = find.lattice(portion)
+                        total[:, k] += expected(starts, lengths, found, np.array([seen[w] for w in marked], float),
+                                                model.table[:, [k]], single[:, [k]])
             piece, lang = np.nonzero(total)
             yield {"piece": piece, "lang": lang, "n": total[piece, lang]}
 
@@ -245,7 +275,8 @@ def identified(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
 
     Only the text is read; other columns play no part. Repeated rows repeat; an empty table gives none.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast class would have to be imported by the workers
+    sent = docs.sparkSession.sparkContext.broadcast((model.pieces, model.languages, model.table, model.name))
     types = dict(docs.dtypes)
     schema = ", ".join([f"_k{i} {types[c]}" for i, c in enumerate(keep)] + ["lang_pred string, score double"])
 
@@ -253,7 +284,7 @@ def identified(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
         scorer = None
         for batch in batches:
             if scorer is None:
-                known = sent.value
+                known = Model(*sent.value)
                 scorer = worker_store("language", known.name, lambda: Scorer(known))
             labels, scores = scorer(batch.column(len(keep)).to_pylist())
             yield {f"_k{i}": batch.column(i).to_pylist() for i in range(len(keep))} | {"lang_pred": labels, "score": scores}

@@ -272,12 +272,13 @@ def classes(docs: DataFrame, least: float = 0.8, estimate: float = 0.65) -> Data
 
 def deduplicated(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """One document of each class: the row with the smallest doc_id (of rows that repeat, one), all columns as they are."""
-    found = classes(docs, least)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("x") == F.col("class_x"))).groupBy(
-        F.col("doc_id").alias("_d"), F.col("x").alias("_x")).agg(F.count("*").alias("_n"))
-    heads = staged(heads, "heads")
-    mine = docs.withColumn("_h", F.xxhash64("text"))
-    kept = mine.join(heads, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_x")))
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    # the whole row in one column: none of its names can meet a helper's
+    mine = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_h"))
+    found = classes(docs.select("doc_id", "text"), least)
+    heads = staged(found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("x") == F.col("class_x"))).groupBy(
+        F.col("doc_id").alias("_d"), F.col("x").alias("_x")).agg(F.count("*").alias("_n")), "heads")
+    kept = mine.join(heads, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_x")))
     # only rows that repeat are compared with each other; the texts of all others move once
-    again = kept.where("_n > 1").dropDuplicates(["doc_id", "_h"])
-    return kept.where("_n = 1").union(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = kept.where("_n > 1").dropDuplicates(["_id", "_h"])
+    return kept.where("_n = 1").union(again).select(*[F.col("_row.`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns])

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -69,11 +68,20 @@ def _inserted() -> Table:
 
 
 INSERTED = _inserted()
+_made: dict[tuple, Table] = {}
 
 
-@lru_cache(maxsize=4096)
 def row_table(initial: str, gone: bool, cut: bool, copies: int) -> Table:
     """Edits of a row and of its repetitions, which must go, and the insertions after them."""
+    key = (initial, gone, cut, copies)
+    if key not in _made:
+        if len(_made) > 4096:
+            _made.clear()
+        _made[key] = _row_table(*key)
+    return _made[key]
+
+
+def _row_table(initial: str, gone: bool, cut: bool, copies: int) -> Table:
     deletions = copies if gone else copies - 1
     table: Table = {}
     for p in range(4):

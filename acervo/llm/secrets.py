@@ -116,6 +116,13 @@ class Forest:
             self._grow(x[rows], y[rows], depth, least, width, rng, nodes)
             self.trees.append([np.array(c) for c in zip(*nodes)])
 
+    @classmethod
+    def of(cls, trees: list) -> Forest:
+        """A forest from another's trees, which are plain arrays and can be sent to workers without this package."""
+        forest = cls.__new__(cls)
+        forest.trees = trees
+        return forest
+
     def _grow(self, x, y, depth, least, width, rng, nodes) -> int:
         at = len(nodes)
         share = float(y.mean())
@@ -264,14 +271,15 @@ def scanned(docs: DataFrame, forest: Forest, dictionary: frozenset[str], keep: t
     each secret replaced by `mask` (null stays null). The path is the column `source` (null: empty). Repeated rows
     repeat, an empty table gives none; other columns play no part.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((forest, dictionary))
+    sent = docs.sparkSession.sparkContext.broadcast((forest.trees, dictionary))
     types = dict(docs.dtypes)
     schema = ", ".join([f"_k{i} {types[c]}" for i, c in enumerate(keep)] + [
         "findings array<struct<start:bigint,end:bigint,score:double,secret:boolean>>, redacted string"])
     n = len(keep)
 
     def run(batches) -> Iterator[dict[str, list]]:
-        forest, dictionary = sent.value
+        trees, dictionary = sent.value
+        forest = Forest.of(trees)
         for batch in batches:
             raws, paths = batch.column(n).to_pylist(), batch.column(n + 1).to_pylist()
             places = [(row, a, b) for row, raw in enumerate(raws) if raw for a, b in spans(raw)]

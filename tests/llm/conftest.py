@@ -23,7 +23,7 @@ def edge_docs(spark):
         (13, passage(20, 50), "en", "a", 1), (14, passage(20, 49) + " changed", "en", "a", 1), (7, "same id, other text", "en", "b", 1),
     ]
     docs = spark.createDataFrame(rows, SCHEMA)
-    for name in ("d", "x", "t", "h", "raw", "value", "score", "n_words", "n_tokens", "shard", "findings", "spans", "_row", "_k0"):
+    for name in ("d", "x", "t", "h", "raw", "value", "score", "n_words", "n_tokens", "shard", "findings", "spans", "_row", "_k0", "_h", "_n", "_d", "_x", "_id", "a.b"):
         docs = docs.withColumn(name, F.lit(name))
     return docs
 

@@ -242,7 +242,8 @@ def test_forward_sums_all_segmentations():
     model = language.Model(pieces, ["x", "y"], table)
     find = language.Pieces(pieces)
     words, starts, lengths, found = find.lattice(["ab", "aba", "c", "abab"])
-    alpha = language.forward(starts, lengths, found, table, model.single())
+    alpha, logs = language.forward(starts, lengths, found, table, model.single())
+    assert not logs.any()
 
     def total(text, k):
         if not text:
@@ -259,6 +260,58 @@ def test_forward_sums_all_segmentations():
     assert (uses * sizes).sum() == pytest.approx(sum(len(w) + 1 for w in words))
 
 
+def test_sums_of_long_words():
+    """Scaled sums against logarithms, for a word far beyond the range of doubles."""
+    rng = np.random.default_rng(1)
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "aba"]
+    table = rng.random((len(pieces) + 1, 2)) / 50
+    table[-1] = 0
+    model = language.Model(pieces, ["x", "y"], table)
+    find, single = language.Pieces(pieces), model.single()
+    word = "".join(rng.choice(["a", "b", "q"], 900))
+    words, starts, lengths, found = find.lattice([word, "ab"])
+    alpha, logs = language.forward(starts, lengths, found, table, single)
+    text = "▁" + word
+    for k in (0, 1):
+        best = [0.0]
+        for i in range(1, len(text) + 1):
+            terms = [best[i - 1] + np.log(table[pieces.index(text[i - 1]), k] if text[i - 1] in pieces else language.FLOOR)]
+            terms += [best[i - len(p)] + np.log(table[n, k]) for n, p in enumerate(pieces) if len(p) > 1 and text[:i].endswith(p)]
+            best.append(float(np.logaddexp.reduce(terms)))
+        assert np.log(alpha[0, lengths[0], k]) + logs[0, lengths[0], k] == pytest.approx(best[-1])
+    uses = language.expected(starts, lengths, found, np.ones(2), table[:, [0]], single[:, [0]])
+    sizes = np.array([len(p) for p in pieces] + [1])
+    assert (uses * sizes).sum() == pytest.approx(len(word) + 1 + 3)
+
+
+def test_a_long_word_without_pieces_teaches_nothing_else(spark):
+    path = language.vocabulary_path(spark)
+    rows = [(i, t, l) for i, (t, l) in enumerate([("the house and the garden of the king", "en"), ("la maison et le jardin du roi", "fr")] * 5)]
+    odd = [(100 + i, "\u1208" * 200 + " " + "\u0f40" * 60, "en") for i in range(3)]
+    plain, more = (language.fit(spark.createDataFrame(r, "doc_id bigint, text string, lang string"), path) for r in (rows, rows + odd))
+    assert np.isfinite(more.table).all()
+    said = spark.createDataFrame([(1, "the garden and the house"), (2, "LE JARDIN et la maison"), (3, "\u1208" * 5000), (4, "le roi " + "\u0f40" * 700)],
+                                 "doc_id int, text string")
+    got = [{r.doc_id: (r.lang_pred, r.score) for r in language.identified(said, m).collect()} for m in (plain, more)]
+    assert [{d: x[0] for d, x in g.items() if d != 3} for g in got] == [{1: "en", 2: "fr", 4: "fr"}] * 2
+    assert all(0 <= score <= 1 for g in got for _, score in g.values())
+
+
+def test_workers_need_no_package(tmp_path):
+    """Driver outside the repository, package found by the driver alone."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = (f"import sys; sys.path.insert(0, {root!r})\nimport __spark_entry__ as e\nfrom acervo.session import build_session\n"
+            "spark = build_session('away', 'local[2]', **{'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2'})\n"
+            "for name in ('op5_language', 'op3_secrets', 'op11_topk', 'op12_repair', 'op13_runs'):\n"
+            "    print(name, e.queries()[name](spark, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "op5_language 200" in done.stdout and "op3_secrets 200" in done.stdout and "op13_runs 200" in done.stdout, done.stderr[-2000:]
+
+
 # --- substrings of words and of bytes
 
 def brute_words(rows, window=20):
