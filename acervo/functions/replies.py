@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from acervo import params as P
+from acervo.functions.text import let
 
 
 def strip_fence(text: Column) -> Column:
@@ -73,34 +74,40 @@ def topic_summary(block: Column) -> Column:
     return _or_null(F.trim(F.regexp_extract(block, r"(?m)^\*\*Resumo Executivo\*\* - (.+)$", 1)))
 
 
-def topic_section(block: Column, heading: str) -> Column:
-    """Text below a `### ` heading, up to the next heading or the sources; null without the heading."""
-    found = F.regexp_extract(block, rf"(?ms)^### {heading}[^\n]*\n(.*?)(?=^### |^\*\*Fontes|\z)", 1)
-    return F.when(F.regexp_like(block, F.lit(rf"(?m)^### {heading}")), _strip(found))
+def topic_parts(block: Column) -> Column:
+    """What stands before the first heading, then each `### ` section and the sources, each from its heading on; one split."""
+    return let(F.split(block, r"(?m)^(?=### |\*\*Fontes)"), lambda parts: F.when(
+        F.get(parts, F.lit(0)).startswith("### ") | F.get(parts, F.lit(0)).startswith("**Fontes"), F.concat(F.array(F.lit("")), parts)).otherwise(parts))
+
+
+def section_of(parts: Column, heading: str) -> Column:
+    """Text below the first section of that heading; null without it."""
+    return let(F.get(F.filter(parts, lambda p: p.startswith(f"### {heading}")), F.lit(0)), lambda part: F.when(
+        part.isNotNull(), _strip(F.when(part.contains("\n"), F.substr(part, F.locate("\n", part) + 1)).otherwise(""))))
 
 
 def dashes(text: Column) -> Column:
     """Its `- ` lines."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^- (.+)$"), F.lit(1)), lambda b: F.trim(b))
+    lines = F.split(text, r"\r\n|[\n\r\u0085\u2028\u2029]")
+    return F.transform(F.filter(lines, lambda line: line.startswith("- ") & (F.length(line) > 2)), lambda line: F.trim(F.substr(line, F.lit(3))))
 
 
-def topic_bullets(block: Column) -> Column:
+def topic_bullets(parts: Column) -> Column:
     """Fact bullets: of their section in the daily form, before the sources in the weekly one."""
-    weekly = F.regexp_extract(block, r"(?ms)\A(.*?)(?=^### |^\*\*Fontes|\z)", 1)
-    return dashes(F.coalesce(topic_section(block, "O que mudou"), weekly))
+    return dashes(F.coalesce(section_of(parts, "O que mudou"), F.get(parts, F.lit(0))))
 
 
-def topic_why(block: Column) -> Column:
-    return _or_null(topic_section(block, "Por que importa"))
+def topic_why(parts: Column) -> Column:
+    return _or_null(section_of(parts, "Por que importa"))
 
 
-def topic_triggers(block: Column) -> Column:
-    return dashes(F.coalesce(topic_section(block, "Próximos Gatilhos"), F.lit("")))
+def topic_triggers(parts: Column) -> Column:
+    return dashes(F.coalesce(section_of(parts, "Próximos Gatilhos"), F.lit("")))
 
 
-def topic_portfolio(block: Column) -> Column:
+def topic_portfolio(parts: Column) -> Column:
     """Positions named in the portfolio section: (position, text) of its `- **name** - text` lines."""
-    lines = dashes(F.coalesce(topic_section(block, "Potencial Impacto na Carteira"), F.lit("")))
+    lines = dashes(F.coalesce(section_of(parts, "Potencial Impacto na Carteira"), F.lit("")))
     read = F.transform(lines, lambda b: F.struct(F.regexp_extract(b, r"^\*\*(.+?)\*\*", 1).alias("position"),
                                                  F.trim(F.regexp_extract(b, r"^\*\*.+?\*\*\s*-\s*(.*)$", 1)).alias("text")))
     return F.filter(read, lambda r: r["position"] != "")

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from acervo import params as P
 from acervo.functions import score as S
 from acervo.functions import text as X
+from acervo.functions.text import let
 from acervo.operators.dedup import last_wins
 from acervo.operators.ordered import with_position
+from acervo.session import cut_lineage
 
 
 def upsert_run_status(sources: DataFrame, runs: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -73,26 +75,43 @@ def with_covering_name(sources: DataFrame) -> DataFrame:
         "covered_via", F.coalesce("_covering", "covered_by")).drop("_covering")
 
 
-def match_blocks(sources: DataFrame, blocks: DataFrame, name: str, texts: list[str]) -> DataFrame:
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """Distinct grams of the given sizes; the text is cut into its letters once."""
+    def of(letters: Column, size: int) -> Column:
+        return F.when(F.size(letters) >= size, F.transform(
+            F.sequence(F.lit(0), F.size(letters) - size), lambda i: F.concat(*[F.get(letters, i + j) for j in range(size)]))).otherwise(
+            F.array().cast("array<string>"))
+
+    return let(F.filter(F.split(text, ""), lambda c: c != ""), lambda letters: F.array_distinct(F.flatten(F.array(*[of(letters, n) for n in sizes]))))
+
+
+def match_blocks(sources: DataFrame, blocks: DataFrame, name: str, texts: list[str], gram: int = 4, hot: int = 10_000) -> DataFrame:
     """Source rows with the blocks whose texts contain the source's name, case ignored.
 
-    Containment as an equi join: every block text is cut into all its substrings
-    of the lengths that names have (a short list: name lengths are bounded by
-    the longest name), so no source meets a block it does not match.
+    Containment as an equi join on one gram of each name, the one that fewest
+    blocks hold (a shorter name is its own gram); `contains` then decides. The
+    blocks of a gram that more than `hot` blocks hold are dealt over several
+    keys, and the names that ask for it are repeated for each.
     """
-    named = sources.filter(F.coalesce(F.col(name), F.lit("")) != "").withColumn("_key", F.lower(F.col(name)))
-    lengths = named.agg(F.sort_array(F.collect_set(F.length("_key"))).alias("n")).first()["n"]
-    known = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-
-    def substrings(text: Column) -> Column:
-        return F.flatten(F.transform(
-            F.filter(known, lambda n: n <= F.length(text)),
-            lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)),
-        ))
-
-    keys = F.flatten(F.array(*[substrings(F.lower(F.coalesce(F.col(t), F.lit("")))) for t in texts]))
-    pieces = blocks.withColumn("_key", F.explode(F.array_distinct(keys)))
-    return named.join(pieces, "_key").drop("_key")
+    named = sources.filter(F.coalesce(F.col(name), F.lit("")) != "").select(F.struct("*").alias("_s"), F.lower(F.col(name)).alias("_key"))
+    # numbered once, so that the numbers hold when a task is run again
+    held = cut_lineage(blocks.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_b"),
+                                     F.array(*[F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]).alias("_texts")))
+    keys = named.select("_key").distinct()
+    asked = keys.filter(F.length("_key") >= gram).select("_key", F.explode(_grams(F.col("_key"), [gram])).alias("_g")).unionByName(
+        keys.filter(F.length("_key") < gram).select("_key", F.col("_key").alias("_g")))
+    sizes = list(range(1, gram + 1))
+    grams = F.array_distinct(F.flatten(F.transform("_texts", lambda t: _grams(t, sizes))))
+    postings = cut_lineage(held.select("_b", F.explode(grams).alias("_g")).join(asked.select("_g").distinct(), "_g", "left_semi"))
+    counts = postings.groupBy("_g").agg(F.ceil(F.count("*") / hot).cast("int").alias("_salts"), F.count("*").alias("_n"))
+    # a name with a gram that no block holds is in no block
+    rarest = asked.join(counts, "_g", "left").groupBy("_key").agg(
+        F.min_by(F.struct("_g", "_salts", "_n"), F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("m")).filter("m._n is not null").select("_key", "m._g", "m._salts")
+    dealt = postings.join(rarest.select("_g", "_salts").distinct(), "_g").select(
+        "_g", "_b", F.pmod(F.xxhash64("_b"), F.col("_salts")).cast("int").alias("_salt"))
+    met = rarest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).join(dealt, ["_g", "_salt"]).select("_key", "_b")
+    found = met.join(held, "_b").filter(F.exists("_texts", lambda t: F.contains(t, F.col("_key"))))
+    return found.join(named, "_key").select("_s.*", "_row.*")
 
 
 def next_block_number(blocks: DataFrame) -> Column:

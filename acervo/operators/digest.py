@@ -50,14 +50,15 @@ def partition_violations(numbered: DataFrame, grouped: DataFrame, keys: list[str
 
 def topics(digests: DataFrame, key: str, markdown: str, structured_only: bool = False) -> DataFrame:
     """One row per topic block; `structured_only` keeps blocks with every weekly section."""
-    rows = digests.select(key, F.posexplode(R.topic_blocks(F.col(markdown))).alias("topic_pos", "block"))
-    block = F.col("block")
+    rows = digests.select(key, F.posexplode(R.topic_blocks(F.col(markdown))).alias("topic_pos", "block")).withColumn(
+        "parts", R.topic_parts(F.col("block")))
+    block, parts = F.col("block"), F.col("parts")
     read = rows.withColumns({
         "title": R.topic_title(block), "sector": R.topic_sector(block), "impact": R.topic_impact(block),
-        "summary": R.topic_summary(block), "bullets": R.topic_bullets(block),
-        "why": R.topic_why(block), "triggers": R.topic_triggers(block), "portfolio": R.topic_portfolio(block),
+        "summary": R.topic_summary(block), "bullets": R.topic_bullets(parts),
+        "why": R.topic_why(parts), "triggers": R.topic_triggers(parts), "portfolio": R.topic_portfolio(parts),
         "source_urls": R.topic_source_urls(block), "citations_ok": R.citations_consistent(block),
-    })
+    }).drop("parts")
     complete = (F.col("title").isNotNull() & F.col("sector").isNotNull() & F.col("impact").isNotNull()
                 & (F.size("bullets") > 0) & (F.size("source_urls") > 0))
     return read.filter(complete) if structured_only else read.withColumn("structured", complete)

@@ -177,6 +177,23 @@ def test_block_match_is_literal(spark):
     assert rows(K.match_blocks(src, blk, "name", ["b", "f"]), "name", "id") == [("A.B(", 1), ("A.B(", 2), ("zz", 2)]
 
 
+def test_block_match_equals_brute_force(spark):
+    """Short and repeated names, a gram that most blocks hold, a text of 20 kB, names that no block holds."""
+    rnd = random.Random(2)
+    names = ["a", "É", "ab", "xyz", "grupo sul", "GRUPO norte", "grupo", "zzzz nowhere", "", None, "grupo sul"] + [
+        "grupo " + "".join(rnd.choices("abc", k=3)) for _ in range(20)]
+    texts = ["Grupo " + " grupo ".join("".join(rnd.choices("abcd", k=rnd.randint(1, 5))) for _ in range(rnd.randint(1, 4))) for _ in range(80)]
+    texts += [None, "", "é", "xy", "".join(rnd.choices("abcdef ", k=20_000)) + "grupo norte"]
+    src = spark.createDataFrame(list(enumerate(names)), "sid int, name string")
+    blk = spark.createDataFrame([(i, t, texts[-i]) for i, t in enumerate(texts)], "id int, name_text string, other string")
+    want = sorted((s, i) for s, n in enumerate(names) if n for i, t in enumerate(texts)
+                  if any(n.lower() in (x or "").lower() for x in (t, texts[-i])))
+    for hot in (10_000, 7):
+        got = K.match_blocks(src, blk, "name", ["name_text", "other"], hot=hot)
+        assert sorted((r["sid"], r["id"]) for r in got.collect()) == want
+    assert K.match_blocks(src, blk.limit(0), "name", ["other"]).count() == 0
+
+
 def test_next_ids(spark):
     for existing, want in (([], "blq_001"), (["blq_099"], "blq_100"), (["blq_999", "x"], "blq_1000")):
         blocks = spark.createDataFrame([(i, "n") for i in existing], "id string, name string")
