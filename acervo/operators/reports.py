@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo import params as P
@@ -126,3 +129,34 @@ def source_card(sources: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     listed = X.labelled_fields([(label, F.col(c)) for label, c in fields])
     return sources.select("*", F.posexplode(listed).alias("field_pos", "_f")).withColumns({
         "label": F.col("_f.label"), "value": F.col("_f.value")}).drop("_f")
+
+
+def by_name(df: DataFrame, name: str) -> DataFrame:
+    """All rows in the order of their names, over the whole table."""
+    return df.orderBy(F.col(name).asc_nulls_first())
+
+
+def inversions(df: DataFrame, name: str) -> DataFrame:
+    """(n_rows, n_inversions): how many rows come after a row with a greater name, in the order the table stands in.
+
+    Each partition is read once and hands on one row: its count, first and last
+    name. The last names meet the next partition's first in an order over these
+    few rows. A null name comes before all others.
+    """
+    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, bad, first, last, at = 0, 0, None, None, None
+        for part in parts:
+            for value, place in zip(part["name"], part["at"]):
+                if n and (last or "") > (value or ""):
+                    bad += 1
+                first = value if n == 0 else first
+                n, last, at = n + 1, value, place
+        if n:
+            yield pd.DataFrame({"at": [at], "n": [n], "bad": [bad], "first": [first], "last": [last]})
+
+    borders = df.select(F.col(name).cast("string").alias("name"), F.spark_partition_id().alias("at")).mapInPandas(
+        scan, "at int, n long, bad long, first string, last string")
+    before = F.coalesce(F.lag("last").over(Window.orderBy("at")), F.lit(""))
+    crossed = F.when(before > F.coalesce("first", F.lit("")), 1).otherwise(0)
+    return borders.withColumn("crossed", crossed).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("bad") + F.col("crossed")), F.lit(0)).alias("n_inversions"))

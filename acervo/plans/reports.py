@@ -132,3 +132,17 @@ def q49_card(spark, sf):
         F.when(key % 5 != 0, F.col("c_nationkey")).alias("docs"))
     card = reports.source_card(sources, [("Setor", "c_mktsegment"), ("Notas", "notes"), ("Docs", "docs")])
     return card.select("c_custkey", "label", "value")
+
+
+@query("q63_ordered_by_name", """
+WITH c AS (SELECT c_name, c_mktsegment, lag(c_mktsegment) OVER (ORDER BY c_custkey) AS before FROM customer)
+SELECT 'by name' AS taken, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_inversions FROM c
+UNION ALL SELECT 'as written', count(*), CAST(count(*) FILTER (before > c_mktsegment) AS BIGINT) FROM c""")
+def q63_ordered(spark, sf):
+    """Names out of order across the whole table: none once it is sorted by name, and those of the order of the keys."""
+    from acervo.operators.reports import by_name, inversions
+
+    customer = table(spark, sf, "customer")
+    done = inversions(by_name(customer.select("c_name"), "c_name"), "c_name").withColumn("taken", F.lit("by name"))
+    raw = inversions(customer.orderBy("c_custkey").select("c_mktsegment"), "c_mktsegment").withColumn("taken", F.lit("as written"))
+    return done.unionByName(raw).select("taken", "n_rows", "n_inversions")

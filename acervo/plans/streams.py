@@ -44,6 +44,28 @@ def q50_fresh(spark, sf):
     return spark.read.parquet(f"{out}/table").select("event_id")
 
 
+@query("q50_stream_batches", """
+SELECT event_id, 'dated' AS branch FROM events WHERE event_id % 50 <> 7 AND NOT (event_id % 50 = 9 AND ts < TIMESTAMP '2024-01-05')
+UNION ALL SELECT event_id, 'undated' FROM events WHERE event_id % 50 = 7""")
+def q50_batches(spark, sf):
+    """Three batches of ten days. Each repeats the last half day of the one before and all undated items; the third also
+    brings items of the first days, too late for the watermark. Dated items go by the watermark, undated by the manifest."""
+    out = scratch(spark, "batches")
+    events = table(spark, sf, "events").select("event_id", "ts")
+    late, undated = (F.col("event_id") % 50 == 9) & (F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")), F.col("event_id") % 50 == 7
+    ends = [F.lit(d).cast("timestamp_ntz") for d in ("2024-01-01", "2024-01-11", "2024-01-21", "2100-01-01")]
+    for n in range(3):
+        own = (F.col("ts") >= ends[n] - F.expr("interval 12 hours")) & (F.col("ts") < ends[n + 1]) & ~late
+        part = events.filter(undated | own | (late if n == 2 else F.lit(False)))
+        part.select("event_id", F.when(~undated, F.col("ts")).cast("timestamp").alias("published")).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    stream = I.read_folder(spark, f"{out}/in", spark.read.parquet(f"{out}/in").schema, files_per_batch=1)
+    dated, undated_items = I.dated_and_undated(stream, "published")
+    I.append_until_done(I.unseen_within(dated, ["event_id"], "published"), f"{out}/dated", f"{out}/c1")
+    I.each_batch(undated_items, I.manifest_sink(f"{out}/undated", ["event_id"], [F.col("event_id")]), f"{out}/c2")
+    return spark.read.parquet(f"{out}/dated").select("event_id", F.lit("dated").alias("branch")).unionByName(
+        spark.read.parquet(f"{out}/undated/items").select("event_id", F.lit("undated").alias("branch")))
+
+
 @query("q50_stream_status", r"""
 WITH s AS (SELECT DISTINCT source AS source_id FROM documents),
 r AS (SELECT 'src' || (user_id % 40 + 1) AS source_id, event_type <> 'error' AS ok, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS docs,
@@ -121,6 +143,23 @@ def q58_tab(spark, sf):
         bad.agg(F.count("*").alias("n")).withColumns({"nations": F.lit(None).cast("long"), "kept": F.lit(False)}))
 
 
+@query("q58_create_guard", """
+SELECT 'sources' AS name, count(*) AS n, true AS refused_again FROM supplier UNION ALL SELECT 'blocks', count(*), true FROM customer""")
+def q58_guard(spark, sf):
+    """Two control tables are created in the catalog; a second run is refused and changes nothing."""
+    out = scratch(spark, "guard")
+    run = out.rsplit("-", 1)[-1]
+    tables = {f"acervo_{name}_{run}": table(spark, sf, source) for name, source in (("sources", "supplier"), ("blocks", "customer"))}
+    ST.create_tables(tables, out)
+    try:
+        ST.create_tables({name: df.limit(0) for name, df in tables.items()}, out)
+        refused = False
+    except ValueError:
+        refused = True
+    counts = [spark.table(name).agg(F.count("*").alias("n")).select(F.lit(name.split("_")[1]).alias("name"), "n") for name in tables]
+    return counts[0].unionByName(counts[1]).withColumn("refused_again", F.lit(refused))
+
+
 @query("q58_absolute_urls", r"""
 SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) || '/a/' || page_id AS rooted,
   regexp_extract(url, '^https?://', 0) || 'other.example.com/x' AS schemeless, 'https://y.example.com/' AS full_url FROM pages""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -13,27 +15,32 @@ METADATA = ["source_id", "title", "description", "url", "date", "published_at"]
 _DAY = r"/(\d{4}-\d{2}-\d{2})/"
 
 
-def _whole_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
-    """(stem, content) of every file with the suffix at any depth; no folder, no rows."""
-    try:
-        files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
-        files = files.select(
-            F.regexp_replace(F.col("_metadata.file_path"), f"\\{suffix}$", "").alias("stem"), F.col("value"))
-        files.schema  # resolves the path now
-        return files
-    except AnalysisException:
-        return spark.createDataFrame([], "stem string, value string")
+def _whole_files(spark: SparkSession, folders: list[str], suffix: str) -> DataFrame:
+    """(stem, content) of every file with the suffix at any depth; folders that do not exist hold none."""
+    found = None
+    for folder in folders:
+        try:
+            files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
+            files = files.select(
+                F.regexp_replace(F.col("_metadata.file_path"), f"\\{suffix}$", "").alias("stem"), F.col("value"))
+            files.schema  # resolves the path now
+        except AnalysisException:
+            continue
+        found = files if found is None else found.unionByName(files)
+    return spark.createDataFrame([], "stem string, value string") if found is None else found
 
 
-def read_document_pairs(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
+def read_document_pairs(spark: SparkSession, folder: str | list[str], strict: bool = False) -> DataFrame:
     """Metadata joined to the text of the same stem.
 
-    Metadata must be a JSON object and its text file must exist; missing keys
+    The metadata files are the small side: below the optimizer's size bound they
+    are sent to the texts, which then stay where they were read. Metadata must be a JSON object and its text file must exist; missing keys
     are empty text, other keys stay in `extra`. `strict` also drops blank texts.
     """
-    meta = _whole_files(spark, folder, ".json").select(
+    folders = [folder] if isinstance(folder, str) else folder
+    meta = _whole_files(spark, folders, ".json").select(
         "stem", F.when(F.json_object_keys("value").isNotNull(), F.from_json("value", "map<string,string>")).alias("m"))
-    text = _whole_files(spark, folder, ".txt").select("stem", F.col("value").alias("text"))
+    text = _whole_files(spark, folders, ".txt").select("stem", F.col("value").alias("text"))
     pairs = meta.filter("m is not null").join(text, "stem")
     if strict:
         pairs = pairs.filter(F.regexp_replace("text", r"\s+", "") != "")
@@ -53,11 +60,13 @@ def last_days(docs: DataFrame, timestamp: str, as_of: str, days: int = P.WEEK_DA
 
 
 def read_week(spark: SparkSession, root: str, as_of: str, days: int = P.WEEK_DAYS) -> DataFrame:
-    """Documents of the last days; file ids carry their date. No documents is an error."""
-    pairs = read_document_pairs(spark, root)
-    first = F.date_sub(F.lit(as_of).cast("date"), days - 1).cast("string")
-    week = pairs.filter(F.col("folder_date").between(first, F.lit(as_of))).withColumn(
-        "file_id", F.concat_ws("_", "folder_date", "file_id"))
+    """Documents of the last days; file ids carry their date. No documents is an error.
+
+    Each day is a folder of its own below `root`: only the folders of these days are listed and read.
+    """
+    last = dt.date.fromisoformat(as_of)
+    folders = [f"{root.rstrip('/')}/{last - dt.timedelta(days=n)}" for n in range(days)]
+    week = read_document_pairs(spark, folders).withColumn("file_id", F.concat_ws("_", "folder_date", "file_id"))
     if week.limit(1).isEmpty():
         raise ValueError(f"no documents in the {days} days to {as_of}")
     return week

@@ -37,6 +37,14 @@ def refuse_existing(spark: SparkSession, names: list[str]) -> None:
         raise ValueError(f"already there: {', '.join(found)}")
 
 
+def create_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Catalog tables with their data below `folder`; none is written if any of the names is taken."""
+    for df in tables.values():
+        refuse_existing(df.sparkSession, list(tables))
+    for name, df in tables.items():
+        df.write.option("path", f"{folder.rstrip('/')}/{name}").saveAsTable(name)
+
+
 def migrate_tab(tab: DataFrame, renames: dict[str, str], types: dict[str, str], key: str | None = None
                 ) -> tuple[DataFrame, DataFrame]:
     """Spreadsheet tab to control table: renamed, cast where asked, null keys set aside."""

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from acervo.functions.dates import within_hours
 from acervo.operators.catalogue import upsert_run_status
+from acervo.operators.dedup import first_wins, new_items
 from acervo.sources.tables import read_table, replace_table
 
 
@@ -23,10 +25,44 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 
 
 def unseen(items: DataFrame, keys: list[str]) -> DataFrame:
-    """Items whose key has not been seen in any batch: the operator's state is the manifest."""
+    """Items whose key has not been seen in any batch, for streams of few keys: the operator's state holds all of them.
+
+    `manifest_sink` is the form for streams that never end.
+    """
     return items.dropDuplicates(keys)
 
 
+def manifest_sink(out: str, keys: list[str], order: list[Column], forget_after: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Batch step that appends the first row of every key not seen before to `{out}/items`, and the keys to `{out}/manifest`.
+
+    The seen keys are a table with a partition for each batch, so the stream keeps
+    no state and executors hold none. A batch overwrites its own partitions and
+    reads only those of earlier ones: run again after a failure it leaves the same
+    rows. Rows with a null in their key are kept in every batch, as in the batch
+    form. With `forget_after`, keys of batches further back are not read and may
+    come in again.
+    """
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields if f.name in keys)
+        known = F.lit(False)
+        for key in keys:
+            known = known | F.col(key).isNull()
+        firsts = first_wins(batch.filter(~known), keys, order).unionByName(batch.filter(known))
+        try:
+            seen = spark.read.schema(f"{plain}, batch long").parquet(f"{out}/manifest").filter(F.col("batch") < number)
+            if forget_after is not None:
+                seen = seen.filter(F.col("batch") >= number - forget_after)
+            firsts = new_items(firsts, seen, keys)
+        except AnalysisException:
+            pass  # the first batch
+        firsts.write.mode("overwrite").parquet(f"{out}/items/batch={number}")
+        spark.read.schema(batch.schema).parquet(f"{out}/items/batch={number}").select(*keys).dropna().write.mode(
+            "overwrite").parquet(f"{out}/manifest/batch={number}")
+
+    return step
+
+
 def unseen_within(items: DataFrame, keys: list[str], published: str, delay: str = "24 hours") -> DataFrame:
     """Bounded state: keys are forgotten once the watermark has passed them."""
     return items.withWatermark(published, delay).dropDuplicatesWithinWatermark(keys)
