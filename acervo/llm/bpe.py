@@ -52,14 +52,12 @@ class Codec:
         self.single = [0] * 256
         for letter, byte in letters.items():
             self.single[byte] = vocabulary[letter]
-        # pair (left << 20 | right) -> rank; what each rank joins and makes
+        # pair (left << 20 | right) -> rank << 32; what each rank makes
         self.ranks: dict[int, int] = {}
-        self.left, self.right, self.made = [], [], []
+        self.made = []
         for pair in spec["model"]["merges"]:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[vocabulary[left] << 20 | vocabulary[right]] = len(self.made)
-            self.left.append(vocabulary[left])
-            self.right.append(vocabulary[right])
+            self.ranks[vocabulary[left] << 20 | vocabulary[right]] = len(self.made) << 32
             self.made.append(vocabulary[left + right])
         self.pieces = regex.compile(SPLIT).findall
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
@@ -71,60 +69,61 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: the lowest rank first, the leftmost of equal ranks first."""
-        symbols = [self.single[b] for b in piece]
+        symbols = list(map(self.single.__getitem__, piece))
         n = len(symbols)
         if n < 2:
             return symbols
         rank = self.ranks.get
-        # one integer orders the queue: rank, then place
-        queue = [found << 32 | i for i, found in enumerate(
-            [rank(a << 20 | b) for a, b in zip(symbols, symbols[1:])]) if found is not None]
+        # at each place the rank of the pair that starts there, moved up so that one integer orders the queue: rank, then place
+        pairs = [rank(a << 20 | b, -1) for a, b in zip(symbols, symbols[1:])]
+        queue = [found | i for i, found in enumerate(pairs) if found >= 0]
         if not queue:
             return symbols
         heapify(queue)
-        lefts, rights, made = self.left, self.right, self.made
+        pairs.append(-1)
+        made = self.made
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         while queue:
             entry = heappop(queue)
-            i, at = entry & 0xFFFFFFFF, entry >> 32
-            j = after[i]
+            i = entry & 0xFFFFFFFF
+            found = entry ^ i
             # stale: one of the two symbols has been merged since
-            if j >= n or symbols[i] != lefts[at] or symbols[j] != rights[at]:
+            if pairs[i] != found:
                 continue
-            symbols[i] = merged = made[at]
-            symbols[j] = -1
+            j = after[i]
+            symbols[i] = merged = made[found >> 32]
+            symbols[j] = pairs[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = rank(merged << 20 | symbols[k])
-                if found is not None:
-                    heappush(queue, found << 32 | i)
+                pairs[i] = found = rank(merged << 20 | symbols[k], -1)
+                if found >= 0:
+                    heappush(queue, found | i)
+            else:
+                pairs[i] = -1
             k = before[i]
             if k >= 0:
-                found = rank(symbols[k] << 20 | merged)
-                if found is not None:
-                    heappush(queue, found << 32 | k)
+                pairs[k] = found = rank(symbols[k] << 20 | merged, -1)
+                if found >= 0:
+                    heappush(queue, found | k)
         return [s for s in symbols if s >= 0]
 
-    def _piece(self, piece: str) -> bytes:
-        return packed(self.merge(piece.encode()))
-
     def _chunk(self, chunk: str) -> bytes:
-        """Ids of a run that no split crosses; looked up among recent runs, then those of a generation before."""
-        if len(self.recent) >= self.bound:
-            self.recent, self.older = {}, self.recent
-        out = self.older.get(chunk)
-        if out is None:
-            pieces = self.pieces(chunk)
-            if len(pieces) == 1:
-                out = self._piece(chunk)
-            else:
-                known = self.recent.get
-                out = b"".join([known(p) or self.older.get(p) or (self._chunk(p) if p != chunk else self._piece(p))
-                                for p in pieces])
-        if len(chunk) <= 64:
-            self.recent[chunk] = out
+        """Ids of a run that no blank crosses, piece by piece."""
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            return self._remembered(chunk)
+        known = self.recent.get
+        return b"".join([known(p) or self._remembered(p) for p in pieces])
+
+    def _remembered(self, piece: str) -> bytes:
+        """Ids of a piece, looked up among those of a generation before, else merged; pieces of up to 64 letters are kept."""
+        out = self.older.get(piece) or packed(self.merge(piece.encode()))
+        if len(piece) <= 64:
+            if len(self.recent) >= self.bound:
+                self.recent, self.older = {}, self.recent
+            self.recent[piece] = out
         return out
 
     def _plain(self, text: str, out: list[bytes]) -> None:
@@ -152,8 +151,12 @@ class Codec:
                     self._plain(part, out)
         return b"".join(out)
 
+    def decode_bytes(self, ids: Iterable[int]) -> bytes:
+        """The vocabulary's strings one after the other; bytes that are no UTF-8 are for the reader to replace."""
+        return b"".join(map(self.strings.__getitem__, ids))
+
     def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -180,8 +183,10 @@ def encoded(docs: DataFrame, vocabulary: str, column: str = "text", keep: tuple[
             rows = []
             for text in batch.column(len(keep)).to_pylist():
                 raw = codec.encode(text or "")
-                back = codec.decode(np.frombuffer(raw, "<u4").tolist())
-                row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+                back = codec.decode_bytes(np.frombuffer(raw, "<u4").tolist())
+                if not back.isascii():
+                    back = back.decode("utf-8", "replace").encode()
+                row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back).hexdigest())
                 rows.append((*row, raw) if ids else row)
             names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if ids else [])]
             out |= {n: [r[i] for r in rows] for i, n in enumerate(names)}
