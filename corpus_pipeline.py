@@ -20,13 +20,15 @@ def _quoted(name: str) -> str:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """text, doc_id, source, and every other column in one, so that no name can meet an operator's own."""
-    return docs.select(F.struct(*[_quoted(c) for c in docs.columns if c != "text"]).alias("_row"), "text", "doc_id", "source")
+    """text, doc_id, source, and every other column in one, numbered, so that no name can meet an operator's own or break a schema."""
+    others = [c for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*[F.col(_quoted(c)).alias(f"c{i}") for i, c in enumerate(others)]).alias("_row"), "text", "doc_id", "source")
 
 
 def _unpacked(found: DataFrame, like: DataFrame, changed: Column | None = None) -> DataFrame:
     """The columns of `like` again; n_chars is counted anew where the text has changed."""
-    columns = {c: F.col("text") if c == "text" else F.col("_row." + _quoted(c)) for c in like.columns}
+    others = [c for c in like.columns if c != "text"]
+    columns = {c: F.col("text") if c == "text" else F.col(f"_row.c{others.index(c)}") for c in like.columns}
     if changed is not None and "n_chars" in columns:
         columns["n_chars"] = F.when(changed, F.length("text")).otherwise(columns["n_chars"]).cast("bigint")
     return found.select(*[value.alias(c) for c, value in columns.items()])
