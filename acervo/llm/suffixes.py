@@ -1,99 +1,150 @@
 """Suffix-array dedup: shards' Burrows-Wheeler transforms merged by refining their interleave, never sorting all suffixes.
 
 Segments of text around repeated anchors are dealt to batches in which every repeated string has all its occurrences. A
-batch is cut into shards, each with its own transform; two transforms are merged by repeated refinement of which shard the
-next suffix comes from. The round in which two neighbours of the merged order part is one more than the length of their
-common prefix, so intervals of suffixes alike in `window` bytes fall out without comparing suffixes.
+batch is cut into shards, each with its own transform; two transforms are merged by refining blocks of rows alike in 1, 2,
+4, 8 ... bytes. A shard's rows stay in their order, so a round merges two ascending runs, and the blocks of all rounds give
+the common prefix of any two neighbours. Intervals of suffixes alike in `window` bytes fall out without comparing suffixes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm.common import arrow_pass, staged, unsqueezed
-from acervo.llm.decontamination import suffix_order
 from acervo.llm.repeats import aligned, anchored, assembled, candidates, contexts, cut, firsts, seeded, settled, with_texts
 
 SEED_BYTES = 32
-BATCH_BYTES = 1 << 20
-MOST_CONTEXTS = 1000
+BATCH_BYTES = 1 << 21
+#: an anchor's segments, of less than 200 bytes at a window of 100, then fit into one batch
+MOST_CONTEXTS = BATCH_BYTES // 200
 
 
 class Transform:
-    """Burrows-Wheeler transform of strings, each with an end mark of its own: symbols 0 (end) and byte + 1."""
+    """Burrows-Wheeler transform of strings, each with an end mark of its own: symbols 0 (end) and byte + 1.
 
-    def __init__(self, last: np.ndarray, places: np.ndarray, strings: int, bounds: np.ndarray | None = None):
-        self.last, self.places, self.strings, self.bounds = last, places, strings, bounds
+    `places` holds each row's place in the strings; `shared`, of a merged transform, its common prefix with the row before.
+    """
+
+    def __init__(self, last: np.ndarray, places: np.ndarray, strings: int, shared: np.ndarray | None = None):
+        self.last, self.places, self.strings, self.shared = last, places, strings, shared
 
     @classmethod
     def of(cls, parts: list[bytes], offset: int) -> Transform:
         """Transform of one shard; places count from `offset`, each string followed by its end mark."""
         text = np.frombuffer(b"\0".join([*parts, b""]), np.uint8).astype(np.int16) + 1
-        ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-        text[ends] = 0
-        keys = text.astype(np.int64) + len(parts)
-        keys[ends] = np.arange(len(parts))
-        order = suffix_order(keys)
+        text[np.cumsum([len(p) + 1 for p in parts]) - 1] = 0
+        order = marked_order(text)
         return cls(text[order - 1], order + offset, len(parts))
 
+    def following(self) -> np.ndarray:
+        """For each row the row of its suffix without the first byte; an end mark's is its own."""
+        rows = np.argsort(self.last, kind="stable").astype(np.int32)
+        rows[:self.strings] = np.arange(self.strings)
+        return rows
+
+
+def marked_order(text: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of strings that end in 0; each end is a symbol of its own, the first string's the smallest.
 
-def merge(a: Transform, b: Transform, rounds: int) -> Transform:
-    """Merged transform of both shards' strings; `bounds` holds, per row, the round in which it parted from the row before
-    (the common prefix plus one), or 0 where they share `rounds` bytes or more."""
+    The first four symbols are sorted at once, then twice as many a round; suffixes still tied are the only ones sorted again.
+    """
+    n, bits = len(text), max(1, len(text).bit_length())
+    key, within = np.zeros(n, np.int64), np.ones(n, bool)
+    padded = np.append(text, np.zeros(3, np.int64))
+    for i in range(4):
+        symbol = padded[i:i + n]
+        key = (key << 9) | np.where(within, symbol, 0)
+        within &= symbol > 0
+    # a suffix that ends here is told from its like by its place, which follows the strings' order
+    ordered = np.sort((key << bits) | np.arange(n))
+    order = ordered & ((1 << bits) - 1)
+    ordered >>= bits
+    first = np.ones(n, bool)
+    first[1:] = (ordered[1:] != ordered[:-1]) | ~within[order[1:]]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    step = 4
+    tied = np.arange(n)
+    while True:
+        begins = first[tied]
+        tied = tied[~(begins & np.append(begins[1:], True))]
+        if not len(tied):
+            return order
+        rows = order[tied]
+        key = rank[rows] * n + rank[rows + step]
+        by = np.argsort(key)
+        rows, key = rows[by], key[by]
+        order[tied] = rows
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        first[tied] = new
+        rank[rows] = np.maximum.accumulate(np.where(new, tied, 0))
+        step *= 2
+
+
+def merge(a: Transform, b: Transform) -> Transform:
+    """Merged transform of both shards' strings, `shared` holding each row's common prefix with the row before.
+
+    Rows are numbered shard after shard. Rows alike in `depth` bytes are a block; a row's block and the block of the row
+    `depth` bytes on tell its block at twice the depth. Inside a shard both ascend, so a round merges two ascending runs.
+    """
     n, marks = len(a.last) + len(b.last), a.strings + b.strings
-    side = np.zeros(n, bool)
-    side[len(a.last):] = True
-    bounds = np.zeros(n, np.int16)
+    step = np.concatenate([a.following(), b.following() + np.int32(len(a.last))])
     # end marks are all different and stand first, the first shard's before the second's
-    head = np.zeros(marks, bool)
-    head[a.strings:] = True
-    bounds[:1] = 1
-    last = np.empty(n, np.int16)
-    for step in range(1, rounds + 1):
-        last[~side], last[side] = a.last, b.last
-        order = np.argsort(last, kind="stable")
-        block = np.cumsum(bounds > 0, dtype=np.int32)[order]
-        symbol = last[order]
-        parted = np.empty(n, bool)
-        parted[0] = True
-        np.not_equal(block[1:], block[:-1], out=parted[1:])
-        parted[1:] |= symbol[1:] != symbol[:-1]
-        parted[:marks] = True
-        new = parted & (bounds == 0)
-        moved = side[order]
-        moved[:marks] = head
-        same = not new.any() and bool((moved == side).all())
-        bounds[new] = step
-        side = moved
-        if same:
+    block = np.concatenate([np.sort(a.last), np.sort(b.last)]).astype(np.int32) + marks
+    block[:a.strings] = np.arange(a.strings)
+    block[len(a.last):len(a.last) + b.strings] = np.arange(a.strings, marks)
+    depth, levels = 1, []
+    while True:
+        levels.append((depth, block, step))
+        key = block.astype(np.int64) * (n + marks + 257) + block[step]
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        number = np.zeros(n, np.int32)
+        np.cumsum(ordered[1:] != ordered[:-1], out=number[1:])
+        if number[-1] == n - 1:
             break
-    last[~side], last[side] = a.last, b.last
-    places = np.empty(n, np.int64)
-    places[~side], places[side] = a.places, b.places
-    return Transform(last, places, marks, bounds)
-
-
-def repeated_intervals(parts: list[bytes], window: int, shards: int = 2) -> Iterator[np.ndarray]:
-    """Places (in the strings laid end to end, one mark after each) of suffixes alike in `window` bytes, interval by interval."""
-    cuts = np.array_split(np.arange(len(parts)), min(shards, len(parts)))
+        block = np.empty(n, np.int32)
+        block[order] = number
+        step = step[step]
+        depth *= 2
+    shared = np.zeros(n, np.int32)
+    left, right = order[:-1], order[1:]
+    for depth, block, step in reversed(levels):
+        same = block[left] == block[right]
+        shared[1:] += same * np.int32(depth)
+        left, right = np.where(same, step[left], left), np.where(same, step[right], right)
+    return Transform(np.concatenate([a.last, b.last])[order], np.concatenate([a.places, b.places])[order], marks, shared)
+
+
+def repeats(parts: list[bytes], window: int, shards: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in the strings laid end to end, one mark after each) of suffixes alike in `window` bytes with another, and the
+    number of each one's interval, ascending."""
     offset, level = 0, []
-    for cut in cuts:
-        mine = [parts[i] for i in cut]
-        level.append(Transform.of(mine, offset))
-        offset += sum(len(p) + 1 for p in mine)
+    for mine in np.array_split(np.arange(len(parts)), min(shards, len(parts))):
+        strings = [parts[i] for i in mine]
+        level.append(Transform.of(strings, offset))
+        offset += sum(len(p) + 1 for p in strings)
     if len(level) == 1:
         level.append(Transform(np.empty(0, np.int16), np.empty(0, np.int64), 0))
     while len(level) > 1:
-        level = [merge(*level[i:i + 2], window) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+        level = [merge(*level[i:i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
     whole = level[0]
-    starts = np.flatnonzero(whole.bounds > 0)
-    for a, b in zip(starts, [*starts[1:], len(whole.bounds)]):
-        if b - a > 1:
-            yield whole.places[a:b]
+    begins = whole.shared < window
+    repeated = ~(begins & np.append(begins[1:], True))
+    return whole.places[repeated], np.cumsum(begins)[repeated]
+
+
+def repeated_intervals(parts: list[bytes], window: int, shards: int = 2) -> Iterator[np.ndarray]:
+    """The places of `repeats`, interval by interval."""
+    places, interval = repeats(parts, window, shards)
+    if len(places):
+        yield from np.split(places, np.flatnonzero(np.diff(interval)) + 1)
 
 
 def segments(held: DataFrame, window: int) -> DataFrame:
@@ -121,43 +172,40 @@ def merged_repeats(dealt: DataFrame, window: int) -> DataFrame:
     `dealt` is sorted by h, d, x and a; a segment that repeated rows bring several times is taken once.
     """
     def solve(rows):
+        d, x, a, m = (np.array(c, np.int64) for c in zip(*[r[1:5] for r in rows]))
         parts = [r[5] for r in rows]
         begins = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
-        m = np.array([r[4] for r in rows])
-        order = {key: i for i, key in enumerate(sorted({(r[1], r[2], r[3]) for r in rows}))}
-        rank = np.array([order[(r[1], r[2], r[3])] for r in rows])
-        hit: dict[int, list[int]] = {}
-        for places in repeated_intervals(parts, window):
-            part = np.searchsorted(begins, places, side="right") - 1
-            inside = places - begins[part]
-            own = inside < m[part]
-            part, inside = part[own], inside[own]
-            if len(part) > 1:
-                first = np.lexsort((inside, rank[part]))[0]
-                for i in np.delete(np.arange(len(part)), first).tolist():
-                    hit.setdefault(int(part[i]), []).append(int(inside[i]))
-        for i, found in hit.items():
-            at = np.unique(found)
-            for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-                yield rows[i][1], rows[i][2], rows[i][3] + int(run[0]), rows[i][3] + int(run[-1]) + 1
+        rank = np.empty(len(rows), np.int64)
+        rank[np.lexsort((a, x, d))] = np.arange(len(rows))
+        places, interval = repeats(parts, window)
+        part = np.searchsorted(begins, places, side="right") - 1
+        inside = places - begins[part]
+        own = inside < m[part]
+        part, inside, interval = part[own], inside[own], interval[own]
+        by = np.lexsort((inside, rank[part], interval))
+        later = by[1:][interval[by[1:]] == interval[by[:-1]]]
+        part, inside = part[later], inside[later]
+        by = np.lexsort((inside, part))
+        part, start = part[by], inside[by]
+        opens = np.ones(len(part), bool)
+        opens[1:] = (part[1:] != part[:-1]) | (start[1:] != start[:-1] + 1)
+        ends = np.append(opens[1:], True)[:len(part)]
+        own = part[opens]
+        return {"d": d[own], "x": x[own], "s": a[own] + start[opens], "e": a[own] + start[ends] + 1}
 
     def run(batches) -> Iterator[dict[str, list]]:
+        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
         held, size = [], 0
-
-        def flush():
-            return dict(zip("dxse", map(list, zip(*solve(held))))) or {k: [] for k in "dxse"}
-
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and row[:4] == held[-1][:4]:
-                    continue
-                if size >= BATCH_BYTES and row[0] != held[-1][0]:
-                    yield flush()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[5])
+        for _, group in groupby(rows, key=lambda row: row[0]):
+            mine = [next(same) for _, same in groupby(group, key=lambda row: row[:4])]
+            length = sum(len(row[5]) for row in mine)
+            if held and size + length > BATCH_BYTES:
+                yield solve(held)
+                held, size = [], 0
+            held += mine
+            size += length
         if held:
-            yield flush()
+            yield solve(held)
 
     return arrow_pass(dealt, run, "d bigint, x bigint, s int, e int", rows=2048)
 
@@ -173,7 +221,8 @@ def deduplicated(docs: DataFrame, window: int = 100, seed: int = SEED_BYTES) ->
     part.
 
     Segments alike in all their bytes are settled by an aggregate, so only an anchor's different segments reach the
-    merge; anchors with more than 1000 of these are settled window by window, so no task holds an unbounded group.
+    merge; anchors with more than MOST_CONTEXTS of these, which fill a batch, are settled window by window, so no task
+    holds an unbounded group.
     """
     found = anchored(docs, "byte", seed, window)
     first = staged(firsts(found, window), "firsts")

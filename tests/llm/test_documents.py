@@ -420,6 +420,25 @@ def test_merged_transforms_find_repeated_intervals():
             assert {frozenset(p.tolist()) for p in suffixes.repeated_intervals(parts, window, shards)} == want
 
 
+def test_merged_transforms_order_suffixes_and_know_common_prefixes():
+    random.seed(6)
+    for _ in range(150):
+        parts = [bytes(random.choice(b"ab\x00\xff") for _ in range(random.choice([0, 1, 3, 20, 40]))) for _ in range(random.randint(2, 9))]
+        parts += random.choices(parts, k=2)
+        k = random.randint(1, len(parts) - 1)
+        second = sum(len(p) + 1 for p in parts[:k])
+        merged = suffixes.merge(suffixes.Transform.of(parts[:k], 0), suffixes.Transform.of(parts[k:], second))
+        rows, at = [], 0
+        for number, part in enumerate(parts):
+            # every end mark is a symbol of its own, below all bytes
+            rows += [([len(parts) + c for c in part[i:]] + [number], at + i) for i in range(len(part) + 1)]
+            at += len(part) + 1
+        rows.sort()
+        assert merged.places.tolist() == [place for _, place in rows]
+        common = [next(i for i, (p, q) in enumerate(zip(a, b)) if p != q) for (a, _), (b, _) in zip(rows, rows[1:])]
+        assert merged.shared.tolist() == [0, *common]
+
+
 def test_winnow_is_leftmost_minimum():
     rng = np.random.default_rng(0)
     for n, w in ((1, 1), (5, 5), (50, 7), (64, 8), (7, 9)):
