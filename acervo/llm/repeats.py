@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,14 +23,20 @@ class Units:
     """A text as a sequence of units (words or bytes), each with a 64-bit value."""
 
     def __init__(self, raw: bytes, unit: str):
-        self.raw, self.unit = raw, unit
+        self.raw, self.unit, self.grams = raw, unit, {}
         if unit == "word":
-            data, self.starts, self.ends = word_spans(raw)
-            values = _BYTES.ranges(_BYTES.sums(byte_values(data)), self.starts, self.ends)
-        else:
-            values = byte_values(np.frombuffer(raw, np.uint8))
-        self.n, self.values = len(values), values
-        self.sums = _UNITS.sums(values)
+            self.data, self.starts, self.ends = word_spans(raw)
+        self.n = len(self.starts) if unit == "word" else len(raw)
+
+    @cached_property
+    def values(self) -> np.ndarray:
+        if self.unit == "word":
+            return _BYTES.ranges(_BYTES.sums(byte_values(self.data)), self.starts, self.ends)
+        return byte_values(np.frombuffer(self.raw, np.uint8))
+
+    @cached_property
+    def sums(self) -> np.ndarray:
+        return _UNITS.sums(self.values)
 
     def anchors(self, seed: int, window: int) -> np.ndarray:
         """For each run of `window` units the place of the run of `seed` units in it with the smallest hash.
@@ -39,7 +46,9 @@ class Units:
         return winnow(mix(self.seeds(seed)), window - seed + 1)
 
     def seeds(self, seed: int) -> np.ndarray:
-        return _UNITS.grams(self.sums, seed)
+        if seed not in self.grams:
+            self.grams[seed] = _UNITS.grams(self.sums, seed)
+        return self.grams[seed]
 
     def keys(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of each range's units, as two arrays of signed 64-bit integers."""

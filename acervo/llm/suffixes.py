@@ -19,9 +19,9 @@ from acervo.llm.common import arrow_pass, staged, unsqueezed
 from acervo.llm.repeats import aligned, anchored, assembled, candidates, contexts, cut, firsts, seeded, settled, with_texts
 
 SEED_BYTES = 32
-BATCH_BYTES = 1 << 21
-#: an anchor's segments, of less than 200 bytes at a window of 100, then fit into one batch
-MOST_CONTEXTS = BATCH_BYTES // 200
+BATCH_BYTES = 1 << 19
+#: different segments of one anchor, which one task holds: about 1.5 MB at a window of 100
+MOST_CONTEXTS = 10000
 
 
 class Transform:
@@ -92,34 +92,52 @@ def merge(a: Transform, b: Transform) -> Transform:
 
     Rows are numbered shard after shard. Rows alike in `depth` bytes are a block; a row's block and the block of the row
     `depth` bytes on tell its block at twice the depth. Inside a shard both ascend, so a round merges two ascending runs.
+    Rows alone in their block are placed and left out of later rounds.
     """
     n, marks = len(a.last) + len(b.last), a.strings + b.strings
-    step = np.concatenate([a.following(), b.following() + np.int32(len(a.last))])
+    after = np.concatenate([a.following(), b.following() + np.int32(len(a.last))])
     # end marks are all different and stand first, the first shard's before the second's
-    block = np.concatenate([np.sort(a.last), np.sort(b.last)]).astype(np.int32) + marks
-    block[:a.strings] = np.arange(a.strings)
-    block[len(a.last):len(a.last) + b.strings] = np.arange(a.strings, marks)
-    depth, levels = 1, []
+    symbol = np.concatenate([np.sort(a.last), np.sort(b.last)]).astype(np.int64) + marks
+    symbol[:a.strings] = np.arange(a.strings)
+    symbol[len(a.last):len(a.last) + b.strings] = np.arange(a.strings, marks)
+    bits = (marks + 257).bit_length()
+    depth = 4 if 4 * bits < 64 else 2
+    opening, step = symbol, after
+    for _ in range(depth - 1):
+        opening = (opening << bits) | symbol[step]
+        step = after[step]
+    place, block, levels = np.empty(n, np.int32), np.empty(n, np.int32), []
+    rows, spots, key = np.arange(n, dtype=np.int32), np.arange(n, dtype=np.int32), opening
     while True:
+        by = np.argsort(key, kind="stable")
+        ordered, moved = key[by], rows[by]
+        first = np.ones(len(key), bool)
+        first[1:] = ordered[1:] != ordered[:-1]
+        block, place[spots] = block.copy(), moved
+        block[moved] = spots[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
         levels.append((depth, block, step))
-        key = block.astype(np.int64) * (n + marks + 257) + block[step]
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        number = np.zeros(n, np.int32)
-        np.cumsum(ordered[1:] != ordered[:-1], out=number[1:])
-        if number[-1] == n - 1:
+        alone = first & np.append(first[1:], True)
+        if alone.all():
             break
-        block = np.empty(n, np.int32)
-        block[order] = number
-        step = step[step]
+        # a shard's rows are taken in their order again
+        tied = np.zeros(n, bool)
+        tied[moved[~alone]] = True
+        rows, spots = np.flatnonzero(tied).astype(np.int32), spots[~alone]
+        ahead = step[rows]
+        key = block[rows].astype(np.int64) * n + block[ahead]
+        step = step.copy()
+        step[rows] = step[ahead]
         depth *= 2
     shared = np.zeros(n, np.int32)
-    left, right = order[:-1], order[1:]
+    left, right = place[:-1].copy(), place[1:].copy()
     for depth, block, step in reversed(levels):
-        same = block[left] == block[right]
-        shared[1:] += same * np.int32(depth)
-        left, right = np.where(same, step[left], left), np.where(same, step[right], right)
-    return Transform(np.concatenate([a.last, b.last])[order], np.concatenate([a.places, b.places])[order], marks, shared)
+        same = np.flatnonzero(block[left] == block[right])
+        shared[1:][same] += depth
+        left[same], right[same] = step[left[same]], step[right[same]]
+    differ = opening[left] ^ opening[right]
+    for i in range(1, levels[0][0]):
+        shared[1:] += (differ >> (i * bits)) == 0
+    return Transform(np.concatenate([a.last, b.last])[place], np.concatenate([a.places, b.places])[place], marks, shared)
 
 
 def repeats(parts: list[bytes], window: int, shards: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +239,7 @@ def deduplicated(docs: DataFrame, window: int = 100, seed: int = SEED_BYTES) ->
     part.
 
     Segments alike in all their bytes are settled by an aggregate, so only an anchor's different segments reach the
-    merge; anchors with more than MOST_CONTEXTS of these, which fill a batch, are settled window by window, so no task
+    merge; anchors with more than MOST_CONTEXTS of these are settled window by window, so no task
     holds an unbounded group.
     """
     found = anchored(docs, "byte", seed, window)
