@@ -15,15 +15,20 @@ from acervo.llm.common import arrow_pass, utf8
 
 KEYWORDS = ["token", "secret", "passw", "api_key", "apikey", "api-key", "access_key", "auth", "credential", "private"]
 DECOYS = ["example", "test", "dummy", "sample", "placeholder", "changeme", "your", "xxxx", "fake", "todo"]
-CHECKSUMS = ["commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "revision", "integrity", "uuid"]
+CHECKSUMS = ["commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "revision", "integrity", "uuid", "base64"]
 SHAPE = set((string.ascii_letters + string.digits + "+/=_-").encode())
 BLANKED = bytes(b if b in SHAPE else 32 for b in range(256))
 LONG = re.compile(rb"[A-Za-z0-9+/=_\-]{16,}")
 ASSIGNED = re.compile(rb"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access_key|auth|credential|private)[\w-]{0,16}[\"'`]?"
                       rb"[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}(?:\"([^\s\"]{8,})|'([^\s']{8,})|`([^\s`]{8,})|([^\s\"'`]{8,}))")
+#: values known by their own form: private key blocks, signed tokens in three parts, passwords in addresses
+FORMED = re.compile(rb"-----BEGIN[A-Z ]* PRIVATE KEY-----(?:(?!-----BEGIN)[\s\S])*?-----END[A-Z ]* PRIVATE KEY-----"
+                    rb"|(?<![\w-])eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]*|(?<=://)[^\s:/@\"']{0,64}:([^\s/@\"']{6,})(?=@)")
 SPELT = [k.encode() for k in KEYWORDS]
 FEATURES = ["length", "entropy", "letter_digit", "case_change", "coverage", "digits", "hex", "symbols", "keyword_before",
-            "assigned", "quoted", "decoy_value", "decoy_near", "checksum_near", "address_near", "path_test", "path_code"]
+            "assigned", "quoted", "decoy_value", "decoy_near", "checksum_near", "address_near", "path_test", "path_code", "issued"]
+#: a short name of letters, perhaps a version or kind, and one long run
+ISSUED = re.compile(r"[A-Za-z]{2,8}[_-](?:[A-Za-z0-9]{1,5}[_-])?[A-Za-z0-9]{16,}")
 
 
 def ordinary(token: bytes) -> bool:
@@ -35,10 +40,20 @@ def spans(raw: bytes) -> list[tuple[int, int]]:
     """Candidate byte ranges in order, not overlapping: long runs that are no plain word, and values given to a credential.
 
     A value runs to its closing quote or to a blank, however long it is; its name may be quoted. A run that holds such a
-    value ends at the value's name and goes on after the value, so that a candidate starts where the value does.
+    value ends at the value's name and goes on after the value, so that a candidate starts where the value does. Private
+    key blocks, signed tokens and passwords in addresses are candidates as a whole; of two that overlap the longer stays.
     """
     low = raw.lower()
-    given = [(m.start(), *m.span(m.lastindex)) for m in ASSIGNED.finditer(raw)] if any(k in low for k in SPELT) else []
+    found = [(m.start(), *m.span(m.lastindex)) for m in ASSIGNED.finditer(raw)] if any(k in low for k in SPELT) else []
+    if b"PRIVATE KEY" in raw or b"eyJ" in raw or b"://" in raw:
+        found += [(m.start(m.lastindex or 0), *m.span(m.lastindex or 0)) for m in FORMED.finditer(raw)]
+    given: list[tuple[int, int, int]] = []
+    for name, a, b in sorted(found, key=lambda f: f[1:]):
+        if given and a < given[-1][2]:
+            if b - a <= given[-1][2] - given[-1][1]:
+                continue
+            given.pop()
+        given.append((name, a, b))
     out = [(a, b) for _, a, b in given]
     if any(len(t) >= 16 and not ordinary(t) for t in raw.translate(BLANKED).split()):
         i = 0
@@ -100,6 +115,7 @@ def features(raw: bytes, a: int, b: int, path: str, dictionary: frozenset[str])
         float(near.endswith(("@", "://", ".", "/")) or after.startswith(("@", "://", "."))),
         float(any(k in path for k in ("test", "example", "doc", "sample"))),
         float(any(path.endswith(k) for k in (".py", ".js", ".env", ".yml", ".yaml", ".json", ".cfg"))),
+        float(bool(ISSUED.fullmatch(value))),
     ]
 
 
@@ -168,6 +184,7 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
     pick = lambda letters, k: "".join(rng.choice(list(letters), k))
     hexes, alnum = "0123456789abcdef", string.ascii_letters + string.digits
     words = ["config", "session", "handler", "manager", "number", "article", "section", "reference", "document", "update"]
+    short = ["how", "to", "the", "of", "own", "in", "a", "is", "new", "for"]
     names = ["token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key"]
     paths = ["src/app.py", "config/prod.env", "deploy/site.yml", "src0", "src7", "notes.txt", "docs/guide.md", "tests/test_a.py"]
     out = []
@@ -180,6 +197,20 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
         sep = rng.choice([" = ", "=", ": "])
         out.append((f"{rng.choice(words)} {name}{sep}{quote}\x01{value}\x01{quote} {rng.choice(words)}", str(rng.choice(paths[:6])), 1))
         word = lambda: str(rng.choice(words))
+        slug = lambda: "-".join(rng.choice([*words, *short], int(rng.integers(5, 11)))) + str(rng.choice(["", f"-{rng.integers(999)}"]))
+        # what no name precedes is known by its form alone
+        link = f"https://{word()}.example.net/"
+        bare = [lambda: f"{word()} \x01{value}\x01 {word()}" if not value.isalnum() or value.startswith("AKIA") else f"{word()} \x01{pick(alnum, int(rng.integers(20, 64)))}\x01 {word()}",
+                lambda: f"{word()} {quote}\x01{pick(string.ascii_lowercase, int(rng.integers(2, 6)))}{rng.choice(['_', '-'])}{pick(alnum, int(rng.integers(20, 64)))}\x01{quote}, {word()}",
+                lambda: f"{word()}: \x01{pick(string.ascii_lowercase, int(rng.integers(3, 6)))}_{pick(hexes, int(rng.choice([32, 40, 64])))}\x01 {word()}",
+                lambda: f"{word()} \x01AKIA{pick(string.ascii_uppercase + '234567', 16)}\x01 {word()}",
+                lambda: f"{link}{word()}/\x01{pick(alnum, int(rng.integers(20, 48)))}\x01 {word()}",
+                lambda: f"{link}\x01{word()}/{pick(string.ascii_uppercase + string.digits, 9)}/{pick(alnum, int(rng.integers(20, 32)))}\x01 {word()}",
+                lambda: f"{word()} \x01{pick(alnum, int(rng.integers(16, 28)))}.{pick(alnum + '_-', int(rng.integers(24, 48)))}\x01 {word()}",
+                lambda: f"{word()} \x01eyJ{pick(alnum, 33)}.{pick(alnum + '_-', int(rng.integers(40, 300)))}.{pick(alnum + '_-', 43)}\x01 {word()}",
+                lambda: f"{word()}://{word()}:\x01{pick(alnum + '!#$%', int(rng.integers(8, 24)))}\x01@{word()}.example.org/{word()}",
+                lambda: f"{word()}\n\x01-----BEGIN PRIVATE KEY-----\n{pick(alnum + '+/', 64)}\n{pick(alnum + '+/', 64)}\n-----END PRIVATE KEY-----\x01\n"][rng.integers(10)]()
+        out.append((bare, str(rng.choice(paths[:6])), 1))
         line = [
             lambda: f"{name} = {quote}\x01your_{name}_goes_here\x01{quote}", lambda: f"{name}={quote}\x01{'x' * int(rng.integers(16, 40))}\x01{quote}",
             lambda: f"{rng.choice(CHECKSUMS)} \x01{pick(hexes, int(rng.choice([32, 40, 64])))}\x01 {word()}",
@@ -190,8 +221,16 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
             lambda: f"id \x01{pick(hexes, 8)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 12)}\x01 {word()}",
             lambda: f"{word()}\n\x01{rng.choice(['=', '-', '_']) * int(rng.integers(16, 60))}\x01\n{word()}",
             lambda: f"auth: \x01{word()}{word()}\x01, then",
-        ][rng.integers(11)]()
-        out.append((line, str(rng.choice(paths)), 0))
+            lambda: f"data base64,\x01{pick(alnum + '+/', int(rng.integers(40, 200)))}\x01 {word()}",
+            lambda: f"{word()} \x01{word()}_{word()}_{rng.integers(9999)}_{word()}\x01 {word()}",
+            lambda: f"{word()} \x01{word()}{word().title()}{rng.integers(99)}{word().title()}\x01 {word()}",
+            lambda: f"{link}\x01{word()}/{rng.integers(1990, 2030)}/{rng.integers(10, 13)}/{word()}-{word()}\x01 {word()}",
+            lambda: f"{word()} \x01{pick(string.ascii_lowercase, int(rng.integers(16, 40)))}\x01 {word()}",
+            lambda: f"{word()} {quote}\x01{pick(hexes, int(rng.choice([24, 32, 40, 64])))}\x01{quote} {word()}",
+            lambda: f"{link[:-1]}\x01/{word()}/{rng.integers(1990, 2030)}/0{rng.integers(1, 10)}/{slug()}\x01{rng.choice([' ', '.html '])}{word()}",
+            lambda: f"{link}\x01{slug()}/{slug()}\x01 {word()}", lambda: f"{word()} \x01{slug()}\x01 {word()}",
+        ][rng.integers(20)]()
+        out += [(line, str(rng.choice(paths)), 0)] * 2
     return [(line.encode(), path, label) for line, path, label in out]
 
 
@@ -234,7 +273,8 @@ def rule_label(line: bytes, path: str, dictionary: frozenset[str]) -> int | None
     random_looking = x["entropy"] >= 3.0 and x["coverage"] < 0.5 and 2 ** x["length"] >= 16
     if x["keyword_before"] and x["assigned"] and random_looking and not (x["decoy_value"] or x["decoy_near"]):
         return 1
-    if not x["keyword_before"] and (x["address_near"] or x["coverage"] >= 0.6 or x["entropy"] < 2.5 or x["digits"] == 1):
+    formed = random_looking and x["letter_digit"] + x["case_change"] >= 0.25
+    if not x["keyword_before"] and (x["address_near"] and not formed or x["coverage"] >= 0.6 or x["entropy"] < 2.5 or x["digits"] == 1):
         return 0
     return None
 

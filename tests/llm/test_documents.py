@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 import re
 import zlib
 from collections import Counter
@@ -398,6 +399,47 @@ def test_repeats_in_random_texts(spark):
     assert got == brute_words(rows)
 
 
+def test_secret_scan_knows_shapes_it_was_not_trained_on(spark):
+    """Recall by shape and ordinary look-alikes, none preceded by a name."""
+    forest = secrets.fit(secrets.found_lines(secrets.published_findings()), dictionary := secrets.dictionary_of(bpe.vocabulary_path(spark)))
+    letters, upper, hexes = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef"
+    rng = random.Random(12)
+    pick = lambda of, n: "".join(rng.choices(of, k=n))
+    block = lambda: "\n".join(pick(letters + "+/", 64) for _ in range(12))
+    held = {
+        "sk_live": lambda: "sk_live_" + pick(letters, 24), "AIza": lambda: "AIza" + pick(letters + "_-", 35),
+        "glpat": lambda: "glpat-" + pick(letters, 20), "npm": lambda: "npm_" + pick(letters, 36), "hf": lambda: "hf_" + pick(letters, 34),
+        "shpat": lambda: "shpat_" + pick(hexes, 32), "dop": lambda: "dop_v1_" + pick(hexes, 64), "gho": lambda: "gho_" + pick(letters, 36),
+        "client": lambda: "GOCSPX-" + pick(letters, 28), "pypi": lambda: "pypi-" + pick(letters + "_-", 100),
+        "mail": lambda: "SG." + pick(letters, 22) + "." + pick(letters + "_-", 43),
+        "hook": lambda: f"https://hooks.example.com/services/T{pick(upper, 8)}/B{pick(upper, 8)}/{pick(letters, 24)}",
+        "jwt": lambda: f"eyJ{pick(letters, 30)}.eyJ{pick(letters, 80)}.{pick(letters + '_-', 43)}",
+        "pem": lambda: f"-----BEGIN RSA PRIVATE KEY-----\n{block()}\n-----END RSA PRIVATE KEY-----",
+        "address": lambda: f"postgres://admin:{pick(letters, 12)}@db.internal:5432/x",
+    }
+    plain = [
+        "=" * 30, "AbstractSingletonProxyFactoryBean", "get_user_profile_by_account_id", "MAX_CONNECTION_RETRY_COUNT", "2024-03-01T10:22:33+00:00",
+        "/usr/local/lib/python3.11/site-packages", "state-of-the-art-machine-learning", "linux-image-5.15.0-91-generic-amd64",
+        "https://www.example.com/blog/2021/05/how-to-train-your-own-parser", "https://en.example.org/wiki/List_of_largest_cities_by_area",
+        pick(hexes, 40), pick(hexes, 32), "-".join(pick(hexes, n) for n in (8, 4, 4, 4, 12)), pick(string.digits, 20),
+        "data:image/png;base64," + pick(letters + "+/", 120), "Donaudampfschifffahrtsgesellschaft", "first.last-department@company-example.org",
+    ]
+    lines = [(name, f"the value {make()} was posted") for name, make in held.items() for _ in range(40)] + [("", f"the value {v} was posted") for v in plain]
+    docs = spark.createDataFrame([(i, text, "src1") for i, (_, text) in enumerate(lines)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.redacted for r in secrets.scanned(docs, forest, dictionary).collect()}
+    hits = Counter(name for i, (name, text) in enumerate(lines) if got[i] != text)
+    assert all(hits[name] >= 36 for name in held), hits
+    assert hits[""] <= 1, [text for i, (name, text) in enumerate(lines) if not name and got[i] != text]
+    for i, (name, text) in enumerate(lines):
+        if name in ("jwt", "pem"):
+            assert got[i] == "the value [secret] was posted"
+    # unclosed and nested blocks, and values that overlap, end in candidates that do not overlap
+    for raw in (b"-----BEGIN PRIVATE KEY-----" * 3, b'token: "-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----"',
+                b"password=postgres://me:hunter2hunter2@host", b"://:://::@@" * 50):
+        found = secrets.spans(raw)
+        assert all(a < b for a, b in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+
+
 def test_merged_transforms_find_repeated_intervals():
     random.seed(4)
     for _ in range(40):
