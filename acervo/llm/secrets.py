@@ -184,7 +184,6 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
     pick = lambda letters, k: "".join(rng.choice(list(letters), k))
     hexes, alnum = "0123456789abcdef", string.ascii_letters + string.digits
     words = ["config", "session", "handler", "manager", "number", "article", "section", "reference", "document", "update"]
-    short = ["how", "to", "the", "of", "own", "in", "a", "is", "new", "for"]
     names = ["token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key"]
     paths = ["src/app.py", "config/prod.env", "deploy/site.yml", "src0", "src7", "notes.txt", "docs/guide.md", "tests/test_a.py"]
     out = []
@@ -197,20 +196,6 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
         sep = rng.choice([" = ", "=", ": "])
         out.append((f"{rng.choice(words)} {name}{sep}{quote}\x01{value}\x01{quote} {rng.choice(words)}", str(rng.choice(paths[:6])), 1))
         word = lambda: str(rng.choice(words))
-        slug = lambda: "-".join(rng.choice([*words, *short], int(rng.integers(5, 11)))) + str(rng.choice(["", f"-{rng.integers(999)}"]))
-        # what no name precedes is known by its form alone
-        link = f"https://{word()}.example.net/"
-        bare = [lambda: f"{word()} \x01{value}\x01 {word()}" if not value.isalnum() or value.startswith("AKIA") else f"{word()} \x01{pick(alnum, int(rng.integers(20, 64)))}\x01 {word()}",
-                lambda: f"{word()} {quote}\x01{pick(string.ascii_lowercase, int(rng.integers(2, 6)))}{rng.choice(['_', '-'])}{pick(alnum, int(rng.integers(20, 64)))}\x01{quote}, {word()}",
-                lambda: f"{word()}: \x01{pick(string.ascii_lowercase, int(rng.integers(3, 6)))}_{pick(hexes, int(rng.choice([32, 40, 64])))}\x01 {word()}",
-                lambda: f"{word()} \x01AKIA{pick(string.ascii_uppercase + '234567', 16)}\x01 {word()}",
-                lambda: f"{link}{word()}/\x01{pick(alnum, int(rng.integers(20, 48)))}\x01 {word()}",
-                lambda: f"{link}\x01{word()}/{pick(string.ascii_uppercase + string.digits, 9)}/{pick(alnum, int(rng.integers(20, 32)))}\x01 {word()}",
-                lambda: f"{word()} \x01{pick(alnum, int(rng.integers(16, 28)))}.{pick(alnum + '_-', int(rng.integers(24, 48)))}\x01 {word()}",
-                lambda: f"{word()} \x01eyJ{pick(alnum, 33)}.{pick(alnum + '_-', int(rng.integers(40, 300)))}.{pick(alnum + '_-', 43)}\x01 {word()}",
-                lambda: f"{word()}://{word()}:\x01{pick(alnum + '!#$%', int(rng.integers(8, 24)))}\x01@{word()}.example.org/{word()}",
-                lambda: f"{word()}\n\x01-----BEGIN PRIVATE KEY-----\n{pick(alnum + '+/', 64)}\n{pick(alnum + '+/', 64)}\n-----END PRIVATE KEY-----\x01\n"][rng.integers(10)]()
-        out.append((bare, str(rng.choice(paths[:6])), 1))
         line = [
             lambda: f"{name} = {quote}\x01your_{name}_goes_here\x01{quote}", lambda: f"{name}={quote}\x01{'x' * int(rng.integers(16, 40))}\x01{quote}",
             lambda: f"{rng.choice(CHECKSUMS)} \x01{pick(hexes, int(rng.choice([32, 40, 64])))}\x01 {word()}",
@@ -221,16 +206,51 @@ def published_findings(n: int = 1500, seed: int = 23) -> list[tuple[bytes, str,
             lambda: f"id \x01{pick(hexes, 8)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 12)}\x01 {word()}",
             lambda: f"{word()}\n\x01{rng.choice(['=', '-', '_']) * int(rng.integers(16, 60))}\x01\n{word()}",
             lambda: f"auth: \x01{word()}{word()}\x01, then",
-            lambda: f"data base64,\x01{pick(alnum + '+/', int(rng.integers(40, 200)))}\x01 {word()}",
-            lambda: f"{word()} \x01{word()}_{word()}_{rng.integers(9999)}_{word()}\x01 {word()}",
-            lambda: f"{word()} \x01{word()}{word().title()}{rng.integers(99)}{word().title()}\x01 {word()}",
-            lambda: f"{link}\x01{word()}/{rng.integers(1990, 2030)}/{rng.integers(10, 13)}/{word()}-{word()}\x01 {word()}",
-            lambda: f"{word()} \x01{pick(string.ascii_lowercase, int(rng.integers(16, 40)))}\x01 {word()}",
-            lambda: f"{word()} {quote}\x01{pick(hexes, int(rng.choice([24, 32, 40, 64])))}\x01{quote} {word()}",
-            lambda: f"{link[:-1]}\x01/{word()}/{rng.integers(1990, 2030)}/0{rng.integers(1, 10)}/{slug()}\x01{rng.choice([' ', '.html '])}{word()}",
-            lambda: f"{link}\x01{slug()}/{slug()}\x01 {word()}", lambda: f"{word()} \x01{slug()}\x01 {word()}",
-        ][rng.integers(20)]()
-        out += [(line, str(rng.choice(paths)), 0)] * 2
+        ][rng.integers(11)]()
+        out.append((line, str(rng.choice(paths)), 0))
+    return [(line.encode(), path, label) for line, path, label in out]
+
+
+def unnamed_findings(n: int = 3000, seed: int = 31) -> list[tuple[bytes, str, int]]:
+    """Labelled findings that no name precedes, known by their own form, and ordinary text of like lengths."""
+    rng = np.random.default_rng(seed)
+    pick = lambda letters, k: "".join(rng.choice(list(letters), k))
+    size = lambda a, b: int(rng.integers(a, b))
+    hexes, lower, upper, alnum = "0123456789abcdef", string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits
+    words = ["config", "session", "handler", "manager", "number", "article", "section", "reference", "document", "update"]
+    short = ["how", "to", "the", "of", "own", "in", "a", "is", "new", "for"]
+    word = lambda: str(rng.choice(words))
+    slug = lambda: "-".join(rng.choice([*words, *short], size(5, 11))) + str(rng.choice(["", f"-{size(0, 999)}"]))
+    paths = ["src/app.py", "config/prod.env", "deploy/site.yml", "src0", "src7", "notes.txt"]
+    secret = [
+        lambda: f"{word()} \x01AKIA{pick(upper + '234567', 16)}\x01 {word()}",
+        lambda: f"{word()} \x01{pick(alnum, size(20, 64))}\x01 {word()}",
+        lambda: f"{word()} \x01xoxb-{pick(string.digits, 12)}-{pick(alnum, 24)}\x01 {word()}",
+        lambda: f"{word()} \x01{pick(lower, size(2, 6))}{rng.choice(['_', '-'])}{pick(alnum, size(20, 64))}\x01, {word()}",
+        lambda: f"{word()}: \x01{pick(lower, size(3, 6))}_{pick(hexes, int(rng.choice([32, 40, 64])))}\x01 {word()}",
+        lambda: f"{word()} \x01{pick(lower, size(2, 9))}{rng.choice(['_', '-'])}{pick(hexes, int(rng.choice([24, 32, 48])))}\x01 {word()}",
+        lambda: f"https://{word()}.example.net/{word()}/\x01{pick(alnum, size(20, 48))}\x01 {word()}",
+        lambda: f"https://{word()}.example.net/\x01{word()}/{pick(upper + string.digits, 9)}/{pick(alnum, size(20, 32))}\x01 {word()}",
+        lambda: f"{word()} \x01{pick(alnum, size(16, 28))}.{pick(alnum + '_-', size(24, 48))}\x01 {word()}",
+        lambda: f"{word()} \x01eyJ{pick(alnum, 33)}.{pick(alnum + '_-', size(40, 300))}.{pick(alnum + '_-', 43)}\x01 {word()}",
+        lambda: f"{word()}://{word()}:\x01{pick(alnum + '!#$%', size(8, 24))}\x01@{word()}.example.org/{word()}",
+        lambda: f"{word()}\n\x01-----BEGIN PRIVATE KEY-----\n{pick(alnum + '+/', 64)}\n{pick(alnum + '+/', 64)}\n-----END PRIVATE KEY-----\x01\n",
+    ]
+    plain = [
+        lambda: f"{word()} \x01{pick(hexes, int(rng.choice([24, 32, 40, 64])))}\x01 {word()}",
+        lambda: f"id \x01{pick(hexes, 8)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 4)}-{pick(hexes, 12)}\x01 {word()}",
+        lambda: f"data base64,\x01{pick(alnum + '+/', size(40, 200))}\x01 {word()}",
+        lambda: f"{word()} \x01{word()}_{word()}_{size(0, 9999)}_{word()}\x01 {word()}",
+        lambda: f"{word()} \x01{word()}{word().title()}{size(0, 99)}{word().title()}\x01 {word()}",
+        lambda: f"{word()} \x01{pick(lower, size(16, 40))}\x01 {word()}",
+        lambda: f"https://{word()}.example.net\x01/{word()}/{size(1990, 2030)}/0{size(1, 10)}/{slug()}\x01{rng.choice([' ', '.html '])}{word()}",
+        lambda: f"https://{word()}.example.net/\x01{slug()}/{slug()}\x01 {word()}",
+        lambda: f"{word()} \x01{slug()}\x01 {word()}",
+    ]
+    out = []
+    for _ in range(n):
+        out.append((secret[size(0, len(secret))](), str(rng.choice(paths)), 1))
+        out.append((plain[size(0, len(plain))](), str(rng.choice(paths)), 0))
     return [(line.encode(), path, label) for line, path, label in out]
 
 
@@ -345,4 +365,4 @@ def scanned(docs: DataFrame, forest: Forest, dictionary: frozenset[str], keep: t
 
 def trained(spark: SparkSession, docs: DataFrame, vocabulary: str) -> tuple[Forest, frozenset[str]]:
     dictionary = dictionary_of(vocabulary)
-    return fit(found_lines(published_findings()) + corpus_findings(docs, dictionary), dictionary), dictionary
+    return fit(found_lines(published_findings() + unnamed_findings()) + corpus_findings(docs, dictionary), dictionary), dictionary

@@ -401,7 +401,7 @@ def test_repeats_in_random_texts(spark):
 
 def test_secret_scan_knows_shapes_it_was_not_trained_on(spark):
     """Recall by shape and ordinary look-alikes, none preceded by a name."""
-    forest = secrets.fit(secrets.found_lines(secrets.published_findings()), dictionary := secrets.dictionary_of(bpe.vocabulary_path(spark)))
+    forest = secrets.fit(secrets.found_lines(secrets.published_findings() + secrets.unnamed_findings()), dictionary := secrets.dictionary_of(bpe.vocabulary_path(spark)))
     letters, upper, hexes = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef"
     rng = random.Random(12)
     pick = lambda of, n: "".join(rng.choices(of, k=n))
