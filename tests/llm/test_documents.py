@@ -399,8 +399,8 @@ def test_repeats_in_random_texts(spark):
     assert got == brute_words(rows)
 
 
-def test_secret_scan_knows_shapes_it_was_not_trained_on(spark):
-    """Recall by shape and ordinary look-alikes, none preceded by a name."""
+def test_secret_scan_finds_unnamed_shapes(spark):
+    """Recall by shape and ordinary look-alikes, none preceded by a name; generic forms of these shapes are in training."""
     forest = secrets.fit(secrets.found_lines(secrets.published_findings() + secrets.unnamed_findings()), dictionary := secrets.dictionary_of(bpe.vocabulary_path(spark)))
     letters, upper, hexes = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef"
     rng = random.Random(12)
