@@ -100,18 +100,20 @@ def match_blocks(sources: DataFrame, blocks: DataFrame, name: str, texts: list[s
     keys = named.select("_key").distinct()
     asked = keys.filter(F.length("_key") >= gram).select("_key", F.explode(_grams(F.col("_key"), [gram])).alias("_g")).unionByName(
         keys.filter(F.length("_key") < gram).select("_key", F.col("_key").alias("_g")))
-    sizes = list(range(1, gram + 1))
+    # only the lengths that names ask for; `gram` of them at most
+    sizes = sorted(r["n"] for r in asked.select(F.length("_g").alias("n")).distinct().collect())
     grams = F.array_distinct(F.flatten(F.transform("_texts", lambda t: _grams(t, sizes))))
-    postings = cut_lineage(held.select("_b", F.explode(grams).alias("_g")).join(asked.select("_g").distinct(), "_g", "left_semi"))
+    # the optimizer takes exploded rows for as many as the blocks, so it may not choose to broadcast them
+    postings = cut_lineage(held.select("_b", F.explode(grams).alias("_g")).join(asked.select("_g").distinct(), "_g", "left_semi")).hint("merge")
     counts = postings.groupBy("_g").agg(F.ceil(F.count("*") / hot).cast("int").alias("_salts"), F.count("*").alias("_n"))
     # a name with a gram that no block holds is in no block
     rarest = asked.join(counts, "_g", "left").groupBy("_key").agg(
         F.min_by(F.struct("_g", "_salts", "_n"), F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("m")).filter("m._n is not null").select("_key", "m._g", "m._salts")
     dealt = postings.join(rarest.select("_g", "_salts").distinct(), "_g").select(
         "_g", "_b", F.pmod(F.xxhash64("_b"), F.col("_salts")).cast("int").alias("_salt"))
-    met = rarest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).join(dealt, ["_g", "_salt"]).select("_key", "_b")
-    found = met.join(held, "_b").filter(F.exists("_texts", lambda t: F.contains(t, F.col("_key"))))
-    return found.join(named, "_key").select("_s.*", "_row.*")
+    met = rarest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).join(dealt.hint("merge"), ["_g", "_salt"]).select("_key", "_b")
+    found = met.hint("merge").join(held, "_b").filter(F.exists("_texts", lambda t: F.contains(t, F.col("_key"))))
+    return found.hint("merge").join(named, "_key").select("_s.*", "_row.*")
 
 
 def next_block_number(blocks: DataFrame) -> Column:
