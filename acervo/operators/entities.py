@@ -116,10 +116,11 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
     """
     if threshold * 3 < 2:
         raise ValueError("below two thirds a pair need not share any letter")
-    left = cut_lineage(_with_length(names.select(F.col("alias_norm").alias("name")).distinct(), "name"))
+    # the optimizer takes exploded tokens and grams for as many as the names, so it may not choose to broadcast them
+    left = cut_lineage(_with_length(names.select(F.col("alias_norm").alias("name")).distinct(), "name")).hint("merge")
     right = cut_lineage(_with_length(index.select(
         F.col("alias_norm").alias("alias"), "canonical_id", F.col("pos.entity_pos").alias("e"), F.col("pos.alias_pos").alias("a")), "alias").filter(
-        F.size(F.split("alias", r"\s+")) >= min_alias_tokens))
+        F.size(F.split("alias", r"\s+")) >= min_alias_tokens)).hint("merge")
     share = threshold / (2 - threshold)
     on_left = _rarest_tokens(left, right, "name", share).join(right.select("alias", F.explode("tokens").alias("token")), "token")
     on_right = _rarest_tokens(right, left, "alias", share).join(left.select("name", F.explode("tokens").alias("token")), "token")
@@ -128,7 +129,7 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
         left.select("name", "tokens"), "name").join(right.select("alias", F.col("tokens").alias("others"), "canonical_id", "e", "a"), "alias").select(
         "name", "alias", "canonical_id", "e", "a", inside.alias("inside")))
     whole = cut_lineage(sharing.filter("inside").groupBy("name").agg(
-        F.min_by("canonical_id", F.struct("e", "a")).alias("canonical_id"), F.lit(100.0).alias("score")))
+        F.min_by("canonical_id", F.struct("e", "a")).alias("canonical_id"), F.lit(100.0).alias("score"))).hint("merge")
     open_names = left.join(whole.select("name"), "name", "left_anti")
     pairs = sharing.select("name", "alias").join(whole.select("name"), "name", "left_anti").unionByName(_rarest_grams(open_names, right, threshold)).distinct()
     floor = threshold * 100

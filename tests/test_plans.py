@@ -48,7 +48,7 @@ def test_mention_scan_has_no_shuffle_of_text(spark):
     assert "Exchange" not in plan(scan_mentions(docs, alias_index(dictionary(spark)), "doc_id", "text"))
 
 
-@pytest.mark.parametrize("name", ["q39_block_match"])
+@pytest.mark.parametrize("name", ["q39_block_match", "q29_known_ratios"])
 def test_exploded_rows_are_not_broadcast(spark, name):
     """The optimizer takes grams and tokens for as many as the rows they come from, so its size check says nothing of them."""
     assert "BroadcastHashJoin" not in plan(entry.queries()[name](spark, SF_DIR))
