@@ -25,6 +25,8 @@ from acervo.operators.ordered import first_k, with_position
 from acervo.session import cut_lineage, spread
 
 SLICE_ROWS = 4_000
+# rows of a task's side: slices that follow each other share a tile, so that tasks do not outnumber the rows
+PAIR_ROWS, LEAD_ROWS = 4_000, 16_000
 MAX_PIVOTS = 64
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
 COLUMNS = ["id", "day", "ord", "embedding"]
@@ -67,20 +69,22 @@ def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
 
 
 def _packed(df: DataFrame, slice_rows: int) -> DataFrame:
-    """`_crowded`: the day has more than `slice_rows` rows. `_pack`: quiet days that share a slice, joined in date order until it is full."""
+    """`_crowded`: the day has more than `slice_rows` rows. `_before`: rows of the days before. `_pack`: quiet days that share a slice, joined in date order until it is full."""
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar day
     days = df.groupBy("day").agg(F.count("*").alias("_n")).withColumn("_crowded", F.col("_n") > slice_rows)
     quiet = F.coalesce(F.sum(F.when(~F.col("_crowded"), F.col("_n"))).over(before), F.lit(0))
-    packs = days.select("day", "_crowded", F.concat(F.lit("q"), F.floor(quiet / slice_rows).cast("string")).alias("_pack"))
+    packs = days.select("day", "_crowded", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.concat(F.lit("q"), F.floor(quiet / slice_rows).cast("string")).alias("_pack"))
     return df.join(packs, "day")
 
 
-def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None) -> DataFrame:
-    """Slice name and, in crowded days, cell and angle of each row (else null).
+def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None, tile_rows: int) -> DataFrame:
+    """Tile (`slice`) and, in crowded days, cell and angle of each row (else null).
 
     A crowded day is cut by cell, and a larger cell along the scan order, so that
-    a chain of documents that follow each other stays in few slices.
+    a chain of documents that follow each other stays in few slices. Slices and
+    quiet days that follow each other share a tile of about `tile_rows`.
     """
+    tile_rows = max(slice_rows, tile_rows)
     placed = _packed(_with_cell(df, pivots), slice_rows)
     cuts = placed.filter("_crowded").groupBy("day", "cell").agg(
         F.ceil(F.count("*") / slice_rows).cast("int").alias("_parts"),
@@ -90,20 +94,25 @@ def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None) -> DataFr
     rank = F.size(F.filter("_points", lambda x: x <= F.col("ord")))
     part = F.floor(rank * F.least("_parts", F.lit(64)) / 64)
     more = F.when(F.col("_parts") > 64, F.pmod(F.xxhash64("id"), F.ceil(F.col("_parts") / 64))).otherwise(0)
-    name = F.concat_ws(":", F.lit("d"), "day", "cell", part, more)
-    return found.select(*COLUMNS, F.when(F.col("_crowded"), name).otherwise(F.col("_pack")).alias("slice"),
-                        F.when(F.col("_crowded"), F.col("cell")).alias("cell"), F.when(F.col("_crowded"), F.col("angle")).alias("angle"))
+    cut = found.withColumns({"_part": F.when(F.col("_crowded"), part).otherwise(0), "_more": F.when(F.col("_crowded"), more).otherwise(0),
+                             "cell": F.when(F.col("_crowded"), F.col("cell")), "angle": F.when(F.col("_crowded"), F.col("angle"))})
+    at = ["day", F.coalesce("cell", F.lit(-1)).alias("_cell"), "_part", "_more"]
+    before = Window.partitionBy("day").orderBy("_cell", "_part", "_more").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    tiles = cut.groupBy(*at, "_before").agg(F.count("*").alias("_n")).select("day", "_cell", "_part", "_more", F.floor(
+        (F.col("_before") + F.coalesce(F.sum("_n").over(before), F.lit(0))) / tile_rows).cast("string").alias("slice"))
+    return cut.withColumn("_cell", F.coalesce("cell", F.lit(-1))).join(
+        tiles, ["day", "_cell", "_part", "_more"]).select(*COLUMNS, "slice", "cell", "angle")
 
 
 def _grid(left: DataFrame, right: DataFrame, window_days: int, threshold: float, pivots: np.ndarray | None,
           other: bool) -> DataFrame:
-    """(l, r): slices that may hold a qualifying pair, one row each. `other` leaves a slice and itself out."""
+    """(l, r): tiles that may hold a qualifying pair, one row each. `other` leaves a tile and itself out."""
     def spans(df: DataFrame, side: str, reach: int) -> DataFrame:
-        found = df.groupBy(F.col("slice").alias(side)).agg(
-            F.min("day").alias("a"), F.max("day").alias("b"), F.first("cell").alias(f"{side}_c"), F.max("angle").alias(f"{side}_a"))
+        found = df.groupBy(F.col("slice").alias(side), F.col("cell").alias(f"{side}_c")).agg(
+            F.min("day").alias("a"), F.max("day").alias("b"), F.max("angle").alias(f"{side}_a"))
         return found.select(side, f"{side}_c", f"{side}_a", F.explode(F.sequence(F.col("a") - reach, "b")).alias("d"))
 
-    met = spans(left, "l", window_days).join(spans(right, "r", 0), "d").drop("d").distinct()
+    met = spans(left, "l", window_days).join(spans(right, "r", 0), "d").drop("d")
     if other:
         met = met.filter("l <> r")
     if pivots is not None:
@@ -112,7 +121,7 @@ def _grid(left: DataFrame, right: DataFrame, window_days: int, threshold: float,
         table = F.array(*[F.lit(float(x)) for x in apart])
         gap = F.get(table, F.col("l_c") * len(pivots) + F.col("r_c")) - F.col("l_a") - F.col("r_a")
         met = met.filter(F.coalesce(gap <= float(np.arccos(threshold)) + 1e-6, F.lit(True)))
-    return met.select("l", "r")
+    return met.select("l", "r").distinct()
 
 
 def _meet(left: DataFrame, right: DataFrame, window_days: int, score: Callable, threshold: float,
@@ -191,7 +200,7 @@ def _prepared(docs: DataFrame, key: str, day: str, order: str, vector: str) -> D
 
 def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
                   threshold: float = P.CLUSTER_COSINE, window_days: int = P.CLUSTER_WINDOW_DAYS,
-                  slice_rows: int = SLICE_ROWS) -> DataFrame:
+                  slice_rows: int = SLICE_ROWS, tile_rows: int = PAIR_ROWS) -> DataFrame:
     """(hi, lo, sim): pairs at most `window_days` apart with cosine at or above the threshold.
 
     Documents without a day or a vector are in no pair.
@@ -199,7 +208,7 @@ def similar_pairs(docs: DataFrame, key: str, day: str, order: str, vector: str,
     rows = _prepared(docs, key, day, order, vector).filter("day is not null and embedding is not null")
     pivots = _pivots(rows, threshold, slice_rows)
     # read four times: both sides and their spans
-    sliced = cut_lineage(_sliced(rows, slice_rows, pivots))
+    sliced = cut_lineage(_sliced(rows, slice_rows, pivots, tile_rows))
     return _meet(sliced, sliced, window_days, _pairs(threshold, window_days), threshold, pivots).select("hi", "lo", "sim")
 
 
@@ -229,14 +238,14 @@ def _scan(threshold: float, window_days: int) -> Callable:
 
 def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str,
                     threshold: float = P.CLUSTER_COSINE, window_days: int = P.CLUSTER_WINDOW_DAYS,
-                    slice_rows: int = SLICE_ROWS) -> DataFrame:
+                    slice_rows: int = SLICE_ROWS, tile_rows: int = LEAD_ROWS) -> DataFrame:
     """(id, leader_id): the sequential leader scan, computed in parallel, same result.
 
     Scan order is (day, order). A document joins the most similar earlier leader
     within the window, the earliest among equals, else it becomes a leader.
     Documents without a day, without a vector or with a zero vector lead themselves.
 
-    Rounds: each slice is scanned in order by one task, which settles every
+    Rounds: each slice (a tile of about `tile_rows`) is scanned in order by one task, which settles every
     document that does not depend on an open one of another slice; documents near
     a new leader of another slice are then decided. The first open slice is
     settled whole, so rounds follow the slices that a chain of documents crosses,
@@ -250,7 +259,7 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     distinct = cut_lineage(rows.filter(~alone).groupBy("day", "embedding").agg(
         F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "embedding"))
     pivots = _pivots(distinct, threshold, slice_rows)
-    undecided = cut_lineage(_sliced(distinct, slice_rows, pivots))
+    undecided = cut_lineage(_sliced(distinct, slice_rows, pivots, tile_rows))
     waits = _waits(threshold, window_days)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in undecided.schema.fields) + ", state int"
     leaders = rows.filter(alone).select(*COLUMNS)
@@ -274,7 +283,7 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     leaders = cut_lineage(leaders)
     others = rows.filter(~alone).join(leaders.select("id"), "id", "left_anti").select(*COLUMNS)
     targets = leaders.filter("day is not null and embedding is not null")
-    best = _meet(cut_lineage(_sliced(others, slice_rows, pivots)), cut_lineage(_sliced(targets, slice_rows, pivots)), window_days,
+    best = _meet(cut_lineage(_sliced(others, slice_rows, pivots, PAIR_ROWS)), cut_lineage(_sliced(targets, slice_rows, pivots, PAIR_ROWS)), window_days,
                  _best(threshold, window_days), threshold, pivots).groupBy("hi").agg(
         F.max_by("lo", F.struct("sim", -F.col("lo_day"), -F.col("lo_ord"))).alias("leader_id"))
     # callers join the assignment several times (names, sizes, members)

@@ -284,6 +284,27 @@ def test_mentions_of_a_large_dictionary(spark):
         assert rows(entities.scan_mentions(docs, large, "id", "text", carried=carried), "id", "alias_norm", "suspect") == want
 
 
+def test_a_large_dictionary_reads_texts_once(spark, monkeypatch):
+    """Aliases that hold a word take no pass for each part of the dictionary."""
+    passes = []
+    scan = entities._found_in_texts
+    monkeypatch.setattr(entities, "_found_in_texts", lambda *a: passes.append(a) or scan(*a))
+    names = [f"N{i} B.{i}" for i in range(40)] + ["--"]
+    large = spark.createDataFrame([(a, f"c{i}", a) for i, a in enumerate(names)], "alias_norm string, canonical_id string, main_name string")
+    docs = spark.createDataFrame([(1, "n1 b.1, n2 b.2"), (1, "n1 b.1"), (None, "x -- n7 b.77 n9 b.9")], "id int, text string")
+    got = sorted((str(r["id"]), r["alias_norm"]) for r in entities.scan_mentions(docs, large, "id", "text", carried=2).collect())
+    assert got == [("1", "N1 B.1"), ("1", "N1 B.1"), ("1", "N2 B.2"), ("None", "--"), ("None", "N9 B.9")]
+    assert len(passes) == 1
+
+
+def test_texts_are_strings_a_few_at_a_time():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["t"] * 1000)], names=["k", "_text"])
+    parts = list(entities._few_rows(iter([batch])))
+    assert max(p.num_rows for p in parts) <= 256 and [k for p in parts for k in p.column(0).to_pylist()] == list(range(1000))
+
+
 def nearest_aliases(names, aliases, threshold=85):
     """Every name against every alias in list order; the first of the best."""
     want = []
@@ -415,6 +436,19 @@ def test_a_chain_takes_as_many_rounds_as_it_crosses_slices(spark, monkeypatch, s
     assert len(rounds) <= (1 if slice_rows == 4000 else 6)
 
 
+@pytest.mark.parametrize("tile_rows", [12, 4000])
+def test_small_slices_share_tiles(spark, monkeypatch, tile_rows):
+    """Slices of 8 rows: tasks and rounds follow the tiles, and leaders are those of the sequential scan."""
+    rounds = rounds_of(monkeypatch)
+    rng = np.random.default_rng(7)
+    docs = [(i, i % 10, rng.normal(size=8)) for i in range(150)]
+    df = spark.createDataFrame([(i, dt.date(2026, 1, 1) + dt.timedelta(days=d), [float(x) for x in v]) for i, d, v in docs],
+                               "id int, day date, v array<double>")
+    got = G.leader_clusters(df, "id", "day", "id", "v", 0.5, 3, 8, tile_rows)
+    assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_leaders(docs, 0.5, 3)
+    assert len(rounds) > 1 if tile_rows == 12 else len(rounds) == 1
+
+
 def test_documents_without_day_or_vector_lead(spark):
     df = spark.sql("select * from values (1, date'2026-01-01', array(1D, 0D)), (2, null, array(1D, 0D)), (3, date'2026-01-01', null), "
                    "(4, date'2026-01-01', array(0D, 0D)), (5, date'2026-01-02', array(2D, 0D)) t(id, day, v)")
