@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -200,6 +201,46 @@ def _anywhere(text: str, start: int, end: int) -> bool:
     return True
 
 
+def _few_rows(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch holds thousands of texts; as Python strings only a few hundred at a time are in memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _found_by_words(texts: DataFrame, index: DataFrame, key: str, accepted: Callable[[str, int, int], bool]) -> DataFrame:
+    """As `_found_in_texts`, for aliases that hold a word: an equi join, whatever the size of the dictionary.
+
+    An accepted occurrence begins and ends beside whole words, so its words are words of the text. The form of an alias
+    is its number of words and the letters before the first and after the last; of each text, read once, every accepted
+    piece of one of the dictionary's forms meets the alias that equals it.
+    """
+    name = index.columns[0]
+    words = F.regexp_count(F.col(name), F.lit(r"\w+"))
+    outer = [F.length(F.regexp_extract(name, pattern, 0)) for pattern in (r"(?s)^\W*", r"(?s)\W*$")]
+    forms = [tuple(r) for r in index.select(words, *outer).distinct().collect()]
+    schema = StructType([texts.schema[key], StructField(name, index.schema[name].dataType)])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = re.compile(r"\w+", re.ASCII).finditer
+        for batch in _few_rows(batches):
+            rows, found = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                seen, places = set(), [m.span() for m in spans(text or "")]
+                for n, before, behind in forms:
+                    for (first, _), (_, last) in zip(places, places[n - 1:]):
+                        start, end = first - before, last + behind
+                        if start >= 0 and end <= len(text) and accepted(text, start, end):
+                            seen.add(text[start:end])
+                rows += [row] * len(seen)
+                found += seen
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], names=schema.names)
+
+    asked = texts.select(key, "_text").mapInArrow(pieces, schema)
+    # pieces are more than the texts that the optimizer sees
+    return asked.hint("merge").join(index, name).select(key, *index.columns)
+
+
 def _found_in_texts(texts: DataFrame, key: str, aliases: list[tuple], fields: list[StructField],
                     accepted: Callable[[str, int, int], bool]) -> DataFrame:
     """key and the values of every alias that has an accepted occurrence in `_text`, once; an alias's values begin with its name.
@@ -217,7 +258,7 @@ def _found_in_texts(texts: DataFrame, key: str, aliases: list[tuple], fields: li
             automaton.add_word(values[0], (place, len(values[0])))
         automaton.make_automaton()
         columns = [pa.array(column, pa.string()) for column in zip(*sent.value)]
-        for batch in batches:
+        for batch in _few_rows(batches):
             rows, places = [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 if not text:
@@ -238,16 +279,20 @@ def _occurrences(texts: DataFrame, index: DataFrame, key: str, columns: list[str
                  carried: int) -> DataFrame:
     """key and the text columns of each alias found, the first of them its name; `carried` aliases travel with one pass over the texts.
 
-    A larger dictionary is cut by a hash into parts of about that size, and each part, a list of bounded length, is a pass.
+    Of a larger dictionary, aliases that hold a word are joined where whole words are asked for. The others are cut by a
+    hash into parts of about `carried`, and each part, a list of bounded length, is a pass.
     """
     index = index.select(*[F.col(c).cast("string").alias(c) for c in columns])
     rows = index.limit(carried + 1).collect()
-    blocks = [rows]
+    blocks, found = [rows], None
     if len(rows) > carried:
         index = cut_lineage(index)
+        if accepted is not _anywhere:
+            worded = F.col(columns[0]).rlike(r"\w")
+            found = _found_by_words(texts, index.filter(worded), key, accepted)
+            index = index.filter(~worded)
         parts = -(-index.count() // carried)
         blocks = (index.filter(F.pmod(F.xxhash64(columns[0]), F.lit(parts)) == part).collect() for part in range(parts))
-    found = None
     for rows in blocks:
         if rows:
             hits = _found_in_texts(texts, key, [tuple(r) for r in rows], index.schema.fields, accepted)
@@ -261,7 +306,7 @@ def scan_mentions(docs: DataFrame, index: DataFrame, key: str, text: str, legacy
 
     Aliases of at most five characters count as suspect. Texts are not shuffled: each is folded, read once by an
     automaton over the dictionary, and only places of aliases leave the task. A dictionary of more than `carried`
-    aliases takes one pass for each part of that size.
+    aliases meets pieces of the texts in a join.
     """
     folded = docs.select(key, fold_upper(F.col(text)).alias("_text"))
     found = _occurrences(folded, index, key, ["alias_norm", "canonical_id", "main_name"], _word_edges if legacy else _whole_word, carried)
