@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,11 +35,116 @@ def unit_rows(vectors) -> np.ndarray:
 LETTERS = 37
 _PLACES = np.full(128, LETTERS, np.int64)
 _PLACES[[ord(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789 "]] = np.arange(LETTERS)
+WORD_BITS = 63  # the top bit of a word holds what it carries to the next
+_LOW = np.uint64((1 << WORD_BITS) - 1)
+LONG_TITLE = 200  # from here on SequenceMatcher leaves frequent characters out
+
+
+def letter_places(title: str) -> np.ndarray:
+    """Each character of a title key (letters, digits, blanks) as a number below `LETTERS`."""
+    return _PLACES[np.frombuffer(title.encode("ascii"), np.uint8)]
+
 
+class TitleBank:
+    """Numbered titles of like length as arrays, and a bound on the characters that another title matches in each.
+
+    The characters that SequenceMatcher matches are a common subsequence, so the
+    longest one bounds them. It is found bit-parallel, against all titles at once:
+    `words` integers tell where in a title each letter stands. Long titles (`words`
+    0) are bounded by how often each letter occurs in both.
+    """
+
+    def __init__(self, words: int):
+        self.words, self.size = words, 0
+        self.numbers, self.lengths = np.zeros(64, np.int64), np.zeros(64, np.int64)
+        self.letters = np.zeros((max(words, 1), LETTERS, 64), np.uint64)
+
+    def add(self, number: int, title: str) -> None:
+        n, places = self.size, letter_places(title)
+        if n == len(self.lengths):
+            self.numbers, self.lengths, self.letters = (
+                np.concatenate([x, np.zeros_like(x)], axis=-1) for x in (self.numbers, self.lengths, self.letters))
+        self.numbers[n], self.lengths[n], self.size = number, len(title), n + 1
+        if self.words:
+            word, bit = np.divmod(np.arange(len(title)), WORD_BITS)
+            np.bitwise_or.at(self.letters[:, :, n], (word, places), np.uint64(1) << bit.astype(np.uint64))
+        else:
+            self.letters[0, :, n] = np.bincount(places, minlength=LETTERS)
+
+    def _common(self, places: np.ndarray) -> np.ndarray:
+        n = self.size
+        if not self.words:
+            return np.minimum(self.letters[0, :, :n], np.bincount(places, minlength=LETTERS).astype(np.uint64)[:, None]).sum(axis=0).astype(np.int64)
+        rows = [np.full(n, _LOW if word < self.words - 1 else ~np.uint64(0)) for word in range(self.words)]
+        hit, total, carry = np.empty(n, np.uint64), np.empty(n, np.uint64), np.zeros(n, np.uint64)
+        for place in places.tolist():
+            for word, row in enumerate(rows):
+                np.bitwise_and(row, self.letters[word, place, :n], out=hit)
+                np.add(row, hit, out=total)
+                if word:
+                    total += carry
+                row ^= hit
+                row |= total
+                if word < self.words - 1:
+                    np.right_shift(total, np.uint64(WORD_BITS), out=carry)
+                    row &= _LOW
+        return sum(np.bitwise_count(~row & _LOW).astype(np.int64) for row in rows)
+
+    def near(self, title: str, threshold: float) -> np.ndarray:
+        """Numbers of the titles whose ratio may reach the threshold."""
+        lengths = self.lengths[:self.size]
+        least = threshold * (lengths + len(title)) - 1e-9
+        if not (2 * np.minimum(lengths, len(title)) >= least).any():
+            return np.empty(0, np.int64)
+        return self.numbers[:self.size][2 * self._common(letter_places(title)) >= least]
+
+
+class TitleMatcher:
+    """Compares titles with one title; true exactly where `SequenceMatcher(None, other, title).ratio()` reaches the threshold.
+
+    The table of equal characters is one integer, a row of bits for each character
+    of the other title. Its bits that go on along the diagonal, step by step, are
+    the ends of ever longer common runs; the lowest bit left ends the run that
+    SequenceMatcher takes first. What lies before and after it is searched in turn,
+    as long as the threshold can be reached.
+    """
 
-def letter_counts(title: str) -> np.ndarray:
-    """How often each letter, digit and the blank occur in a title key; twice the common counts bound the matched characters."""
-    return np.bincount(_PLACES[np.frombuffer(title.encode("ascii"), np.uint8)], minlength=LETTERS)[:LETTERS]
+    def __init__(self, title: str):
+        self.size, self.width = len(title), len(title) // 8 + 1  # bytes of a row: one bit at least stays free
+        self.matcher = SequenceMatcher(None, "", title) if len(title) >= LONG_TITLE else None
+        found: dict[str, int] = {}
+        for i, ch in enumerate(title):
+            found[ch] = found.get(ch, 0) | (1 << i)
+        self.rows = {ch: bits.to_bytes(self.width, "little") for ch, bits in found.items()}
+
+    def fits(self, other: str, threshold: float) -> bool:
+        if self.matcher:
+            self.matcher.set_seq1(other)
+            return self.matcher.ratio() >= threshold
+        total = len(other) + self.size
+        if not total:
+            return 1.0 >= threshold
+        bits, none = 8 * self.width, bytes(self.width)
+        table = int.from_bytes(b"".join([self.rows.get(ch, none) for ch in other]), "little")
+        most = min(len(other), self.size)  # matched so far, and what the open parts can add
+        parts = [(0, len(other), 0, self.size)]
+        while parts and 2.0 * most / total >= threshold:
+            a, a_end, b, b_end = parts.pop()
+            most -= min(a_end - a, b_end - b)
+            columns = ((1 << b_end) - (1 << b)).to_bytes(self.width, "little")
+            run, size = (table >> bits * a) & int.from_bytes(columns * (a_end - a), "little"), 1
+            if not run:
+                continue
+            while longer := run & (run << bits + 1):
+                run, size = longer, size + 1
+            row, column = divmod((run & -run).bit_length() - 1, bits)
+            i, j = a + row + 1 - size, column + 1 - size
+            most += size
+            for part in ((a, i, b, j), (i + size, a_end, j + size, b_end)):
+                if room := min(part[1] - part[0], part[3] - part[2]):
+                    most += room
+                    parts.append(part)
+        return 2.0 * most / total >= threshold
 
 
 def _common_subsequence(a: str, b: str) -> int:

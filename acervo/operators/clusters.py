@@ -11,7 +11,6 @@ is ever a row.
 from __future__ import annotations
 
 from collections.abc import Callable
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,8 @@ from acervo.session import cut_lineage, spread
 SLICE_ROWS = 4_000
 # rows of a task's side: slices that follow each other share a tile, so that tasks do not outnumber the rows
 PAIR_ROWS, LEAD_ROWS = 4_000, 16_000
+# quiet days whose titles one task scans: the work grows with the square of a day, so few share a task
+TITLE_PACK_ROWS = 500
 MAX_PIVOTS = 64
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
 COLUMNS = ["id", "day", "ord", "embedding"]
@@ -68,12 +69,12 @@ def _with_cell(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
     return df.mapInPandas(nearest, f"id string, day int, ord long, embedding {df.schema['embedding'].dataType.simpleString()}, cell int, angle double")
 
 
-def _packed(df: DataFrame, slice_rows: int) -> DataFrame:
-    """`_crowded`: the day has more than `slice_rows` rows. `_before`: rows of the days before. `_pack`: quiet days that share a slice, joined in date order until it is full."""
+def _packed(df: DataFrame, slice_rows: int, pack_rows: int | None = None) -> DataFrame:
+    """`_crowded`: the day has more than `slice_rows` rows. `_before`: rows of the days before. `_pack`: quiet days that share a slice, joined in date order until it is full (`pack_rows`, else `slice_rows`)."""
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar day
     days = df.groupBy("day").agg(F.count("*").alias("_n")).withColumn("_crowded", F.col("_n") > slice_rows)
     quiet = F.coalesce(F.sum(F.when(~F.col("_crowded"), F.col("_n"))).over(before), F.lit(0))
-    packs = days.select("day", "_crowded", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.concat(F.lit("q"), F.floor(quiet / slice_rows).cast("string")).alias("_pack"))
+    packs = days.select("day", "_crowded", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.concat(F.lit("q"), F.floor(quiet / (pack_rows or slice_rows)).cast("string")).alias("_pack"))
     return df.join(packs, "day")
 
 
@@ -295,33 +296,29 @@ class TitleLeaders:
     """Leaders of one day in scan order, and the first that a title is close to.
 
     At ratios near one half two titles need not share any gram, so nothing short
-    of all leaders is sure to hold the first. Lengths and letter counts bound the
-    ratio from above; the bounds against all leaders are one array expression, and
+    of all leaders is sure to hold the first. Common subsequences bound the ratio
+    from above; the bounds against all leaders are a few array expressions, and
     only leaders that pass are compared, until the first fits.
     """
 
     def __init__(self, threshold: float):
         self.threshold = threshold
         self.ids: list[str] = []
-        self.matchers: list[SequenceMatcher] = []
-        self.counts = np.zeros((64, M.LETTERS), np.int16)
-        self.lengths = np.zeros(64, np.int64)
+        self.matchers: list[M.TitleMatcher] = []
+        self.banks: dict[int, M.TitleBank] = {}
 
     def add(self, name: str, title: str) -> None:
-        n = len(self.ids)
-        if n == len(self.lengths):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        words = 0 if len(title) >= M.LONG_TITLE else max(1, -(-len(title) // M.WORD_BITS))
+        if words not in self.banks:
+            self.banks[words] = M.TitleBank(words)
+        self.banks[words].add(len(self.ids), title)
         self.ids.append(name)
-        self.matchers.append(SequenceMatcher(None, "", title))
-        self.counts[n], self.lengths[n] = M.letter_counts(title), len(title)
+        self.matchers.append(M.TitleMatcher(title))
 
     def first(self, title: str) -> str | None:
-        n = len(self.ids)
-        common = np.minimum(self.counts[:n], M.letter_counts(title)).sum(axis=1, dtype=np.int64)
-        for i in np.flatnonzero(2 * common >= self.threshold * (self.lengths[:n] + len(title)) - 1e-9).tolist():
-            self.matchers[i].set_seq1(title)
-            if self.matchers[i].ratio() >= self.threshold:
+        near = [bank.near(title, self.threshold) for bank in self.banks.values()]
+        for i in np.sort(np.concatenate(near)).tolist() if near else ():
+            if self.matchers[i].fits(title, self.threshold):
                 return self.ids[i]
         return None
 
@@ -363,7 +360,7 @@ def title_clusters(docs: DataFrame, key: str, day: str, order: str, title: str,
     undecided = cut_lineage(rows.groupBy("day", "title").agg(F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "title"))
     decided = None
     while not undecided.isEmpty():
-        placed = _packed(undecided, slice_rows)
+        placed = _packed(undecided, slice_rows, min(slice_rows, TITLE_PACK_ROWS))
         heads = placed.filter("not _crowded").select("id", "day", "ord", "title", F.col("_pack").alias("slice")).unionByName(
             first_k(placed.filter("_crowded"), ["day"], [F.col("ord")], slice_rows).select(
                 "id", "day", "ord", "title", F.concat(F.lit("d"), "day").alias("slice")))

@@ -522,6 +522,38 @@ def test_title_clusters_equal_sequential_scan(spark, slices):
     assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_titles(docs, 0.55)
 
 
+def test_title_matches_equal_difflib():
+    """Short, long and repetitive titles, on both sides of the threshold and exactly at it."""
+    from difflib import SequenceMatcher
+    rng = random.Random(3)
+    for _ in range(400):
+        letters = rng.choice(["ab", "abc xyz01 ", "abcdefghijklmnopqrstuvwxyz0123456789 "])
+        n = rng.choice([0, 1, 5, 60, 63, 64, 127, 150, 199, 200, 230])
+        a, b = ("".join(rng.choices(letters, k=max(0, n + rng.randint(-9, 9)))) for _ in range(2))
+        b = rng.choice([b, a[:n // 3] + b[n // 4:], b[:n // 2] + a[n // 3:]])
+        ratio = SequenceMatcher(None, a, b).ratio()
+        for threshold in (0.3, 0.55, ratio, 0.9):
+            leaders = G.TitleLeaders(threshold)
+            leaders.add("b", b)
+            assert (leaders.first(a) == "b") == G.M.TitleMatcher(b).fits(a, threshold) == (ratio >= threshold)
+
+
+def test_unlike_titles_are_not_compared_one_by_one(monkeypatch):
+    """Titles of one language share most letters; a title is compared whole with few leaders, not with most of them."""
+    from difflib import SequenceMatcher
+    rng, compared = random.Random(4), []
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(400)]
+    own = getattr(G.M, "TitleMatcher", None)
+    for kind, name in ((SequenceMatcher, "ratio"), *([(own, "fits")] if own else [])):
+        monkeypatch.setattr(kind, name, lambda *a, f=getattr(kind, name): compared.append(1) or f(*a))
+    leaders = G.TitleLeaders(0.55)
+    for i in range(150):
+        title = " ".join(rng.choices(words, k=9))
+        if leaders.first(title) is None:
+            leaders.add(str(i), title)
+    assert len(leaders.ids) > 120 and len(compared) < 150 * 120 / 2 / 5
+
+
 def test_title_clusters_without_day_or_title(spark):
     df = spark.sql("select * from values (1, null, 'a b c'), (2, null, 'a b d'), (3, 1, null), (4, 1, '!!'), (5, 1, 'a b c') t(id, day, title)")
     got = {r["id"]: r["leader_id"] for r in G.title_clusters(df, "id", "day", "id", "title").collect()}
