@@ -35,13 +35,19 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"\s+")))
 
 
+def _chars_between(text: Column, low: int, high: int) -> Column:
+    """Whether the text has `low` to `high` characters; they are counted only where its bytes leave that open, a character having one to four."""
+    octets = F.octet_length(text)
+    return F.when((octets < low) | (octets > 4 * high), False).otherwise(F.length(text).between(low, high))
+
+
 def violations(sentiment: Column, score: Column, tags: Column, summary: Column, rationale: Column) -> Column:
     """Names of the stated limits that a reply breaks."""
     sign = F.signum(score)
     checks = [
         ("sentiment_sign", ((sentiment == "positivo") & (sign <= 0)) | ((sentiment == "negativo") & (sign >= 0))),
         ("tag_count", ~F.size(tags).between(1, 4)),
-        ("summary_length", ~F.length(summary).between(300, 500)),
+        ("summary_length", ~_chars_between(summary, 300, 500)),
         ("rationale_words", word_count(rationale) > 12),
     ]
     flags = F.array(*[F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in checks])

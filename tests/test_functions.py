@@ -186,3 +186,11 @@ def test_round_exact(values):
 def test_parameters_are_consistent():
     assert set(P.CRITICAL_TAGS) <= set(P.TAG_VOCABULARY)
     assert len(P.JUNK_TAGS) == 11 and len(P.CONTENT_SELECTORS) == 11
+
+
+def test_summary_length_counts_characters(values):
+    """Characters of one to four bytes, at both limits and where bytes alone decide."""
+    sizes = [0, 74, 75, 299, 300, 500, 501, 2001]
+    for ch in "aé€🔴":
+        assert values([(ch * n,) for n in sizes] + [(None,)], "t string", ~R._chars_between(T, 300, 500)) == [
+            not 300 <= n <= 500 for n in sizes] + [None]

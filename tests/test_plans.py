@@ -54,6 +54,35 @@ def test_exploded_rows_are_not_broadcast(spark, name):
     assert "BroadcastHashJoin" not in plan(entry.queries()[name](spark, SF_DIR))
 
 
+def test_reply_texts_are_made_once_for_equal_replies(spark):
+    """Events outnumber users; the texts stand above the aggregate that makes replies distinct, and are never broadcast."""
+    tree = entry.queries()["q59_reply_quality"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "repeat(abc " in tree and "Aggregate" in tree[tree.index("repeat(abc "):] and "Broadcast" not in tree
+
+
+def test_reply_quality_of_odd_events(spark, tmp_path):
+    rows = [(i, user, kind, value) for i, (user, kind, value) in enumerate(
+        [(u, k, v) for u in (None, 0, 74, 75, 125, 126, 13) for k in (None, "error", "view") for v in (None, float("nan"), 49.0, 50.0, 51.5)] * 2)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+
+    def expected(user, kind, value):
+        bad = []
+        # NaN counts as above all numbers
+        above, below = (value is not None and (value != value or value >= 50), value is not None and value <= 50)
+        if value is None or (above if kind == "error" else below):
+            bad.append("sentiment_sign")
+        if user is None or not 1 <= user % 6 <= 4:
+            bad.append("tag_count")
+        if user is None or not 300 <= 4 * user <= 500:
+            bad.append("summary_length")
+        if user is None or user % 20 > 12:
+            bad.append("rationale_words")
+        return ",".join(bad)
+
+    got = entry.queries()["q59_reply_quality"](spark, str(tmp_path)).collect()
+    assert sorted((r["event_id"], r["violations"]) for r in got) == [(i, expected(*row)) for i, *row in rows]
+
+
 def test_rating_range_is_pushed(spark):
     from acervo.plans.feeds import _ratings
 
