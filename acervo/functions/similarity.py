@@ -198,3 +198,96 @@ def tokens_ratio(a: tuple[frozenset[str], int], b: tuple[frozenset[str], int], a
 
 def token_set_ratio(a: str, b: str) -> float:
     return tokens_ratio(name_tokens(a), name_tokens(b))
+
+
+def _numbered_grams(names: list[frozenset[str]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, gram, number): all grams of `size` letters (three at most) inside the tokens, by row; equal grams of a row are numbered."""
+    joined = [" ".join(tokens) for tokens in names]
+    letters = np.frombuffer("".join(f"{text} " for text in joined).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    n = max(0, len(letters) - size + 1)
+    grams, inside = np.zeros(n, np.int64), np.ones(n, bool)
+    for i in range(size):
+        grams = grams << 21 | letters[i:i + n]
+        inside &= letters[i:i + n] != 32
+    rows = np.repeat(np.arange(len(joined)), [len(text) + 1 for text in joined])[:n][inside]
+    grams = grams[inside]
+    order = np.lexsort((grams, rows))
+    rows, grams = rows[order], grams[order]
+    at = np.arange(len(rows))
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:] != rows[:-1]) | (grams[1:] != grams[:-1])
+    return rows, grams, at - np.maximum.accumulate(np.where(first, at, 0))
+
+
+class GramIndex:
+    """Names of a dictionary by their grams of letters, and those of them that may reach a ratio with other names.
+
+    Two names that reach the threshold differ by at most (1 - threshold) of both lengths. What they have in common falls
+    into at most one piece more than there are differences, so a least number of grams is common to both, but for those
+    that a blank may cut. All common grams are counted, equal ones as often as both have them, and a name with fewer
+    cannot reach the threshold (two thirds or more). A name is sought by the longest grams of which one is sure to be
+    common: three letters, two, or single ones. Lengths are bounded by the threshold as well.
+    """
+
+    def __init__(self, names: list[str], threshold: float):
+        self.threshold, self.nearest = threshold, threshold / (2 - threshold)
+        known = sorted(((*name_tokens(name), name) for name in names), key=lambda x: x[1])
+        self.tokens, self.names = [(tokens, length) for tokens, length, _ in known], [name for *_, name in known]
+        self.lengths = np.array([length for _, length in self.tokens], np.int64)
+        self.blanks = np.array([max(0, len(tokens) - 1) for tokens, _ in self.tokens], np.int64)
+        self.postings: dict[int, tuple] = {}
+
+    def _posted(self, size: int) -> tuple:
+        """The different grams, the most of one kind in a name, the numbered grams as integers, their first places, and the names by them."""
+        if size not in self.postings:
+            rows, grams, numbers = _numbered_grams([tokens for tokens, _ in self.tokens], size)
+            different, kind = np.unique(grams, return_inverse=True)
+            most = int(numbers.max(initial=0)) + 1
+            slots = kind * most + numbers
+            order = np.argsort(slots, kind="stable")
+            found, first = np.unique(slots[order], return_index=True)
+            self.postings[size] = different, most, found, np.append(first, len(rows)), rows[order]
+        return self.postings[size]
+
+    def _kept(self, size: int, both: np.ndarray | float, blanks: np.ndarray | int) -> np.ndarray | float:
+        """Grams that names of `both` lengths have in common at least."""
+        return max(0.0, 0.5 - (size - 0.5) * (1 - self.threshold)) * both - (size - 1) - size * blanks - 1e-6
+
+    def near(self, names: list[str]):
+        """Place in `names` and places in the dictionary that may reach the threshold, for each name with any."""
+        parted = [name_tokens(name) for name in names]
+        size = [next((s for s in (3, 2) if self._kept(s, length * (1 + self.nearest), max(0, len(tokens) - 1)) > 0), 1) for tokens, length in parted]
+        for s in sorted(set(size)):
+            places = [i for i, own in enumerate(size) if own == s and parted[i][0]]
+            different, most, found, first, by_gram = self._posted(s)
+            if not places or not len(found):
+                continue
+            rows, grams, numbers = _numbered_grams([parted[i][0] for i in places], s)
+            kind = np.minimum(np.searchsorted(different, grams), len(different) - 1)
+            slots = kind * most + numbers
+            slot = np.minimum(np.searchsorted(found, slots), len(found) - 1)
+            held = (different[kind] == grams) & (numbers < most) & (found[slot] == slots)
+            rows, starts, ends = rows[held], first[slot[held]].tolist(), first[slot[held] + 1].tolist()
+            cuts = np.searchsorted(rows, np.arange(len(places) + 1)).tolist()
+            for n, i in enumerate(places):
+                length, blanks = parted[i][1], len(parted[i][0]) - 1
+                low, high = np.searchsorted(self.lengths, [length * self.nearest - 1e-6, length / self.nearest + 1e-6]).tolist()
+                if low >= high or cuts[n] == cuts[n + 1]:
+                    continue
+                hits = np.concatenate([by_gram[a:b] for a, b in zip(starts[cuts[n]:cuts[n + 1]], ends[cuts[n]:cuts[n + 1]])])
+                counts = np.bincount(hits, minlength=len(self.names))[low:high]
+                some = np.flatnonzero(counts >= max(1.0, self._kept(s, length + int(self.lengths[low]), blanks)))
+                kept = self._kept(s, length + self.lengths[low + some], np.minimum(blanks, self.blanks[low + some]))
+                some = some[counts[some] >= kept]
+                if len(some):
+                    yield i, low + some
+
+    def scored(self, names: list[str]):
+        """(name, name of the dictionary, 0..100) of the pairs that reach the threshold."""
+        floor = 100 * self.threshold
+        for i, places in self.near(names):
+            own = name_tokens(names[i])
+            for place in places.tolist():
+                score = tokens_ratio(own, self.tokens[place], floor)
+                if score >= floor:
+                    yield names[i], self.names[place], score

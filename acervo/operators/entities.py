@@ -13,11 +13,13 @@ from pyspark.sql.types import StructField, StructType
 
 from acervo import params as P
 from acervo.functions import similarity as M
-from acervo.functions.text import fold_upper, let
-from acervo.session import cut_lineage
+from acervo.functions.text import fold_upper
+from acervo.session import cut_lineage, spread
 
 # Aliases that one pass over the texts carries: an automaton of some tens of MB in a task.
 CARRIED_ALIASES = 100_000
+# Letters of a block of names or aliases: an index of some tens of MB in a task. Fewer names than BLOCK_NAMES are not worth an index.
+BLOCK_LETTERS, BLOCK_NAMES = 2_000_000, 500
 
 
 def alias_index(entities: DataFrame) -> DataFrame:
@@ -69,40 +71,29 @@ def _rarest_tokens(own: DataFrame, other: DataFrame, name: str, share: float) ->
     return each.withColumn("left", left).filter((F.col("left") >= F.col("length") * share - 1e-6) & F.col("n").isNotNull()).select(name, "token")
 
 
-def _grams(size: int) -> Column:
-    """All grams of `size` letters inside the tokens, each with its number among equal ones, so that sets hold multisets."""
-    grams = F.flatten(F.transform("tokens", lambda t: F.when(F.length(t) >= size, F.transform(
-        F.sequence(F.lit(1), F.length(t) - size + 1), lambda i: F.substr(t, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))))
-    return let(grams, lambda every: F.transform(every, lambda g, i: F.concat(
-        g, F.lit("#"), F.size(F.filter(F.slice(every, F.lit(1), i + 1), lambda other: other == g)).cast("string"))))
+def _by_grams(names: DataFrame, aliases: DataFrame, threshold: float) -> DataFrame:
+    """(name, alias, score): pairs that reach the threshold by their letters, token by token or across tokens.
 
-
-def _rarest_grams(names: DataFrame, aliases: DataFrame, threshold: float) -> DataFrame:
-    """(name, alias): pairs that may reach the threshold by their letters, token by token or across tokens.
-
-    A pair at the threshold differs by at most (1 - threshold) of both lengths. What is left in common falls into at most
-    one piece more than there are differences, so a least number of the name's grams stays intact, but for those that a
-    blank may cut. Of the name's grams, the rarest first, as many as may be lost and one more hold one that the alias has
-    too. A name is sought by the longest grams of which one is sure to stay: three letters, two, or single ones.
-    Lengths are bounded by the threshold as well.
+    Blocks of names meet blocks of aliases in tasks, which count common grams by an index in memory (`GramIndex`). Grams
+    and the pairs that they ask for are never rows: only pairs that reach the threshold leave a task, and what is
+    shuffled is each name once for each block of aliases, each alias once for each block of names.
     """
-    nearest = threshold / (2 - threshold)
-    blanks = F.size("tokens") - 1
+    letters = F.coalesce(F.sum("length"), F.lit(0)).alias("letters")
+    (n, name_letters), (_, alias_letters) = (tuple(df.agg(F.count("*"), letters).first()) for df in (names, aliases))
+    columns = max(1, -(-alias_letters // BLOCK_LETTERS))
+    tasks = 2 * names.sparkSession.sparkContext.defaultParallelism
+    lines = max(1, -(-name_letters // BLOCK_LETTERS), min(-(-tasks // columns), n // BLOCK_NAMES))
+
+    def dealt(df: DataFrame, text: str, own: str, mine: int, other: str, others: int) -> DataFrame:
+        placed = df.select(text, F.pmod(F.xxhash64(text), F.lit(mine)).cast("int").alias(own))
+        return spread(placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))), "line", "column").groupBy("line", "column")
 
-    def kept(size: int) -> Column:
-        per_letter = max(0.0, 0.5 - (size - 0.5) * (1 - threshold)) * (1 + nearest)
-        return F.ceil(per_letter * F.col("length") - (size - 1) - size * blanks - 1e-6)
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = M.GramIndex(right["alias"].tolist(), threshold).scored(left["name"].tolist()) if len(left) and len(right) else ()
+        return pd.DataFrame(found, columns=["name", "alias", "score"])
 
-    own = F.when(kept(3) > 0, F.struct(_grams(3).alias("grams"), kept(3).alias("kept"))).when(
-        kept(2) > 0, F.struct(_grams(2).alias("grams"), kept(2).alias("kept"))).otherwise(F.struct(_grams(1).alias("grams"), kept(1).alias("kept")))
-    sought = names.select("name", "length", own.alias("own")).select(
-        "name", "length", (F.size("own.grams") - F.col("own.kept") + 1).alias("least"), F.explode("own.grams").alias("gram"))
-    postings = aliases.select("alias", F.col("length").alias("other"), F.explode(F.concat(_grams(1), _grams(2), _grams(3))).alias("gram"))
-    counts = postings.groupBy("gram").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("name").orderBy(F.coalesce("n", F.lit(0)), "gram")
-    asked = sought.join(counts, "gram", "left").withColumn("at", F.row_number().over(order)).filter((F.col("at") <= F.col("least")) & F.col("n").isNotNull())
-    return asked.join(postings, "gram").filter(F.col("other").between(
-        F.col("length") * nearest - 1e-6, F.col("length") / nearest + 1e-6)).select("name", "alias")
+    return dealt(names, "name", "line", lines, "column", columns).cogroup(
+        dealt(aliases, "alias", "column", columns, "line", lines)).applyInPandas(meet, "name string, alias string, score double")
 
 
 def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_RATIO, min_alias_tokens: int = 1) -> DataFrame:
@@ -112,8 +103,8 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
 
     No name meets the whole dictionary. Pairs that share enough whole tokens meet on the rarest tokens of either side;
     where one name holds all tokens of the other the score is 100 and is settled by that join. The other names meet
-    aliases on their rarest grams of letters too, and only these pairs are scored, in an Arrow pass. Both searches are exact:
-    a pair at the threshold shares a key by the bounds given with each.
+    aliases on their grams of letters too, counted inside tasks. Only pairs with enough in common are scored, in Arrow
+    passes. Both searches are exact: a pair at the threshold passes by the bounds given with each.
     """
     if threshold * 3 < 2:
         raise ValueError("below two thirds a pair need not share any letter")
@@ -131,8 +122,8 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
         "name", "alias", "canonical_id", "e", "a", inside.alias("inside")))
     whole = cut_lineage(sharing.filter("inside").groupBy("name").agg(
         F.min_by("canonical_id", F.struct("e", "a")).alias("canonical_id"), F.lit(100.0).alias("score"))).hint("merge")
-    open_names = left.join(whole.select("name"), "name", "left_anti")
-    pairs = sharing.select("name", "alias").join(whole.select("name"), "name", "left_anti").unionByName(_rarest_grams(open_names, right, threshold)).distinct()
+    open_names = cut_lineage(left.join(whole.select("name"), "name", "left_anti"))
+    pairs = sharing.select("name", "alias").join(whole.select("name"), "name", "left_anti")
     floor = threshold * 100
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +140,8 @@ def match_fuzzy(names: DataFrame, index: DataFrame, threshold: float = P.FUZZY_R
             part["score"] = [M.tokens_ratio(tokens(n), tokens(a), floor) for n, a in zip(part["name"], part["alias"])]
             yield part[part["score"] >= floor]
 
-    near = pairs.mapInPandas(score, "name string, alias string, score double").join(right.select("alias", "canonical_id", "e", "a"), "alias")
+    scored = pairs.mapInPandas(score, "name string, alias string, score double").unionByName(_by_grams(open_names, right, threshold))
+    near = scored.join(right.select("alias", "canonical_id", "e", "a"), "alias")
     best = near.groupBy("name").agg(
         F.max_by("canonical_id", F.struct("score", -F.col("e"), -F.col("a"))).alias("canonical_id"), F.max("score").alias("score"))
     return whole.unionByName(best).select(F.col("name").alias("alias_norm"), "canonical_id", "score")

@@ -353,6 +353,29 @@ def test_fuzzy_of_hard_names_equals_brute_force(spark, threshold):
     assert fuzzy(df, index, threshold=threshold) == nearest_aliases(names, [(a, f"c{i}") for i, a in enumerate(aliases)], threshold * 100)
 
 
+def test_fuzzy_blocks_equal_brute_force(spark, monkeypatch):
+    """Names and aliases in many blocks; null, blank and repeated names, letters of other scripts."""
+    monkeypatch.setattr(entities, "BLOCK_LETTERS", 40)
+    monkeypatch.setattr(entities, "BLOCK_NAMES", 3)
+    rnd = random.Random(4)
+    aliases = sorted({"".join(rnd.choices("ABCDÉ\U00010400 ", k=rnd.randint(1, 20))).strip() or "A" for _ in range(40)})
+    names = [a[:3] + rnd.choice("ABX ") + a[4:] for a in aliases] * 2 + ["", " "]
+    index = spark.createDataFrame([(a, f"c{i}", (i, 0)) for i, a in enumerate(aliases)],
+                                  "alias_norm string, canonical_id string, pos struct<entity_pos:int,alias_pos:int>")
+    df = spark.createDataFrame([(n,) for n in [*names, None]], "alias_norm string")
+    assert fuzzy(df, index) == nearest_aliases(names, [(a, f"c{i}") for i, a in enumerate(aliases)])
+
+
+def test_few_candidates_have_enough_grams_in_common():
+    """Of random names nearly every pair shares some gram; only pairs with as many as the threshold asks for are compared."""
+    rnd = random.Random(6)
+    aliases = ["".join(rnd.choices("0123456789ABCDEF", k=12)) + " " + "".join(rnd.choices("0123456789ABCDEF", k=20)) for _ in range(2000)]
+    names = [a[:5] + "Q" + a[6:] for a in aliases[:200]]
+    index = M.GramIndex(aliases, 0.85)
+    assert sum(len(places) for _, places in index.near(names)) < 0.002 * len(names) * len(aliases)
+    assert sorted((n, a) for n, a, _ in index.scored(names)) == sorted(zip(names, aliases))
+
+
 def test_token_set_ratio():
     assert M.token_set_ratio("RADAR", "NOVO RADAR SUL") == 100
     assert M.token_set_ratio("", "A") == 0

@@ -54,6 +54,12 @@ def test_exploded_rows_are_not_broadcast(spark, name):
     assert "BroadcastHashJoin" not in plan(entry.queries()[name](spark, SF_DIR))
 
 
+def test_grams_of_fuzzy_names_are_never_rows(spark):
+    """Pairs of names with a gram in common grow with the square of the names; they stay inside tasks."""
+    tree = entry.queries()["q29_known_ratios"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "gram#" not in tree and "grams#" not in tree
+
+
 def test_reply_texts_are_made_once_for_equal_replies(spark):
     """Events outnumber users; the texts stand above the aggregate that makes replies distinct, and are never broadcast."""
     tree = entry.queries()["q59_reply_quality"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
