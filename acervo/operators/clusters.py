@@ -31,7 +31,7 @@ TITLE_PACK_ROWS = 500
 MAX_PIVOTS = 64
 PAIR = "hi string, lo string, sim double, lo_day int, lo_ord long"
 COLUMNS = ["id", "day", "ord", "embedding"]
-SCAN_ROWS = 512
+SCAN_ROWS, MEET_ROWS = 512, 4_096
 LEADS, OPEN = 1, 0
 
 
@@ -78,15 +78,18 @@ def _packed(df: DataFrame, slice_rows: int, pack_rows: int | None = None) -> Dat
     return df.join(packs, "day")
 
 
-def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None, tile_rows: int) -> DataFrame:
+def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None, tile_rows: int, whole_days: bool = False) -> DataFrame:
     """Tile (`slice`) and, in crowded days, cell and angle of each row (else null).
 
     A crowded day is cut by cell, and a larger cell along the scan order, so that
     a chain of documents that follow each other stays in few slices. Slices and
-    quiet days that follow each other share a tile of about `tile_rows`.
+    quiet days that follow each other share a tile of about `tile_rows`. With
+    `whole_days` a day of no more rows than that stays in one tile.
     """
     tile_rows = max(slice_rows, tile_rows)
-    placed = _packed(_with_cell(df, pivots), slice_rows)
+    celled = _with_cell(df, pivots)
+    # read several times: the days' counts, the cuts, the tiles and the rows themselves
+    placed = _packed(celled if pivots is None else cut_lineage(celled), slice_rows)
     cuts = placed.filter("_crowded").groupBy("day", "cell").agg(
         F.ceil(F.count("*") / slice_rows).cast("int").alias("_parts"),
         F.percentile_approx("ord", [i / 64 for i in range(1, 64)], 1000).alias("_points"))
@@ -99,8 +102,11 @@ def _sliced(df: DataFrame, slice_rows: int, pivots: np.ndarray | None, tile_rows
                              "cell": F.when(F.col("_crowded"), F.col("cell")), "angle": F.when(F.col("_crowded"), F.col("angle"))})
     at = ["day", F.coalesce("cell", F.lit(-1)).alias("_cell"), "_part", "_more"]
     before = Window.partitionBy("day").orderBy("_cell", "_part", "_more").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
-    tiles = cut.groupBy(*at, "_before").agg(F.count("*").alias("_n")).select("day", "_cell", "_part", "_more", F.floor(
-        (F.col("_before") + F.coalesce(F.sum("_n").over(before), F.lit(0))) / tile_rows).cast("string").alias("slice"))
+    inside = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    if whole_days:
+        inside = F.when(F.sum("_n").over(Window.partitionBy("day")) > tile_rows, inside).otherwise(0)
+    tiles = cut.groupBy(*at, "_before").agg(F.count("*").alias("_n")).select(
+        "day", "_cell", "_part", "_more", F.floor((F.col("_before") + inside) / tile_rows).cast("string").alias("slice"))
     return cut.withColumn("_cell", F.coalesce("cell", F.lit(-1))).join(
         tiles, ["day", "_cell", "_part", "_more"]).select(*COLUMNS, "slice", "cell", "angle")
 
@@ -119,7 +125,8 @@ def _grid(left: DataFrame, right: DataFrame, window_days: int, threshold: float,
     if pivots is not None:
         # triangle inequality on angles: cells too far apart hold no pair
         apart = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0)).ravel()
-        table = F.array(*[F.lit(float(x)) for x in apart])
+        # one literal: thousands of them take the optimizer seconds
+        table = F.split(F.lit(",".join(repr(float(x)) for x in apart)), ",").cast("array<double>")
         gap = F.get(table, F.col("l_c") * len(pivots) + F.col("r_c")) - F.col("l_a") - F.col("r_a")
         met = met.filter(F.coalesce(gap <= float(np.arccos(threshold)) + 1e-6, F.lit(True)))
     return met.select("l", "r").distinct()
@@ -178,16 +185,55 @@ def _best(threshold: float, window_days: int) -> Callable:
     return score
 
 
+def _ranked(*sides: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of rows in the scan order of all sides together, as rows that ask for earlier ones and as rows that are asked for.
+
+    Rows of one day and order have the same place. Without an order a row asks at the
+    begin of its day and is asked for at the end: it neither follows nor precedes others of the day.
+    """
+    day, order = (np.concatenate([side[c].to_numpy() for side in sides]) for c in ("day", "ord"))
+    by = np.lexsort((order, day))
+    fresh, new = np.ones(len(by), bool), np.ones(len(by), bool)
+    fresh[1:] = day[by][1:] != day[by][:-1]
+    new[1:] = fresh[1:] | (order[by][1:] != order[by][:-1])
+    place, begin = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+    place[by] = np.cumsum(new)
+    begin[by] = np.maximum.accumulate(np.where(fresh, place[by], 0))
+    cuts = np.cumsum([len(side) for side in sides])[:-1]
+    return list(zip(np.split(np.where(pd.isna(order), begin, place), cuts), np.split(place, cuts)))
+
+
+def _first_near(a: tuple, b: tuple, threshold: float, window_days: int) -> np.ndarray:
+    """For each row of `a` the first earlier row of `b` in the window at the threshold or above, else -1.
+
+    Both are unit vectors, days and places in the scan order, `b` in that order (`_ranked`). Rows
+    of `b` come a few hundred at a time, and a row of `a` that has found one is done.
+    """
+    (unit_a, day_a, place_a), (unit_b, day_b, place_b) = a, b
+    low, high = np.searchsorted(day_b, day_a - window_days), np.searchsorted(place_b, place_a)
+    found = np.full(len(unit_a), -1, np.int64)
+    for at in range(0, len(unit_b), SCAN_ROWS):
+        end = min(at + SCAN_ROWS, len(unit_b))
+        asked = np.nonzero((found < 0) & (low < end) & (high > at))[0]
+        columns = np.arange(at, end)
+        for part in np.split(asked, range(MEET_ROWS, len(asked), MEET_ROWS)):
+            near = unit_a[part] @ unit_b[at:end].T >= threshold
+            if len(part) and (high[part].min() < end or low[part].max() > at):
+                near &= (columns >= low[part, None]) & (columns < high[part, None])
+            hit = near.any(axis=1)
+            found[part[hit]] = at + near[hit].argmax(axis=1)
+    return found
+
+
 def _waits(threshold: float, window_days: int) -> Callable:
     """Left rows with any earlier right row at the threshold or above."""
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for at, sims, earlier in _in_parts(a, b, window_days):
-            near = earlier & (sims >= threshold)
-            i = np.nonzero(near.any(axis=1))[0]
-            j = near[i].argmax(axis=1)
-            found.append((i + at, j, sims[i, j]))
-        return _rows(a, b, found)
+        b = b.sort_values(["day", "ord"], ignore_index=True)
+        (place_a, _), (_, place_b) = _ranked(a, b)
+        j = _first_near((M.unit_rows(a["embedding"]), a["day"].to_numpy(), place_a),
+                        (M.unit_rows(b["embedding"]), b["day"].to_numpy(), place_b), threshold, window_days)
+        i = np.nonzero(j >= 0)[0]
+        return _rows(a, b, [(i, j[i], np.full(len(i), np.nan))])
     return score
 
 
@@ -222,18 +268,29 @@ def _scan(threshold: float, window_days: int) -> Callable:
     """
     def scan(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["day", "ord"], ignore_index=True)
-        outside = part["outside"].to_numpy()
-        leads, opened = np.zeros(len(part), bool), np.zeros(len(part), bool)
-        for at, sims, earlier in _in_parts(part, part, window_days):
-            near = earlier & (sims >= threshold)
+        unit, day, ((asks, place),) = M.unit_rows(part["embedding"]), part["day"].to_numpy(), _ranked(part)
+        leads, opened = np.zeros(len(part), bool), part["outside"].to_numpy().astype(bool)
+        some_open = np.zeros(len(part), bool)
+
+        def near_any(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+            return _first_near((unit[rows], day[rows], asks[rows]), (unit[others], day[others], place[others]), threshold, window_days) >= 0
+
+        for at in range(0, len(part), SCAN_ROWS):
+            rows = np.arange(at, min(at + SCAN_ROWS, len(part)))
+            rows = rows[~near_any(rows, np.nonzero(leads)[0])]
+            free = rows[~opened[rows]]
+            opened[free] = near_any(free, np.nonzero(some_open)[0])
+            # the rows of this block among themselves, in order
+            near = (unit[rows] @ unit[rows].T >= threshold) & (place[rows][None, :] < asks[rows][:, None]) & (
+                day[rows][:, None] - day[rows][None, :] <= window_days)
             some = near.any(axis=1)
-            for i in range(len(near)):
-                if some[i] and (near[i] & leads).any():
+            for i, row in enumerate(rows.tolist()):
+                if some[i] and (near[i] & leads[rows]).any():
                     continue
-                stays = outside[at + i] or (some[i] and (near[i] & opened).any())
-                (opened if stays else leads)[at + i] = True
+                stays = opened[row] or (some[i] and (near[i] & some_open[rows]).any())
+                (some_open if stays else leads)[row] = True
         part["state"] = np.where(leads, LEADS, OPEN).astype("int32")
-        return part[leads | opened].drop(columns="outside")
+        return part[leads | some_open].drop(columns="outside")
     return scan
 
 
@@ -260,7 +317,8 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
     distinct = cut_lineage(rows.filter(~alone).groupBy("day", "embedding").agg(
         F.min(F.struct("ord", "id")).alias("f")).select("f.id", "day", "f.ord", "embedding"))
     pivots = _pivots(distinct, threshold, slice_rows)
-    undecided = cut_lineage(_sliced(distinct, slice_rows, pivots, tile_rows))
+    # documents of a day in two tiles would wait for each other, back and forth
+    undecided = cut_lineage(_sliced(distinct, slice_rows, pivots, tile_rows, whole_days=True))
     waits = _waits(threshold, window_days)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in undecided.schema.fields) + ", state int"
     leaders = rows.filter(alone).select(*COLUMNS)
@@ -270,9 +328,12 @@ def leader_clusters(docs: DataFrame, key: str, day: str, order: str, vector: str
             break
         opened = undecided.withColumn("outside", F.lit(False))
         if slices > 1:
-            outside = _meet(undecided, undecided, window_days, waits, threshold, pivots, other=True)
-            opened = undecided.join(outside.select(F.col("hi").alias("id"), F.lit(True).alias("outside")).distinct(), "id", "left").withColumn(
-                "outside", F.coalesce("outside", F.lit(False)))
+            outside = _meet(undecided, undecided, window_days, waits, threshold, pivots, other=True).select(F.col("hi").alias("id")).distinct()
+            outside = cut_lineage(outside)
+            # semi and anti joins: the optimizer takes the size of an outer join for a product, which from round to round
+            # becomes a number that it cannot reckon with any more
+            opened = undecided.join(outside, "id", "left_semi").withColumn("outside", F.lit(True)).unionByName(
+                undecided.join(outside, "id", "left_anti").withColumn("outside", F.lit(False)))
         scanned = cut_lineage(spread(opened.select(*undecided.columns, "outside"), "slice").groupBy("slice").applyInPandas(
             _scan(threshold, window_days), schema))
         fresh, rest = (scanned.filter(F.col("state") == state).drop("state") for state in (LEADS, OPEN))

@@ -5,6 +5,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -472,6 +473,60 @@ def test_small_slices_share_tiles(spark, monkeypatch, tile_rows):
     assert len(rounds) > 1 if tile_rows == 12 else len(rounds) == 1
 
 
+def vectors(spark, docs):
+    return spark.createDataFrame([(i, dt.date(2026, 1, 1) + dt.timedelta(days=d), [float(x) for x in v]) for i, d, v in docs],
+                                 "id int, day date, v array<double>")
+
+
+def test_many_rounds_stay_plannable(spark, monkeypatch):
+    """The size that the optimizer reckons for a plan must not multiply with itself from round to round."""
+    rounds, bits, cut = rounds_of(monkeypatch), [], G.cut_lineage
+
+    def spy(df):
+        bits.append(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length()))
+        return cut(df)
+
+    monkeypatch.setattr(G, "cut_lineage", spy)
+    rng = np.random.default_rng(8)
+    docs = [(i, i // 6, rng.normal(size=4)) for i in range(30)]
+    got = G.leader_clusters(vectors(spark, docs), "id", "day", "id", "v", 0.2, 3, 6, 6)
+    assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == sequential_leaders(docs, 0.2, 3)
+    assert len(rounds) >= 3 and max(bits) < 4000
+
+
+def test_a_day_that_fits_a_tile_is_not_cut(spark, monkeypatch):
+    """Documents of one day in two tiles would wait for each other: here 30 unlike ones, then a day's chain of 40 in tiles of about 50."""
+    rounds = rounds_of(monkeypatch)
+    docs = [(i, 0, [float(i == k) for k in range(71)]) for i in range(30)]
+    docs += [(30 + i, 1, [float(k in (30 + i, 31 + i)) for k in range(71)]) for i in range(40)]
+    got = G.leader_clusters(vectors(spark, docs), "id", "day", "id", "v", 0.45, 0, 8, 50)
+    assert {int(r["id"]): int(r["leader_id"]) for r in got.collect()} == {i: i if i < 30 else i - i % 2 for i in range(70)}
+    assert len(rounds) == 1
+
+
+def test_leaders_in_small_parts(spark, monkeypatch):
+    """Rows meet others a few at a time, and a row that has found one is done."""
+    for name, rows_ in (("SCAN_ROWS", 5), ("MEET_ROWS", 3)):
+        monkeypatch.setattr(G, name, rows_)
+    rng = np.random.default_rng(10)
+    part = pd.DataFrame({"id": [str(i) for i in range(60)], "day": rng.integers(0, 8, 60), "ord": rng.integers(0, 9, 60),
+                         "embedding": list(rng.normal(size=(60, 4))), "outside": rng.random(60) < 0.2})
+    part.loc[rng.random(60) < 0.2, "ord"] = np.nan
+    unit = M.unit_rows(part["embedding"])
+
+    def near(i, j):
+        gap = part["day"][i] - part["day"][j]
+        return (0 < gap <= 2 or gap == 0 and part["ord"][j] < part["ord"][i]) and unit[i] @ unit[j] >= 0.6
+
+    assert set(G._waits(0.6, 2)(part, part)["hi"]) == {str(i) for i in range(60) if any(near(i, j) for j in range(60))}
+    leads, opened = set(), set()
+    for i in part.sort_values(["day", "ord"]).index:
+        if not any(near(i, j) for j in leads):
+            (opened if part["outside"][i] or any(near(i, j) for j in opened) else leads).add(i)
+    got = G._scan(0.6, 2)(part)
+    assert {int(i): s for i, s in zip(got["id"], got["state"])} == {**dict.fromkeys(leads, G.LEADS), **dict.fromkeys(opened, G.OPEN)}
+
+
 def test_documents_without_day_or_vector_lead(spark):
     df = spark.sql("select * from values (1, date'2026-01-01', array(1D, 0D)), (2, null, array(1D, 0D)), (3, date'2026-01-01', null), "
                    "(4, date'2026-01-01', array(0D, 0D)), (5, date'2026-01-02', array(2D, 0D)) t(id, day, v)")
