@@ -37,8 +37,10 @@ def _literal_map(table: dict) -> Column:
 def has_relevant_amount(text: Column, threshold: float = P.MONEY_THRESHOLD) -> Column:
     """Any amount in reais, times its unit, at or above the threshold."""
     units = _literal_map(P.MONEY_UNITS)
-    numbers = F.regexp_extract_all(text, F.lit(P.MONEY_PATTERN), F.lit(1))
-    names = F.regexp_extract_all(text, F.lit(P.MONEY_PATTERN), F.lit(2))
+    # an amount begins one letter before a dollar sign
+    rest = F.substr(text, F.greatest(F.instr(text, "$") - 1, F.lit(1)))
+    numbers = F.regexp_extract_all(rest, F.lit(P.MONEY_PATTERN), F.lit(1))
+    names = F.regexp_extract_all(rest, F.lit(P.MONEY_PATTERN), F.lit(2))
     values = F.zip_with(
         numbers, names,
         lambda n, u: F.replace(F.replace(n, F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double")

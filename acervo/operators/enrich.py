@@ -47,11 +47,16 @@ def apply_model(df: DataFrame, model: Callable[[DataFrame], DataFrame], key: str
     return df.join(model(df), key, "left")
 
 
-def scored(df: DataFrame, text: str, tags: str, risks: str, level: str = "priority") -> DataFrame:
+def with_amounts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Whether each text names a relevant amount, in place of the text: done before any join, so that texts are not shuffled."""
+    return docs.withColumn("relevant_amount", S.has_relevant_amount(F.col(text))).drop(text)
+
+
+def scored(df: DataFrame, amount: str, tags: str, risks: str, level: str = "priority") -> DataFrame:
     """Relevance score and its auditable explanation."""
     staged = df.withColumns({
         "_n": S.portfolio_count(F.col(risks)),
-        "_money": S.has_relevant_amount(F.col(text)),
+        "_money": F.col(amount),
         "_critical": S.critical_tags(F.col(tags)),
     })
     with_score = staged.withColumn(
@@ -64,8 +69,8 @@ def enriched_records(docs: DataFrame, replies: DataFrame, risks: DataFrame, capt
                      random_ids: bool = False) -> DataFrame:
     """The 24-field record of every document whose replies are all usable.
 
-    `docs` carries the source lookup and cluster columns, `replies` the structs
-    of `parsed_replies`, `risks` the resolved mentions per document.
+    `docs` carries `relevant_amount` (`with_amounts`), the source lookup and cluster columns,
+    `replies` the structs of `parsed_replies`, `risks` the resolved mentions per document.
     """
     usable = replies.filter("tags is not null and sentiment is not null and entities is not null and summary is not null")
     joined = docs.join(usable, "doc_id").join(risks, "doc_id", "left")
@@ -74,7 +79,7 @@ def enriched_records(docs: DataFrame, replies: DataFrame, risks: DataFrame, capt
         "_risks": F.coalesce("credit_risks", none),
         "_tags": S.allowed_tags(F.coalesce("tags.tags", F.array().cast("array<string>"))),
     })
-    done = scored(ready, "text", "_tags", "_risks")
+    done = scored(ready, "relevant_amount", "_tags", "_risks")
     return done.select(
         (F.expr("uuid()") if random_ids else F.md5(F.col("doc_id").cast("string"))).alias("id"),
         "cluster_id", "source_id", "source_name", U.root(F.col("url")).alias("source_url"), "source_type",

@@ -19,15 +19,15 @@ TITLE_SQL = "'Notícia ' || {0} || ' de ' || {1}"
 
 
 def documents(spark, sf):
-    """Documents with their metadata and, where there is one, their vector."""
+    """Documents with their metadata, whether they name a relevant amount and, where there is one, their vector."""
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     key = F.col("doc_id").cast("string")
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text").join(vectors, "doc_id", "left")
+    texts = table(spark, sf, "documents").select("doc_id", "source", F.concat("text", F.lit(" R$ "), key, F.lit(" milhões")).alias("text"))
+    docs = N.with_amounts(texts).join(vectors, "doc_id", "left")
     return docs.select(
         "doc_id", F.col("source").alias("source_id"), F.concat(F.lit("Notícia "), key, F.lit(" de "), "source").alias("title"),
         F.concat(F.lit("https://www."), "source", F.lit(".example.com/n/"), key).alias("url"),
-        F.concat("text", F.lit(" R$ "), key, F.lit(" milhões")).alias("text"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("day"), "embedding",
+        "relevant_amount", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("day"), "embedding",
     ).withColumns({"date": F.col("day").cast("string"), "published_at": F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("day").cast("string"))})
 
 

@@ -95,3 +95,12 @@ def test_rating_range_is_pushed(spark):
     scan = plan(_ratings(spark, SF_DIR, "1998-01-01", "1998-01-08"))
     pushed = scan[scan.index("PushedFilters"):].splitlines()[0]
     assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
+
+
+def test_enriched_records_shuffle_no_texts(spark):
+    """Of a text only its amount is asked for, which is found where the text is read."""
+    tree = entry.queries()["q51_enriched"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in tree.splitlines() if "text#" in line]
+    assert lines and all("Join" not in line for line in lines)
+    # nothing but a scan and a projection stands between a text and its flag
+    assert all(line.lstrip(" +-:").startswith(("Project", "Relation", "Filter")) for line in lines)
