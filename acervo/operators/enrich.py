@@ -52,11 +52,11 @@ def with_amounts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("relevant_amount", S.has_relevant_amount(F.col(text))).drop(text)
 
 
-def scored(df: DataFrame, amount: str, tags: str, risks: str, level: str = "priority") -> DataFrame:
-    """Relevance score and its auditable explanation."""
+def scored(df: DataFrame, text: str | None, tags: str, risks: str, level: str = "priority") -> DataFrame:
+    """Relevance score and its auditable explanation; without `text`, amounts are told by `relevant_amount`."""
     staged = df.withColumns({
         "_n": S.portfolio_count(F.col(risks)),
-        "_money": F.col(amount),
+        "_money": S.has_relevant_amount(F.col(text)) if text else F.col("relevant_amount"),
         "_critical": S.critical_tags(F.col(tags)),
     })
     with_score = staged.withColumn(
@@ -79,7 +79,7 @@ def enriched_records(docs: DataFrame, replies: DataFrame, risks: DataFrame, capt
         "_risks": F.coalesce("credit_risks", none),
         "_tags": S.allowed_tags(F.coalesce("tags.tags", F.array().cast("array<string>"))),
     })
-    done = scored(ready, "relevant_amount", "_tags", "_risks")
+    done = scored(ready, None, "_tags", "_risks")
     return done.select(
         (F.expr("uuid()") if random_ids else F.md5(F.col("doc_id").cast("string"))).alias("id"),
         "cluster_id", "source_id", "source_name", U.root(F.col("url")).alias("source_url"), "source_type",
